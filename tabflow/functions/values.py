@@ -1,0 +1,40 @@
+"""Hash-derived column values for row synthesis.
+
+Each value is a function of ``(seed, column name, row id)`` so a synthetic
+table is reproducible and can be regenerated partition by partition.
+"""
+
+from __future__ import annotations
+
+from typing import Any, Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from tabflow.functions.hashing import hash_int
+
+
+def _h(row_id, seed, column: str) -> Column:
+    return hash_int(row_id, f"{seed}:{column}")
+
+
+def uniform_int(row_id, seed, column: str, lo: int, hi: int) -> Column:
+    """Integer in the closed range ``[lo, hi]``."""
+    return (F.lit(lo) + _h(row_id, seed, column) % F.lit(hi - lo + 1)).cast("int")
+
+
+def uniform_double(row_id, seed, column: str, lo: float, hi: float, decimals: int = 2) -> Column:
+    """Double in ``[lo, hi]`` on a grid of ``10**-decimals``."""
+    scale = 10 ** decimals
+    lo_i, hi_i = round(lo * scale), round(hi * scale)
+    return ((F.lit(lo_i) + _h(row_id, seed, column) % F.lit(hi_i - lo_i + 1)) / F.lit(float(scale)))
+
+
+def choice(row_id, seed, column: str, values: Sequence[Any]) -> Column:
+    """One of ``values``, uniformly."""
+    arr = F.array(*[F.lit(v) for v in values])
+    return F.element_at(arr, (F.lit(1) + _h(row_id, seed, column) % F.lit(len(values))).cast("int"))
+
+
+def const(value: Any) -> Column:
+    return F.lit(value)
