@@ -23,3 +23,16 @@ def register_sql_functions(spark: SparkSession) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION years_since(arrival_year INT, as_of DATE) "
         "RETURNS INT RETURN year(as_of) - arrival_year"
     )
+
+
+def ntz_as_utc(c) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP reading the wall clock as UTC, whatever the
+    session time zone (watermarks need TIMESTAMP)."""
+    c = as_col(c)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def utc_date(ts) -> Column:
+    """Calendar date of a TIMESTAMP instant in UTC, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(as_col(ts)) / F.lit(86400)).cast("int"))

@@ -36,13 +36,13 @@ def latest_per_key(df: DataFrame, pk: str | Sequence[str], order_by: Sequence[st
     return picked.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
-def dedupe_by_key(df: DataFrame, pk: str, order_by: Optional[Sequence[str]]) -> DataFrame:
+def dedupe_by_key(df: DataFrame, pk: str | Sequence[str], order_by: Optional[Sequence[str]]) -> DataFrame:
     if not order_by:
         return df
     return latest_per_key(df, pk, order_by)
 
 
-def upsert(old: DataFrame, new: DataFrame, pk: str,
+def upsert(old: DataFrame, new: DataFrame, pk: str | Sequence[str],
            order_by: Optional[Sequence[str]] = None) -> DataFrame:
     """Rows of ``new`` replace ``old`` rows with the same key; others are kept.
 
@@ -51,10 +51,12 @@ def upsert(old: DataFrame, new: DataFrame, pk: str,
     ordering; without it the caller guarantees uniqueness (see
     :func:`tabflow.operators.quality.key_violations`).
     """
-    if pk not in new.columns:
-        raise ValueError(f"Primary key column '{pk}' not found in feature_data")
-    new = dedupe_by_key(new, pk, order_by)
-    kept = old.join(new.select(pk), pk, "left_anti")
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    for k in keys:
+        if k not in new.columns:
+            raise ValueError(f"Primary key column '{k}' not found in feature_data")
+    new = dedupe_by_key(new, keys, order_by)
+    kept = old.join(new.select(*keys), keys, "left_anti")
     return kept.unionByName(new)
 
 
