@@ -37,4 +37,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Import the query modules so they register themselves.
-from tabflow.plans import queries_monitor, queries_tables, queries_features, queries_stream  # noqa: E402,F401,I001
+from tabflow.plans import queries_monitor, queries_tables, queries_features, queries_stream, queries_model  # noqa: E402,F401,I001

@@ -260,3 +260,25 @@ FROM customer
 def q_encode_values(spark, sf_dir):
     return quality.encode_values(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"),
                                  [SEGMENT_CODES])
+
+
+@register("append_new_rows", sql=synth_sql("0", _N_CUSTOMERS, seed=1) + "\nUNION ALL\n"
+          + synth_sql(_N_CUSTOMERS, _N_CUSTOMERS, seed=2))
+def q_append_new_rows(spark, sf_dir):
+    """Simulated ingestion: a first synthetic batch creates the raw booking
+    table, a second batch continues its ids and is appended; a drifted copy
+    of the second batch goes to the ``_skewed`` table."""
+    from tabflow.session import scratch_path
+    from tabflow.sources.tables import append, overwrite
+
+    root = scratch_path(spark, "bookings")
+    raw, skewed = f"{root}/raw", f"{root}/raw_skewed"
+    cust = table(spark, sf_dir, "customer")
+    n = cust.count()
+    overwrite(_synth_batch(cust, n, seed=1), raw)
+    written = spark.read.parquet(raw)
+    ids = generate.next_ids(written, "Booking_ID", n, "Customer#", keep_width=True)
+    batch2 = generate.synthesize_rows(ids, seed=2, out_id="Booking_ID")
+    append(batch2, raw)
+    append(generate.shift_columns(batch2, {"avg_price_per_room": 1.5, "no_of_week_nights": 2}), skewed)
+    return spark.read.parquet(raw)
