@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Callable, Optional, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +69,6 @@ def score_with_udf(df: DataFrame, predict: Callable, inputs: Sequence[str],
 
     Runs as a scalar pandas UDF (Arrow batches, one call per batch).
     """
-    import pandas as pd
-
     @F.pandas_udf(return_type)
     def _udf(batch: pd.DataFrame) -> pd.Series:
         return pd.Series(predict(batch))

@@ -31,13 +31,16 @@ def window_start(ts, granularity: str = "day") -> Column:
 
 
 def profile_metrics(df: DataFrame, window: Column | str, columns: Sequence[str],
-                    window_name: str = "window_start", slices: Sequence[str] = ()) -> DataFrame:
+                    window_name: str = "window_start", slices: Sequence[str] = (),
+                    exact_scale: int | None = None) -> DataFrame:
     """Per window x slice x column: n (rows), nulls, avg, min, max, stddev (sample).
 
     ``window`` is a column expression giving each row its window (e.g.
     :func:`window_start`); ``slices`` are optional extra grouping columns
     (one profile per slice value).  Statistics are computed on the double
-    value of each column.
+    value of each column; with ``exact_scale`` (money-like columns) the
+    average is summed exactly as ``DECIMAL(18, exact_scale)``, so it does not
+    depend on the order in which partial sums are merged.
     """
     if not columns:
         raise ValueError("No columns to profile")
@@ -49,7 +52,8 @@ def profile_metrics(df: DataFrame, window: Column | str, columns: Sequence[str],
         v = F.col(c).cast("double")
         aggs += [
             F.count_if(v.isNull()).alias(f"nulls_{i}"),
-            F.avg(v).alias(f"avg_{i}"),
+            (F.avg(F.col(c).cast(f"decimal(18,{exact_scale})")).cast("double") if exact_scale is not None
+             else F.avg(v)).alias(f"avg_{i}"),
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
             F.stddev_samp(v).alias(f"stddev_{i}"),

@@ -20,13 +20,48 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def expand_sround(sql: str) -> str:
+    """Rewrite ``sround(x, n)`` into DuckDB text that rounds like Spark.
+
+    Spark rounds a double HALF_UP on its shortest decimal form (38.37875 ->
+    38.3788); DuckDB rounds the binary value (38.378749999... -> 38.3787).
+    Going through DECIMAL first gives Spark's result, and no negative zero.
+    """
+    out, i = [], 0
+    while (j := sql.find("sround(", i)) >= 0:
+        out.append(sql[i:j])
+        k, depth, comma = j + len("sround("), 1, -1
+        while depth:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if ch == "," and depth == 1:
+                comma = k
+            k += 1
+        arg, digits = sql[j + 7:comma], sql[comma + 1:k - 1].strip()
+        scale = int(digits) + 6
+        out.append(f"CAST(round(CAST({expand_sround(arg)} AS DECIMAL(38,{scale})), {digits}) AS DOUBLE)")
+        i = k
+    out.append(sql[i:])
+    return "".join(out)
+
+
+def exact_avg_sql(expr: str, scale: int = 2, extra: int = 4) -> str:
+    """DuckDB twin of Spark's ``avg(CAST(x AS DECIMAL(18, scale)))`` as double:
+    exact integer sum, quotient rounded HALF_UP at ``scale + extra`` digits."""
+    tot = f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) * {10 ** scale} AS HUGEINT)"
+    cnt = f"count({expr})"
+    return (f"(CAST((2 * {tot} * {10 ** extra} + sign({tot}) * {cnt}) // (2 * {cnt}) AS DOUBLE)"
+            f" / {float(10 ** (scale + extra))})")
+
+
 def register(name: str, sql: str | None = None):
     """Decorator: add a query (and its DuckDB oracle, when one exists)."""
 
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
+            ORACLE_SQL[name] = expand_sround(sql.strip())
         return fn
 
     return deco

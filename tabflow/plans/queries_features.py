@@ -28,7 +28,7 @@ _NULLABLE_PRICE = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END"
 
 
 @register("impute_mean", sql=f"""
-SELECT o_orderkey, round(coalesce({_NULLABLE_PRICE}, (SELECT avg({_NULLABLE_PRICE}) FROM orders)), 4)
+SELECT o_orderkey, sround(coalesce({_NULLABLE_PRICE}, (SELECT avg({_NULLABLE_PRICE}) FROM orders)), 4)
        AS o_totalprice_imputed
 FROM orders
 """)
@@ -40,8 +40,8 @@ def q_impute_mean(spark, sf_dir):
 
 
 @register("scale_unit_std", sql="""
-SELECT o_orderkey, round(o_totalprice / (SELECT stddev_samp(o_totalprice) FROM orders), 6) AS o_totalprice_scaled,
-       round(o_custkey / (SELECT stddev_samp(o_custkey) FROM orders), 6) AS o_custkey_scaled
+SELECT o_orderkey, sround(o_totalprice / (SELECT stddev_samp(o_totalprice) FROM orders), 6) AS o_totalprice_scaled,
+       sround(o_custkey / (SELECT stddev_samp(o_custkey) FROM orders), 6) AS o_custkey_scaled
 FROM orders
 """)
 def q_scale_unit_std(spark, sf_dir):
@@ -78,8 +78,8 @@ WITH s AS (
   SELECT l_extendedprice / 1000.0 AS y, l_quantity * p_retailprice / 1000.0 AS p
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )
-SELECT count(*) AS n, round(avg((y - p) * (y - p)), 6) AS mse, round(avg(abs(y - p)), 6) AS mae,
-       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+SELECT count(*) AS n, sround(avg((y - p) * (y - p)), 6) AS mse, sround(avg(abs(y - p)), 6) AS mae,
+       sround(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
 FROM s
 """)
 def q_error_metrics(spark, sf_dir):
@@ -116,7 +116,7 @@ registry AS (
 ), cur AS (
   SELECT g.model, max(g.run_id) AS current_run FROM registry g GROUP BY g.model
 )
-SELECT l.model, c.current_run, n.run_id AS new_run, round(rc.mae, 6) AS current_mae, round(n.mae, 6) AS new_mae,
+SELECT l.model, c.current_run, n.run_id AS new_run, sround(rc.mae, 6) AS current_mae, sround(n.mae, 6) AS new_mae,
        coalesce(c.current_run IS NULL OR n.mae < rc.mae, false) AS promote
 FROM latest l JOIN runs n ON n.model = l.model AND n.run_order = l.new_order
 LEFT JOIN cur c ON c.model = l.model LEFT JOIN runs rc ON rc.run_id = c.current_run

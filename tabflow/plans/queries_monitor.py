@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, window_start
-from tabflow.plans.catalog import register, table
+from tabflow.plans.catalog import exact_avg_sql, register, table
 
 # Profiled lineitem columns; l_tax is blanked on returned lines so the
 # profile has NULLs to count.
@@ -15,7 +15,7 @@ _PROFILE_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax_kept")
 def _lineitem_profile(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn(
         "l_tax_kept", F.when(F.col("l_returnflag") != "R", F.col("l_tax")))
-    return profile_metrics(li, window_start("l_shipdate", "month"), list(_PROFILE_COLS))
+    return profile_metrics(li, window_start("l_shipdate", "month"), list(_PROFILE_COLS), exact_scale=2)
 
 
 def _rounded_profile(df):
@@ -28,8 +28,8 @@ def _rounded_profile(df):
 _PROFILE_SQL_PART = """
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS window_start, '{c}' AS column_name,
        count(*) AS n, count(*) FILTER (WHERE {e} IS NULL) AS nulls,
-       round(avg({e}), 4) AS avg, round(min({e}), 4) AS min, round(max({e}), 4) AS max,
-       round(stddev_samp({e}), 4) AS stddev
+       sround({{avg}}, 4) AS avg, sround(min({e}), 4) AS min, sround(max({e}), 4) AS max,
+       sround(stddev_samp({e}), 4) AS stddev
 FROM lineitem GROUP BY 1
 """
 
@@ -42,14 +42,14 @@ _PROFILE_EXPR = {
 
 
 @register("profile_metrics", sql="\nUNION ALL\n".join(
-    _PROFILE_SQL_PART.format(c=c, e=e) for c, e in _PROFILE_EXPR.items()))
+    _PROFILE_SQL_PART.format(c=c, e=e).format(avg=exact_avg_sql(e)) for c, e in _PROFILE_EXPR.items()))
 def q_profile_metrics(spark, sf_dir):
     return _rounded_profile(_lineitem_profile(spark, sf_dir))
 
 
 def _event_series(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    prof = profile_metrics(ev, window_start("ts", "day"), ["value"], slices=["event_type"])
+    prof = profile_metrics(ev, window_start("ts", "day"), ["value"], slices=["event_type"], exact_scale=2)
     prof = prof.where(F.col("column_name") == "value")
     return drift_series(prof, keys=("event_type", "column_name"))
 
@@ -57,19 +57,19 @@ def _event_series(spark, sf_dir):
 _SERIES_SQL = """
 WITH p AS (
   SELECT event_type, 'value' AS column_name, CAST(date_trunc('day', ts) AS DATE) AS window_start,
-         avg(value) AS avg
+         """ + exact_avg_sql("value") + """ AS avg
   FROM events GROUP BY 1, 2, 3
 ), s AS (
   SELECT *, lead(avg, 1) OVER (PARTITION BY event_type, column_name ORDER BY window_start DESC) AS prev_avg
   FROM p
 ), d AS (
-  SELECT *, round((avg - prev_avg) * 100.0 / nullif(prev_avg, 0), 1) + 0.0 AS pct FROM s
+  SELECT *, sround((avg - prev_avg) * 100.0 / nullif(prev_avg, 0), 1) AS pct FROM s
 )
 """
 
 
 @register("drift_series", sql=_SERIES_SQL + """
-SELECT event_type, column_name, window_start, round(avg, 6) AS avg, round(prev_avg, 6) AS prev_avg,
+SELECT event_type, column_name, window_start, sround(avg, 6) AS avg, sround(prev_avg, 6) AS prev_avg,
        pct, CASE WHEN pct > 50.0 THEN 1 ELSE 0 END AS flag
 FROM d
 """)

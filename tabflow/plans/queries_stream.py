@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import register, table
+from tabflow.plans.catalog import exact_avg_sql, register, table
 from tabflow.plans.queries_tables import ORDER_COLS
 from tabflow.session import scratch_path
 from tabflow.sources.tables import VersionedTable
@@ -62,8 +62,8 @@ def q_stream_upsert(spark, sf_dir):
 _STREAM_PROFILE_SQL = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, event_type, 'value' AS column_name,
        count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS nulls,
-       round(avg(value), 4) AS avg, round(min(value), 4) AS min, round(max(value), 4) AS max,
-       round(stddev_samp(value), 4) AS stddev
+       sround(""" + exact_avg_sql("value") + """, 4) AS avg, sround(min(value), 4) AS min, sround(max(value), 4) AS max,
+       sround(stddev_samp(value), 4) AS stddev
 FROM events GROUP BY 1, 2
 """
 
@@ -76,7 +76,8 @@ def q_stream_profile(spark, sf_dir):
     half = S.ts("2024-01-16")
     for arrival in (events.where(F.col("ts") < half), events.where(F.col("ts") >= half)):
         arrival.write.mode("append").parquet(incoming)
-        stream_profile(spark, incoming, events.schema, out, ckpt, "ts", ["value"], slices=["event_type"])
+        stream_profile(spark, incoming, events.schema, out, ckpt, "ts", ["value"], slices=["event_type"],
+                       exact_scale=2)
     prof = VersionedTable(spark, out).read()
     return prof.select("window_start", "event_type", "column_name", "n", "nulls",
                        *[F.round(c, 4).alias(c) for c in ("avg", "min", "max", "stddev")])

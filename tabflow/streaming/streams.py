@@ -89,7 +89,7 @@ def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_ro
 def stream_profile(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
                    ts_col: str, columns: Sequence[str], window: str = "1 day",
                    watermark: str = "1 day", slices: Sequence[str] = (),
-                   max_files_per_trigger: Optional[int] = None) -> None:
+                   max_files_per_trigger: Optional[int] = None, exact_scale: Optional[int] = None) -> None:
     """Windowed profile maintained incrementally (update mode).
 
     State holds one partial aggregate per open (window, slice); windows older
@@ -102,7 +102,8 @@ def stream_profile(spark: SparkSession, source: str, schema: StructType, table_r
     if dict(events.dtypes)[ts_col] == "timestamp_ntz":
         events = events.withColumn(ts_col, ntz_as_utc(ts_col))
     events = events.withWatermark(ts_col, watermark)
-    prof = profile_metrics(events, F.window(ts_col, window), list(columns), window_name="w", slices=slices)
+    prof = profile_metrics(events, F.window(ts_col, window), list(columns), window_name="w", slices=slices,
+                           exact_scale=exact_scale)
     prof = prof.select(utc_date(F.col("w.start")).alias("window_start"), *slices,
                        *[c for c in prof.columns if c not in ("w", *slices)])
     keys = ["window_start", *slices, "column_name"]
