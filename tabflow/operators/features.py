@@ -146,8 +146,9 @@ def preprocessing_stages(spec: TableSpec, label_order: str = "alphabetAsc",
         ]
         parts.append("scaled_features")
     if cat:
-        stages += [StringIndexer(inputCol=c, outputCol=f"{c}_indexed", handleInvalid=handle_invalid)
-                   for c in cat]
+        # one indexer over all categorical columns: one pass over the data
+        stages += [StringIndexer(inputCols=cat, outputCols=[f"{c}_indexed" for c in cat],
+                                 handleInvalid=handle_invalid)]
         stages += [OneHotEncoder(inputCols=[f"{c}_indexed" for c in cat],
                                  outputCols=[f"{c}_encoded" for c in cat], dropLast=True)]
         stages += [VectorAssembler(inputCols=[f"{c}_encoded" for c in cat], outputCol="features_cat")]

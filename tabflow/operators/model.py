@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tabflow.config import ModelParams, TableSpec
 from tabflow.operators.features import prepare_inputs, preprocessing_stages
 from tabflow.operators.split import union_by_name
+from tabflow.sources.tables import materialize
 
 
 def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None):
@@ -34,9 +35,19 @@ def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None):
 
 
 def train_and_score(train: DataFrame, test: DataFrame, spec: TableSpec,
-                    params: Optional[ModelParams] = None):
-    """Fit on ``train`` and transform ``test``: ``(PipelineModel, scored test)``."""
-    model = model_pipeline(spec, params).fit(prepare_inputs(train, spec))
+                    params: Optional[ModelParams] = None, materialize_input: bool = True):
+    """Fit on ``train`` and transform ``test``: ``(PipelineModel, scored test)``.
+
+    The estimators make several passes over the training input (indexers,
+    imputer, scaler, tree rounds).  With ``materialize_input`` the prepared
+    training columns are written once to the shared folder and every pass
+    scans those files instead of recomputing the input plan.
+    """
+    cols = [c for c in [spec.target, *spec.feature_names] if c in train.columns]
+    fit_input = prepare_inputs(train.select(*cols), spec)
+    if materialize_input:
+        fit_input = materialize(fit_input, "train_input")
+    model = model_pipeline(spec, params).fit(fit_input)
     return model, model.transform(prepare_inputs(test, spec))
 
 

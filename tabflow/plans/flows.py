@@ -10,41 +10,52 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
 from tabflow.operators.quality import key_violations, require_columns
-from tabflow.sources.tables import VersionedTable, append, has_data, read_table
+from tabflow.sources.tables import VersionedTable, child_ids, has_data_files, read_table
+
+
+INGEST_COL = "ingest_id"
 
 
 def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Optional[str],
-                      test_size: float = 0.2, seed: int = 42, split_col: str = "split") -> bool:
+                      test_size: float = 0.2, seed: int = 42, split_col: str = "split",
+                      ingest_id: Optional[int] = None) -> bool:
     """Split only rows whose key is not yet in the split table; append them.
 
-    The split table is ONE parquet table partitioned by ``split`` (train and
-    test are partition-pruned reads of it), written once per run.  Returns
-    ``refreshed``:
+    The split table is ONE parquet table laid out as
+    ``ingest_id=N/split=train|test`` (train and test are partition-pruned
+    reads of it).  Each run writes its own ``ingest_id`` partition, in one
+    pass: the diff is not evaluated twice to decide whether to write.
+    Returns ``refreshed``:
 
-    * table absent  -> split everything, write, ``True``;
-    * no new keys   -> no write, ``False``;
-    * new keys      -> split the new rows only, append, ``True``.
+    * table absent  -> split everything, ``True``;
+    * no new keys   -> nothing written, ``False``;
+    * new keys      -> the new rows only are split and added, ``True``.
 
-    NULL targets and NULL keys are dropped before the diff, so rows that
-    can never be split are not "new" on every run.
+    A failed run can be retried with the same ``ingest_id``: it reads only
+    earlier ingests and overwrites its own partition.  NULL targets and NULL
+    keys are dropped before the diff, so rows that can never be split are
+    not "new" on every run.
     """
     spark = input_df.sparkSession
     split._check_test_size(test_size)
+    done = child_ids(spark, split_table, INGEST_COL)
+    run = ingest_id if ingest_id is not None else (done[-1] + 1 if done else 0)
     rows = input_df.where(F.col(pk).isNotNull())
     if target is not None:
         rows = split.drop_missing_target(rows, target)
-    if has_data(spark, split_table):
-        rows = split.new_rows(rows, read_table(spark, split_table).select(pk), pk)
-    if rows.isEmpty():
-        return False
+    earlier = [i for i in done if i < run]
+    if earlier:
+        seen = spark.read.parquet(split_table).where(F.col(INGEST_COL) < run).select(pk)
+        rows = split.new_rows(rows, seen, pk)
     tagged = rows.withColumn(split_col, split.split_side(pk, test_size, seed))
-    append(tagged, split_table, partition_by=[split_col])
-    return True
+    out = f"{split_table.rstrip('/')}/{INGEST_COL}={run}"
+    tagged.write.mode("overwrite").partitionBy(split_col).parquet(out)
+    return has_data_files(spark, out)
 
 
 def split_tables(spark, split_table: str, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
     """(train, test) views of a split table (partition pruning on ``split``)."""
-    df = read_table(spark, split_table)
+    df = read_table(spark, split_table).drop(INGEST_COL)
     return (df.where(F.col(split_col) == split.TRAIN).drop(split_col),
             df.where(F.col(split_col) == split.TEST).drop(split_col))
 

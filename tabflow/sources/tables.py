@@ -48,6 +48,31 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """A data file (not a ``_``/``.`` marker) exists at or below ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    root = fs.makeQualified(p).toString().rstrip("/")
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        parts = st.getPath().toString()[len(root):].split("/")
+        if not any(x.startswith(("_", ".")) for x in parts if x):
+            return True
+    return False
+
+
+def child_ids(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Values N of ``column=N`` sub-directories of ``path`` (a top-level listing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    pat = re.compile(rf"^{re.escape(column)}=(\d+)$")
+    return sorted(int(m.group(1)) for st in fs.listStatus(p)
+                  if st.isDirectory() and (m := pat.match(st.getPath().getName())))
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     """Catalog table (three-part names work) or committed path."""
     return has_data(spark, name) if is_path(name) else spark.catalog.tableExists(name)
@@ -122,6 +147,17 @@ class VersionedTable:
         return version
 
 
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing joins) and lets iterative consumers scan columns only."""
+    from tabflow.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def set_property(spark: SparkSession, table: str, key: str, value: str) -> str:
     """``ALTER TABLE ... SET TBLPROPERTIES`` on a catalog table."""
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")

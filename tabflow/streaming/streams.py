@@ -6,8 +6,9 @@ the shared ``spark.checkpoint.dir``).  Every batch write is idempotent by
 ``batch_id``, so a batch replayed after a failure rewrites its own output
 instead of appending twice:
 
-* split: rows go to ``split_table/batch_id=N/split=...`` (overwritten on
-  replay); the diff reads only ``batch_id < N``.
+* split: rows go to ``split_table/ingest_id=N/split=...`` (overwritten on
+  replay); the diff reads only ``ingest_id < N`` – the same layout as the
+  batch :func:`tabflow.plans.flows.incremental_split`.
 * upsert / profile: batch N writes version N+1 of a versioned table from
   the newest version below it.
 
@@ -26,7 +27,7 @@ from pyspark.sql.types import StructType
 from tabflow.functions.dates import ntz_as_utc, utc_date
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics
-from tabflow.sources.tables import VersionedTable, has_data
+from tabflow.sources.tables import VersionedTable, child_ids
 
 
 def _source(spark: SparkSession, path: str, schema: StructType,
@@ -57,12 +58,12 @@ def stream_incremental_split(spark: SparkSession, source: str, schema: StructTyp
         rows = batch.where(F.col(pk).isNotNull())
         if target is not None:
             rows = rows.dropna(subset=[target])
-        if has_data(spark, split_table):
-            seen = spark.read.parquet(split_table).where(F.col("batch_id") < batch_id).select(pk)
+        if any(i < batch_id for i in child_ids(spark, split_table, "ingest_id")):
+            seen = spark.read.parquet(split_table).where(F.col("ingest_id") < batch_id).select(pk)
             rows = split.new_rows(rows, seen, pk)
         tagged = rows.withColumn("split", split.split_side(pk, test_size, seed))
         (tagged.write.mode("overwrite").partitionBy("split")
-               .parquet(f"{split_table}/batch_id={batch_id}"))
+               .parquet(f"{split_table}/ingest_id={batch_id}"))
 
     _run(_source(spark, source, schema, max_files_per_trigger), per_batch, checkpoint)
 

@@ -99,3 +99,14 @@ def test_incremental_split_cases(spark):
     once = dict(rows(split.assign_split(grown, "id", "y"), "id", "split"))
     stored = dict(rows(spark.read.parquet(path), "id", "split"))
     assert once == stored
+
+
+def test_incremental_split_retry_is_idempotent(spark):
+    path = scratch_path(spark, "test_incremental_retry")
+    base = spark.range(0, 50).withColumn("y", F.lit("x"))
+    grown = spark.range(0, 80).withColumn("y", F.lit("x"))
+    assert incremental_split(base, path, "id", "y") is True
+    assert incremental_split(grown, path, "id", "y", ingest_id=1) is True
+    assert incremental_split(grown, path, "id", "y", ingest_id=1) is True  # replay of the same run
+    stored = spark.read.parquet(path)
+    assert stored.count() == 80 and stored.select("id").distinct().count() == 80
