@@ -4,11 +4,11 @@ from tabflow.sources import tables
 
 
 def test_table_name_rule():
-    spec = TableSpec(catalog="my_catalog", db_schema="my_schema", use_case="hotel_reservations",
+    spec = TableSpec(catalog="my_catalog", db_schema="my_schema", use_case="bookings",
                      primary_key="Booking_ID", target="booking_status")
-    assert spec.table_name("test_features") == "my_catalog.my_schema.hotel_reservations_test_features"
-    assert spec.table_name("train_data", drift=True) == "my_catalog.my_schema.hotel_reservations_train_data_skewed"
-    assert spec.table_name() == "my_catalog.my_schema.hotel_reservations"
+    assert spec.table_name("test_features") == "my_catalog.my_schema.bookings_test_features"
+    assert spec.table_name("train_data", drift=True) == "my_catalog.my_schema.bookings_train_data_skewed"
+    assert spec.table_name() == "my_catalog.my_schema.bookings"
 
 
 def test_properties_roundtrip(spark):
