@@ -20,6 +20,19 @@ CHANGE_TYPE = "change_type"
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
+def unique_by_key(df: DataFrame, key: str, columns: Sequence[str], what: str = "lookup table") -> DataFrame:
+    """One row per key, so a join against it can never emit pairs.
+
+    A key that occurs twice makes the job fail with a message naming it (a
+    lookup table must be unique on its key).  The aggregate's output is
+    hash-partitioned and sorted by ``key``, which a following sort-merge join
+    on ``key`` reuses without another exchange.
+    """
+    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in columns])
+    dup = F.raise_error(F.concat(F.lit(f"Duplicate key in {what}: "), F.col(key).cast("string")))
+    return agg.where(F.when(F.col("_n") > 1, dup).otherwise(F.lit(True))).drop("_n")
+
+
 def latest_per_key(df: DataFrame, pk: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest ``order_by`` tuple (ties broken by the
     remaining columns, so the pick is deterministic).
@@ -48,51 +61,59 @@ def upsert(old: DataFrame, new: DataFrame, pk: str | Sequence[str],
 
     ``new`` must hold the key column (``ValueError`` otherwise).  With
     ``order_by`` duplicate keys in ``new`` are resolved to the greatest
-    ordering; without it the caller guarantees uniqueness (see
-    :func:`tabflow.operators.quality.key_violations`).
+    ordering; without it a repeated key fails the job, naming the key.  The
+    check rides on the anti-join's key side: the keys of ``new`` are
+    counted with a partial aggregate, whose key partitioning the join reuses.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     for k in keys:
         if k not in new.columns:
             raise ValueError(f"Primary key column '{k}' not found in feature_data")
     new = dedupe_by_key(new, keys, order_by)
-    kept = old.join(new.select(*keys), keys, "left_anti")
+    counted = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    dup = F.raise_error(F.concat(F.lit("Duplicate key in upsert batch: "),
+                                 F.concat_ws(",", *[F.col(k).cast("string") for k in keys])))
+    new_keys = counted.where(F.when(F.col("_n") > 1, dup).otherwise(F.lit(True))).select(*keys)
+    kept = old.join(new_keys, keys, "left_anti")
     return kept.unionByName(new)
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def row_changes(old: DataFrame, new: DataFrame, pk: str) -> DataFrame:
     """Change feed between two snapshots keyed by ``pk``.
 
     One row per changed key with ``change_type`` in (insert, update, delete):
     new values for insert/update, old values for delete; unchanged keys are
-    absent.  Values are compared NULL-safely.  Both snapshots must be unique
-    on the key and share their columns.
+    absent.  Values are compared NULL-safely.
+
+    Both snapshots are unioned and grouped by key (one shuffle, partial
+    aggregation), instead of a full outer join: a key is never paired with
+    itself, so a repeated key cannot multiply rows – it fails the job with
+    the key named (snapshots must be unique on the key).
     """
     require_columns(old, [pk], "primary key")
     require_columns(new, [pk], "primary key")
     if set(old.columns) != set(new.columns):
         raise ValueError(f"Snapshots differ in columns: {sorted(set(old.columns) ^ set(new.columns))}")
     cols = [c for c in new.columns if c != pk]
-    o = old.select(F.col(pk).alias("_k"), F.lit(True).alias("_in_old"), *[F.col(c).alias(f"_o_{c}") for c in cols])
-    n = new.select(F.col(pk).alias(pk), F.lit(True).alias("_in_new"), *[F.col(c).alias(f"_n_{c}") for c in cols])
-    j = o.join(n, o["_k"] == n[pk], "full_outer")
-    unchanged = F.lit(True)
-    for c in cols:
-        unchanged = unchanged & _same(F.col(f"_o_{c}"), F.col(f"_n_{c}"))
-    kind = (F.when(F.col("_in_old").isNull(), F.lit(INSERT))
-             .when(F.col("_in_new").isNull(), F.lit(DELETE))
-             .when(~unchanged, F.lit(UPDATE)))
-    deleted = F.col("_in_new").isNull()
-    out = j.select(
-        F.coalesce(F.col(pk), F.col("_k")).alias(pk),
-        kind.alias(CHANGE_TYPE),
-        *[F.when(deleted, F.col(f"_o_{c}")).otherwise(F.col(f"_n_{c}")).alias(c) for c in cols],
+    vals = F.struct(*[F.col(c) for c in cols])
+    tagged = (old.select(pk, F.lit(0).alias("_side"), vals.alias("_v"))
+                 .unionByName(new.select(pk, F.lit(1).alias("_side"), vals.alias("_v"))))
+    side = F.col("_side")
+    g = tagged.groupBy(pk).agg(
+        F.count_if(side == 0).alias("_n_old"),
+        F.count_if(side == 1).alias("_n_new"),
+        F.first(F.when(side == 0, F.col("_v")), ignorenulls=True).alias("_old"),
+        F.first(F.when(side == 1, F.col("_v")), ignorenulls=True).alias("_new"),
     )
-    return out.where(F.col(CHANGE_TYPE).isNotNull()).select(pk, CHANGE_TYPE, *cols)
+    dup = F.raise_error(F.concat(F.lit("Duplicate key in snapshot: "), F.col(pk).cast("string")))
+    kind = (F.when((F.col("_n_old") > 1) | (F.col("_n_new") > 1), dup)
+             .when(F.col("_n_old") == 0, F.lit(INSERT))
+             .when(F.col("_n_new") == 0, F.lit(DELETE))
+             .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit(UPDATE)))
+    picked = F.when(F.col("_n_new") == 0, F.col("_old")).otherwise(F.col("_new"))
+    out = g.select(pk, kind.alias(CHANGE_TYPE), picked.alias("_row"))
+    return out.where(F.col(CHANGE_TYPE).isNotNull()).select(pk, CHANGE_TYPE, *[F.col(f"_row.{c}").alias(c)
+                                                                             for c in cols])
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
@@ -120,7 +141,8 @@ def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str
     * ``functions``: ``{output_name: (fn, [input columns])}``, each ``fn``
       returns a Column expression (a native expression, no Python worker).
 
-    ``features`` must be unique on its key, else rows multiply.
+    ``features`` must be unique on its key; it is reduced to one row per key
+    before the join (a repeated key fails the job), so rows never multiply.
     """
     left_key, right_key = (lookup_key, lookup_key) if isinstance(lookup_key, str) else lookup_key
     require_columns(df, [left_key], "lookup key")
@@ -128,7 +150,8 @@ def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str
     if label is not None:
         require_columns(df, [label], "label")
     base = df.drop(*[c for c in feature_names if c in df.columns and c != left_key])
-    feats = features.select(F.col(right_key).alias(left_key), *feature_names)
+    feats = unique_by_key(features.select(F.col(right_key).alias(left_key), *feature_names),
+                          left_key, feature_names, "feature table")
     out = base.join(feats, left_key, "left")
     for name, (fn, inputs) in (functions or {}).items():
         require_columns(out, inputs, "function input")
@@ -143,6 +166,7 @@ def lookup_batch(keys: DataFrame, table: DataFrame, pk: str | tuple[str, str],
     Replaces one HTTP request per key with one join per batch.
     """
     left_key, right_key = (pk, pk) if isinstance(pk, str) else pk
-    vals = table.select(F.col(right_key).alias(left_key), F.lit(True).alias("found"), *columns)
+    vals = unique_by_key(table.select(F.col(right_key).alias(left_key), *columns), left_key, columns,
+                         "served table").withColumn("found", F.lit(True))
     out = keys.select(left_key).join(vals, left_key, "left")
     return out.select(left_key, F.coalesce(F.col("found"), F.lit(False)).alias("found"), *columns)

@@ -99,3 +99,23 @@ def test_write_keyed_versions(spark):
     dup = spark.createDataFrame([(5, "x"), (5, "y")], "id long, v string")
     with pytest.raises(ValueError, match="NULL or duplicate"):
         write_keyed(t, dup, "id")
+
+
+def test_duplicate_lookup_key_fails_not_multiplies(spark):
+    df = spark.createDataFrame([(1, "y")], "id long, label string")
+    feats = spark.createDataFrame([(1, 1.0), (1, 2.0)], "id long, price double")
+    with pytest.raises(Exception, match="Duplicate key in feature table: 1"):
+        keyed.training_set(df, feats, "id", ["price"]).collect()
+
+
+def test_row_changes_duplicate_key_fails(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "b")], "id long, s string")
+    b = spark.createDataFrame([(1, "a")], "id long, s string")
+    with pytest.raises(Exception, match="Duplicate key in snapshot: 1"):
+        keyed.row_changes(a, b, "id").collect()
+
+
+def test_upsert_duplicate_batch_key_fails(old, spark):
+    dup = spark.createDataFrame([(2, "x", 1.0), (2, "y", 2.0)], "id long, s string, x double")
+    with pytest.raises(Exception, match="Duplicate key in upsert batch: 2"):
+        keyed.upsert(old, dup, "id").collect()
