@@ -109,14 +109,26 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def sample_keys(df: DataFrame, pk: str, n: int, seed: int = 7) -> DataFrame:
-    """``n`` pseudo-random distinct keys: smallest salted hash wins.
-
-    A top-k (per-partition top n, then one merge of n x partitions rows) –
-    no key list ever reaches the driver.
+def sample_keys(df: DataFrame, pk: str, n: int, seed: int = 7, oversample: float = 4.0) -> DataFrame:
+    """``n`` pseudo-random distinct keys: the ``n`` smallest salted hashes win.
+
+    Exact, but without shuffling every key: an approximate distinct count
+    (HyperLogLog, one pass, partial aggregation) sizes a hash threshold that
+    should keep about ``oversample * n`` keys; only rows under it reach the
+    ``distinct`` and the top-k.  If fewer than ``n`` distinct keys survive the
+    threshold is doubled and the step repeated (all keys below the final
+    threshold are kept, so the answer equals the top-``n`` over all keys).
+    No key list travels to the driver.
     """
-    from tabflow.functions.hashing import hash_int
-
-    keys = df.select(pk).where(F.col(pk).isNotNull()).distinct()
-    return (keys.withColumn("_h", hash_int(pk, seed))
-                .orderBy("_h", pk).limit(n).select(pk))
+    from tabflow.functions.hashing import HASH_RANGE, hash_int
+
+    if n <= 0:
+        return df.select(pk).limit(0)
+    keyed_rows = df.select(pk).where(F.col(pk).isNotNull()).withColumn("_h", hash_int(pk, seed))
+    approx = keyed_rows.agg(F.approx_count_distinct(pk, 0.02).alias("d")).first()["d"] or 0
+    threshold = HASH_RANGE if approx <= n else max(1, int(HASH_RANGE * min(1.0, oversample * n / approx)))
+    while True:
+        cands = keyed_rows.where(F.col("_h") < F.lit(threshold)).select(pk, "_h").distinct()
+        if threshold >= HASH_RANGE or cands.limit(n).count() >= n:
+            return cands.orderBy("_h", pk).limit(n).select(pk)
+        threshold = min(HASH_RANGE, threshold * 2)

@@ -110,3 +110,15 @@ def test_incremental_split_retry_is_idempotent(spark):
     assert incremental_split(grown, path, "id", "y", ingest_id=1) is True  # replay of the same run
     stored = spark.read.parquet(path)
     assert stored.count() == 80 and stored.select("id").distinct().count() == 80
+
+
+def test_sample_keys_equals_brute_force_with_hot_key_and_retries(spark):
+    from tabflow.functions.hashing import hash_int
+
+    df = spark.range(0, 3000).select(F.when(F.col("id") < 1000, F.lit(5)).otherwise(F.col("id")).alias("k"))
+    brute = rows(df.select("k").distinct().withColumn("_h", hash_int("k", 3)).orderBy("_h", "k").limit(15)
+                 .select("k"))
+    # a tiny oversample forces the threshold-doubling path
+    assert rows(split.sample_keys(df, "k", 15, seed=3, oversample=0.05)) == brute
+    assert rows(split.sample_keys(df, "k", 15, seed=3)) == brute
+    assert split.sample_keys(df, "k", 0).count() == 0
