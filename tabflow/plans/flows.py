@@ -83,3 +83,48 @@ def write_keyed(table: VersionedTable, new: DataFrame, pk: str,
 
 
 __all__ = ["incremental_split", "split_tables", "write_keyed", "require_columns"]
+
+
+RUNS_SCHEMA = ("model string, run_id string, run_order long, mse double, mae double, r2 double, "
+               "max_depth int, n_estimators int, learning_rate double")
+REGISTRY_SCHEMA = "model string, version long, run_id string"
+
+
+def _count(spark, path: str, model: str) -> int:
+    if not has_data_files(spark, path):
+        return 0
+    return spark.read.parquet(path).where(F.col("model") == model).count()
+
+
+def log_run(spark, runs_table: str, model: str, metrics_row, params) -> str:
+    """Append one run record (metrics + parameters); returns the run id."""
+    order = _count(spark, runs_table, model) + 1
+    run_id = f"{model}-run-{order}"
+    rec = spark.createDataFrame(
+        [(model, run_id, order, metrics_row["mse"], metrics_row["mae"], metrics_row["r2"],
+          params.max_depth, params.n_estimators, float(params.learning_rate))], RUNS_SCHEMA)
+    rec.write.mode("append").parquet(runs_table)
+    return run_id
+
+
+def register_version(spark, registry_table: str, model: str, run_id: str) -> int:
+    version = _count(spark, registry_table, model) + 1
+    spark.createDataFrame([(model, version, run_id)], REGISTRY_SCHEMA).write.mode("append").parquet(registry_table)
+    return version
+
+
+def evaluate_and_promote(spark, runs_table: str, registry_table: str, model: str) -> DataFrame:
+    """Compare the newest run with the current version; register it when it
+    is strictly better (or nothing is registered).  Returns the decision row
+    ``(model, current_run, new_run, current_mae, new_mae, promote)``."""
+    from tabflow.operators.evaluate import champion_challenger
+
+    runs = spark.read.parquet(runs_table).where(F.col("model") == model)
+    registry = (spark.read.parquet(registry_table) if has_data_files(spark, registry_table)
+                else spark.createDataFrame([], REGISTRY_SCHEMA)).where(F.col("model") == model)
+    decision = champion_challenger(runs, registry).first()
+    if decision["promote"]:
+        register_version(spark, registry_table, model, decision["new_run"])
+    return spark.createDataFrame([decision.asDict()],
+                                 "model string, current_run string, new_run string, current_mae double, "
+                                 "new_mae double, promote boolean")

@@ -112,3 +112,25 @@ def q_predict_refresh(spark, sf_dir):
     write_keyed(table_, preds, S.PK)
     prof = profile_metrics(table_.read(), window_start("o_orderdate", "month"), ["prediction"])
     return drift_alert(drift_series(prof))
+
+
+@register("train_evaluate_promote")
+def q_train_evaluate_promote(spark, sf_dir):
+    """Train an incumbent and a challenger, log both runs (error metrics on
+    the test split), register the first, promote the challenger only if its
+    MAE is strictly smaller.  Returns the registry after the decision."""
+    import dataclasses
+
+    from tabflow.operators.evaluate import error_metrics
+    from tabflow.plans.flows import evaluate_and_promote, log_run
+
+    root = scratch_path(spark, "registry")
+    runs_t, reg_t = f"{root}/runs", f"{root}/versions"
+    train, test = split_rows(spark, sf_dir)
+    for depth in (2, ORDERS_SPEC.params.max_depth):
+        params = dataclasses.replace(ORDERS_SPEC.params, max_depth=depth)
+        _, scored = train_and_score(train, test, ORDERS_SPEC, params)
+        log_run(spark, runs_t, "orders_value", error_metrics(scored).first(), params)
+        evaluate_and_promote(spark, runs_t, reg_t, "orders_value")
+    runs = spark.read.parquet(runs_t)
+    return spark.read.parquet(reg_t).join(runs.select("run_id", "mae", "max_depth"), "run_id")

@@ -62,3 +62,24 @@ def test_champion_challenger(spark):
     got = {r.model: (r.current_run, r.new_run, r.promote)
            for r in evaluate.champion_challenger(runs, registry).collect()}
     assert got == {"m": ("r2", "r3", False), "k": ("k1", "k2", True), "n": (None, "n1", True)}
+
+
+def test_run_log_and_promotion_flow(spark):
+    from tabflow.config import ModelParams
+    from tabflow.plans.flows import evaluate_and_promote, log_run
+    from tabflow.session import scratch_path
+
+    root = scratch_path(spark, "t_registry")
+    runs, reg = f"{root}/runs", f"{root}/versions"
+    p = ModelParams()
+
+    def step(mae):
+        log_run(spark, runs, "m", {"mse": mae, "mae": mae, "r2": 0.5}, p)
+        return evaluate_and_promote(spark, runs, reg, "m").first()
+
+    assert step(0.30).promote is True            # first model is always registered
+    assert step(0.30).promote is False           # equal MAE keeps the incumbent
+    d = step(0.25)
+    assert d.promote is True and d.current_run == "m-run-1" and d.new_run == "m-run-3"
+    versions = sorted((r.version, r.run_id) for r in spark.read.parquet(reg).collect())
+    assert versions == [(1, "m-run-1"), (2, "m-run-3")]
