@@ -45,3 +45,21 @@ def test_stream_profile_equals_batch(spark):
     expect = profile_metrics(ev, window_start("ts", "day"), ["value"])
     cols = ["window_start", "column_name", "n", "nulls", "avg", "min", "max"]
     assert rows(got, *cols) == rows(expect, *cols)
+
+
+def test_stream_profile_watermark_drops_late_rows(spark):
+    root = scratch_path(spark, "t_stream_late")
+    day = lambda d, h=0: f"2024-01-{d:02d} {h:02d}:00:00"
+    batches = [
+        [(day(1), 1.0), (day(2), 2.0)],
+        [(day(5), 5.0), (day(2, 12), 4.0)],  # day 2 is still open (watermark = max ts - 1 day = Jan 1)
+        [(day(1, 6), 100.0), (day(5, 6), 7.0)],  # day 1 now behind the watermark (Jan 4): dropped
+    ]
+    for rows_ in batches:
+        df = spark.createDataFrame([(r[0], r[1]) for r in rows_], "ts string, value double").select(
+            F.to_timestamp_ntz("ts").alias("ts"), "value")
+        df.write.mode("append").parquet(f"{root}/in")
+        stream_profile(spark, f"{root}/in", df.schema, f"{root}/t", f"{root}/ck", "ts", ["value"],
+                       watermark="1 day")
+    got = {str(r.window_start): (r.n, r.avg) for r in VersionedTable(spark, f"{root}/t").read().collect()}
+    assert got == {"2024-01-01": (1, 1.0), "2024-01-02": (2, 3.0), "2024-01-05": (2, 6.0)}
