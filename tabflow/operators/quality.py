@@ -35,6 +35,21 @@ def key_violations(df: DataFrame, pk: str | Sequence[str]) -> DataFrame:
               .where((F.col("n_rows") > 1) | any_null))
 
 
+def assert_unique(df: DataFrame, pk: str | Sequence[str], what: str = "table") -> DataFrame:
+    """``df`` unchanged, but evaluating it fails (naming a key) if a key is
+    NULL or repeated.
+
+    The check is a scalar subquery over the key columns only (hash
+    aggregate with partial aggregation, then ``LIMIT 1``); it runs as its own
+    small job, and the plan of ``df`` itself is untouched.
+    """
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    bad = key_violations(df.select(*keys), keys).select(
+        F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])).limit(1).scalar()
+    guard = F.when(bad.isNotNull(), F.raise_error(F.concat(F.lit(f"NULL or duplicate key in {what}: "), bad)))
+    return df.where(guard.otherwise(F.lit(True)))
+
+
 def check_constraints(df: DataFrame, num: Sequence[NumFeature] = (),
                       cat: Sequence[CatFeature] = ()) -> DataFrame:
     """Violations of declared bounds and allowed values: one aggregate pass.

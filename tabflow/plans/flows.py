@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
-from tabflow.operators.quality import key_violations, require_columns
+from tabflow.operators.quality import assert_unique, require_columns
 from tabflow.sources.tables import VersionedTable, child_ids, has_data_files, read_table
 
 
@@ -65,15 +65,15 @@ def write_keyed(table: VersionedTable, new: DataFrame, pk: str,
     """Create the keyed table or upsert into it (one new version per call).
 
     ``version`` (e.g. a micro-batch id + 1) makes the call idempotent: the
-    old side is always read from the latest version *below* it.
+    old side is always read from the latest version *below* it.  A NULL or
+    repeated key in ``new`` fails the write job (checked lazily, no separate
+    pass before writing); the failed version is never committed.
     """
     if pk not in new.columns:
         raise ValueError(f"Primary key column '{pk}' not found in feature_data")
     current = table.current_version(before=version)
     target_version = version if version is not None else (current or 0) + 1
-    new = keyed.dedupe_by_key(new, pk, order_by)
-    if not key_violations(new, pk).isEmpty():
-        raise ValueError(f"Key column '{pk}' has NULL or duplicate values")
+    new = assert_unique(keyed.dedupe_by_key(new, pk, order_by), pk, "feature_data")
     if current is None:
         table.write(new, target_version)
         return f"Table {table.root} has been created with key {pk}."

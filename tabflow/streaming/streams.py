@@ -48,10 +48,9 @@ def _run(df: DataFrame, fn, checkpoint: str, output_mode: str = "append", name:
     return q
 
 
-def stream_incremental_split(spark: SparkSession, source: str, schema: StructType, split_table: str,
-                             checkpoint: str, pk: str, target: Optional[str], test_size: float = 0.2,
-                             seed: int = 42, max_files_per_trigger: Optional[int] = None) -> None:
-    """Run once over newly arrived files: new keys are split and appended."""
+def split_batch_writer(spark: SparkSession, split_table: str, pk: str, target: Optional[str],
+                       test_size: float = 0.2, seed: int = 42):
+    """``foreachBatch`` function: new keys of the batch -> ``ingest_id=batch_id``."""
     split._check_test_size(test_size)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -65,16 +64,21 @@ def stream_incremental_split(spark: SparkSession, source: str, schema: StructTyp
         (tagged.write.mode("overwrite").partitionBy("split")
                .parquet(f"{split_table}/ingest_id={batch_id}"))
 
-    _run(_source(spark, source, schema, max_files_per_trigger), per_batch, checkpoint)
+    return per_batch
 
 
-def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
-                  pk: str | Sequence[str], order_by: Optional[Sequence[str]] = None,
-                  max_files_per_trigger: Optional[int] = None) -> None:
-    """Upsert each micro-batch into a versioned keyed table (version = batch_id + 1).
+def stream_incremental_split(spark: SparkSession, source: str, schema: StructType, split_table: str,
+                             checkpoint: str, pk: str, target: Optional[str], test_size: float = 0.2,
+                             seed: int = 42, max_files_per_trigger: Optional[int] = None) -> None:
+    """Run once over newly arrived files: new keys are split and appended."""
+    writer = split_batch_writer(spark, split_table, pk, target, test_size, seed)
+    _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
-    The table's base version (the initial load) is version 0.
-    """
+
+def upsert_batch_writer(spark: SparkSession, table_root: str, pk: str | Sequence[str],
+                        order_by: Optional[Sequence[str]] = None):
+    """``foreachBatch`` function: version ``batch_id + 1`` = newest version below
+    it upserted with the batch."""
     table = VersionedTable(spark, table_root)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -84,7 +88,18 @@ def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_ro
             raise ValueError(f"No base version of {table_root} below {version}")
         table.write(keyed.upsert(table.read(current), batch, pk, order_by), version)
 
-    _run(_source(spark, source, schema, max_files_per_trigger), per_batch, checkpoint)
+    return per_batch
+
+
+def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
+                  pk: str | Sequence[str], order_by: Optional[Sequence[str]] = None,
+                  max_files_per_trigger: Optional[int] = None) -> None:
+    """Upsert each micro-batch into a versioned keyed table (version = batch_id + 1).
+
+    The table's base version (the initial load) is version 0.
+    """
+    writer = upsert_batch_writer(spark, table_root, pk, order_by)
+    _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 
 def stream_profile(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,

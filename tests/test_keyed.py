@@ -97,8 +97,9 @@ def test_write_keyed_versions(spark):
     write_keyed(t, b, "id", version=2)
     assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c")]
     dup = spark.createDataFrame([(5, "x"), (5, "y")], "id long, v string")
-    with pytest.raises(ValueError, match="NULL or duplicate"):
+    with pytest.raises(Exception, match="NULL or duplicate key in feature_data: 5"):
         write_keyed(t, dup, "id")
+    assert t.versions() == [1, 2]  # the failed write committed nothing
 
 
 def test_duplicate_lookup_key_fails_not_multiplies(spark):
