@@ -77,8 +77,9 @@ def write_keyed(table: VersionedTable, new: DataFrame, pk: str,
     if current is None:
         table.write(new, target_version)
         return f"Table {table.root} has been created with key {pk}."
-    merged = keyed.upsert(table.read(current), new, pk)
-    table.write(merged, target_version)
+    # bucketed table: only the batch is shuffled; the kept rows stay in their buckets
+    merged = keyed.upsert(table.read(current), table.align(new), pk)
+    table.write(merged, target_version, aligned=table.bucketed)
     return f"The feature data has been successfully upserted into {table.root}."
 
 

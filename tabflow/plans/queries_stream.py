@@ -47,15 +47,15 @@ UNION ALL SELECT {ORDER_COLS} FROM ({_U2_SQL}) v
 def q_stream_upsert(spark, sf_dir):
     root = scratch_path(spark, "stream_upsert")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/table", f"{root}/checkpoint"
-    t = VersionedTable(spark, out)
-    t.write(S.old_snapshot(spark, sf_dir), 0)  # initial load = version 0
+    t = VersionedTable(spark, out, bucket_by=(S.PK, 8))
+    t.write(S.old_snapshot(spark, sf_dir), 0)  # initial load = version 0, bucketed by key
     orders = table(spark, sf_dir, "orders")
     u2 = (orders.where(F.col("o_orderdate") >= S.ts(_U2_FROM))
                 .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") + 2.0)
                             .otherwise(F.col("o_totalprice"))))
     for arrival in (S.update_batch(spark, sf_dir), u2):
         arrival.write.mode("append").parquet(incoming)
-        stream_upsert(spark, incoming, orders.schema, out, ckpt, S.PK)
+        stream_upsert(spark, incoming, orders.schema, out, ckpt, S.PK, buckets=8)
     return t.read()
 
 

@@ -106,15 +106,39 @@ def overwrite(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Non
 
 
 class VersionedTable:
-    """Parquet table stored as ``root/version-NNNNNNNN/`` directories."""
-
-    def __init__(self, spark: SparkSession, root: str):
+    """Parquet table stored as ``root/version-NNNNNNNN/`` directories.
+
+    With ``bucket_by=(key, n)`` every version is written bucketed by the key
+    (``bucketBy``, registered as an external catalog table over the version
+    directory).  Reading a version then gives a bucketed scan: a join or
+    anti-join on the key against it shuffles only the other side – an upsert
+    moves the new batch, not the table.  ``n`` should put a few hundred MB in
+    a bucket.
+    """
+
+    def __init__(self, spark: SparkSession, root: str,
+                 bucket_by: Optional[tuple[str | Sequence[str], int]] = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        if bucket_by is not None:
+            cols, n = bucket_by
+            self.bucket_cols = [cols] if isinstance(cols, str) else list(cols)
+            self.buckets = int(n)
+        else:
+            self.bucket_cols, self.buckets = [], 0
+
+    @property
+    def bucketed(self) -> bool:
+        return self.buckets > 0
 
     def path(self, version: int) -> str:
         return f"{self.root}/version-{version:08d}"
 
+    def table_name(self, version: int) -> str:
+        import hashlib
+
+        return f"tabflow_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_v{version:08d}"
+
     def versions(self) -> list[int]:
         """Committed versions, ascending."""
         fs, p = _fs(self.spark, self.root)
@@ -139,11 +163,36 @@ class VersionedTable:
         v = self.current_version() if version is None else version
         if v is None:
             raise ValueError(f"No committed version under {self.root}")
-        return self.spark.read.parquet(self.path(v))
-
-    def write(self, df: DataFrame, version: int) -> int:
-        """Write ``version`` (overwrites only that version; safe to retry)."""
-        df.write.mode("overwrite").format("parquet").save(self.path(version))
+        if not self.bucketed:
+            return self.spark.read.parquet(self.path(v))
+        name = self.table_name(v)
+        if not self.spark.catalog.tableExists(name):
+            # a version written by another session: register it with its bucket spec
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                             for f in self.spark.read.parquet(self.path(v)).schema.fields)
+            keys = ", ".join(f"`{c}`" for c in self.bucket_cols)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
+                           f"INTO {self.buckets} BUCKETS LOCATION '{self.path(v)}'")
+        return self.spark.table(name)
+
+    def align(self, df: DataFrame) -> DataFrame:
+        """Hash-partition ``df`` like the buckets (same hash as ``bucketBy``)."""
+        return df.repartition(self.buckets, *self.bucket_cols) if self.bucketed else df
+
+    def write(self, df: DataFrame, version: int, aligned: bool = False) -> int:
+        """Write ``version`` (overwrites only that version; safe to retry).
+
+        ``aligned``: ``df`` is already partitioned like the buckets (e.g. the
+        kept rows of a bucketed version plus an aligned batch), so it is
+        written without another shuffle.
+        """
+        if not self.bucketed:
+            df.write.mode("overwrite").format("parquet").save(self.path(version))
+            return version
+        if not aligned:
+            df = self.align(df)
+        (df.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *self.bucket_cols)
+           .option("path", self.path(version)).saveAsTable(self.table_name(version)))
         return version
 
 

@@ -76,29 +76,31 @@ def stream_incremental_split(spark: SparkSession, source: str, schema: StructTyp
 
 
 def upsert_batch_writer(spark: SparkSession, table_root: str, pk: str | Sequence[str],
-                        order_by: Optional[Sequence[str]] = None):
+                        order_by: Optional[Sequence[str]] = None, buckets: Optional[int] = None):
     """``foreachBatch`` function: version ``batch_id + 1`` = newest version below
-    it upserted with the batch."""
-    table = VersionedTable(spark, table_root)
+    it upserted with the batch.  With ``buckets`` the table is bucketed by the
+    key, so a micro-batch shuffles only itself."""
+    table = VersionedTable(spark, table_root, bucket_by=(pk, buckets) if buckets else None)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
         current = table.current_version(before=version)
         if current is None:
             raise ValueError(f"No base version of {table_root} below {version}")
-        table.write(keyed.upsert(table.read(current), batch, pk, order_by), version)
+        merged = keyed.upsert(table.read(current), table.align(batch), pk, order_by)
+        table.write(merged, version, aligned=table.bucketed and not order_by)
 
     return per_batch
 
 
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
                   pk: str | Sequence[str], order_by: Optional[Sequence[str]] = None,
-                  max_files_per_trigger: Optional[int] = None) -> None:
+                  max_files_per_trigger: Optional[int] = None, buckets: Optional[int] = None) -> None:
     """Upsert each micro-batch into a versioned keyed table (version = batch_id + 1).
 
     The table's base version (the initial load) is version 0.
     """
-    writer = upsert_batch_writer(spark, table_root, pk, order_by)
+    writer = upsert_batch_writer(spark, table_root, pk, order_by, buckets)
     _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 

@@ -120,3 +120,33 @@ def test_upsert_duplicate_batch_key_fails(old, spark):
     dup = spark.createDataFrame([(2, "x", 1.0), (2, "y", 2.0)], "id long, s string, x double")
     with pytest.raises(Exception, match="Duplicate key in upsert batch: 2"):
         keyed.upsert(old, dup, "id").collect()
+
+
+def test_bucketed_keyed_table_upsert_shuffles_only_the_batch(spark):
+    import contextlib
+    import io
+
+    root = scratch_path(spark, "keyed_bucketed")
+    t = VersionedTable(spark, root, bucket_by=("id", 4))
+    write_keyed(t, spark.range(0, 1000).select("id", (F.col("id") % 7).alias("v")), "id")
+    batch = spark.range(900, 1100).select("id", F.lit(-1).alias("v"))
+    old = t.read()
+    merged = keyed.upsert(old, t.align(batch), "id")
+    buf = io.StringIO()
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a batch too large to broadcast
+    try:
+        with contextlib.redirect_stdout(buf):
+            merged.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    plan = buf.getvalue()
+    assert "Bucketed: true" in plan
+    # one exchange for the batch's keys and one aligning the batch; none for the table
+    assert plan.count("Exchange hashpartitioning") == 2
+    write_keyed(t, batch, "id")
+    got = dict(rows(t.read()))
+    assert len(got) == 1100 and got[950] == -1 and got[10] == 3
+    # a fresh registration (as another session would do) reads the same bucketed version
+    spark.sql(f"DROP TABLE {t.table_name(2)}")
+    assert t.read().count() == 1100
