@@ -53,12 +53,22 @@ def category_index(df: DataFrame, col: str, order: str = "frequencyDesc",
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    """0-based position of each row in ``order`` without a single-task window."""
-    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    """0-based position of each row in ``order`` without a single-task window.
+
+    The rows are range-partitioned in ``order`` and written once to the
+    shared folder together with their partition id, so the local numbering
+    and the per-partition offsets are computed from the same fixed layout
+    (range bounds come from a sample and would not be guaranteed equal if
+    the shuffle ran twice).
+    """
+    from tabflow.sources.tables import materialize
+
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()),
+                         "row_number")
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per partition: a bounded table, broadcast by size
+    # one row per partition: a bounded table (size = partition count), broadcast
     offsets = sizes.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))

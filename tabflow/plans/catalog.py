@@ -20,30 +20,15 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def expand_sround(sql: str) -> str:
-    """Rewrite ``sround(x, n)`` into DuckDB text that rounds like Spark.
+def sround(expr: str, digits: int) -> str:
+    """DuckDB text that rounds a double the way Spark's ``round`` does.
 
-    Spark rounds a double HALF_UP on its shortest decimal form (38.37875 ->
-    38.3788); DuckDB rounds the binary value (38.378749999... -> 38.3787).
-    Going through DECIMAL first gives Spark's result, and no negative zero.
+    Spark rounds HALF_UP on the shortest decimal form of the double (38.37875
+    -> 38.3788); DuckDB's ``round`` works on the binary value (38.378749999...
+    -> 38.3787).  Casting to DECIMAL first gives Spark's result, and no
+    negative zero.
     """
-    out, i = [], 0
-    while (j := sql.find("sround(", i)) >= 0:
-        out.append(sql[i:j])
-        k, depth, comma = j + len("sround("), 1, -1
-        while depth:
-            ch = sql[k]
-            depth += ch == "("
-            depth -= ch == ")"
-            if ch == "," and depth == 1:
-                comma = k
-            k += 1
-        arg, digits = sql[j + 7:comma], sql[comma + 1:k - 1].strip()
-        scale = int(digits) + 6
-        out.append(f"CAST(round(CAST({expand_sround(arg)} AS DECIMAL(38,{scale})), {digits}) AS DOUBLE)")
-        i = k
-    out.append(sql[i:])
-    return "".join(out)
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
 
 
 def exact_avg_sql(expr: str, scale: int = 2, extra: int = 4) -> str:
@@ -61,7 +46,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = expand_sround(sql.strip())
+            ORACLE_SQL[name] = sql.strip()
         return fn
 
     return deco

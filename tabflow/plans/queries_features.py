@@ -9,7 +9,7 @@ from tabflow.functions.dates import register_sql_functions
 from tabflow.operators import evaluate, features, generate, quality
 from tabflow.operators.keyed import latest_per_key
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import register, table
+from tabflow.plans.catalog import register, sround, table
 
 # The order-priority levels in alphabetical order.
 PRIORITY_LEVELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -27,9 +27,11 @@ def q_category_index(spark, sf_dir):
 _NULLABLE_PRICE = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END"
 
 
+_IMPUTED = f"coalesce({_NULLABLE_PRICE}, (SELECT avg({_NULLABLE_PRICE}) FROM orders))"
+
+
 @register("impute_mean", sql=f"""
-SELECT o_orderkey, sround(coalesce({_NULLABLE_PRICE}, (SELECT avg({_NULLABLE_PRICE}) FROM orders)), 4)
-       AS o_totalprice_imputed
+SELECT o_orderkey, {sround(_IMPUTED, 4)} AS o_totalprice_imputed
 FROM orders
 """)
 def q_impute_mean(spark, sf_dir):
@@ -39,9 +41,12 @@ def q_impute_mean(spark, sf_dir):
     return out.select("o_orderkey", F.round("o_totalprice_imputed", 4).alias("o_totalprice_imputed"))
 
 
-@register("scale_unit_std", sql="""
-SELECT o_orderkey, sround(o_totalprice / (SELECT stddev_samp(o_totalprice) FROM orders), 6) AS o_totalprice_scaled,
-       sround(o_custkey / (SELECT stddev_samp(o_custkey) FROM orders), 6) AS o_custkey_scaled
+_SCALED = {c: f"{c} / (SELECT stddev_samp({c}) FROM orders)" for c in ("o_totalprice", "o_custkey")}
+
+
+@register("scale_unit_std", sql=f"""
+SELECT o_orderkey, {sround(_SCALED['o_totalprice'], 6)} AS o_totalprice_scaled,
+       {sround(_SCALED['o_custkey'], 6)} AS o_custkey_scaled
 FROM orders
 """)
 def q_scale_unit_std(spark, sf_dir):
@@ -73,13 +78,13 @@ def q_years_since(spark, sf_dir):
                      "FROM tf_orders")
 
 
-@register("error_metrics", sql="""
+@register("error_metrics", sql=f"""
 WITH s AS (
   SELECT l_extendedprice / 1000.0 AS y, l_quantity * p_retailprice / 1000.0 AS p
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )
-SELECT count(*) AS n, sround(avg((y - p) * (y - p)), 6) AS mse, sround(avg(abs(y - p)), 6) AS mae,
-       sround(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+SELECT count(*) AS n, {sround("avg((y - p) * (y - p))", 6)} AS mse, {sround("avg(abs(y - p))", 6)} AS mae,
+       {sround("1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))", 6)} AS r2
 FROM s
 """)
 def q_error_metrics(spark, sf_dir):
@@ -116,7 +121,8 @@ registry AS (
 ), cur AS (
   SELECT g.model, max(g.run_id) AS current_run FROM registry g GROUP BY g.model
 )
-SELECT l.model, c.current_run, n.run_id AS new_run, sround(rc.mae, 6) AS current_mae, sround(n.mae, 6) AS new_mae,
+SELECT l.model, c.current_run, n.run_id AS new_run, """ + sround("rc.mae", 6) + """ AS current_mae,
+       """ + sround("n.mae", 6) + """ AS new_mae,
        coalesce(c.current_run IS NULL OR n.mae < rc.mae, false) AS promote
 FROM latest l JOIN runs n ON n.model = l.model AND n.run_order = l.new_order
 LEFT JOIN cur c ON c.model = l.model LEFT JOIN runs rc ON rc.run_id = c.current_run

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, window_start
-from tabflow.plans.catalog import exact_avg_sql, register, table
+from tabflow.plans.catalog import exact_avg_sql, register, sround, table
 
 # Profiled lineitem columns; l_tax is blanked on returned lines so the
 # profile has NULLs to count.
@@ -25,11 +25,12 @@ def _rounded_profile(df):
     )
 
 
-_PROFILE_SQL_PART = """
+def _profile_sql_part(c: str, e: str) -> str:
+    return f"""
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS window_start, '{c}' AS column_name,
        count(*) AS n, count(*) FILTER (WHERE {e} IS NULL) AS nulls,
-       sround({{avg}}, 4) AS avg, sround(min({e}), 4) AS min, sround(max({e}), 4) AS max,
-       sround(stddev_samp({e}), 4) AS stddev
+       {sround(exact_avg_sql(e), 4)} AS avg, {sround(f"min({e})", 4)} AS min, {sround(f"max({e})", 4)} AS max,
+       {sround(f"stddev_samp({e})", 4)} AS stddev
 FROM lineitem GROUP BY 1
 """
 
@@ -42,7 +43,7 @@ _PROFILE_EXPR = {
 
 
 @register("profile_metrics", sql="\nUNION ALL\n".join(
-    _PROFILE_SQL_PART.format(c=c, e=e).format(avg=exact_avg_sql(e)) for c, e in _PROFILE_EXPR.items()))
+    _profile_sql_part(c, e) for c, e in _PROFILE_EXPR.items()))
 def q_profile_metrics(spark, sf_dir):
     return _rounded_profile(_lineitem_profile(spark, sf_dir))
 
@@ -63,13 +64,14 @@ WITH p AS (
   SELECT *, lead(avg, 1) OVER (PARTITION BY event_type, column_name ORDER BY window_start DESC) AS prev_avg
   FROM p
 ), d AS (
-  SELECT *, sround((avg - prev_avg) * 100.0 / nullif(prev_avg, 0), 1) AS pct FROM s
+  SELECT *, """ + sround("(avg - prev_avg) * 100.0 / nullif(prev_avg, 0)", 1) + """ AS pct FROM s
 )
 """
 
 
 @register("drift_series", sql=_SERIES_SQL + """
-SELECT event_type, column_name, window_start, sround(avg, 6) AS avg, sround(prev_avg, 6) AS prev_avg,
+SELECT event_type, column_name, window_start, """ + sround("avg", 6) + """ AS avg,
+       """ + sround("prev_avg", 6) + """ AS prev_avg,
        pct, CASE WHEN pct > 50.0 THEN 1 ELSE 0 END AS flag
 FROM d
 """)

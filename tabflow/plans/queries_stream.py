@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import exact_avg_sql, register, table
+from tabflow.plans.catalog import exact_avg_sql, register, sround, table
 from tabflow.plans.queries_tables import ORDER_COLS
 from tabflow.session import scratch_path
 from tabflow.sources.tables import VersionedTable
@@ -62,8 +62,8 @@ def q_stream_upsert(spark, sf_dir):
 _STREAM_PROFILE_SQL = """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, event_type, 'value' AS column_name,
        count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS nulls,
-       sround(""" + exact_avg_sql("value") + """, 4) AS avg, sround(min(value), 4) AS min, sround(max(value), 4) AS max,
-       sround(stddev_samp(value), 4) AS stddev
+       """ + sround(exact_avg_sql("value"), 4) + """ AS avg, """ + sround("min(value)", 4) + """ AS min,
+       """ + sround("max(value)", 4) + """ AS max, """ + sround("stddev_samp(value)", 4) + """ AS stddev
 FROM events GROUP BY 1, 2
 """
 
