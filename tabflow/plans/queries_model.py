@@ -26,7 +26,7 @@ from tabflow.plans import standins as S
 from tabflow.plans.catalog import register, table
 from tabflow.plans.flows import write_keyed
 from tabflow.session import checkpoint_root, scratch_path
-from tabflow.sources.tables import VersionedTable
+from tabflow.sources.tables import VersionedTable, materialize
 
 AS_OF = dt.date(2025, 1, 1)
 
@@ -101,7 +101,9 @@ def q_preprocess_features(spark, sf_dir):
     from pyspark.ml import Pipeline
 
     train, test = split_rows(spark, sf_dir)
-    prep = Pipeline(stages=preprocessing_stages(ORDERS_SPEC)).fit(prepare_inputs(train, ORDERS_SPEC))
+    fit_input = materialize(prepare_inputs(train.select(ORDERS_SPEC.target, *ORDERS_SPEC.feature_names),
+                                           ORDERS_SPEC), "prep_input")
+    prep = Pipeline(stages=preprocessing_stages(ORDERS_SPEC)).fit(fit_input)
     population = split.union_by_name(train, test)
     out = prep.transform(prepare_inputs(population, ORDERS_SPEC))
     return out.select(S.PK, "label", vector_to_array("features").alias("features"))
@@ -147,9 +149,10 @@ def q_train_evaluate_promote(spark, sf_dir):
     root = scratch_path(spark, "registry")
     runs_t, reg_t = f"{root}/runs", f"{root}/versions"
     train, test = split_rows(spark, sf_dir)
+    train = materialize(train.select(ORDERS_SPEC.target, *ORDERS_SPEC.feature_names), "train_input")  # once
     for depth in (2, ORDERS_SPEC.params.max_depth):
         params = dataclasses.replace(ORDERS_SPEC.params, max_depth=depth)
-        _, scored = train_and_score(train, test, ORDERS_SPEC, params)
+        _, scored = train_and_score(train, test, ORDERS_SPEC, params, materialize_input=False)
         log_run(spark, runs_t, "orders_value", error_metrics(scored).first(), params)
         evaluate_and_promote(spark, runs_t, reg_t, "orders_value")
     runs = spark.read.parquet(runs_t)
