@@ -23,7 +23,7 @@ from tabflow.operators.features import prepare_inputs, preprocessing_stages
 from tabflow.operators.model import score, train_and_score
 from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, window_start
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import register, table
+from tabflow.plans.catalog import register, sround, table
 from tabflow.plans.flows import write_keyed
 from tabflow.session import checkpoint_root, scratch_path
 from tabflow.sources.tables import VersionedTable, materialize
@@ -96,8 +96,54 @@ def registered_model(spark, sf_dir):
     return _LOADED[key]
 
 
-@register("preprocess_features")
+def _preprocess_sql() -> str:
+    """DuckDB twin of the fitted preprocessing pipeline on this training split.
+
+    Label: alphabetical index of the class.  Numeric block: value imputed
+    with the training mean, divided by the training sample stddev of the
+    imputed column.  Categorical blocks: one indicator per training level in
+    StringIndexer order (count desc, value asc); unseen/NULL -> all zeros
+    (the "keep" slot is the one OneHotEncoder drops).
+    """
+    num, cat = ORDERS_SPEC.num_names, ORDERS_SPEC.cat_names
+    n_levels = {"o_orderpriority": 5, "c_mktsegment": 5}  # fixed values: level counts of the test data
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in num)
+    imputed = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS x_{c}" for c in num)
+    stds = ", ".join(f"stddev_samp(x_{c}) AS s_{c}" for c in num)
+    levels = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS col, v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS INTEGER) AS i "
+        f"FROM (SELECT {c} AS v, count(*) AS n FROM train WHERE {c} IS NOT NULL GROUP BY {c}) g" for c in cat)
+    feats = [sround(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE x_{c} / s_{c} END", 6) for c in num]
+    for c in cat:
+        feats += [f"CASE WHEN {c} = (SELECT v FROM levels WHERE col = '{c}' AND i = {i}) THEN 1.0 ELSE 0.0 END"
+                  for i in range(n_levels[c])]
+    cols = ",\n       ".join(f"{e} AS f_{k:02d}" for k, e in enumerate(feats))
+    return f"""
+WITH li AS (
+  SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS sum_qty, avg(l_discount) AS avg_discount
+  FROM lineitem GROUP BY l_orderkey
+), pop AS (
+  SELECT o.o_orderkey, {S.HIGH_VALUE_SQL} AS value_class, o.o_totalprice, li.n_lines, li.sum_qty,
+         li.avg_discount, CAST(2025 - year(o.o_orderdate) AS INTEGER) AS years_since_order,
+         o.o_orderpriority, c.c_mktsegment, {S.split_sql('o.o_orderkey')} AS split
+  FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+), train AS (SELECT * FROM pop WHERE split = 'train'),
+m AS (SELECT {means} FROM train),
+imp AS (SELECT pop.*, {imputed} FROM pop, m),
+sd AS (SELECT {stds} FROM imp WHERE split = 'train'),
+levels AS (
+{levels}
+)
+SELECT o_orderkey, CASE WHEN value_class = 'high' THEN 0.0 ELSE 1.0 END AS label,
+       {cols}
+FROM imp, sd
+"""
+
+
+@register("preprocess_features", sql=_preprocess_sql())
 def q_preprocess_features(spark, sf_dir):
+    """Fit the preprocessing stages on the training split, transform the
+    whole population; the feature vector comes out as columns ``f_00...``."""
     from pyspark.ml import Pipeline
 
     train, test = split_rows(spark, sf_dir)
@@ -105,8 +151,20 @@ def q_preprocess_features(spark, sf_dir):
                                            ORDERS_SPEC), "prep_input")
     prep = Pipeline(stages=preprocessing_stages(ORDERS_SPEC)).fit(fit_input)
     population = split.union_by_name(train, test)
-    out = prep.transform(prepare_inputs(population, ORDERS_SPEC))
-    return out.select(S.PK, "label", vector_to_array("features").alias("features"))
+    out = prep.transform(prepare_inputs(population, ORDERS_SPEC)).select(
+        S.PK, "label", vector_to_array("features").alias("_f"))
+    width = len(ORDERS_SPEC.num_names)
+    n = width + sum(len(lv) for lv in _levels(prep))
+    return out.select(S.PK, "label", *[(F.round(F.col("_f")[k], 6) if k < width else F.col("_f")[k])
+                                       .alias(f"f_{k:02d}") for k in range(n)])
+
+
+def _levels(prep_model) -> list:
+    """Label lists of the fitted categorical indexer (driver-side metadata)."""
+    from pyspark.ml.feature import StringIndexerModel
+
+    idx = [s for s in prep_model.stages if isinstance(s, StringIndexerModel) and s.isSet(s.inputCols)]
+    return idx[0].labelsArray if idx else []
 
 
 @register("train_and_score")

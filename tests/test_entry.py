@@ -15,8 +15,7 @@ def test_entry_runs(spark):
 def test_every_oracle_has_query():
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
     no_oracle = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert no_oracle == {"preprocess_features", "train_and_score", "score_and_serve", "predict_refresh",
-                         "train_evaluate_promote"}
+    assert no_oracle == {"train_and_score", "score_and_serve", "predict_refresh", "train_evaluate_promote"}
 
 
 def _names():
