@@ -44,7 +44,7 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
     if target is not None:
         rows = split.drop_missing_target(rows, target)
     earlier = [i for i in done if i < run]
-    if earlier:
+    if earlier and has_data_files(spark, split_table):
         seen = spark.read.parquet(split_table).where(F.col(INGEST_COL) < run).select(pk)
         rows = split.new_rows(rows, seen, pk)
     tagged = rows.withColumn(split_col, split.split_side(pk, test_size, seed))

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from tabflow.functions.dates import ntz_as_utc, utc_date
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics
-from tabflow.sources.tables import VersionedTable, child_ids
+from tabflow.sources.tables import VersionedTable, child_ids, has_data_files
 
 
 def _source(spark: SparkSession, path: str, schema: StructType,
@@ -57,7 +57,8 @@ def split_batch_writer(spark: SparkSession, split_table: str, pk: str, target: O
         rows = batch.where(F.col(pk).isNotNull())
         if target is not None:
             rows = rows.dropna(subset=[target])
-        if any(i < batch_id for i in child_ids(spark, split_table, "ingest_id")):
+        if (any(i < batch_id for i in child_ids(spark, split_table, "ingest_id"))
+                and has_data_files(spark, split_table)):
             seen = spark.read.parquet(split_table).where(F.col("ingest_id") < batch_id).select(pk)
             rows = split.new_rows(rows, seen, pk)
         tagged = rows.withColumn("split", split.split_side(pk, test_size, seed))

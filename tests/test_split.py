@@ -122,3 +122,13 @@ def test_sample_keys_equals_brute_force_with_hot_key_and_retries(spark):
     assert rows(split.sample_keys(df, "k", 15, seed=3, oversample=0.05)) == brute
     assert rows(split.sample_keys(df, "k", 15, seed=3)) == brute
     assert split.sample_keys(df, "k", 0).count() == 0
+
+
+def test_incremental_split_after_empty_ingest(spark):
+    path = scratch_path(spark, "test_incremental_empty")
+    empty = spark.createDataFrame([], "id long, y string")
+    assert incremental_split(empty, path, "id", "y") is False
+    some = spark.range(0, 10).withColumn("y", F.lit("x"))
+    assert incremental_split(some, path, "id", "y") is True
+    assert incremental_split(some, path, "id", "y") is False
+    assert spark.read.parquet(path).count() == 10
