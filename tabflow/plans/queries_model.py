@@ -65,6 +65,9 @@ def split_rows(spark, sf_dir):
 
 _MODELS: dict = {}
 _LOADED: dict = {}
+# Bump when the stages built by model_pipeline change, so a model saved by
+# older code is never loaded by newer code.
+MODEL_FORMAT = 2
 
 
 def fitted_model(spark, sf_dir):
@@ -86,7 +89,7 @@ def registered_model(spark, sf_dir):
     from tabflow.operators.model import load_model, save_model
     from tabflow.sources.tables import has_data
 
-    tag = hashlib.md5(f"{sf_dir}|{ORDERS_SPEC!r}".encode()).hexdigest()[:12]
+    tag = hashlib.md5(f"{MODEL_FORMAT}|{sf_dir}|{ORDERS_SPEC!r}".encode()).hexdigest()[:12]
     path = scratch_path(spark, "models", f"orders_value-{tag}", unique=False)
     key = (spark.sparkContext.applicationId, path)
     if key not in _LOADED:
