@@ -54,7 +54,3 @@ def register(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-# Import the query modules so they register themselves.
-from tabflow.plans import queries_monitor, queries_tables, queries_features, queries_stream, queries_model  # noqa: E402,F401,I001
