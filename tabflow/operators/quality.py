@@ -55,7 +55,8 @@ def check_constraints(df: DataFrame, num: Sequence[NumFeature] = (),
     """Violations of declared bounds and allowed values: one aggregate pass.
 
     Output rows ``(column_name, rule, violations, checked)``; ``checked`` is
-    the number of non-NULL values.  NULLs are not violations.
+    the number of non-NULL values.  NULLs are not violations.  A boolean
+    feature stored as its codes (e.g. 1/0) is checked against the codes.
     """
     exprs, meta = [], []
     for f in num:
@@ -66,9 +67,14 @@ def check_constraints(df: DataFrame, num: Sequence[NumFeature] = (),
         if f.max is not None:
             exprs.append(F.count_if(v > F.lit(f.max)))
             meta.append((f.name, "max"))
+    types = dict(df.dtypes)
     for f in cat:
         if f.allowed_values:
-            exprs.append(F.count_if(~F.col(f.name).isin(*f.allowed_values)))
+            allowed = list(f.allowed_values)
+            if (f.encoding is not None and types.get(f.name) != "boolean"
+                    and all(isinstance(v, bool) for v in allowed)):
+                allowed = list(f.encoding)  # booleans stored as their codes (1/0)
+            exprs.append(F.count_if(~F.col(f.name).isin(*allowed)))
             meta.append((f.name, "allowed_values"))
     if not exprs:
         raise ValueError("No constraints declared")
