@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
 from tabflow.operators.quality import assert_unique, require_columns
-from tabflow.sources.tables import VersionedTable, child_ids, has_data_files, read_table
+from tabflow.sources.tables import (PartitionedKeyedTable, VersionedTable, child_ids, has_data_files,
+                                    read_table)
 
 
 INGEST_COL = "ingest_id"
@@ -60,7 +61,7 @@ def split_tables(spark, split_table: str, split_col: str = "split") -> tuple[Dat
             df.where(F.col(split_col) == split.TEST).drop(split_col))
 
 
-def write_keyed(table: VersionedTable, new: DataFrame, pk: str,
+def write_keyed(table: VersionedTable | PartitionedKeyedTable, new: DataFrame, pk: str,
                 order_by: Optional[Sequence[str]] = None, version: Optional[int] = None) -> str:
     """Create the keyed table or upsert into it (one new version per call).
 
@@ -71,6 +72,13 @@ def write_keyed(table: VersionedTable, new: DataFrame, pk: str,
     """
     if pk not in new.columns:
         raise ValueError(f"Primary key column '{pk}' not found in feature_data")
+    if isinstance(table, PartitionedKeyedTable):
+        new = assert_unique(keyed.dedupe_by_key(new, pk, order_by), pk, "feature_data")
+        if not table.exists():
+            table.create(new)
+            return f"Table {table.root} has been created with key {pk}."
+        table.upsert(new)
+        return f"The feature data has been successfully upserted into {table.root}."
     current = table.current_version(before=version)
     target_version = version if version is not None else (current or 0) + 1
     new = assert_unique(keyed.dedupe_by_key(new, pk, order_by), pk, "feature_data")

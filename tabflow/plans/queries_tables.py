@@ -105,6 +105,26 @@ def q_upsert(spark, sf_dir):
     return keyed.upsert(S.old_snapshot(spark, sf_dir), S.update_batch(spark, sf_dir), S.PK)
 
 
+_UPSERT_SQL = f"""
+SELECT {ORDER_COLS} FROM ({S.OLD_SQL}) o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({S.UPDATE_SQL}) u)
+UNION ALL
+SELECT {ORDER_COLS} FROM ({S.UPDATE_SQL}) u
+"""
+
+
+@register("upsert_partitioned", sql=_UPSERT_SQL)
+def q_upsert_partitioned(spark, sf_dir):
+    """Keyed table partitioned by key hash: the upsert rewrites only the
+    buckets the batch touches (dynamic partition overwrite)."""
+    from tabflow.plans.flows import write_keyed
+    from tabflow.sources.tables import PartitionedKeyedTable
+
+    t = PartitionedKeyedTable(spark, scratch_path(spark, "keyed_partitioned"), S.PK, 64)
+    write_keyed(t, S.old_snapshot(spark, sf_dir), S.PK)      # create
+    write_keyed(t, S.update_batch(spark, sf_dir), S.PK)      # upsert
+    return t.read().select(*ORDER_COLS.split(", "))
+
+
 _CHANGES_SQL = f"""
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
        CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete' ELSE 'update' END

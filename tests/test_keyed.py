@@ -150,3 +150,25 @@ def test_bucketed_keyed_table_upsert_shuffles_only_the_batch(spark):
     # a fresh registration (as another session would do) reads the same bucketed version
     spark.sql(f"DROP TABLE {t.table_name(2)}")
     assert t.read().count() == 1100
+
+
+def test_partitioned_keyed_table_rewrites_only_touched_buckets(spark):
+    import os
+
+    from tabflow.sources.tables import PartitionedKeyedTable
+
+    root = scratch_path(spark, "keyed_partitioned")
+    t = PartitionedKeyedTable(spark, root, "id", 16)
+    assert "created" in write_keyed(t, spark.range(0, 2000).select("id", F.lit("v0").alias("v")), "id")
+    local = root.replace("file:", "")
+    before = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("_bucket=")}
+    batch = spark.range(1995, 2003).select("id", F.lit("v1").alias("v"))  # 5 updates, 3 inserts
+    assert "upserted" in write_keyed(t, batch, "id")
+    after = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("_bucket=")}
+    touched = {r[0] for r in t.bucket_of(batch).select("_bucket").distinct().collect()}
+    changed = {d for d in before if before[d] != after.get(d)}
+    assert changed == {f"_bucket={b}" for b in touched} and len(changed) < 16
+    got = dict(rows(t.read()))
+    assert len(got) == 2003 and got[1999] == "v1" and got[2002] == "v1" and got[5] == "v0"
+    write_keyed(t, batch, "id")  # re-running the same batch changes nothing
+    assert dict(rows(t.read())) == got
