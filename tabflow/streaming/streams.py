@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from tabflow.functions.dates import ntz_as_utc, utc_date
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics
-from tabflow.sources.tables import VersionedTable, child_ids, has_data_files
+from tabflow.sources.tables import PartitionedKeyedTable, VersionedTable, child_ids, has_data_files
 
 
 def _source(spark: SparkSession, path: str, schema: StructType,
@@ -77,10 +77,26 @@ def stream_incremental_split(spark: SparkSession, source: str, schema: StructTyp
 
 
 def upsert_batch_writer(spark: SparkSession, table_root: str, pk: str | Sequence[str],
-                        order_by: Optional[Sequence[str]] = None, buckets: Optional[int] = None):
-    """``foreachBatch`` function: version ``batch_id + 1`` = newest version below
-    it upserted with the batch.  With ``buckets`` the table is bucketed by the
-    key, so a micro-batch shuffles only itself."""
+                        order_by: Optional[Sequence[str]] = None, buckets: Optional[int] = None,
+                        partitioned: bool = False):
+    """``foreachBatch`` function.
+
+    Default layout: version ``batch_id + 1`` = newest version below it
+    upserted with the batch (``buckets``: versions bucketed by the key, so a
+    micro-batch shuffles only itself).  ``partitioned=True``: a
+    :class:`PartitionedKeyedTable` with ``buckets`` key-hash partitions, where
+    a micro-batch rewrites only the partitions it touches; a replayed batch
+    re-applies the same upsert, which changes nothing.
+    """
+    if partitioned:
+        if not buckets or not isinstance(pk, str):
+            raise ValueError("partitioned layout needs one key column and a bucket count")
+        ptable = PartitionedKeyedTable(spark, table_root, pk, buckets)
+
+        def per_batch_partitioned(batch: DataFrame, batch_id: int) -> None:
+            ptable.upsert(keyed.dedupe_by_key(batch, pk, order_by))
+
+        return per_batch_partitioned
     table = VersionedTable(spark, table_root, bucket_by=(pk, buckets) if buckets else None)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -96,12 +112,14 @@ def upsert_batch_writer(spark: SparkSession, table_root: str, pk: str | Sequence
 
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
                   pk: str | Sequence[str], order_by: Optional[Sequence[str]] = None,
-                  max_files_per_trigger: Optional[int] = None, buckets: Optional[int] = None) -> None:
+                  max_files_per_trigger: Optional[int] = None, buckets: Optional[int] = None,
+                  partitioned: bool = False) -> None:
     """Upsert each micro-batch into a versioned keyed table (version = batch_id + 1).
 
-    The table's base version (the initial load) is version 0.
+    The table's base version (the initial load) is version 0; with
+    ``partitioned=True`` the initial load is the existing partitioned table.
     """
-    writer = upsert_batch_writer(spark, table_root, pk, order_by, buckets)
+    writer = upsert_batch_writer(spark, table_root, pk, order_by, buckets, partitioned)
     _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 

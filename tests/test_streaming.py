@@ -85,3 +85,22 @@ def test_batch_writers_replay_idempotent(spark):
     u(spark.range(5, 15).select("id", F.lit("v1").alias("v")), 0)  # replay
     assert t.versions() == [0, 1]
     assert rows(t.read()) == [(i, "v0") for i in range(5)] + [(i, "v1") for i in range(5, 15)]
+
+
+def test_stream_upsert_partitioned_equals_batch(spark):
+    from tabflow.sources.tables import PartitionedKeyedTable
+    from tabflow.streaming.streams import upsert_batch_writer
+
+    root = scratch_path(spark, "t_stream_upsert_part")
+    base = spark.range(0, 100).select("id", F.lit("v0").alias("v"))
+    u1 = spark.range(50, 150).select("id", F.lit("v1").alias("v"))
+    u2 = spark.range(140, 160).select("id", F.lit("v2").alias("v"))
+    t = PartitionedKeyedTable(spark, f"{root}/t", "id", 8)
+    t.create(base)
+    for u in (u1, u2):
+        u.write.mode("append").parquet(f"{root}/in")
+        stream_upsert(spark, f"{root}/in", base.schema, f"{root}/t", f"{root}/ck", "id", buckets=8, partitioned=True)
+    expect = keyed.upsert(keyed.upsert(base, u1, "id"), u2, "id")
+    assert rows(t.read()) == rows(expect)
+    upsert_batch_writer(spark, f"{root}/t", "id", buckets=8, partitioned=True)(u2, 1)  # replayed batch
+    assert rows(t.read()) == rows(expect)
