@@ -2,7 +2,6 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 
 from tabflow.operators import evaluate
-from tests.conftest import rows
 
 
 @pytest.fixture()

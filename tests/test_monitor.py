@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 
 from tabflow.operators import monitor
-from tests.conftest import rows
 
 
 def profile(spark, avgs):

@@ -5,7 +5,6 @@ import re
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tabflow.operators import evaluate, generate, keyed, split
 from tests.conftest import rows
