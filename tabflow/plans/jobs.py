@@ -146,14 +146,19 @@ def deploy(spark: SparkSession, spec: TableSpec, layout: Layout, model_name: str
 
 
 def predict_and_monitor(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Profile the predictions table per arrival month; append the snapshot."""
+    """Profile the predictions table per arrival month and merge the snapshot
+    into the profile table, keyed by ``(window, column_name)``: a refresh
+    replaces the rows of the windows it profiles, so re-running is idempotent."""
     preds = VersionedTable(spark, layout.path("preds")).read()
     prof = profile_metrics(preds, F.col("arrival_month"), ["prediction"], window_name="window")
-    prof.write.mode("overwrite").parquet(layout.path("profile"))
-    return spark.read.parquet(layout.path("profile"))
+    table = VersionedTable(spark, layout.path("profile"))
+    current = table.current_version()
+    merged = prof if current is None else keyed.upsert(table.read(current), prof, ["window", "column_name"])
+    table.write(merged, (current or 0) + 1)
+    return table.read()
 
 
 def alert(spark: SparkSession, layout: Layout, threshold: float = 50.0) -> DataFrame:
     """Drift flag of the newest window of the prediction profile."""
-    prof = spark.read.parquet(layout.path("profile")).where(F.col("column_name") == "prediction")
+    prof = VersionedTable(spark, layout.path("profile")).read().where(F.col("column_name") == "prediction")
     return drift_alert(drift_series(prof, window_col="window", threshold=threshold), window_col="window")

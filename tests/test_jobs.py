@@ -39,6 +39,8 @@ def test_weekly_run(spark):
 
     prof = jobs.predict_and_monitor(spark, layout)
     assert prof.where(F.col("column_name") == "prediction").count() == 12   # arrival months
+    again = jobs.predict_and_monitor(spark, layout)                          # idempotent per window
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, prof.collect()))
     assert jobs.alert(spark, layout).first().prediction_drift in (0, 1)
 
     # the synthetic generator breaks the declared values (underscored meal plans, year 2024)
