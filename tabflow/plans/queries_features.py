@@ -72,10 +72,9 @@ def q_one_hot(spark, sf_dir):
 SELECT o_orderkey, CAST(2025 - year(o_orderdate) AS INTEGER) AS years_since_order FROM orders
 """)
 def q_years_since(spark, sf_dir):
-    register_sql_functions(spark)
-    table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").createOrReplaceTempView("tf_orders")
-    return spark.sql("SELECT o_orderkey, years_since(year(o_orderdate), DATE '2025-01-01') AS years_since_order "
-                     "FROM tf_orders")
+    register_sql_functions(spark)  # SQL function, inlined by Catalyst (no Python worker)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr("years_since(year(o_orderdate), DATE '2025-01-01')").alias("years_since_order"))
 
 
 @register("error_metrics", sql=f"""
