@@ -52,18 +52,22 @@ def build_session(master: str | None = None, app_name: str = "tabflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    When the setting is absent (a local test session) a folder of our own
-    is created and registered on the session, so later calls agree.
+    Read from the session.  When the setting is absent (a local test
+    session) the context's checkpoint folder is used if one was set, else a
+    folder of our own is registered with ``setCheckpointDir`` – the setting
+    itself cannot change at run time – so later calls agree.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tabflow-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tabflow-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
