@@ -12,6 +12,7 @@ Spark aggregates from lineitem, a customer lookup, and a function feature.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ def split_rows(spark, sf_dir):
 
 _MODELS: dict = {}
 _LOADED: dict = {}
+_LOCK = threading.RLock()  # one fit / save per model even if queries run from several threads
 # Bump when the stages built by model_pipeline change, so a model saved by
 # older code is never loaded by newer code.
 MODEL_FORMAT = 2
@@ -73,11 +75,12 @@ MODEL_FORMAT = 2
 def fitted_model(spark, sf_dir):
     """Fit once per session and input folder (training queries)."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        checkpoint_root(spark)  # tree training checkpoints to the shared folder
-        train, test = split_rows(spark, sf_dir)
-        _MODELS[key] = train_and_score(train, test, ORDERS_SPEC)
-    return _MODELS[key]
+    with _LOCK:
+        if key not in _MODELS:
+            checkpoint_root(spark)  # tree training checkpoints to the shared folder
+            train, test = split_rows(spark, sf_dir)
+            _MODELS[key] = train_and_score(train, test, ORDERS_SPEC)
+        return _MODELS[key]
 
 
 def registered_model(spark, sf_dir):
@@ -92,11 +95,12 @@ def registered_model(spark, sf_dir):
     tag = hashlib.md5(f"{MODEL_FORMAT}|{sf_dir}|{ORDERS_SPEC!r}".encode()).hexdigest()[:12]
     path = scratch_path(spark, "models", f"orders_value-{tag}", unique=False)
     key = (spark.sparkContext.applicationId, path)
-    if key not in _LOADED:
-        if not has_data(spark, f"{path}/metadata"):
-            save_model(fitted_model(spark, sf_dir)[0], path)
-        _LOADED[key] = load_model(path)  # loaded once per session, like a scoring job
-    return _LOADED[key]
+    with _LOCK:
+        if key not in _LOADED:
+            if not has_data(spark, f"{path}/metadata"):
+                save_model(fitted_model(spark, sf_dir)[0], path)
+            _LOADED[key] = load_model(path)  # loaded once per session, like a scoring job
+        return _LOADED[key]
 
 
 def _preprocess_sql() -> str:
