@@ -3,6 +3,8 @@ nothing is passed through side channels."""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
 from tabflow.operators.quality import assert_unique, require_columns
+from tabflow.session import scratch_path
 from tabflow.sources.tables import (PartitionedKeyedTable, VersionedTable, child_ids, has_data_files,
                                     read_table)
 
@@ -19,7 +22,7 @@ INGEST_COL = "ingest_id"
 
 def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Optional[str],
                       test_size: float = 0.2, seed: int = 42, split_col: str = "split",
-                      ingest_id: Optional[int] = None) -> bool:
+                      ingest_id: Optional[int] = None, buckets: Optional[int] = None) -> bool:
     """Split only rows whose key is not yet in the split table; append them.
 
     The split table is ONE parquet table laid out as
@@ -36,6 +39,11 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
     earlier ingests and overwrites its own partition.  NULL targets and NULL
     keys are dropped before the diff, so rows that can never be split are
     not "new" on every run.
+
+    ``buckets``: the table is also bucketed by the key (an external catalog
+    table over ``split_table``).  The diff then reads the seen keys as a
+    bucketed scan and shuffles only the incoming rows, instead of every key
+    ever split.
     """
     spark = input_df.sparkSession
     split._check_test_size(test_size)
@@ -44,16 +52,58 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
     rows = input_df.where(F.col(pk).isNotNull())
     if target is not None:
         rows = split.drop_missing_target(rows, target)
-    earlier = [i for i in done if i < run]
-    if earlier and has_data_files(spark, split_table):
-        seen = spark.read.parquet(split_table).where(F.col(INGEST_COL) < run).select(pk)
-        rows = split.new_rows(rows, seen, pk)
+    has_rows = has_data_files(spark, split_table)
+    catalog_name = _bucketed_split_table(spark, split_table, pk, buckets) if buckets and has_rows else None
+    if has_rows and any(i < run for i in done):
+        seen = spark.table(catalog_name) if catalog_name else spark.read.parquet(split_table)
+        rows = split.new_rows(rows, seen.where(F.col(INGEST_COL) < run).select(pk), pk)
     tagged = rows.withColumn(split_col, split.split_side(pk, test_size, seed))
     out = f"{split_table.rstrip('/')}/{INGEST_COL}={run}"
-    tagged.write.mode("overwrite").partitionBy(split_col).parquet(out)
+    if not buckets:
+        tagged.write.mode("overwrite").partitionBy(split_col).parquet(out)
+    elif catalog_name is None:  # first load creates the bucketed table
+        (tagged.withColumn(INGEST_COL, F.lit(run)).write.mode("overwrite").format("parquet")
+               .partitionBy(INGEST_COL, split_col).bucketBy(buckets, pk)
+               .option("path", split_table).saveAsTable(_split_table_name(split_table)))
+    else:
+        # The new rows are staged first (the diff reads the table, and a table
+        # cannot be overwritten by a plan that reads it); then exactly this
+        # ingest's partitions are replaced (static ingest value), bucketed
+        # like the table.
+        stage = scratch_path(spark, "split_stage")
+        tagged.write.mode("overwrite").parquet(stage)
+        if not has_data_files(spark, stage):
+            return has_data_files(spark, out)
+        data_cols = [c for c in spark.table(catalog_name).columns if c not in (INGEST_COL, split_col)]
+        view = f"tabflow_in_{uuid.uuid4().hex[:12]}"
+        spark.read.parquet(stage).createOrReplaceTempView(view)
+        try:
+            cols = ", ".join(f"`{c}`" for c in data_cols + [split_col])
+            spark.sql(f"INSERT OVERWRITE TABLE {catalog_name} PARTITION ({INGEST_COL} = {run}, `{split_col}`) "
+                      f"SELECT {cols} FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
     return has_data_files(spark, out)
 
 
+def _split_table_name(path: str) -> str:
+    return f"tabflow_split_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:12]}"
+
+
+def _bucketed_split_table(spark, path: str, pk: str, buckets: int, split_col: str = "split") -> str:
+    """Catalog name of the bucketed split table, registering it over its
+    folder (partitions recovered) when this session does not know it yet."""
+    name = _split_table_name(path)
+    if not spark.catalog.tableExists(name):
+        fields = [f for f in spark.read.parquet(path).schema.fields if f.name not in (INGEST_COL, split_col)]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE {name} ({cols}, `{INGEST_COL}` INT, `{split_col}` STRING) USING parquet "
+                  f"PARTITIONED BY ({INGEST_COL}, `{split_col}`) CLUSTERED BY (`{pk}`) INTO {buckets} BUCKETS "
+                  f"LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
 def split_tables(spark, split_table: str, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
     """(train, test) views of a split table (partition pruning on ``split``)."""
     df = read_table(spark, split_table).drop(INGEST_COL)

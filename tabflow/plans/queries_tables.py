@@ -83,8 +83,9 @@ FROM ({S.BOOKINGS_SQL}) b WHERE status IS NOT NULL
 def q_incremental_split(spark, sf_dir):
     root = scratch_path(spark, "incremental_split")
     first = S.bookings(spark, sf_dir).where(F.col("o_orderdate") < S.ts(S.OLD_CUTOFF))
-    incremental_split(first, root, S.PK, "status")           # first load: whole input
-    incremental_split(S.bookings(spark, sf_dir), root, S.PK, "status")  # only new keys appended
+    # split table bucketed by key: the second run's diff shuffles only the incoming rows
+    incremental_split(first, root, S.PK, "status", buckets=8)                      # first load
+    incremental_split(S.bookings(spark, sf_dir), root, S.PK, "status", buckets=8)  # only new keys added
     return (spark.read.parquet(root).select(S.PK, "o_totalprice", "status", "split"))
 
 
