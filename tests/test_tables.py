@@ -15,6 +15,8 @@ def test_properties_roundtrip(spark):
     df = spark.createDataFrame([(1, "a")], "id long, feature string")
     tables.overwrite(df, "tf_props")
     assert tables.table_exists(spark, "tf_props")
+    assert tables.table_exists(spark, "spark_catalog.default.tf_props")  # three-part name
+    assert not tables.table_exists(spark, "spark_catalog.default.tf_nope")
     assert tables.get_bool_property(spark, "tf_props", "delta.enableChangeDataFeed") is False
     tables.set_property(spark, "tf_props", "delta.enableChangeDataFeed", "TRUE")
     assert tables.get_bool_property(spark, "tf_props", "delta.enableChangeDataFeed") is True
