@@ -26,7 +26,7 @@ def q_stream_incremental_split(spark, sf_dir):
     for arrival in arrivals + [None]:  # last run: nothing new arrived
         if arrival is not None:
             arrival.write.mode("append").parquet(incoming)
-        stream_incremental_split(spark, incoming, bookings.schema, out, ckpt, S.PK, "status")
+        stream_incremental_split(spark, incoming, bookings.schema, out, ckpt, S.PK, "status", buckets=8)
     return spark.read.parquet(out).select(S.PK, "o_totalprice", "status", "split")
 
 

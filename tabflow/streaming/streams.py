@@ -6,9 +6,9 @@ the shared ``spark.checkpoint.dir``).  Every batch write is idempotent by
 ``batch_id``, so a batch replayed after a failure rewrites its own output
 instead of appending twice:
 
-* split: rows go to ``split_table/ingest_id=N/split=...`` (overwritten on
-  replay); the diff reads only ``ingest_id < N`` – the same layout as the
-  batch :func:`tabflow.plans.flows.incremental_split`.
+* split: each batch is the batch :func:`tabflow.plans.flows.incremental_split`
+  with ``ingest_id = batch_id``: rows go to ``split_table/ingest_id=N/...``
+  (overwritten on replay) and the diff reads only ``ingest_id < N``.
 * upsert / profile: batch N writes version N+1 of a versioned table from
   the newest version below it.
 
@@ -49,30 +49,30 @@ def _run(df: DataFrame, fn, checkpoint: str, output_mode: str = "append", name:
 
 
 def split_batch_writer(spark: SparkSession, split_table: str, pk: str, target: Optional[str],
-                       test_size: float = 0.2, seed: int = 42):
-    """``foreachBatch`` function: new keys of the batch -> ``ingest_id=batch_id``."""
+                       test_size: float = 0.2, seed: int = 42, buckets: Optional[int] = None):
+    """``foreachBatch`` function: the batch's new keys go to ``ingest_id=batch_id``.
+
+    It is the batch :func:`tabflow.plans.flows.incremental_split` run with
+    ``ingest_id = batch_id``: it reads only earlier ingests and overwrites its
+    own, so a replayed batch rewrites the same rows.  With ``buckets`` the
+    split table is bucketed by key and a micro-batch shuffles only itself.
+    """
+    from tabflow.plans.flows import incremental_split
+
     split._check_test_size(test_size)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.where(F.col(pk).isNotNull())
-        if target is not None:
-            rows = rows.dropna(subset=[target])
-        if (any(i < batch_id for i in child_ids(spark, split_table, "ingest_id"))
-                and has_data_files(spark, split_table)):
-            seen = spark.read.parquet(split_table).where(F.col("ingest_id") < batch_id).select(pk)
-            rows = split.new_rows(rows, seen, pk)
-        tagged = rows.withColumn("split", split.split_side(pk, test_size, seed))
-        (tagged.write.mode("overwrite").partitionBy("split")
-               .parquet(f"{split_table}/ingest_id={batch_id}"))
+        incremental_split(batch, split_table, pk, target, test_size, seed, ingest_id=batch_id, buckets=buckets)
 
     return per_batch
 
 
 def stream_incremental_split(spark: SparkSession, source: str, schema: StructType, split_table: str,
                              checkpoint: str, pk: str, target: Optional[str], test_size: float = 0.2,
-                             seed: int = 42, max_files_per_trigger: Optional[int] = None) -> None:
+                             seed: int = 42, max_files_per_trigger: Optional[int] = None,
+                             buckets: Optional[int] = None) -> None:
     """Run once over newly arrived files: new keys are split and appended."""
-    writer = split_batch_writer(spark, split_table, pk, target, test_size, seed)
+    writer = split_batch_writer(spark, split_table, pk, target, test_size, seed, buckets)
     _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 

@@ -104,3 +104,17 @@ def test_stream_upsert_partitioned_equals_batch(spark):
     assert rows(t.read()) == rows(expect)
     upsert_batch_writer(spark, f"{root}/t", "id", buckets=8, partitioned=True)(u2, 1)  # replayed batch
     assert rows(t.read()) == rows(expect)
+
+
+def test_stream_split_bucketed_replay(spark):
+    from tabflow.streaming.streams import split_batch_writer
+
+    root = scratch_path(spark, "t_stream_split_bucketed")
+    b0 = spark.range(0, 60).select("id", F.lit("x").alias("y"))
+    b1 = spark.range(40, 100).select("id", F.lit("x").alias("y"))
+    w = split_batch_writer(spark, f"{root}/split", "id", "y", buckets=4)
+    w(b0, 0)
+    w(b1, 1)
+    w(b1, 1)  # replayed batch
+    out = spark.read.parquet(f"{root}/split")
+    assert out.count() == 100 and out.select("id").distinct().count() == 100
