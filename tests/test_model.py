@@ -66,3 +66,17 @@ def test_score_with_pandas_udf(spark):
     df = spark.range(0, 10).select("id", (F.col("id") * 2.0).alias("x"))
     out = model.score_with_udf(df, lambda pdf: pdf["x"] + 1.0, ["x"])
     assert [r.prediction for r in out.orderBy("id").collect()] == [i * 2.0 + 1.0 for i in range(10)]
+
+
+def test_registered_model_queries(spark, sf_small):
+    import __spark_entry__ as e
+
+    scored = e.queries()["train_and_score"](spark, sf_small)
+    acc = classification_metrics(scored).first().accuracy
+    counts = [r["count"] for r in scored.groupBy("label").count().collect()]
+    assert acc > max(counts) / sum(counts)
+    served = e.queries()["score_and_serve"](spark, sf_small)
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    assert served.columns == ["prediction", "o_orderkey", "o_totalprice", "o_orderpriority"]
+    assert served.count() == orders.count()
+    assert served.select("o_orderkey").distinct().count() == orders.count()
