@@ -187,3 +187,13 @@ def evaluate_and_promote(spark, runs_table: str, registry_table: str, model: str
     return spark.createDataFrame([decision.asDict()],
                                  "model string, current_run string, new_run string, current_mae double, "
                                  "new_mae double, promote boolean")
+
+
+def version_changes(table: VersionedTable, pk: str, from_version: int,
+                    to_version: Optional[int] = None) -> DataFrame:
+    """Row-level change feed of a versioned keyed table between two versions
+    (default: up to the current one): ``(pk, change_type, *columns)``."""
+    to_v = table.current_version() if to_version is None else to_version
+    if to_v is None:
+        raise ValueError(f"No committed version under {table.root}")
+    return keyed.row_changes(table.read(from_version), table.read(to_v), pk)

@@ -126,6 +126,29 @@ def q_upsert_partitioned(spark, sf_dir):
     return t.read().select(*ORDER_COLS.split(", "))
 
 
+_FEED_SQL = f"""
+SELECT u.o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS change_type,
+       u.o_custkey, u.o_orderstatus, u.o_totalprice, u.o_orderdate, u.o_orderpriority
+FROM ({S.UPDATE_SQL}) u LEFT JOIN ({S.OLD_SQL}) o ON u.o_orderkey = o.o_orderkey
+WHERE o.o_orderkey IS NULL OR u.o_custkey IS DISTINCT FROM o.o_custkey
+   OR u.o_orderstatus IS DISTINCT FROM o.o_orderstatus OR u.o_totalprice IS DISTINCT FROM o.o_totalprice
+   OR u.o_orderdate IS DISTINCT FROM o.o_orderdate OR u.o_orderpriority IS DISTINCT FROM o.o_orderpriority
+"""
+
+
+@register("version_change_feed", sql=_FEED_SQL)
+def q_version_change_feed(spark, sf_dir):
+    """Keyed table created from the first snapshot (version 1), upserted with
+    the update batch (version 2); the change feed between the two versions."""
+    from tabflow.plans.flows import version_changes, write_keyed
+    from tabflow.sources.tables import VersionedTable
+
+    t = VersionedTable(spark, scratch_path(spark, "keyed_feed"))
+    write_keyed(t, S.old_snapshot(spark, sf_dir), S.PK)
+    write_keyed(t, S.update_batch(spark, sf_dir), S.PK)
+    return version_changes(t, S.PK, 1, 2)
+
+
 _CHANGES_SQL = f"""
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
        CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete' ELSE 'update' END
