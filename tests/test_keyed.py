@@ -172,3 +172,13 @@ def test_partitioned_keyed_table_rewrites_only_touched_buckets(spark):
     assert len(got) == 2003 and got[1999] == "v1" and got[2002] == "v1" and got[5] == "v0"
     write_keyed(t, batch, "id")  # re-running the same batch changes nothing
     assert dict(rows(t.read())) == got
+
+
+def test_version_changes(spark):
+    from tabflow.plans.flows import version_changes
+
+    t = VersionedTable(spark, scratch_path(spark, "keyed_changes"))
+    write_keyed(t, spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), "id")
+    write_keyed(t, spark.createDataFrame([(2, "B"), (3, "c")], "id long, v string"), "id")
+    assert rows(version_changes(t, "id", 1)) == [(2, "update", "B"), (3, "insert", "c")]
+    assert version_changes(t, "id", 2).count() == 0
