@@ -1,13 +1,3 @@
-"""Multi-step flows and the catalogue of registered queries.
-
-Importing the package registers every query module in
-``tabflow.plans.catalog.QUERIES`` / ``ORACLE_SQL``.
-"""
-
-from tabflow.plans import (  # noqa: F401  (imported for registration)
-    queries_monitor,
-    queries_tables,
-    queries_features,
-    queries_stream,
-    queries_model,
-)
+"""Multi-step flows, jobs, and the catalogue of registered queries
+(``tabflow.plans.registry`` imports the query modules and exposes
+``QUERIES`` / ``ORACLE_SQL``)."""
