@@ -118,3 +118,18 @@ def test_stream_split_bucketed_replay(spark):
     w(b1, 1)  # replayed batch
     out = spark.read.parquet(f"{root}/split")
     assert out.count() == 100 and out.select("id").distinct().count() == 100
+
+
+def test_stream_upsert_one_file_per_batch_keeps_arrival_order(spark):
+    root = scratch_path(spark, "t_stream_upsert_order")
+    base = spark.range(0, 50).select("id", F.lit("v0").alias("v"))
+    u1 = spark.range(20, 60).select("id", F.lit("v1").alias("v")).repartition(3)
+    u2 = spark.range(40, 70).select("id", F.lit("v2").alias("v")).repartition(2)
+    t = VersionedTable(spark, f"{root}/t")
+    t.write(base, 0)
+    u1.write.mode("append").parquet(f"{root}/in")
+    u2.write.mode("append").parquet(f"{root}/in")  # both waiting before the run starts
+    stream_upsert(spark, f"{root}/in", base.schema, f"{root}/t", f"{root}/ck", "id", max_files_per_trigger=1)
+    expect = keyed.upsert(keyed.upsert(base, u1, "id"), u2, "id")
+    assert rows(t.read()) == rows(expect)
+    assert len(t.versions()) > 2  # several micro-batches
