@@ -61,9 +61,10 @@ def upsert(old: DataFrame, new: DataFrame, pk: str | Sequence[str],
 
     ``new`` must hold the key column (``ValueError`` otherwise).  With
     ``order_by`` duplicate keys in ``new`` are resolved to the greatest
-    ordering; without it a repeated key fails the job, naming the key.  The
-    check rides on the anti-join's key side: the keys of ``new`` are
-    counted with a partial aggregate, whose key partitioning the join reuses.
+    ordering; without it a repeated (or NULL) key fails the job, naming the
+    key.  The check rides on the anti-join's key side: the keys of ``new``
+    are counted with a partial aggregate, whose key partitioning the join
+    reuses.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     for k in keys:
@@ -71,9 +72,12 @@ def upsert(old: DataFrame, new: DataFrame, pk: str | Sequence[str],
             raise ValueError(f"Primary key column '{k}' not found in feature_data")
     new = dedupe_by_key(new, keys, order_by)
     counted = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    dup = F.raise_error(F.concat(F.lit("Duplicate key in upsert batch: "),
-                                 F.concat_ws(",", *[F.col(k).cast("string") for k in keys])))
-    new_keys = counted.where(F.when(F.col("_n") > 1, dup).otherwise(F.lit(True))).select(*keys)
+    key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    bad = F.col("_n") > 1
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    dup = F.raise_error(F.concat(F.lit("NULL or duplicate key in upsert batch: "), key_text))
+    new_keys = counted.where(F.when(bad, dup).otherwise(F.lit(True))).select(*keys)
     kept = old.join(new_keys, keys, "left_anti")
     return kept.unionByName(new)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
-from tabflow.operators.quality import assert_unique, require_columns
+from tabflow.operators.quality import assert_unique
 from tabflow.session import scratch_path
 from tabflow.sources.tables import (PartitionedKeyedTable, VersionedTable, child_ids, has_data_files,
                                     read_table)
@@ -122,28 +122,25 @@ def write_keyed(table: VersionedTable | PartitionedKeyedTable, new: DataFrame, p
     """
     if pk not in new.columns:
         raise ValueError(f"Primary key column '{pk}' not found in feature_data")
+    new = keyed.dedupe_by_key(new, pk, order_by)
     if isinstance(table, PartitionedKeyedTable):
-        new = assert_unique(keyed.dedupe_by_key(new, pk, order_by), pk, "feature_data")
         if not table.exists():
-            table.create(new)
+            table.create(assert_unique(new, pk, "feature_data"))
             return f"Table {table.root} has been created with key {pk}."
-        table.upsert(new)
+        table.upsert(new)  # upsert fails the job on a NULL or repeated key
         return f"The feature data has been successfully upserted into {table.root}."
     current = table.current_version(before=version)
     target_version = version if version is not None else (current or 0) + 1
-    new = assert_unique(keyed.dedupe_by_key(new, pk, order_by), pk, "feature_data")
     if current is None:
-        table.write(new, target_version)
+        table.write(assert_unique(new, pk, "feature_data"), target_version)
         return f"Table {table.root} has been created with key {pk}."
-    # bucketed table: only the batch is shuffled; the kept rows stay in their buckets
+    # bucketed table: only the batch is shuffled; the kept rows stay in their buckets.
+    # upsert fails the job on a NULL or repeated key, so no separate check is needed.
     merged = keyed.upsert(table.read(current), table.align(new), pk)
     table.write(merged, target_version, aligned=table.bucketed)
     return f"The feature data has been successfully upserted into {table.root}."
 
 
-__all__ = ["incremental_split", "split_tables", "write_keyed", "require_columns"]
-
-
 RUNS_SCHEMA = ("model string, run_id string, run_order long, mse double, mae double, r2 double, "
                "max_depth int, n_estimators int, learning_rate double")
 REGISTRY_SCHEMA = "model string, version long, run_id string"

@@ -97,7 +97,7 @@ def test_write_keyed_versions(spark):
     write_keyed(t, b, "id", version=2)
     assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c")]
     dup = spark.createDataFrame([(5, "x"), (5, "y")], "id long, v string")
-    with pytest.raises(Exception, match="NULL or duplicate key in feature_data: 5"):
+    with pytest.raises(Exception, match="NULL or duplicate key in (feature_data|upsert batch): 5"):
         write_keyed(t, dup, "id")
     assert t.versions() == [1, 2]  # the failed write committed nothing
 
@@ -118,7 +118,7 @@ def test_row_changes_duplicate_key_fails(spark):
 
 def test_upsert_duplicate_batch_key_fails(old, spark):
     dup = spark.createDataFrame([(2, "x", 1.0), (2, "y", 2.0)], "id long, s string, x double")
-    with pytest.raises(Exception, match="Duplicate key in upsert batch: 2"):
+    with pytest.raises(Exception, match="NULL or duplicate key in upsert batch: 2"):
         keyed.upsert(old, dup, "id").collect()
 
 
