@@ -180,6 +180,20 @@ class VersionedTable:
                            f"INTO {self.buckets} BUCKETS LOCATION '{self.path(v)}'")
         return self.spark.table(name)
 
+    def prune(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (and their
+        catalog entries); returns the deleted version numbers.  Readers of a
+        deleted version must have finished – call it after a run, not during."""
+        if keep < 1:
+            raise ValueError("keep must be >= 1")
+        old = self.versions()[:-keep]
+        for v in old:
+            if self.bucketed and self.spark.catalog.tableExists(self.table_name(v)):
+                self.spark.sql(f"DROP TABLE {self.table_name(v)}")  # external: drops metadata only
+            fs, p = _fs(self.spark, self.path(v))
+            fs.delete(p, True)
+        return old
+
     def align(self, df: DataFrame) -> DataFrame:
         """Hash-partition ``df`` like the buckets (same hash as ``bucketBy``)."""
         return df.repartition(self.buckets, *self.bucket_cols) if self.bucketed else df

@@ -47,3 +47,13 @@ def test_versioned_table_ignores_uncommitted(spark):
         os.remove(t.path(2).replace("file:", "") + "/_SUCCESS")
     assert t.current_version() == 1
     assert t.read().count() == 3
+
+
+def test_versioned_table_prune(spark):
+    t = tables.VersionedTable(spark, scratch_path(spark, "t_prune"), bucket_by=("id", 2))
+    for v in range(1, 5):
+        t.write(spark.range(v), v)
+    assert t.prune(keep=2) == [1, 2]
+    assert t.versions() == [3, 4]
+    assert t.read().count() == 4
+    assert not spark.catalog.tableExists(t.table_name(1))
