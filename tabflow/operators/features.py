@@ -76,11 +76,6 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataF
                  .select(*df.columns, (F.col("_off") + F.col("_local")).cast("int").alias(out)))
 
 
-def mean_of(df: DataFrame, col: str) -> Column:
-    """Scalar subquery: mean of non-NULL values (as double)."""
-    return df.agg(F.avg(F.col(col).cast("double"))).scalar()
-
-
 def impute_mean(df: DataFrame, cols: Sequence[str], suffix: str = "_imputed") -> DataFrame:
     """``{c}_imputed = coalesce(c, mean(c))`` on doubles (an int column is
     cast first, so the mean is not truncated).  All-NULL column -> error."""
