@@ -69,7 +69,7 @@ _LOADED: dict = {}
 _LOCK = threading.RLock()  # one fit / save per model even if queries run from several threads
 # Bump when the stages built by model_pipeline change, so a model saved by
 # older code is never loaded by newer code.
-MODEL_FORMAT = 2
+MODEL_FORMAT = 3
 
 
 def fitted_model(spark, sf_dir):
@@ -90,15 +90,18 @@ def registered_model(spark, sf_dir):
     import hashlib
 
     from tabflow.operators.model import load_model, save_model
-    from tabflow.sources.tables import has_data
+    from tabflow.sources.tables import path_exists, publish
 
     tag = hashlib.md5(f"{MODEL_FORMAT}|{sf_dir}|{ORDERS_SPEC!r}".encode()).hexdigest()[:12]
     path = scratch_path(spark, "models", f"orders_value-{tag}", unique=False)
     key = (spark.sparkContext.applicationId, path)
     with _LOCK:
         if key not in _LOADED:
-            if not has_data(spark, f"{path}/metadata"):
-                save_model(fitted_model(spark, sf_dir)[0], path)
+            if not path_exists(spark, path):
+                # written beside, then renamed into place: never a half-written model folder
+                staged = scratch_path(spark, "models", "staging")
+                save_model(fitted_model(spark, sf_dir)[0], staged)
+                publish(spark, staged, path)
             _LOADED[key] = load_model(path)  # loaded once per session, like a scoring job
         return _LOADED[key]
 

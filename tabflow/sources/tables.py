@@ -37,6 +37,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def publish(spark: SparkSession, staged: str, final: str) -> bool:
+    """Move a fully written folder into place (one directory rename).
+
+    Returns False, leaving ``final`` untouched, when ``final`` already exists
+    (another writer published first)."""
+    fs, src = _fs(spark, staged)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final)
+    if fs.exists(dst):
+        return False
+    parent = dst.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    return bool(fs.rename(src, dst))
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Committed output exists at ``path`` (a ``_SUCCESS`` marker, or data files)."""
     fs, p = _fs(spark, path)

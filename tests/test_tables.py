@@ -57,3 +57,13 @@ def test_versioned_table_prune(spark):
     assert t.versions() == [3, 4]
     assert t.read().count() == 4
     assert not spark.catalog.tableExists(t.table_name(1))
+
+
+def test_publish_moves_once(spark):
+    root = scratch_path(spark, "t_publish")
+    spark.range(3).write.parquet(f"{root}/staged_a")
+    spark.range(5).write.parquet(f"{root}/staged_b")
+    assert tables.publish(spark, f"{root}/staged_a", f"{root}/final/model") is True
+    assert tables.publish(spark, f"{root}/staged_b", f"{root}/final/model") is False  # first writer wins
+    assert spark.read.parquet(f"{root}/final/model").count() == 3
+    assert not tables.path_exists(spark, f"{root}/staged_a")
