@@ -152,10 +152,14 @@ def _count(spark, path: str, model: str) -> int:
     return spark.read.parquet(path).where(F.col("model") == model).count()
 
 
-def log_run(spark, runs_table: str, model: str, metrics_row, params) -> str:
+def next_run_id(spark, runs_table: str, model: str) -> str:
+    return f"{model}-run-{_count(spark, runs_table, model) + 1}"
+
+
+def log_run(spark, runs_table: str, model: str, metrics_row, params, run_id: Optional[str] = None) -> str:
     """Append one run record (metrics + parameters); returns the run id."""
-    order = _count(spark, runs_table, model) + 1
-    run_id = f"{model}-run-{order}"
+    run_id = run_id or next_run_id(spark, runs_table, model)
+    order = int(run_id.rsplit("-", 1)[1])
     rec = spark.createDataFrame(
         [(model, run_id, order, metrics_row["mse"], metrics_row["mae"], metrics_row["r2"],
           params.max_depth, params.n_estimators, float(params.learning_rate))], RUNS_SCHEMA)

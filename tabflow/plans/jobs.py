@@ -23,8 +23,10 @@ from tabflow.operators import generate, keyed
 from tabflow.operators.evaluate import error_metrics
 from tabflow.operators.model import load_model, save_model, score_population, train_and_score
 from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics
-from tabflow.plans.flows import evaluate_and_promote, incremental_split, log_run, split_tables, write_keyed
-from tabflow.sources.tables import VersionedTable, append, has_data_files
+from tabflow.plans.flows import (evaluate_and_promote, incremental_split, log_run, next_run_id, split_tables,
+                                 write_keyed)
+from tabflow.session import scratch_path
+from tabflow.sources.tables import VersionedTable, append, has_data_files, publish
 
 
 @dataclass(frozen=True)
@@ -119,9 +121,14 @@ def train(spark: SparkSession, spec: TableSpec, layout: Layout, model_name: str,
     p = params or spec.params
     tr, te = training_frame(spark, spec, layout, as_of)
     model, scored = train_and_score(tr, te, spec, p)
-    run_id = log_run(spark, layout.path("runs"), model_name, error_metrics(scored).first(), p)
-    save_model(model, f"{layout.path('models')}/{run_id}")
-    return run_id
+    metrics = error_metrics(scored).first()
+    run_id = next_run_id(spark, layout.path("runs"), model_name)
+    # the model is in place before its run is logged: a logged run always has a complete model
+    staged = scratch_path(spark, "models", "staging")
+    save_model(model, staged)
+    if not publish(spark, staged, f"{layout.path('models')}/{run_id}"):
+        raise RuntimeError(f"Model folder for {run_id} already exists")
+    return log_run(spark, layout.path("runs"), model_name, metrics, p, run_id=run_id)
 
 
 def evaluate(spark: SparkSession, layout: Layout, model_name: str) -> DataFrame:
