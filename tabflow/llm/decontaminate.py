@@ -230,7 +230,7 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"\n".join(out).decode()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([cut_words(t, [(int(s["first"]), int(s["last"])) for s in own]) if own is not None and len(own) else t
                       for t, own in zip(texts, spans)], dtype=object)

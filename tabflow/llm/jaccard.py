@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.llm.components import connected_components
 from tabflow.llm.scratch import Scratch
@@ -234,7 +235,7 @@ def sets_of(docs: DataFrame, k: int, table: np.ndarray) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("t")).mapInArrow(run, "cls long, shingles binary")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
                       for x, y in zip(a, b)], dtype="int64")

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, jaccard, toxicity
+from tabflow.llm import decontaminate, jaccard, mixing, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,3 +49,36 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_ngram_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op5_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op10_mixing", r"""
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+             CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s),
+w AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 2 * source_size AS cap FROM r),
+f AS (SELECT *, sum(source_size) OVER () AS total,
+        coalesce(sum(cap) OVER (ORDER BY cap * 10 // w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+        sum(w) OVER (ORDER BY cap * 10 // w, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wr FROM w),
+o AS (SELECT *, CAST(total * 150 - filled * 100 AS DOUBLE) / CAST(100 * wr AS DOUBLE) AS level,
+        cap * 100 * wr >= (total * 150 - filled * 100) * w AS open FROM f),
+g AS (SELECT source, rank, source_size, total,
+        CASE WHEN open THEN w * min(level) FILTER (WHERE open) OVER () ELSE CAST(cap AS DOUBLE) END AS target FROM o),
+q AS (SELECT d.doc_id, d.size, g.*, sum(d.size) OVER (PARTITION BY g.rank ORDER BY h, doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, row_number() OVER () AS n
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+c AS (SELECT n, e AS copy, rank, cum, size, total, CAST(e * source_size + cum AS DOUBLE) / target AS v
+      FROM q, (VALUES (0), (1)) AS t(e) WHERE size > 0),
+t AS (SELECT n, size, sum(size) OVER (ORDER BY v, rank, copy, cum ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, total FROM c),
+k AS (SELECT n, sum(size) AS taken FROM t WHERE upto * 100 <= total * 150 GROUP BY n)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM q LEFT JOIN k USING (n)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")

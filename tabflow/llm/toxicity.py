@@ -87,6 +87,18 @@ def _pass(rows: list[tuple[bytes, int]], z: np.ndarray, n: np.ndarray, p: FtrlPa
         n[f] = nf + g * g
 
 
+def _shard_round(z: np.ndarray, n: np.ndarray, p: FtrlParams):
+    """What one round over one shard changes in the sums."""
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["o", "x"], kind="stable")
+        z1, n1 = z.copy(), n.copy()
+        _pass(list(zip(pdf["x"], pdf["y"])), z1, n1, p)
+        return pd.DataFrame({"z": [(z1 - z).astype("<f4").tobytes()], "n": [(n1 - n).astype("<f4").tobytes()]})
+
+    return train
+
+
 def _sigmoid(s: float) -> float:
     return 1.0 / (1.0 + np.exp(-np.clip(s, -30.0, 30.0)))
 
@@ -98,7 +110,11 @@ def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = F
     rows give equal weights on every run.  No rows give all-zero weights.
     """
     tmp = Scratch(rows.sparkSession, "ftrl")
-    packed = F.pandas_udf(lambda s: s.map(lambda t: pack(features(t))), "binary")
+
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: pack(features(t)))
+
     known = rows.where(F.col(label).isin(0, 1))
     order = F.xxhash64(F.lit("order"), F.col(key))
     table = tmp.save(known.select(order.alias("o"), F.col(label).cast("int").alias("y"),
@@ -108,14 +124,8 @@ def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = F
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     for _ in range(params.rounds if count else 0):
-        def train(pdf: pd.DataFrame, z=z, n=n) -> pd.DataFrame:
-            pdf = pdf.sort_values(["o", "x"], kind="stable")
-            z1, n1 = z.copy(), n.copy()
-            _pass(list(zip(pdf["x"], pdf["y"])), z1, n1, params)
-            return pd.DataFrame({"z": [(z1 - z).astype("<f4").tobytes()], "n": [(n1 - n).astype("<f4").tobytes()]})
-
         moved = (table.withColumn("shard", F.pmod("o", F.lit(shards))).groupBy("shard")
-                      .applyInPandas(train, "z binary, n binary").collect())
+                      .applyInPandas(_shard_round(z, n, params), "z binary, n binary").collect())
         # at most max_shards rows of a model's size
         moved.sort(key=lambda r: r["z"])
         z = z + sum(np.frombuffer(r["z"], "<f4").astype(float) for r in moved) / len(moved)
