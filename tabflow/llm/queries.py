@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, jaccard, mixing, sharding, toxicity
+from tabflow.llm import decontaminate, jaccard, licenses, lines, mixing, sharding, tokens, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -82,3 +82,74 @@ FROM q LEFT JOIN k USING (n)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "found.n_words", F.size("found.licenses").cast("long").alias("n_licenses"),
+                        F.array_join("found.licenses.license", ",").alias("licenses"),
+                        F.array_max("found.licenses.coverage").alias("best_coverage"),
+                        F.aggregate("found.licenses", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("license_words"))
+
+
+@_query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@_query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counted = tokens.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@_query("op8_line_dedup", r"""
+WITH l AS (SELECT doc_id, i AS pos, x AS line, lower_ascii AS key FROM (
+  SELECT doc_id, i, lines[i] AS x, translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), unnest(range(1, len(lines) + 1)) AS t(i))),
+k AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT l.*, k.keeper IS NOT NULL AND l.doc_id <> k.keeper AS lost FROM l LEFT JOIN k ON l.key = k.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: Stand-ins derived from ``pages``: when a page was fetched (within 2024), and the
+#: dated history of a block list over a third of all hosts and domains.
+_YEAR, _START = 366 * 86_400, 1_704_067_200
+
+
+@_query("op9_url_filters", rf"""
+WITH h AS (SELECT page_id, {_START} + page_id * 7919 * 61 % {_YEAR} AS fetched,
+    nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', ''), '') AS host FROM pages),
+d AS (SELECT DISTINCT host, list_aggregate(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), 'string_agg', '.') AS entry
+  FROM (SELECT DISTINCT host FROM h WHERE host IS NOT NULL), unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS t(i)),
+e AS (SELECT entry, ('0x' || substr(md5(entry), 1, 7))::BIGINT AS a, ('0x' || substr(md5(entry), 8, 7))::BIGINT AS b
+  FROM (SELECT DISTINCT entry FROM d)),
+v AS (SELECT entry, {_START} + b % {_YEAR} AS since, {_START} + b % {_YEAR} + 86400 * (10 + a % 50) AS until FROM e WHERE a % 3 = 0
+  UNION ALL SELECT entry, {_START} + b % {_YEAR} + 86400 * 90, NULL FROM e WHERE a % 3 = 0),
+j AS (SELECT page_id, d.entry, v.since, row_number() OVER (PARTITION BY page_id ORDER BY length(d.entry) DESC) AS n
+  FROM h JOIN d USING (host) JOIN v ON v.entry = d.entry AND v.since <= h.fetched AND (v.until IS NULL OR h.fetched < v.until))
+SELECT h.page_id, h.host, h.fetched, j.entry IS NOT NULL AS blocked, j.entry, j.since
+FROM h LEFT JOIN j ON h.page_id = j.page_id AND j.n = 1
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.lit(_START) + F.col("page_id") * 7919 * 61 % _YEAR)
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).where("host is not null").distinct()
+    entries = hosts.select(F.explode(urls.domains(F.col("host"))).alias("entry")).distinct()
+    part = lambda at: F.conv(F.substring(F.md5(F.col("entry").cast("binary")), at, 7), 16, 10).cast("long")
+    listed = entries.withColumns({"a": part(1), "b": part(8)}).where("a % 3 = 0").withColumn("t", F.lit(_START) + F.col("b") % _YEAR)
+    changes = F.array(F.struct(F.col("t").alias("at"), F.lit(True).alias("listed")),
+                      F.struct((F.col("t") + 86_400 * (10 + F.col("a") % 50)).alias("at"), F.lit(False).alias("listed")),
+                      F.struct((F.col("t") + 86_400 * 90).alias("at"), F.lit(True).alias("listed")))
+    history = listed.select("entry", F.explode(changes).alias("c")).select("entry", "c.at", "c.listed")
+    return urls.judge(captures, history).select("page_id", "host", "fetched", "blocked", "entry", "since")
