@@ -1,0 +1,204 @@
+"""Decontamination, toxicity, licenses and tokens against plain versions."""
+
+import difflib
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tabflow.llm import decontaminate, licenses, tokens, toxicity
+from tabflow.llm.text import alnum_words, blank_words, ngram_hashes, shingle_set
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def test_words_follow_the_patterns(corpus):
+    for _, t, _ in corpus:
+        assert [w.decode() for w in alnum_words(t.encode() if t else None)] == WORD.findall(lower(t))
+        assert [w.decode() for w in blank_words(t.encode() if t else None)] == re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+
+
+def test_hashes_are_equal_for_equal_runs():
+    a = np.arange(10, dtype=np.uint64) ** 3
+    assert (ngram_hashes(a, 3)[2:5] == ngram_hashes(a[2:7], 3)).all()
+    assert len(ngram_hashes(a, 11)) == 0 and len(shingle_set([])) == 0 and len(shingle_set([b"a"])) == 1
+
+
+def plain_hits(words, items, window):
+    hit, found = set(), set()
+    for item, ws in items:
+        n = min(window, len(ws))
+        runs = {tuple(ws[k:k + n]) for k in range(len(ws) - n + 1)} if ws else set()
+        for k in range(len(words) - n + 1):
+            if n and tuple(words[k:k + n]) in runs:
+                hit |= set(range(k, k + n))
+                found.add(item)
+    return len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_automaton_equals_window_search(seed):
+    r = random.Random(seed)
+    words = lambda n: [b"%d" % r.randrange(3) for _ in range(n)]
+    items = [(str(i), words(r.randrange(0, 12))) for i in range(8)]
+    auto = decontaminate.ItemAutomaton(items, window=4)
+    for _ in range(60):
+        ws = words(r.randrange(0, 30))
+        spans, found = auto.scan(ws)
+        assert (sum(b - a + 1 for a, b in spans), found) == plain_hits(ws, items, 4)
+        assert all(a[1] + 1 < b[0] for a, b in zip(spans, spans[1:]))
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark, corpus):
+    rows = [(i, " ".join((corpus[i][1] or "").split()[:14])) for i in range(6)]
+    rows += [(10, None), (11, ""), (12, "one TWO, three"), (None, corpus[7][1]), (13, corpus[41][1]), (13, "said again"), (14, "é")]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+@pytest.mark.parametrize("max_words", [200_000, 40])  # 40: several blocks
+def test_find_hits(spark, make_docs, corpus, benchmark, max_words):
+    items = [(str(r.item_id), WORD.findall(lower(r.text))) for r in benchmark.collect() if r.item_id is not None]
+    got = decontaminate.find_hits(make_docs(corpus), benchmark, max_words=max_words).select("doc_id", "text", "hits.*", "key").collect()
+    assert len(got) == len(corpus)
+    for g in got:
+        ws = WORD.findall(lower(g.text))
+        assert (g.n_words, g.n_hit, g["items"]) == (len(ws), *plain_hits(ws, items, 10)), g.doc_id
+        assert g.key == "y"
+
+
+def test_decontaminate_cuts_and_drops(spark, make_docs, benchmark):
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    clean = "some clean words " * 20
+    docs = make_docs([(1, f"{clean}{passage.upper()}, {clean}", "s"), (2, passage, "s"), (3, clean, "s"), (4, None, "s"), (5, "", "s")])
+    out = {r.doc_id: r for r in decontaminate.decontaminate(docs, items).collect()}
+    assert set(out) == {1, 3, 4, 5}
+    assert "BETA" not in out[1].text and out[1].text.count("clean") == 40 and out[1].n_chars == len(out[1].text)
+    assert out[3].text == clean and out[4].text is None and out[5].text == ""
+    none = decontaminate.decontaminate(docs.limit(0), items)
+    assert none.columns == docs.columns and none.count() == 0
+    assert decontaminate.decontaminate(docs, items.limit(0)).count() == 5
+
+
+def test_op2_digest(spark, sf_small):
+    from tabflow.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    items = [(str(r.item_id), WORD.findall(lower(r.text))) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
+    got = {r.doc_id: r for r in QUERIES["op2_decontamination"](spark, sf_small).collect()}
+    for d in docs:
+        n, found = plain_hits(WORD.findall(lower(d.text)), items, 10)
+        g = got[d.doc_id]
+        assert (g.n_hit, g.n_items, g.contaminated) == (n, len(found), n > 0)
+        assert g.items_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
+
+
+def test_toxicity_learns_and_generalises(spark, make_docs):
+    r = random.Random(3)
+    vocab = [f"v{i}" for i in range(300)]
+    rows, marks = [], []
+    for i in range(3000):
+        toxic = i % 8 == 0
+        ws = [r.choice(vocab) for _ in range(r.randint(5, 60))]
+        if toxic:
+            ws.insert(r.randrange(len(ws)), r.choice(["vile", "rotten", "nasty"]))
+        rows.append((i, " ".join(ws), "s"))
+        marks.append((i, int(toxic)))
+    rows += [(5001, None, "s"), (5002, "", "s"), (None, "v1 v2", "s")]
+    marks += [(7, 0), (None, 1), (9999, 1), (5001, None)]
+    docs, labels = make_docs(rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    w = toxicity.fit_on_labels(docs, labels)
+    assert (w == toxicity.fit_on_labels(docs.repartition(3), labels)).all()
+    out = toxicity.classify(docs, w).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect()
+    assert len(out) == len(rows) and all(0 <= o.score <= 1 for o in out)
+    held = [o for o in out if o.held and o.doc_id < 3000]
+    assert all(o.held == (zlib.crc32(str(o.doc_id).encode()) % 3 == 1) for o in out if o.doc_id is not None)
+    assert sum(o.predicted == (o.doc_id % 8 == 0) for o in held) / len(held) > 0.98
+    assert toxicity.remove_toxic(docs, w).columns == docs.columns
+    empty = toxicity.fit_on_labels(docs, labels.limit(0))
+    assert not empty.any() and toxicity.remove_toxic(docs, empty).count() == len(rows)
+    assert toxicity.fit_on_labels(docs.limit(0), labels).shape == w.shape
+
+
+def test_toxicity_held_out_accuracy(spark):
+    from tabflow.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    out = QUERIES["op3_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    right = sum(o.predicted == o.toxic for o in out) / len(out)
+    caught = [o.predicted for o in out if o.toxic]
+    assert right > 0.97 and sum(caught) / len(caught) > 0.75
+
+
+def test_patience_alignment():
+    r = random.Random(1)
+    for _ in range(200):
+        a, b = r.sample(range(12), r.randint(0, 12)), r.sample(range(12), r.randint(0, 12))
+        pairs = licenses.patience_align(a, b)
+        best = max((sum(x is not None for x in c) for c in [[None]]), default=0)
+        # all words unique: patience is an optimal common subsequence but for matched ends
+        lcs = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                lcs[i + 1][j + 1] = lcs[i][j] + 1 if x == y else max(lcs[i][j + 1], lcs[i + 1][j])
+        assert len(pairs) == lcs[-1][-1] and best == 0
+        assert all(a[i] == b[j] for i, j in pairs) and all(p < q and s < t for (p, s), (q, t) in zip(pairs, pairs[1:]))
+    a, b = "a b a c d a b".split(), "a b c a d b".split()
+    pairs = licenses.patience_align(a, b)
+    blocks = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+    assert all(a[i] == b[j] for i, j in pairs) and len(pairs) >= max(x.size for x in blocks)
+
+
+def test_license_scan(spark, make_docs, corpus):
+    apache = licenses.TEMPLATES["Apache-2.0-header"]
+    rows = [(1, f"x y\nReleased under the MIT license.\nmore {'word ' * 30}\nLicensed under CC BY-NC 4.0.", "s"),
+            (2, apache.replace("compliance", "accordance"), "s"), (3, "a driving license under the table", "s"), (4, None, "s"), (5, "", "s"),
+            (6, "released under the MIT license. " * 3, "s"), (7, "lorem " * 30_000 + "All rights reserved.", "s")]
+    out = {r.doc_id: r for r in licenses.scan_licenses(make_docs(rows + [rows[0]])).collect()}
+    names = {i: [x.license for x in r.found.licenses] for i, r in out.items()}
+    assert names == {1: ["MIT", "CC-BY-NC-4.0"], 2: ["Apache-2.0-header"], 3: [], 4: [], 5: [], 6: ["MIT"] * 3, 7: ["reserved"]}
+    assert [(x["first"], x["last"]) for x in out[1].found.licenses] == [(2, 6), (38, 43)]
+    assert 0.9 < out[2].found.licenses[0].coverage < 1
+    assert licenses.scan_licenses(make_docs(rows).limit(0)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def model():
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_token_counts_equal_the_library(spark, make_docs, corpus, model):
+    r = random.Random(2)
+    odd = ["▁▁ a▁b", "<s> </s> <unk> <0x41>", "ﬁ Ａ é 𝔘\x00\n\n\n   tail   ", " " * 700, "中文字" * 300, "ab" * 2000, "\U0001f600" * 400]
+    rows = corpus + [(100 + i, t, "s") for i, t in enumerate(odd)]
+    rows += [(200 + i, "".join(r.choice(["the ", "▁", "  ", "é", "中", "\n", "ing", "x9", "=-", "\U0001f600"]) for _ in range(900)), "s") for i in range(20)]
+    sp = tokens.processor(open(model, "rb").read())
+    for chunk, overlap in ((1 << 16, 256), (300, 8)):
+        out = tokens.count_tokens(make_docs(rows), model, chunk=chunk, overlap=overlap).collect()
+        assert len(out) == len(rows)
+        for o in out:
+            assert (o.n_bytes, o.n_tokens) == (len((o.text or "").encode()), len(sp.encode(o.text or ""))), o.doc_id
+    assert tokens.count_tokens(make_docs(rows).limit(0), model).count() == 0
+
+
+def test_splicing_needs_a_proof(model):
+    data = open(model, "rb").read()
+    pairs = tokens.neighbours(data)
+    assert " t" in pairs and "e " not in pairs
+    assert tokens.splice_point("aaaa" * 50, 10, 2, frozenset(["aa"])) is None
+    text = "ab " * 400
+    parts = list(tokens.chunks(text, 100, 4, pairs))
+    assert "".join(t[a:b] for t, a, b in parts) == text and len(parts) > 5
+    with pytest.raises(ValueError):
+        tokens.count_part(tokens.processor(data), "hello world", 3, 11)
