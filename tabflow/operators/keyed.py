@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Callable, Mapping, Optional, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.operators.quality import require_columns
@@ -20,17 +20,23 @@ CHANGE_TYPE = "change_type"
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
-def unique_by_key(df: DataFrame, key: str, columns: Sequence[str], what: str = "lookup table") -> DataFrame:
-    """One row per key, so a join against it can never emit pairs.
+def lookup_rows(table: DataFrame, key: str, columns: Sequence[str], requested: DataFrame,
+                what: str = "lookup table", unique: bool = False) -> DataFrame:
+    """``key, *columns`` of the rows of ``table`` whose key is in ``requested``.
 
-    A key that occurs twice makes the job fail with a message naming it (a
-    lookup table must be unique on its key).  The aggregate's output is
-    hash-partitioned and sorted by ``key``, which a following sort-merge join
-    on ``key`` reuses without another exchange.
+    The table is reduced to the requested keys first (semi-join), so the work
+    follows the request.  A key that is left twice makes the job fail with a
+    message naming it, so a join against the result can never emit pairs.
+    The count uses the semi-join's key partitioning; a table declared
+    ``unique`` is not counted.
     """
-    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in columns])
+    keys = requested.select(key).distinct()
+    rows = table.select(key, *columns).join(keys, key, "left_semi")
+    if unique:
+        return rows
     dup = F.raise_error(F.concat(F.lit(f"Duplicate key in {what}: "), F.col(key).cast("string")))
-    return agg.where(F.when(F.col("_n") > 1, dup).otherwise(F.lit(True))).drop("_n")
+    counted = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    return counted.where(F.when(F.col("_n") > 1, dup).otherwise(F.lit(True))).drop("_n")
 
 
 def latest_per_key(df: DataFrame, pk: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -89,41 +95,45 @@ def row_changes(old: DataFrame, new: DataFrame, pk: str) -> DataFrame:
     new values for insert/update, old values for delete; unchanged keys are
     absent.  Values are compared NULL-safely.
 
-    Both snapshots are unioned and grouped by key (one shuffle, partial
-    aggregation), instead of a full outer join: a key is never paired with
-    itself, so a repeated key cannot multiply rows – it fails the job with
-    the key named (snapshots must be unique on the key).
+    Keys and row hashes (128 bits) of both snapshots are grouped by key, a
+    hash aggregate over four numbers a row; values travel only for keys whose
+    hashes differ.  A key is never paired with itself, so a repeated key
+    cannot multiply rows – it fails the job with the key named (snapshots
+    must be unique on the key).
     """
     require_columns(old, [pk], "primary key")
     require_columns(new, [pk], "primary key")
     if set(old.columns) != set(new.columns):
         raise ValueError(f"Snapshots differ in columns: {sorted(set(old.columns) ^ set(new.columns))}")
     cols = [c for c in new.columns if c != pk]
-    vals = F.struct(*[F.col(c) for c in cols])
-    tagged = (old.select(pk, F.lit(0).alias("_side"), vals.alias("_v"))
-                 .unionByName(new.select(pk, F.lit(1).alias("_side"), vals.alias("_v"))))
-    side = F.col("_side")
-    g = tagged.groupBy(pk).agg(
-        F.count_if(side == 0).alias("_n_old"),
-        F.count_if(side == 1).alias("_n_new"),
-        F.first(F.when(side == 0, F.col("_v")), ignorenulls=True).alias("_old"),
-        F.first(F.when(side == 1, F.col("_v")), ignorenulls=True).alias("_new"),
-    )
-    dup = F.raise_error(F.concat(F.lit("Duplicate key in snapshot: "), F.col(pk).cast("string")))
+    marked = [x for c in cols for x in (F.col(c), F.col(c).isNull())]  # hashes skip NULLs
+
+    def hashed(df: DataFrame, side: int) -> DataFrame:
+        return df.select(pk, F.lit(side).alias("_side"), F.xxhash64(F.lit(1), *marked).alias("_h1"),
+                         F.xxhash64(F.lit(2), *marked).alias("_h2"))
+
+    both = hashed(old, 0).union(hashed(new, 1))
+    old_side, new_side = F.col("_side") == 0, F.col("_side") == 1
+    g = both.groupBy(pk).agg(F.count_if(old_side).alias("_n_old"), F.count_if(new_side).alias("_n_new"),
+                             F.min("_h1").alias("_lo1"), F.max("_h1").alias("_hi1"),
+                             F.min("_h2").alias("_lo2"), F.max("_h2").alias("_hi2"))
+    dup = F.raise_error(F.concat(F.lit("Duplicate key in snapshot: "), F.coalesce(F.col(pk).cast("string"), F.lit("NULL"))))
     kind = (F.when((F.col("_n_old") > 1) | (F.col("_n_new") > 1), dup)
              .when(F.col("_n_old") == 0, F.lit(INSERT))
              .when(F.col("_n_new") == 0, F.lit(DELETE))
-             .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit(UPDATE)))
-    picked = F.when(F.col("_n_new") == 0, F.col("_old")).otherwise(F.col("_new"))
-    out = g.select(pk, kind.alias(CHANGE_TYPE), picked.alias("_row"))
-    return out.where(F.col(CHANGE_TYPE).isNotNull()).select(pk, CHANGE_TYPE, *[F.col(f"_row.{c}").alias(c)
-                                                                             for c in cols])
+             .when((F.col("_lo1") != F.col("_hi1")) | (F.col("_lo2") != F.col("_hi2")), F.lit(UPDATE)))
+    changed = (g.select(F.col(pk).alias("_key"), kind.alias(CHANGE_TYPE)).where(F.col(CHANGE_TYPE).isNotNull())
+                .withColumn("_from", F.when(F.col(CHANGE_TYPE) == DELETE, 0).otherwise(1)))
+    values = old.select(pk, *cols, F.lit(0).alias("_side")).union(new.select(pk, *cols, F.lit(1).alias("_side")))
+    picked = values.join(changed, values[pk].eqNullSafe(F.col("_key")) & (F.col("_side") == F.col("_from")))
+    return picked.select(pk, CHANGE_TYPE, *cols)
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
     """Bring a copy of ``old`` up to date from a change feed (incremental sync).
 
     ``apply_changes(old, row_changes(old, new)) == new`` for unique keys.
+    The feed is read twice (its keys, its values): pass a stored one.
     """
     touched = changes.select(pk)
     kept = old.join(touched, pk, "left_anti")
@@ -136,7 +146,8 @@ FeatureFn = Callable[..., Column]
 
 def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str, str],
                  feature_names: Sequence[str], label: Optional[str] = None,
-                 functions: Mapping[str, tuple[FeatureFn, Sequence[str]]] | None = None) -> DataFrame:
+                 functions: Mapping[str, tuple[FeatureFn, Sequence[str]]] | None = None,
+                 unique: bool = False) -> DataFrame:
     """Enrich ``df`` with looked-up features and function features.
 
     * lookup: ``feature_names`` are dropped from ``df`` if present and taken
@@ -145,8 +156,11 @@ def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str
     * ``functions``: ``{output_name: (fn, [input columns])}``, each ``fn``
       returns a Column expression (a native expression, no Python worker).
 
-    ``features`` must be unique on its key; it is reduced to one row per key
-    before the join (a repeated key fails the job), so rows never multiply.
+    ``features`` must be unique on its key, so rows never multiply: unless
+    it is declared ``unique``, its key column alone is counted first and a
+    repeated key fails the job, named.  The join itself is between the two
+    inputs, so AQE can split a hot key of ``df`` and the features are neither
+    aggregated nor shuffled twice.
     """
     left_key, right_key = (lookup_key, lookup_key) if isinstance(lookup_key, str) else lookup_key
     require_columns(df, [left_key], "lookup key")
@@ -154,8 +168,12 @@ def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str
     if label is not None:
         require_columns(df, [label], "label")
     base = df.drop(*[c for c in feature_names if c in df.columns and c != left_key])
-    feats = unique_by_key(features.select(F.col(right_key).alias(left_key), *feature_names),
-                          left_key, feature_names, "feature table")
+    feats = features.select(F.col(right_key).alias(left_key), *feature_names)
+    if not unique:
+        repeated = (feats.where(F.col(left_key).isNotNull()).groupBy(left_key).agg(F.count(F.lit(1)).alias("_n"))
+                         .where("_n > 1").select(F.col(left_key).cast("string")).limit(1).scalar())
+        dup = F.raise_error(F.concat(F.lit("Duplicate key in feature table: "), repeated))
+        feats = feats.where(F.when(repeated.isNotNull(), dup).otherwise(F.lit(True)))
     out = base.join(feats, left_key, "left")
     for name, (fn, inputs) in (functions or {}).items():
         require_columns(out, inputs, "function input")
@@ -164,13 +182,13 @@ def training_set(df: DataFrame, features: DataFrame, lookup_key: str | tuple[str
 
 
 def lookup_batch(keys: DataFrame, table: DataFrame, pk: str | tuple[str, str],
-                 columns: Sequence[str]) -> DataFrame:
+                 columns: Sequence[str], unique: bool = False) -> DataFrame:
     """Serve a batch of requested keys: ``(key, found, *columns)``.
 
     Replaces one HTTP request per key with one join per batch.
     """
     left_key, right_key = (pk, pk) if isinstance(pk, str) else pk
-    vals = unique_by_key(table.select(F.col(right_key).alias(left_key), *columns), left_key, columns,
-                         "served table").withColumn("found", F.lit(True))
+    vals = lookup_rows(table.select(F.col(right_key).alias(left_key), *columns), left_key, columns, keys,
+                       "served table", unique).withColumn("found", F.lit(True))
     out = keys.select(left_key).join(vals, left_key, "left")
     return out.select(left_key, F.coalesce(F.col("found"), F.lit(False)).alias("found"), *columns)

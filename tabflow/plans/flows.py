@@ -3,7 +3,6 @@ nothing is passed through side channels."""
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from typing import Optional, Sequence
 
@@ -11,10 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
-from tabflow.operators.quality import assert_unique
-from tabflow.session import scratch_path
-from tabflow.sources.tables import (PartitionedKeyedTable, VersionedTable, child_ids, has_data_files,
-                                    read_table)
+from tabflow.sources.tables import append_batch, batch_ids, child_ids, has_data_files, read_newest, read_table
 
 
 INGEST_COL = "ingest_id"
@@ -22,7 +18,7 @@ INGEST_COL = "ingest_id"
 
 def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Optional[str],
                       test_size: float = 0.2, seed: int = 42, split_col: str = "split",
-                      ingest_id: Optional[int] = None, buckets: Optional[int] = None) -> bool:
+                      ingest_id: Optional[int] = None) -> bool:
     """Split only rows whose key is not yet in the split table; append them.
 
     The split table is ONE parquet table laid out as
@@ -40,10 +36,9 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
     keys are dropped before the diff, so rows that can never be split are
     not "new" on every run.
 
-    ``buckets``: the table is also bucketed by the key (an external catalog
-    table over ``split_table``).  The diff then reads the seen keys as a
-    bucketed scan and shuffles only the incoming rows, instead of every key
-    ever split.
+    The diff reads only the key column of earlier ingests and is an ordinary
+    anti-join of two scans, so AQE can split a hot incoming key and any
+    session, with whatever settings, extends the same table.
     """
     spark = input_df.sparkSession
     split._check_test_size(test_size)
@@ -52,58 +47,14 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
     rows = input_df.where(F.col(pk).isNotNull())
     if target is not None:
         rows = split.drop_missing_target(rows, target)
-    has_rows = has_data_files(spark, split_table)
-    catalog_name = _bucketed_split_table(spark, split_table, pk, buckets) if buckets and has_rows else None
-    if has_rows and any(i < run for i in done):
-        seen = spark.table(catalog_name) if catalog_name else spark.read.parquet(split_table)
-        rows = split.new_rows(rows, seen.where(F.col(INGEST_COL) < run).select(pk), pk)
-    tagged = rows.withColumn(split_col, split.split_side(pk, test_size, seed))
+    if any(i < run for i in done) and has_data_files(spark, split_table):
+        seen = spark.read.parquet(split_table).where(F.col(INGEST_COL) < run)
+        rows = split.new_rows(rows, seen.select(pk), pk)
     out = f"{split_table.rstrip('/')}/{INGEST_COL}={run}"
-    if not buckets:
-        tagged.write.mode("overwrite").partitionBy(split_col).parquet(out)
-    elif catalog_name is None:  # first load creates the bucketed table
-        (tagged.withColumn(INGEST_COL, F.lit(run)).write.mode("overwrite").format("parquet")
-               .partitionBy(INGEST_COL, split_col).bucketBy(buckets, pk)
-               .option("path", split_table).saveAsTable(_split_table_name(split_table)))
-    else:
-        # The new rows are staged first (the diff reads the table, and a table
-        # cannot be overwritten by a plan that reads it); then exactly this
-        # ingest's partitions are replaced (static ingest value), bucketed
-        # like the table.
-        stage = scratch_path(spark, "split_stage")
-        tagged.write.mode("overwrite").parquet(stage)
-        if not has_data_files(spark, stage):
-            return has_data_files(spark, out)
-        data_cols = [c for c in spark.table(catalog_name).columns if c not in (INGEST_COL, split_col)]
-        view = f"tabflow_in_{uuid.uuid4().hex[:12]}"
-        spark.read.parquet(stage).createOrReplaceTempView(view)
-        try:
-            cols = ", ".join(f"`{c}`" for c in data_cols + [split_col])
-            spark.sql(f"INSERT OVERWRITE TABLE {catalog_name} PARTITION ({INGEST_COL} = {run}, `{split_col}`) "
-                      f"SELECT {cols} FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
+    rows.withColumn(split_col, split.split_side(pk, test_size, seed)).write.mode("overwrite").partitionBy(split_col).parquet(out)
     return has_data_files(spark, out)
 
 
-def _split_table_name(path: str) -> str:
-    return f"tabflow_split_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:12]}"
-
-
-def _bucketed_split_table(spark, path: str, pk: str, buckets: int, split_col: str = "split") -> str:
-    """Catalog name of the bucketed split table, registering it over its
-    folder (partitions recovered) when this session does not know it yet."""
-    name = _split_table_name(path)
-    if not spark.catalog.tableExists(name):
-        fields = [f for f in spark.read.parquet(path).schema.fields if f.name not in (INGEST_COL, split_col)]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        spark.sql(f"CREATE TABLE {name} ({cols}, `{INGEST_COL}` INT, `{split_col}` STRING) USING parquet "
-                  f"PARTITIONED BY ({INGEST_COL}, `{split_col}`) CLUSTERED BY (`{pk}`) INTO {buckets} BUCKETS "
-                  f"LOCATION '{path}'")
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return name
-
-
 def split_tables(spark, split_table: str, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
     """(train, test) views of a split table (partition pruning on ``split``)."""
     df = read_table(spark, split_table).drop(INGEST_COL)
@@ -111,34 +62,21 @@ def split_tables(spark, split_table: str, split_col: str = "split") -> tuple[Dat
             df.where(F.col(split_col) == split.TEST).drop(split_col))
 
 
-def write_keyed(table: VersionedTable | PartitionedKeyedTable, new: DataFrame, pk: str,
-                order_by: Optional[Sequence[str]] = None, version: Optional[int] = None) -> str:
-    """Create the keyed table or upsert into it (one new version per call).
+def write_keyed(root: str, new: DataFrame, pk: str, order_by: Optional[Sequence[str]] = None,
+                batch_id: Optional[int] = None) -> str:
+    """Create the keyed table under ``root`` or upsert into it: one batch.
 
-    ``version`` (e.g. a micro-batch id + 1) makes the call idempotent: the
-    old side is always read from the latest version *below* it.  A NULL or
-    repeated key in ``new`` fails the write job (checked lazily, no separate
-    pass before writing); the failed version is never committed.
+    ``batch_id`` makes the call idempotent (a retry replaces its batch).
+    With ``order_by`` duplicate keys in ``new`` are resolved first; a NULL or
+    repeated key that is left fails the write, and the batch is never read.
     """
     if pk not in new.columns:
         raise ValueError(f"Primary key column '{pk}' not found in feature_data")
-    new = keyed.dedupe_by_key(new, pk, order_by)
-    if isinstance(table, PartitionedKeyedTable):
-        if not table.exists():
-            table.create(assert_unique(new, pk, "feature_data"))
-            return f"Table {table.root} has been created with key {pk}."
-        table.upsert(new)  # upsert fails the job on a NULL or repeated key
-        return f"The feature data has been successfully upserted into {table.root}."
-    current = table.current_version(before=version)
-    target_version = version if version is not None else (current or 0) + 1
-    if current is None:
-        table.write(assert_unique(new, pk, "feature_data"), target_version)
-        return f"Table {table.root} has been created with key {pk}."
-    # bucketed table: only the batch is shuffled; the kept rows stay in their buckets.
-    # upsert fails the job on a NULL or repeated key, so no separate check is needed.
-    merged = keyed.upsert(table.read(current), table.align(new), pk)
-    table.write(merged, target_version, aligned=table.bucketed)
-    return f"The feature data has been successfully upserted into {table.root}."
+    created = not [n for n in batch_ids(new.sparkSession, root) if batch_id is None or n < batch_id]
+    append_batch(keyed.dedupe_by_key(new, pk, order_by), root, pk, batch_id)
+    if created:
+        return f"Table {root} has been created with key {pk}."
+    return f"The feature data has been successfully upserted into {root}."
 
 
 RUNS_SCHEMA = ("model string, run_id string, run_order long, mse double, mae double, r2 double, "
@@ -146,20 +84,21 @@ RUNS_SCHEMA = ("model string, run_id string, run_order long, mse double, mae dou
 REGISTRY_SCHEMA = "model string, version long, run_id string"
 
 
-def _count(spark, path: str, model: str) -> int:
+def _largest(spark, path: str, model: str, column: str) -> int:
     if not has_data_files(spark, path):
         return 0
-    return spark.read.parquet(path).where(F.col("model") == model).count()
+    return spark.read.parquet(path).where(F.col("model") == model).agg(F.max(column)).first()[0] or 0
 
 
-def next_run_id(spark, runs_table: str, model: str) -> str:
-    return f"{model}-run-{_count(spark, runs_table, model) + 1}"
+def new_run_id(model: str) -> str:
+    """Unique, so a run that failed half-way never blocks the next one."""
+    return f"{model}-run-{uuid.uuid4().hex[:12]}"
 
 
 def log_run(spark, runs_table: str, model: str, metrics_row, params, run_id: Optional[str] = None) -> str:
     """Append one run record (metrics + parameters); returns the run id."""
-    run_id = run_id or next_run_id(spark, runs_table, model)
-    order = int(run_id.rsplit("-", 1)[1])
+    run_id = run_id or new_run_id(model)
+    order = _largest(spark, runs_table, model, "run_order") + 1
     rec = spark.createDataFrame(
         [(model, run_id, order, metrics_row["mse"], metrics_row["mae"], metrics_row["r2"],
           params.max_depth, params.n_estimators, float(params.learning_rate))], RUNS_SCHEMA)
@@ -168,7 +107,7 @@ def log_run(spark, runs_table: str, model: str, metrics_row, params, run_id: Opt
 
 
 def register_version(spark, registry_table: str, model: str, run_id: str) -> int:
-    version = _count(spark, registry_table, model) + 1
+    version = _largest(spark, registry_table, model, "version") + 1
     spark.createDataFrame([(model, version, run_id)], REGISTRY_SCHEMA).write.mode("append").parquet(registry_table)
     return version
 
@@ -190,11 +129,10 @@ def evaluate_and_promote(spark, runs_table: str, registry_table: str, model: str
                                  "new_mae double, promote boolean")
 
 
-def version_changes(table: VersionedTable, pk: str, from_version: int,
-                    to_version: Optional[int] = None) -> DataFrame:
-    """Row-level change feed of a versioned keyed table between two versions
-    (default: up to the current one): ``(pk, change_type, *columns)``."""
-    to_v = table.current_version() if to_version is None else to_version
-    if to_v is None:
-        raise ValueError(f"No committed version under {table.root}")
-    return keyed.row_changes(table.read(from_version), table.read(to_v), pk)
+def batch_changes(spark, root: str, pk: str, since: int, upto: Optional[int] = None) -> DataFrame:
+    """Row-level change feed of a keyed table between two batches (default: up
+    to the newest): ``(pk, change_type, *columns)``.
+    """
+    old = read_newest(spark, root, pk, since)
+    new = read_newest(spark, root, pk, upto)
+    return keyed.row_changes(old, new, pk)

@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import exact_avg_sql, register, sround, table
+from tabflow.plans.catalog import exact, exact_avg_sql, register, sround, table
 from tabflow.plans.queries_tables import ORDER_COLS
 from tabflow.session import scratch_path
-from tabflow.sources.tables import VersionedTable
+from tabflow.sources.tables import append_batch, read_newest
 from tabflow.streaming import stream_incremental_split, stream_profile, stream_upsert
 
 
@@ -26,7 +26,7 @@ def q_stream_incremental_split(spark, sf_dir):
     for arrival in arrivals + [None]:  # last run: nothing new arrived
         if arrival is not None:
             arrival.write.mode("append").parquet(incoming)
-        stream_incremental_split(spark, incoming, bookings.schema, out, ckpt, S.PK, "status", buckets=8)
+        stream_incremental_split(spark, incoming, bookings.schema, out, ckpt, S.PK, "status")
     return spark.read.parquet(out).select(S.PK, "o_totalprice", "status", "split")
 
 
@@ -47,37 +47,45 @@ UNION ALL SELECT {ORDER_COLS} FROM ({_U2_SQL}) v
 def q_stream_upsert(spark, sf_dir):
     root = scratch_path(spark, "stream_upsert")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/table", f"{root}/checkpoint"
-    t = VersionedTable(spark, out, bucket_by=(S.PK, 8))
-    t.write(S.old_snapshot(spark, sf_dir), 0)  # initial load = version 0, bucketed by key
+    append_batch(S.old_snapshot(spark, sf_dir), out, S.PK, 0)  # initial load
     orders = table(spark, sf_dir, "orders")
     u2 = (orders.where(F.col("o_orderdate") >= S.ts(_U2_FROM))
                 .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") + 2.0)
                             .otherwise(F.col("o_totalprice"))))
     for arrival in (S.update_batch(spark, sf_dir), u2):
         arrival.write.mode("append").parquet(incoming)
-        stream_upsert(spark, incoming, orders.schema, out, ckpt, S.PK, buckets=8)
-    return t.read()
+        stream_upsert(spark, incoming, orders.schema, out, ckpt, S.PK)
+    return read_newest(spark, out, S.PK)
 
 
-_STREAM_PROFILE_SQL = """
-SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, event_type, 'value' AS column_name,
+def _profile_sql(unit: str) -> str:
+    return f"""
+SELECT date_trunc('{unit}', ts) AS window_start, event_type, 'value' AS column_name,
        count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS nulls,
-       """ + sround(exact_avg_sql("value"), 4) + """ AS avg, """ + sround("min(value)", 4) + """ AS min,
-       """ + sround("max(value)", 4) + """ AS max, """ + sround("stddev_samp(value)", 4) + """ AS stddev
+       {sround(exact_avg_sql("value"), 4)} AS avg, {sround("min(value)", 4)} AS min,
+       {sround("max(value)", 4)} AS max, {sround("stddev_samp(value)", 4)} AS stddev
 FROM events GROUP BY 1, 2
 """
 
 
-@register("stream_profile", sql=_STREAM_PROFILE_SQL)
-def q_stream_profile(spark, sf_dir):
+def _stream_profile(spark, sf_dir, window):
     root = scratch_path(spark, "stream_profile")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/table", f"{root}/checkpoint"
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events").withColumn("value", exact("value"))
     half = S.ts("2024-01-16")
     for arrival in (events.where(F.col("ts") < half), events.where(F.col("ts") >= half)):
         arrival.write.mode("append").parquet(incoming)
-        stream_profile(spark, incoming, events.schema, out, ckpt, "ts", ["value"], slices=["event_type"],
-                       exact_scale=2)
-    prof = VersionedTable(spark, out).read()
+        stream_profile(spark, incoming, events.schema, out, ckpt, "ts", ["value"], window=window, slices=["event_type"])
+    prof = read_newest(spark, out, ["window_start", "event_type", "column_name"])
     return prof.select("window_start", "event_type", "column_name", "n", "nulls",
                        *[F.round(c, 4).alias(c) for c in ("avg", "min", "max", "stddev")])
+
+
+@register("stream_profile", sql=_profile_sql("day"))
+def q_stream_profile(spark, sf_dir):
+    return _stream_profile(spark, sf_dir, "1 day")
+
+
+@register("stream_profile_hourly", sql=_profile_sql("hour"))
+def q_stream_profile_hourly(spark, sf_dir):
+    return _stream_profile(spark, sf_dir, "1 hour")

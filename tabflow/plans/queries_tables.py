@@ -13,6 +13,7 @@ from tabflow.plans import standins as S
 from tabflow.plans.catalog import register, table
 from tabflow.plans.flows import incremental_split
 from tabflow.session import scratch_path
+from tabflow.sources.tables import materialize
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -83,9 +84,8 @@ FROM ({S.BOOKINGS_SQL}) b WHERE status IS NOT NULL
 def q_incremental_split(spark, sf_dir):
     root = scratch_path(spark, "incremental_split")
     first = S.bookings(spark, sf_dir).where(F.col("o_orderdate") < S.ts(S.OLD_CUTOFF))
-    # split table bucketed by key: the second run's diff shuffles only the incoming rows
-    incremental_split(first, root, S.PK, "status", buckets=8)                      # first load
-    incremental_split(S.bookings(spark, sf_dir), root, S.PK, "status", buckets=8)  # only new keys added
+    incremental_split(first, root, S.PK, "status")                      # first load
+    incremental_split(S.bookings(spark, sf_dir), root, S.PK, "status")  # only new keys added
     return (spark.read.parquet(root).select(S.PK, "o_totalprice", "status", "split"))
 
 
@@ -115,15 +115,15 @@ SELECT {ORDER_COLS} FROM ({S.UPDATE_SQL}) u
 
 @register("upsert_partitioned", sql=_UPSERT_SQL)
 def q_upsert_partitioned(spark, sf_dir):
-    """Keyed table partitioned by key hash: the upsert rewrites only the
-    buckets the batch touches (dynamic partition overwrite)."""
+    """Keyed table on disk, batch by batch: an upsert writes its rows only,
+    and a read takes each key's newest."""
     from tabflow.plans.flows import write_keyed
-    from tabflow.sources.tables import PartitionedKeyedTable
+    from tabflow.sources.tables import read_newest
 
-    t = PartitionedKeyedTable(spark, scratch_path(spark, "keyed_partitioned"), S.PK, 64)
-    write_keyed(t, S.old_snapshot(spark, sf_dir), S.PK)      # create
-    write_keyed(t, S.update_batch(spark, sf_dir), S.PK)      # upsert
-    return t.read().select(*ORDER_COLS.split(", "))
+    root = scratch_path(spark, "keyed_partitioned")
+    write_keyed(root, S.old_snapshot(spark, sf_dir), S.PK)      # create
+    write_keyed(root, S.update_batch(spark, sf_dir), S.PK)      # upsert
+    return read_newest(spark, root, S.PK).select(*ORDER_COLS.split(", "))
 
 
 _FEED_SQL = f"""
@@ -138,15 +138,14 @@ WHERE o.o_orderkey IS NULL OR u.o_custkey IS DISTINCT FROM o.o_custkey
 
 @register("version_change_feed", sql=_FEED_SQL)
 def q_version_change_feed(spark, sf_dir):
-    """Keyed table created from the first snapshot (version 1), upserted with
-    the update batch (version 2); the change feed between the two versions."""
-    from tabflow.plans.flows import version_changes, write_keyed
-    from tabflow.sources.tables import VersionedTable
+    """Keyed table created from the first snapshot (batch 0), upserted with
+    the update batch (batch 1); the change feed between the two."""
+    from tabflow.plans.flows import batch_changes, write_keyed
 
-    t = VersionedTable(spark, scratch_path(spark, "keyed_feed"))
-    write_keyed(t, S.old_snapshot(spark, sf_dir), S.PK)
-    write_keyed(t, S.update_batch(spark, sf_dir), S.PK)
-    return version_changes(t, S.PK, 1, 2)
+    root = scratch_path(spark, "keyed_feed")
+    write_keyed(root, S.old_snapshot(spark, sf_dir), S.PK)
+    write_keyed(root, S.update_batch(spark, sf_dir), S.PK)
+    return batch_changes(spark, root, S.PK, 0, 1)
 
 
 _CHANGES_SQL = f"""
@@ -174,7 +173,7 @@ def q_row_changes(spark, sf_dir):
 @register("sync_copy", sql=S.SNAPSHOT2_SQL)
 def q_sync_copy(spark, sf_dir):
     old = S.old_snapshot(spark, sf_dir)
-    changes = keyed.row_changes(old, S.snapshot2(spark, sf_dir), S.PK)
+    changes = materialize(keyed.row_changes(old, S.snapshot2(spark, sf_dir), S.PK), "feed")  # evaluated once
     return keyed.apply_changes(old, changes, S.PK)
 
 

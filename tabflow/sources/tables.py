@@ -1,14 +1,12 @@
-"""Reading, appending and versioned (staged) writing of tables.
+"""Reading, appending and keyed (batch by batch) writing of tables.
 
 A table is addressed either by catalog name (``catalog.schema.table``) or
 by a storage path (anything containing ``/`` or ``:``).  Parquet is the
 storage format (no transactional table format is assumed).
 
-Versioned tables replace "overwrite in place": version ``v+1`` is written
-beside ``v`` and becomes current once its job commit has written the
-``_SUCCESS`` marker.  Readers always see a complete version; a failed or
-retried writer rewrites only its own version directory.  One writer per
-table at a time.
+Keyed tables are appended batch by batch and read as each key's newest row
+(:func:`append_batch`, :func:`read_newest`): a reader sees only committed
+batches, and a failed or retried writer rewrites only its own.
 """
 
 from __future__ import annotations
@@ -19,8 +17,6 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VERSION_DIR = re.compile(r"^version-(\d{8})$")
-
 
 def is_path(name: str) -> bool:
     return "/" in name or ":" in name
@@ -114,8 +110,7 @@ def append(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def overwrite(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Create or replace.  Never point this at a table the plan reads from:
-    use :class:`VersionedTable` for read-modify-write."""
+    """Create or replace.  Never point this at a table the plan reads from."""
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -125,157 +120,53 @@ def overwrite(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Non
         w.saveAsTable(name)
 
 
-class VersionedTable:
-    """Parquet table stored as ``root/version-NNNNNNNN/`` directories.
-
-    With ``bucket_by=(key, n)`` every version is written bucketed by the key
-    (``bucketBy``, registered as an external catalog table over the version
-    directory).  Reading a version then gives a bucketed scan: a join or
-    anti-join on the key against it shuffles only the other side – an upsert
-    moves the new batch, not the table.  ``n`` should put a few hundred MB in
-    a bucket.
-    """
+BATCH_COL = "batch_id"
 
-    def __init__(self, spark: SparkSession, root: str,
-                 bucket_by: Optional[tuple[str | Sequence[str], int]] = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        if bucket_by is not None:
-            cols, n = bucket_by
-            self.bucket_cols = [cols] if isinstance(cols, str) else list(cols)
-            self.buckets = int(n)
-        else:
-            self.bucket_cols, self.buckets = [], 0
-
-    @property
-    def bucketed(self) -> bool:
-        return self.buckets > 0
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/version-{version:08d}"
-
-    def table_name(self, version: int) -> str:
-        import hashlib
-
-        return f"tabflow_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_v{version:08d}"
-
-    def versions(self) -> list[int]:
-        """Committed versions, ascending."""
-        fs, p = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            m = _VERSION_DIR.match(st.getPath().getName())
-            if m and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath().toString() + "/_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def current_version(self, before: Optional[int] = None) -> Optional[int]:
-        vs = [v for v in self.versions() if before is None or v < before]
-        return vs[-1] if vs else None
-
-    def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def read(self, version: Optional[int] = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise ValueError(f"No committed version under {self.root}")
-        if not self.bucketed:
-            return self.spark.read.parquet(self.path(v))
-        name = self.table_name(v)
-        if not self.spark.catalog.tableExists(name):
-            # a version written by another session: register it with its bucket spec
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                             for f in self.spark.read.parquet(self.path(v)).schema.fields)
-            keys = ", ".join(f"`{c}`" for c in self.bucket_cols)
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
-                           f"INTO {self.buckets} BUCKETS LOCATION '{self.path(v)}'")
-        return self.spark.table(name)
-
-    def prune(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions (and their
-        catalog entries); returns the deleted version numbers.  Readers of a
-        deleted version must have finished – call it after a run, not during."""
-        if keep < 1:
-            raise ValueError("keep must be >= 1")
-        old = self.versions()[:-keep]
-        for v in old:
-            if self.bucketed and self.spark.catalog.tableExists(self.table_name(v)):
-                self.spark.sql(f"DROP TABLE {self.table_name(v)}")  # external: drops metadata only
-            fs, p = _fs(self.spark, self.path(v))
-            fs.delete(p, True)
-        return old
-
-    def align(self, df: DataFrame) -> DataFrame:
-        """Hash-partition ``df`` like the buckets (same hash as ``bucketBy``)."""
-        return df.repartition(self.buckets, *self.bucket_cols) if self.bucketed else df
-
-    def write(self, df: DataFrame, version: int, aligned: bool = False) -> int:
-        """Write ``version`` (overwrites only that version; safe to retry).
-
-        ``aligned``: ``df`` is already partitioned like the buckets (e.g. the
-        kept rows of a bucketed version plus an aligned batch), so it is
-        written without another shuffle.
-        """
-        if not self.bucketed:
-            df.write.mode("overwrite").format("parquet").save(self.path(version))
-            return version
-        if not aligned:
-            df = self.align(df)
-        (df.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *self.bucket_cols)
-           .option("path", self.path(version)).saveAsTable(self.table_name(version)))
-        return version
-
-
-class PartitionedKeyedTable:
-    """Keyed parquet table partitioned by a hash bucket of the key.
-
-    An upsert rewrites only the buckets its batch touches (Spark's dynamic
-    partition overwrite: output goes to a staging folder, then only the
-    written partitions are replaced).  Every key lives in exactly one bucket,
-    so a reader sees each key either before or after the upsert – never
-    twice or missing – and re-running a failed upsert with the same batch is
-    idempotent.  Compared with :class:`VersionedTable` there are no
-    snapshot versions; the win is that I/O follows the batch, not the table.
-    ``buckets`` should put a few hundred MB to a few GB in a bucket.
-    """
 
-    BUCKET = "_bucket"
+def batch_ids(spark: SparkSession, root: str) -> list[int]:
+    """Committed batches of a keyed table, ascending (a batch is there once its ``_SUCCESS`` is)."""
+    fs, _ = _fs(spark, root)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [n for n in child_ids(spark, root, BATCH_COL)
+            if fs.exists(path(f"{root.rstrip('/')}/{BATCH_COL}={n}/_SUCCESS"))]
 
-    def __init__(self, spark: SparkSession, root: str, pk: str, buckets: int):
-        self.spark, self.root, self.pk, self.buckets = spark, root.rstrip("/"), pk, int(buckets)
 
-    def bucket_of(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.BUCKET, F.expr(f"pmod(hash(`{self.pk}`), {self.buckets})"))
+def append_batch(df: DataFrame, root: str, pk: str | Sequence[str], batch_id: Optional[int] = None) -> int:
+    """Write ``df`` as one batch of a keyed table; returns its id.
 
-    def exists(self) -> bool:
-        return has_data_files(self.spark, self.root)
+    A keyed table is a folder of batches; a key's newest batch holds its row.
+    Writing touches only the batch, so its cost follows the new rows, and
+    writing a batch again (a retried job, a replayed micro-batch) replaces
+    it.  A NULL or repeated key fails the write; such a batch is never read.
+    """
+    from tabflow.operators.quality import assert_unique
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop(self.BUCKET)
+    spark = df.sparkSession
+    if batch_id is None:
+        done = batch_ids(spark, root)
+        batch_id = done[-1] + 1 if done else 0
+    assert_unique(df, pk, "feature_data").write.mode("overwrite").parquet(f"{root.rstrip('/')}/{BATCH_COL}={batch_id}")
+    return batch_id
 
-    def create(self, df: DataFrame) -> None:
-        # one task per bucket: one file per bucket
-        (self.bucket_of(df).repartition(self.BUCKET).write.mode("overwrite")
-             .partitionBy(self.BUCKET).parquet(self.root))
 
-    def upsert(self, new: DataFrame) -> None:
-        """``new`` must be unique on the key (see :func:`keyed.upsert`)."""
-        from tabflow.operators.keyed import upsert
+def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: Optional[int] = None) -> DataFrame:
+    """A keyed table's state: for each key its row of the newest batch (up to ``upto``).
 
-        batch = self.bucket_of(new)
-        # the bucket ids a batch touches: at most `buckets` small integers
-        touched = [r[0] for r in batch.select(self.BUCKET).distinct().collect()]
-        if not touched:
-            return
-        old = self.spark.read.parquet(self.root).where(F.col(self.BUCKET).isin(touched))  # partition pruning
-        merged = upsert(old, batch.select(*old.columns), self.pk)
-        # a touched bucket is rewritten whole by one task: one file per bucket, no small-file build-up
-        (merged.repartition(self.BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(self.BUCKET).parquet(self.root))
+    Newest batches are found on the key columns alone; each row is then kept
+    if it is its key's newest.  With one batch this is a plain scan.  A table
+    of many batches is compacted by writing this state as the first batch of
+    another folder.
+    """
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    ids = [n for n in batch_ids(spark, root) if upto is None or n <= upto]
+    if not ids:
+        raise ValueError(f"No batch under {root}")
+    base = root.rstrip("/")
+    rows = spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={n}" for n in ids])
+    if len(ids) > 1:
+        newest = rows.groupBy(*keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
+        rows = rows.join(newest, [*keys, BATCH_COL], "left_semi")
+    return rows.drop(BATCH_COL)
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:

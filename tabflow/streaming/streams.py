@@ -9,8 +9,9 @@ instead of appending twice:
 * split: each batch is the batch :func:`tabflow.plans.flows.incremental_split`
   with ``ingest_id = batch_id``: rows go to ``split_table/ingest_id=N/...``
   (overwritten on replay) and the diff reads only ``ingest_id < N``.
-* upsert / profile: batch N writes version N+1 of a versioned table from
-  the newest version below it.
+* upsert / profile: micro-batch N writes batch N+1 of a keyed table
+  (:func:`tabflow.sources.tables.append_batch`); readers take each key's
+  newest row, so a micro-batch costs what it holds, not the table.
 
 ``trigger(availableNow=True)`` processes what has arrived and stops, the
 streaming equivalent of a scheduled job run.
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.functions.dates import ntz_as_utc, utc_date
+from tabflow.functions.dates import ntz_as_utc
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics
-from tabflow.sources.tables import PartitionedKeyedTable, VersionedTable, child_ids, has_data_files
+from tabflow.sources.tables import append_batch
 
 
 def _source(spark: SparkSession, path: str, schema: StructType,
@@ -49,106 +50,84 @@ def _run(df: DataFrame, fn, checkpoint: str, output_mode: str = "append", name:
 
 
 def split_batch_writer(spark: SparkSession, split_table: str, pk: str, target: Optional[str],
-                       test_size: float = 0.2, seed: int = 42, buckets: Optional[int] = None):
+                       test_size: float = 0.2, seed: int = 42):
     """``foreachBatch`` function: the batch's new keys go to ``ingest_id=batch_id``.
 
     It is the batch :func:`tabflow.plans.flows.incremental_split` run with
     ``ingest_id = batch_id``: it reads only earlier ingests and overwrites its
-    own, so a replayed batch rewrites the same rows.  With ``buckets`` the
-    split table is bucketed by key and a micro-batch shuffles only itself.
+    own, so a replayed batch rewrites the same rows.
     """
     from tabflow.plans.flows import incremental_split
 
     split._check_test_size(test_size)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        incremental_split(batch, split_table, pk, target, test_size, seed, ingest_id=batch_id, buckets=buckets)
+        incremental_split(batch, split_table, pk, target, test_size, seed, ingest_id=batch_id)
 
     return per_batch
 
 
 def stream_incremental_split(spark: SparkSession, source: str, schema: StructType, split_table: str,
                              checkpoint: str, pk: str, target: Optional[str], test_size: float = 0.2,
-                             seed: int = 42, max_files_per_trigger: Optional[int] = None,
-                             buckets: Optional[int] = None) -> None:
+                             seed: int = 42, max_files_per_trigger: Optional[int] = None) -> None:
     """Run once over newly arrived files: new keys are split and appended."""
-    writer = split_batch_writer(spark, split_table, pk, target, test_size, seed, buckets)
+    writer = split_batch_writer(spark, split_table, pk, target, test_size, seed)
     _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 
-def upsert_batch_writer(spark: SparkSession, table_root: str, pk: str | Sequence[str],
-                        order_by: Optional[Sequence[str]] = None, buckets: Optional[int] = None,
-                        partitioned: bool = False):
-    """``foreachBatch`` function.
-
-    Default layout: version ``batch_id + 1`` = newest version below it
-    upserted with the batch (``buckets``: versions bucketed by the key, so a
-    micro-batch shuffles only itself).  ``partitioned=True``: a
-    :class:`PartitionedKeyedTable` with ``buckets`` key-hash partitions, where
-    a micro-batch rewrites only the partitions it touches; a replayed batch
-    re-applies the same upsert, which changes nothing.
-    """
-    if partitioned:
-        if not buckets or not isinstance(pk, str):
-            raise ValueError("partitioned layout needs one key column and a bucket count")
-        ptable = PartitionedKeyedTable(spark, table_root, pk, buckets)
-
-        def per_batch_partitioned(batch: DataFrame, batch_id: int) -> None:
-            ptable.upsert(keyed.dedupe_by_key(batch, pk, order_by))
-
-        return per_batch_partitioned
-    table = VersionedTable(spark, table_root, bucket_by=(pk, buckets) if buckets else None)
+def upsert_batch_writer(pk: str | Sequence[str], table_root: str, order_by: Optional[Sequence[str]] = None):
+    """``foreachBatch`` function: micro-batch N becomes batch N+1 of the keyed
+    table (batch 0 is the initial load).  A NULL or repeated key fails it."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        current = table.current_version(before=version)
-        if current is None:
-            raise ValueError(f"No base version of {table_root} below {version}")
-        merged = keyed.upsert(table.read(current), table.align(batch), pk, order_by)
-        table.write(merged, version, aligned=table.bucketed and not order_by)
+        append_batch(keyed.dedupe_by_key(batch, pk, order_by), table_root, pk, batch_id + 1)
 
     return per_batch
 
 
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
                   pk: str | Sequence[str], order_by: Optional[Sequence[str]] = None,
-                  max_files_per_trigger: Optional[int] = None, buckets: Optional[int] = None,
-                  partitioned: bool = False) -> None:
-    """Upsert each micro-batch into a versioned keyed table (version = batch_id + 1).
-
-    The table's base version (the initial load) is version 0; with
-    ``partitioned=True`` the initial load is the existing partitioned table.
-    """
-    writer = upsert_batch_writer(spark, table_root, pk, order_by, buckets, partitioned)
-    _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
+                  max_files_per_trigger: Optional[int] = None) -> None:
+    """Upsert each micro-batch into a keyed table, to be read by ``read_newest``."""
+    _run(_source(spark, source, schema, max_files_per_trigger), upsert_batch_writer(pk, table_root, order_by), checkpoint)
 
 
 def stream_profile(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
                    ts_col: str, columns: Sequence[str], window: str = "1 day",
                    watermark: str = "1 day", slices: Sequence[str] = (),
-                   max_files_per_trigger: Optional[int] = None, exact_scale: Optional[int] = None) -> None:
+                   max_files_per_trigger: Optional[int] = None) -> int:
     """Windowed profile maintained incrementally (update mode).
 
     State holds one partial aggregate per open (window, slice); windows older
     than the watermark are finalised and dropped from state.  Each batch's
-    updated rows are upserted into the profile table by
-    ``(window_start, *slices, column_name)``.
+    updated rows become a batch of the profile table, keyed by
+    ``(window_start, *slices, column_name)``; ``window_start`` is the start
+    of the window as a UTC wall-clock timestamp, so windows of any length
+    have their own rows.
+
+    Returns the number of rows of this run that came later than the
+    watermark; those are not in the profile, so a caller who gets more than
+    0 runs the batch profile over the affected windows.
     """
-    table = VersionedTable(spark, table_root)
     events = _source(spark, source, schema, max_files_per_trigger)
     if dict(events.dtypes)[ts_col] == "timestamp_ntz":
         events = events.withColumn(ts_col, ntz_as_utc(ts_col))
     events = events.withWatermark(ts_col, watermark)
-    prof = profile_metrics(events, F.window(ts_col, window), list(columns), window_name="w", slices=slices,
-                           exact_scale=exact_scale)
-    prof = prof.select(utc_date(F.col("w.start")).alias("window_start"), *slices,
-                       *[c for c in prof.columns if c not in ("w", *slices)])
+    prof = profile_metrics(events, F.window(ts_col, window), list(columns), window_name="w", slices=slices)
+    start = F.to_timestamp_ntz(F.convert_timezone(None, F.lit("UTC"), F.col("w.start").cast("timestamp_ntz")).cast("string"))
+    prof = prof.select(start.alias("window_start"), *slices, *[c for c in prof.columns if c not in ("w", *slices)])
     keys = ["window_start", *slices, "column_name"]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        current = table.current_version(before=version)
-        merged = batch if current is None else keyed.upsert(table.read(current), batch, keys)
-        table.write(merged, version)
+        batch.persist()  # the key check and the write read it; state is updated once
+        append_batch(batch, table_root, keys, batch_id + 1)
+        batch.unpersist()
+
+    query = _run(prof, per_batch, checkpoint, output_mode="update")
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in _operators(p))
+
+
+def _operators(progress) -> list[dict]:
+    import json
 
-    _run(prof, per_batch, checkpoint, output_mode="update")
+    return json.loads(progress.json)["stateOperators"]

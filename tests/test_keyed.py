@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tabflow.operators import keyed
 from tabflow.plans.flows import write_keyed
 from tabflow.session import scratch_path
-from tabflow.sources.tables import VersionedTable
+from tabflow.sources.tables import append_batch, batch_ids, read_newest
 from tests.conftest import rows
 
 
@@ -84,22 +84,33 @@ def test_latest_per_key_hot_key(spark):
     assert out.where("k = 0").first()["payload"] == 3999
 
 
-def test_write_keyed_versions(spark):
-    t = VersionedTable(spark, scratch_path(spark, "keyed"))
+def test_write_keyed_batches(spark):
+    t = scratch_path(spark, "keyed")
     a = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
     assert "created" in write_keyed(t, a, "id")
     b = spark.createDataFrame([(2, "B"), (3, "c")], "id long, v string")
     assert "upserted" in write_keyed(t, b, "id")
-    assert t.versions() == [1, 2]
-    assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c")]
-    assert rows(t.read(1)) == [(1, "a"), (2, "b")]
-    # replaying version 2 is idempotent (reads version 1, rewrites 2)
-    write_keyed(t, b, "id", version=2)
-    assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c")]
-    dup = spark.createDataFrame([(5, "x"), (5, "y")], "id long, v string")
-    with pytest.raises(Exception, match="NULL or duplicate key in (feature_data|upsert batch): 5"):
-        write_keyed(t, dup, "id")
-    assert t.versions() == [1, 2]  # the failed write committed nothing
+    assert batch_ids(spark, t) == [0, 1]
+    assert rows(read_newest(spark, t, "id")) == [(1, "a"), (2, "B"), (3, "c")]
+    assert rows(read_newest(spark, t, "id", upto=0)) == [(1, "a"), (2, "b")]
+    write_keyed(t, b, "id", batch_id=1)  # a retry replaces its batch
+    assert rows(read_newest(spark, t, "id")) == [(1, "a"), (2, "B"), (3, "c")]
+    for bad in ([(5, "x"), (5, "y")], [(None, "x")]):
+        with pytest.raises(Exception, match="NULL or duplicate key in feature_data: (5|NULL)"):
+            write_keyed(t, spark.createDataFrame(bad, "id long, v string"), "id")
+    assert batch_ids(spark, t) == [0, 1]  # the failed writes committed nothing
+    assert write_keyed(t, spark.createDataFrame([(5, "x"), (5, "y")], "id long, v string"), "id", order_by=["v"])
+    assert rows(read_newest(spark, t, "id").where("id = 5")) == [(5, "y")]
+
+
+def test_keyed_table_with_two_keys_and_nothing(spark):
+    t = scratch_path(spark, "keyed2")
+    with pytest.raises(ValueError):
+        read_newest(spark, t, ["a", "b"])
+    append_batch(spark.createDataFrame([(1, "x", 1), (1, "y", 1)], "a int, b string, v int"), t, ["a", "b"])
+    append_batch(spark.createDataFrame([(1, "y", 2)], "a int, b string, v int"), t, ["a", "b"])
+    append_batch(spark.createDataFrame([], "a int, b string, v int"), t, ["a", "b"])
+    assert rows(read_newest(spark, t, ["a", "b"]), "a", "b", "v") == [(1, "x", 1), (1, "y", 2)]
 
 
 def test_duplicate_lookup_key_fails_not_multiplies(spark):
@@ -122,63 +133,27 @@ def test_upsert_duplicate_batch_key_fails(old, spark):
         keyed.upsert(old, dup, "id").collect()
 
 
-def test_bucketed_keyed_table_upsert_shuffles_only_the_batch(spark):
-    import contextlib
-    import io
-
-    root = scratch_path(spark, "keyed_bucketed")
-    t = VersionedTable(spark, root, bucket_by=("id", 4))
-    write_keyed(t, spark.range(0, 1000).select("id", (F.col("id") % 7).alias("v")), "id")
-    batch = spark.range(900, 1100).select("id", F.lit(-1).alias("v"))
-    old = t.read()
-    merged = keyed.upsert(old, t.align(batch), "id")
-    buf = io.StringIO()
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a batch too large to broadcast
-    try:
-        with contextlib.redirect_stdout(buf):
-            merged.explain()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    plan = buf.getvalue()
-    assert "Bucketed: true" in plan
-    # one exchange for the batch's keys and one aligning the batch; none for the table
-    assert plan.count("Exchange hashpartitioning") == 2
-    write_keyed(t, batch, "id")
-    got = dict(rows(t.read()))
-    assert len(got) == 1100 and got[950] == -1 and got[10] == 3
-    # a fresh registration (as another session would do) reads the same bucketed version
-    spark.sql(f"DROP TABLE {t.table_name(2)}")
-    assert t.read().count() == 1100
-
-
-def test_partitioned_keyed_table_rewrites_only_touched_buckets(spark):
-    import os
-
-    from tabflow.sources.tables import PartitionedKeyedTable
-
-    root = scratch_path(spark, "keyed_partitioned")
-    t = PartitionedKeyedTable(spark, root, "id", 16)
-    assert "created" in write_keyed(t, spark.range(0, 2000).select("id", F.lit("v0").alias("v")), "id")
-    local = root.replace("file:", "")
-    before = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("_bucket=")}
-    batch = spark.range(1995, 2003).select("id", F.lit("v1").alias("v"))  # 5 updates, 3 inserts
-    assert "upserted" in write_keyed(t, batch, "id")
-    after = {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("_bucket=")}
-    touched = {r[0] for r in t.bucket_of(batch).select("_bucket").distinct().collect()}
-    changed = {d for d in before if before[d] != after.get(d)}
-    assert changed == {f"_bucket={b}" for b in touched} and len(changed) < 16
-    got = dict(rows(t.read()))
-    assert len(got) == 2003 and got[1999] == "v1" and got[2002] == "v1" and got[5] == "v0"
-    write_keyed(t, batch, "id")  # re-running the same batch changes nothing
-    assert dict(rows(t.read())) == got
-
-
-def test_version_changes(spark):
-    from tabflow.plans.flows import version_changes
-
-    t = VersionedTable(spark, scratch_path(spark, "keyed_changes"))
+def test_batch_changes(spark):
+    from tabflow.plans.flows import batch_changes
+
+    t = scratch_path(spark, "keyed_changes")
     write_keyed(t, spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), "id")
     write_keyed(t, spark.createDataFrame([(2, "B"), (3, "c")], "id long, v string"), "id")
-    assert rows(version_changes(t, "id", 1)) == [(2, "update", "B"), (3, "insert", "c")]
-    assert version_changes(t, "id", 2).count() == 0
+    assert rows(batch_changes(spark, t, "id", 0)) == [(2, "update", "B"), (3, "insert", "c")]
+    assert batch_changes(spark, t, "id", 1).count() == 0
+
+
+def test_row_changes_tells_nulls_apart(spark):
+    a = spark.createDataFrame([(1, None, "a"), (2, "b", None), (3, None, None), (None, "n", "n")], "id long, s string, t string")
+    b = spark.createDataFrame([(1, "a", None), (2, "b", None), (3, None, None), (None, "n", "m")], "id long, s string, t string")
+    got = {(r.id, r.change_type, r.s, r.t) for r in keyed.row_changes(a, b, "id").collect()}
+    assert got == {(1, "update", "a", None), (None, "update", "n", "m")}
+
+
+def test_lookup_follows_the_request(spark):
+    keys = spark.createDataFrame([(1,), (1,), (3,)], "k long")
+    table = spark.createDataFrame([(1, 0.5), (2, 0.1), (2, 0.2), (3, None)], "id long, p double")
+    # key 2 is repeated but not asked for
+    assert rows(keyed.lookup_batch(keys, table, ("k", "id"), ["p"])) == [(1, True, 0.5), (1, True, 0.5), (3, True, None)]
+    with pytest.raises(Exception, match="Duplicate key in served table: 2"):
+        keyed.lookup_batch(spark.createDataFrame([(2,)], "k long"), table, ("k", "id"), ["p"]).collect()

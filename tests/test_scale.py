@@ -59,6 +59,22 @@ def test_lookup_join_splits_hot_probe_key(spark, hot):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_lookups_do_not_aggregate_or_shuffle_the_table(spark):
+    table = spark.range(0, 100_000).select("id", F.col("id").cast("string").alias("v"))
+    keys = spark.range(5, 15)
+    plan = final_plan(keyed.lookup_batch(keys, table, "id", ["v"]))
+    assert "LeftSemi" in plan and "SortAggregate" not in plan
+    assert "BroadcastHashJoin [id" in plan and plan.index("Window") < plan.index("LeftSemi")  # only what was asked for is counted
+    plan = initial_plan(keyed.training_set(keys, table, "id", ["v"], unique=True))
+    assert "Aggregate" not in plan
+
+
+def test_change_feed_needs_no_sort_aggregate(spark):
+    a, b = (spark.range(k, k + 1000).select("id", F.col("id").cast("string").alias("v")) for k in (0, 10))
+    plan = initial_plan(keyed.row_changes(a, b, "id"))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_anti_join_diff_splits_hot_probe_key(spark, hot):
     seen = spark.range(0, 300_000, 2).select(F.col("id").alias("k"))
     with conf(spark, **SKEW):

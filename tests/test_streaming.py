@@ -3,11 +3,14 @@ from pyspark.sql import functions as F
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics, window_start
 from tabflow.session import scratch_path
-from tabflow.sources.tables import VersionedTable
+from tabflow.sources.tables import append_batch, batch_ids, read_newest
 from tabflow.streaming import stream_incremental_split, stream_profile, stream_upsert
 from tests.conftest import rows
 
 
+PROFILE_KEY = ["window_start", "column_name"]
+
+
 def test_stream_split_equals_batch(spark):
     root = scratch_path(spark, "t_stream_split")
     df = spark.range(0, 300).select("id", (F.col("id") % 3).cast("string").alias("y"))
@@ -24,13 +27,12 @@ def test_stream_upsert_equals_batch(spark):
     base = spark.range(0, 100).select("id", F.lit("v0").alias("v"))
     u1 = spark.range(50, 150).select("id", F.lit("v1").alias("v"))
     u2 = spark.range(140, 160).select("id", F.lit("v2").alias("v"))
-    t = VersionedTable(spark, f"{root}/t")
-    t.write(base, 0)
+    append_batch(base, f"{root}/t", "id", 0)
     for u in (u1, u2):
         u.write.mode("append").parquet(f"{root}/in")
         stream_upsert(spark, f"{root}/in", base.schema, f"{root}/t", f"{root}/ck", "id")
     expect = keyed.upsert(keyed.upsert(base, u1, "id"), u2, "id")
-    assert rows(t.read()) == rows(expect)
+    assert rows(read_newest(spark, f"{root}/t", "id")) == rows(expect)
 
 
 def test_stream_profile_equals_batch(spark):
@@ -41,7 +43,8 @@ def test_stream_profile_equals_batch(spark):
     for part in (ev.where("id < 200"), ev.where("id >= 200")):
         part.write.mode("append").parquet(f"{root}/in")
         stream_profile(spark, f"{root}/in", ev.schema, f"{root}/t", f"{root}/ck", "ts", ["value"])
-    got = VersionedTable(spark, f"{root}/t").read()
+    got = read_newest(spark, f"{root}/t", PROFILE_KEY)
+    got = got.withColumn("window_start", F.to_date("window_start"))
     expect = profile_metrics(ev, window_start("ts", "day"), ["value"])
     cols = ["window_start", "column_name", "n", "nulls", "avg", "min", "max"]
     assert rows(got, *cols) == rows(expect, *cols)
@@ -55,13 +58,15 @@ def test_stream_profile_watermark_drops_late_rows(spark):
         [(day(5), 5.0), (day(2, 12), 4.0)],  # day 2 is still open (watermark = max ts - 1 day = Jan 1)
         [(day(1, 6), 100.0), (day(5, 6), 7.0)],  # day 1 now behind the watermark (Jan 4): dropped
     ]
+    late = []
     for rows_ in batches:
         df = spark.createDataFrame([(r[0], r[1]) for r in rows_], "ts string, value double").select(
             F.to_timestamp_ntz("ts").alias("ts"), "value")
         df.write.mode("append").parquet(f"{root}/in")
-        stream_profile(spark, f"{root}/in", df.schema, f"{root}/t", f"{root}/ck", "ts", ["value"],
-                       watermark="1 day")
-    got = {str(r.window_start): (r.n, r.avg) for r in VersionedTable(spark, f"{root}/t").read().collect()}
+        late.append(stream_profile(spark, f"{root}/in", df.schema, f"{root}/t", f"{root}/ck", "ts", ["value"],
+                                   watermark="1 day"))
+    assert late == [0, 0, 1]
+    got = {str(r.window_start)[:10]: (r.n, r.avg) for r in read_newest(spark, f"{root}/t", PROFILE_KEY).collect()}
     assert got == {"2024-01-01": (1, 1.0), "2024-01-02": (2, 3.0), "2024-01-05": (2, 6.0)}
 
 
@@ -78,46 +83,12 @@ def test_batch_writers_replay_idempotent(spark):
     out = spark.read.parquet(f"{root}/split")
     assert out.count() == 100 and out.select("id").distinct().count() == 100
 
-    t = VersionedTable(spark, f"{root}/keyed")
-    t.write(spark.range(0, 10).select("id", F.lit("v0").alias("v")), 0)
-    u = upsert_batch_writer(spark, f"{root}/keyed", "id")
+    append_batch(spark.range(0, 10).select("id", F.lit("v0").alias("v")), f"{root}/keyed", "id", 0)
+    u = upsert_batch_writer("id", f"{root}/keyed")
     u(spark.range(5, 15).select("id", F.lit("v1").alias("v")), 0)
     u(spark.range(5, 15).select("id", F.lit("v1").alias("v")), 0)  # replay
-    assert t.versions() == [0, 1]
-    assert rows(t.read()) == [(i, "v0") for i in range(5)] + [(i, "v1") for i in range(5, 15)]
-
-
-def test_stream_upsert_partitioned_equals_batch(spark):
-    from tabflow.sources.tables import PartitionedKeyedTable
-    from tabflow.streaming.streams import upsert_batch_writer
-
-    root = scratch_path(spark, "t_stream_upsert_part")
-    base = spark.range(0, 100).select("id", F.lit("v0").alias("v"))
-    u1 = spark.range(50, 150).select("id", F.lit("v1").alias("v"))
-    u2 = spark.range(140, 160).select("id", F.lit("v2").alias("v"))
-    t = PartitionedKeyedTable(spark, f"{root}/t", "id", 8)
-    t.create(base)
-    for u in (u1, u2):
-        u.write.mode("append").parquet(f"{root}/in")
-        stream_upsert(spark, f"{root}/in", base.schema, f"{root}/t", f"{root}/ck", "id", buckets=8, partitioned=True)
-    expect = keyed.upsert(keyed.upsert(base, u1, "id"), u2, "id")
-    assert rows(t.read()) == rows(expect)
-    upsert_batch_writer(spark, f"{root}/t", "id", buckets=8, partitioned=True)(u2, 1)  # replayed batch
-    assert rows(t.read()) == rows(expect)
-
-
-def test_stream_split_bucketed_replay(spark):
-    from tabflow.streaming.streams import split_batch_writer
-
-    root = scratch_path(spark, "t_stream_split_bucketed")
-    b0 = spark.range(0, 60).select("id", F.lit("x").alias("y"))
-    b1 = spark.range(40, 100).select("id", F.lit("x").alias("y"))
-    w = split_batch_writer(spark, f"{root}/split", "id", "y", buckets=4)
-    w(b0, 0)
-    w(b1, 1)
-    w(b1, 1)  # replayed batch
-    out = spark.read.parquet(f"{root}/split")
-    assert out.count() == 100 and out.select("id").distinct().count() == 100
+    assert batch_ids(spark, f"{root}/keyed") == [0, 1]
+    assert rows(read_newest(spark, f"{root}/keyed", "id")) == [(i, "v0") for i in range(5)] + [(i, "v1") for i in range(5, 15)]
 
 
 def test_stream_upsert_one_file_per_batch_keeps_arrival_order(spark):
@@ -125,11 +96,24 @@ def test_stream_upsert_one_file_per_batch_keeps_arrival_order(spark):
     base = spark.range(0, 50).select("id", F.lit("v0").alias("v"))
     u1 = spark.range(20, 60).select("id", F.lit("v1").alias("v")).repartition(3)
     u2 = spark.range(40, 70).select("id", F.lit("v2").alias("v")).repartition(2)
-    t = VersionedTable(spark, f"{root}/t")
-    t.write(base, 0)
+    append_batch(base, f"{root}/t", "id", 0)
     u1.write.mode("append").parquet(f"{root}/in")
     u2.write.mode("append").parquet(f"{root}/in")  # both waiting before the run starts
     stream_upsert(spark, f"{root}/in", base.schema, f"{root}/t", f"{root}/ck", "id", max_files_per_trigger=1)
     expect = keyed.upsert(keyed.upsert(base, u1, "id"), u2, "id")
-    assert rows(t.read()) == rows(expect)
-    assert len(t.versions()) > 2  # several micro-batches
+    assert rows(read_newest(spark, f"{root}/t", "id")) == rows(expect)
+    assert len(batch_ids(spark, f"{root}/t")) > 2  # several micro-batches
+
+
+def test_stream_profile_of_an_hour_keeps_each_window(spark):
+    root = scratch_path(spark, "t_stream_hours")
+    ev = spark.range(0, 480).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id * 20 as int), 0)").alias("ts"),
+        (F.col("id") % 7).cast("double").alias("value"))
+    for part in (ev.where("id < 200"), ev.where("id >= 200")):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream_profile(spark, f"{root}/in", ev.schema, f"{root}/t", f"{root}/ck", "ts", ["value"], window="1 hour")
+    got = read_newest(spark, f"{root}/t", PROFILE_KEY)
+    expect = profile_metrics(ev, F.date_trunc("hour", "ts"), ["value"])
+    assert got.count() == got.select("window_start").distinct().count() == 160
+    assert sorted(r.n for r in got.collect()) == sorted(r.n for r in expect.collect())

@@ -34,29 +34,18 @@ def test_append_and_path_exists(spark):
     assert tables.read_table(spark, p).count() == 2
 
 
-def test_versioned_table_ignores_uncommitted(spark):
-    root = scratch_path(spark, "t_versions")
-    t = tables.VersionedTable(spark, root)
-    assert t.current_version() is None
-    t.write(spark.range(3), 1)
-    # a half-written version (no _SUCCESS marker) is not visible
-    spark.range(5).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
-        .parquet(t.path(2))
-    import os
-    if os.path.exists(t.path(2).replace("file:", "") + "/_SUCCESS"):
-        os.remove(t.path(2).replace("file:", "") + "/_SUCCESS")
-    assert t.current_version() == 1
-    assert t.read().count() == 3
-
-
-def test_versioned_table_prune(spark):
-    t = tables.VersionedTable(spark, scratch_path(spark, "t_prune"), bucket_by=("id", 2))
-    for v in range(1, 5):
-        t.write(spark.range(v), v)
-    assert t.prune(keep=2) == [1, 2]
-    assert t.versions() == [3, 4]
-    assert t.read().count() == 4
-    assert not spark.catalog.tableExists(t.table_name(1))
+def test_uncommitted_batch_is_not_read(spark):
+    root = scratch_path(spark, "t_batches")
+    assert tables.batch_ids(spark, root) == []
+    tables.append_batch(spark.range(3), root, "id", 1)
+    # a half-written batch (no _SUCCESS marker)
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        spark.range(5).write.mode("overwrite").parquet(f"{root}/batch_id=2")
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert tables.batch_ids(spark, root) == [1]
+    assert tables.read_newest(spark, root, "id").count() == 3
 
 
 def test_publish_moves_once(spark):
