@@ -6,6 +6,10 @@ from dataclasses import dataclass, field
 from typing import Any, Optional
 
 
+#: Ends the names of tables of shifted data.
+DRIFT_SUFFIX = "_skewed"
+
+
 @dataclass(frozen=True)
 class NumFeature:
     """Numeric feature with optional declared bounds (inclusive)."""
@@ -86,5 +90,5 @@ class TableSpec:
         One naming rule for every reader and writer, so a table is always
         looked up under the name it was written with.
         """
-        name = self.use_case + (f"_{role}" if role else "") + ("_skewed" if drift else "")
+        name = self.use_case + (f"_{role}" if role else "") + (DRIFT_SUFFIX if drift else "")
         return f"{self.catalog}.{self.db_schema}.{name}"

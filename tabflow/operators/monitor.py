@@ -31,16 +31,14 @@ def window_start(ts, granularity: str = "day") -> Column:
 
 
 def profile_metrics(df: DataFrame, window: Column | str, columns: Sequence[str],
-                    window_name: str = "window_start", slices: Sequence[str] = (),
-                    exact_scale: int | None = None) -> DataFrame:
+                    window_name: str = "window_start", slices: Sequence[str] = ()) -> DataFrame:
     """Per window x slice x column: n (rows), nulls, avg, min, max, stddev (sample).
 
     ``window`` is a column expression giving each row its window (e.g.
     :func:`window_start`); ``slices`` are optional extra grouping columns
     (one profile per slice value).  Statistics are computed on the double
-    value of each column; with ``exact_scale`` (money-like columns) the
-    average is summed exactly as ``DECIMAL(18, exact_scale)``, so it does not
-    depend on the order in which partial sums are merged.
+    value of each column; only the average is taken in the column's own type,
+    so that a decimal column is summed exactly.
     """
     if not columns:
         raise ValueError("No columns to profile")
@@ -52,8 +50,7 @@ def profile_metrics(df: DataFrame, window: Column | str, columns: Sequence[str],
         v = F.col(c).cast("double")
         aggs += [
             F.count_if(v.isNull()).alias(f"nulls_{i}"),
-            (F.avg(F.col(c).cast(f"decimal(18,{exact_scale})")).cast("double") if exact_scale is not None
-             else F.avg(v)).alias(f"avg_{i}"),
+            F.avg(c).cast("double").alias(f"avg_{i}"),
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
             F.stddev_samp(v).alias(f"stddev_{i}"),
@@ -75,6 +72,14 @@ def profile_metrics(df: DataFrame, window: Column | str, columns: Sequence[str],
                 .select(window_name, *slices, "p.*"))
 
 
+def snapshot_profile(df: DataFrame, refreshed_at: Column | str, columns: Sequence[str],
+                     window_name: str = "window") -> DataFrame:
+    """Profile of the whole of ``df`` as it stands at one refresh: one row per
+    column, its window being the refresh time."""
+    at = F.lit(refreshed_at).cast("timestamp_ntz") if isinstance(refreshed_at, str) else refreshed_at
+    return profile_metrics(df, at, columns, window_name=window_name)
+
+
 def drift_series(profile: DataFrame, window_col: str = "window_start", value_col: str = "avg",
                  keys: Sequence[str] = ("column_name",), threshold: float = 50.0,
                  two_sided: bool = False) -> DataFrame:

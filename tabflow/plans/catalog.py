@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,15 +32,21 @@ def sround(expr: str, digits: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
 
 
-def exact_avg_sql(expr: str, scale: int = 2, extra: int = 4) -> str:
-    """DuckDB twin of Spark's ``avg(CAST(x AS DECIMAL(18, scale)))`` as double:
+def exact_avg_sql(expr: str, scale: int = 10, extra: int = 4) -> str:
+    """DuckDB twin of Spark's ``avg`` of a ``DECIMAL(38, scale)`` as double:
     exact integer sum, quotient rounded HALF_UP at ``scale + extra`` digits."""
-    tot = f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) * {10 ** scale} AS HUGEINT)"
+    tot = f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) * {10 ** scale} AS HUGEINT)"
     cnt = f"count({expr})"
     return (f"(CAST((2 * {tot} * {10 ** extra} + sign({tot}) * {cnt}) // (2 * {cnt}) AS DOUBLE)"
             f" / {float(10 ** (scale + extra))})")
 
 
+def exact(column: str):
+    """The double as a decimal with all its digits (the given amounts have
+    two), so that sums do not depend on the order of rows."""
+    return F.col(column).cast("decimal(38,10)")
+
+
 def register(name: str, sql: str | None = None):
     """Decorator: add a query (and its DuckDB oracle, when one exists)."""
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, window_start
-from tabflow.plans.catalog import exact_avg_sql, register, sround, table
+from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, snapshot_profile, window_start
+from tabflow.plans import standins as S
+from tabflow.plans.catalog import exact, exact_avg_sql, register, sround, table
+from tabflow.session import scratch_path
+from tabflow.sources.tables import append_batch, read_newest
 
 # Profiled lineitem columns; l_tax is blanked on returned lines so the
 # profile has NULLs to count.
@@ -15,7 +18,8 @@ _PROFILE_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax_kept")
 def _lineitem_profile(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn(
         "l_tax_kept", F.when(F.col("l_returnflag") != "R", F.col("l_tax")))
-    return profile_metrics(li, window_start("l_shipdate", "month"), list(_PROFILE_COLS), exact_scale=2)
+    li = li.withColumns({c: exact(c) for c in _PROFILE_COLS})
+    return profile_metrics(li, window_start("l_shipdate", "month"), list(_PROFILE_COLS))
 
 
 def _rounded_profile(df):
@@ -49,8 +53,8 @@ def q_profile_metrics(spark, sf_dir):
 
 
 def _event_series(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    prof = profile_metrics(ev, window_start("ts", "day"), ["value"], slices=["event_type"], exact_scale=2)
+    ev = table(spark, sf_dir, "events").withColumn("value", exact("value"))
+    prof = profile_metrics(ev, window_start("ts", "day"), ["value"], slices=["event_type"])
     prof = prof.where(F.col("column_name") == "value")
     return drift_series(prof, keys=("event_type", "column_name"))
 
@@ -91,3 +95,30 @@ FROM r WHERE rn = 1
 """)
 def q_drift_alert(spark, sf_dir):
     return drift_alert(_event_series(spark, sf_dir), keys=("event_type", "column_name"))
+
+
+# two refreshes of a keyed price table: all orders, then open orders at 2.5 times their price
+_REFRESHES = ("2025-01-06 00:00:00", "2025-01-13 00:00:00")
+
+
+@register("refresh_alert", sql=f"""
+WITH p AS (
+  SELECT TIMESTAMP '{_REFRESHES[0]}' AS win, {exact_avg_sql("o_totalprice")} AS avg FROM orders
+  UNION ALL
+  SELECT TIMESTAMP '{_REFRESHES[1]}', {exact_avg_sql("CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2.5 END")} FROM orders
+), d AS (SELECT *, lag(avg) OVER (ORDER BY win) AS prev FROM p),
+r AS (SELECT win, {sround("(avg - prev) * 100.0 / prev", 1)} AS pct FROM d)
+SELECT 'o_totalprice' AS column_name, win AS latest_window, pct, CASE WHEN pct > 50.0 THEN 1 ELSE 0 END AS prediction_drift
+FROM r ORDER BY win DESC LIMIT 1
+""")
+def q_refresh_alert(spark, sf_dir):
+    """Upsert, profile the whole table at each refresh, alert on the newest two refreshes."""
+    root = scratch_path(spark, "refresh")
+    orders = table(spark, sf_dir, "orders").select(S.PK, "o_orderstatus", "o_totalprice")
+    dearer = orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2.5)
+    for k, batch in enumerate((orders, dearer)):
+        append_batch(batch, f"{root}/prices", S.PK, k)
+        state = read_newest(spark, f"{root}/prices", S.PK).withColumn("o_totalprice", exact("o_totalprice"))
+        append_batch(snapshot_profile(state, _REFRESHES[k], ["o_totalprice"]), f"{root}/profile", ["window", "column_name"], k)
+    profile = read_newest(spark, f"{root}/profile", ["window", "column_name"])
+    return drift_alert(drift_series(profile, window_col="window"), window_col="window")
