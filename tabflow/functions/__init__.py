@@ -2,10 +2,8 @@
 
 from tabflow.functions.hashing import hash_bucket, hash_int, hash_unit
 from tabflow.functions.ids import format_id, id_suffix
-from tabflow.functions.values import choice, const, uniform_double, uniform_int
 from tabflow.functions.dates import register_sql_functions, years_since
 
 __all__ = [
-    "choice", "const", "format_id", "hash_bucket", "hash_int", "hash_unit", "id_suffix",
-    "register_sql_functions", "uniform_double", "uniform_int", "years_since",
+    "format_id", "hash_bucket", "hash_int", "hash_unit", "id_suffix", "register_sql_functions", "years_since",
 ]

@@ -79,7 +79,8 @@ def champion_challenger(runs: DataFrame, registry: DataFrame, model_col: str = "
     """
     newest = latest_per_key(runs.select(model_col, run_order, run_col, metric), model_col, [run_order])
     current = latest_per_key(registry.select(model_col, version_col, run_col), model_col, [version_col])
-    cur = (current.join(runs.select(run_col, F.col(metric).alias("current_mae")), run_col, "left")
+    # run ids are only unique within a model
+    cur = (current.join(runs.select(model_col, run_col, F.col(metric).alias("current_mae")), [model_col, run_col], "left")
                   .select(model_col, F.col(run_col).alias("current_run"), "current_mae"))
     new = newest.select(model_col, F.col(run_col).alias("new_run"), F.col(metric).alias("new_mae"))
     out = new.join(cur, model_col, "left")

@@ -73,7 +73,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataF
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
     return (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-                 .select(*df.columns, (F.col("_off") + F.col("_local")).cast("int").alias(out)))
+                 .select(*df.columns, (F.col("_off") + F.col("_local")).cast("bigint").alias(out)))
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str], suffix: str = "_imputed") -> DataFrame:

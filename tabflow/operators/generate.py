@@ -1,20 +1,17 @@
-"""Id continuation, row synthesis and drift injection as table operators.
+"""Id continuation and drift injection as table operators.
 
-Rows are generated by ``spark.range`` (partitioned, no driver loop) and
-every value is hashed from ``(seed, column, row number)``; the only value
-that travels to the driver is one aggregate (the largest id number).
+New ids come from ``spark.range`` (partitioned, no driver loop); the only
+value that travels to the driver is one aggregate (the largest id number).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from typing import Any, Mapping, Optional, Sequence
+from typing import Mapping, Optional
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.ids import format_id, id_suffix, quote_prefix
-from tabflow.functions.values import choice, const, uniform_double, uniform_int
 
 
 def max_id_number(df: DataFrame, id_col: str, prefix: str) -> tuple[Optional[int], int]:
@@ -47,83 +44,6 @@ def next_ids(df: DataFrame, id_col: str, n: int, prefix: str, width: Optional[in
     return ids.select(F.col("id").alias("_num"), format_id(prefix, F.col("id"), w).alias("new_id"))
 
 
-@dataclass(frozen=True)
-class ColumnGen:
-    """How one synthetic column is drawn: ``int``, ``double``, ``choice`` or ``const``."""
-
-    name: str
-    kind: str
-    args: tuple[Any, ...] = ()
-    dtype: Optional[str] = None
-
-
-# The booking generator's per-column ranges (original synthetic generator).
-BOOKING_COLUMNS: tuple[ColumnGen, ...] = (
-    ColumnGen("no_of_adults", "int", (1, 4)),
-    ColumnGen("no_of_children", "int", (0, 3)),
-    ColumnGen("no_of_weekend_nights", "int", (0, 3)),
-    ColumnGen("no_of_week_nights", "int", (0, 7)),
-    ColumnGen("type_of_meal_plan", "choice", ("Meal_Plan_1", "Meal_Plan_2", "Meal_Plan_3", "Not Selected")),
-    ColumnGen("required_car_parking_space", "int", (0, 1)),
-    ColumnGen("room_type_reserved", "choice", ("Room_Type_1", "Room_Type_2", "Room_Type_3", "Room_Type_4")),
-    ColumnGen("lead_time", "int", (0, 365)),
-    ColumnGen("arrival_year", "const", (2024,), "int"),
-    ColumnGen("arrival_month", "int", (1, 12)),
-    ColumnGen("arrival_date", "int", (1, 28)),
-    ColumnGen("market_segment_type", "choice", ("Online", "Corporate", "Offline")),
-    ColumnGen("repeated_guest", "int", (0, 1)),
-    ColumnGen("no_of_previous_cancellations", "int", (0, 2)),
-    ColumnGen("no_of_previous_bookings_not_canceled", "int", (0, 5)),
-    ColumnGen("avg_price_per_room", "double", (50.0, 300.0, 2)),
-    ColumnGen("no_of_special_requests", "int", (0, 3)),
-    ColumnGen("booking_status", "choice", ("Canceled", "Not_Canceled")),
-)
-
-
-def column_value(gen: ColumnGen, row_id, seed: int):
-    if gen.kind == "int":
-        c = uniform_int(row_id, seed, gen.name, *gen.args)
-    elif gen.kind == "double":
-        lo, hi, *dec = gen.args
-        c = uniform_double(row_id, seed, gen.name, lo, hi, *(dec or [2]))
-    elif gen.kind == "choice":
-        c = choice(row_id, seed, gen.name, gen.args)
-    elif gen.kind == "const":
-        c = const(gen.args[0])
-    else:
-        raise ValueError(f"Unknown column kind '{gen.kind}' for '{gen.name}'")
-    return c.cast(gen.dtype) if gen.dtype else c
-
-
-def synthesize_rows(ids: DataFrame, columns: Sequence[ColumnGen] = BOOKING_COLUMNS, seed: int = 0,
-                    id_col: str = "new_id", number_col: str = "_num", out_id: str = "Booking_ID") -> DataFrame:
-    """One synthetic row per id of ``ids`` (e.g. the output of :func:`next_ids`).
-
-    Values are hashed from ``(seed, column name, id number)``: the same
-    call gives the same table on any cluster.
-    """
-    return ids.select(
-        F.col(id_col).alias(out_id),
-        *[column_value(g, F.col(number_col), seed).alias(g.name) for g in columns],
-    )
-
-
-def generate_rows(existing: DataFrame, id_col: str, n: int, prefix: str,
-                  columns: Sequence[ColumnGen] = BOOKING_COLUMNS, seed: int = 0,
-                  max_rows: Optional[int] = None, drift: Optional[Mapping[str, float]] = None,
-                  width: Optional[int] = None) -> DataFrame:
-    """Ids continuing ``existing`` plus synthetic values; optional drift shift.
-
-    ``max_rows`` is an explicit, optional cap (the original capped at
-    100 000 rows; here the default is no cap).
-    """
-    if max_rows is not None:
-        n = min(n, max_rows)
-    ids = next_ids(existing, id_col, n, prefix, width=width)
-    out = synthesize_rows(ids, columns, seed, out_id=id_col)
-    return shift_columns(out, drift) if drift else out
-
-
 def shift_columns(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:
     """Multiply columns by factors, keeping each column's type (drift injection)."""
     types = dict(df.dtypes)

@@ -111,7 +111,7 @@ def q_latest_per_key(spark, sf_dir):
 _RUNS_SQL = """
 WITH runs AS (
   SELECT event_type AS model, CAST(date_trunc('day', ts) AS DATE) AS run_order,
-         event_type || '@' || CAST(CAST(date_trunc('day', ts) AS DATE) AS VARCHAR) AS run_id,
+         'run-' || CAST(CAST(date_trunc('day', ts) AS DATE) AS VARCHAR) AS run_id,
          avg(abs(value - 50.0)) AS mae
   FROM events GROUP BY 1, 2, 3
 ), latest AS (SELECT model, max(run_order) AS new_order FROM runs GROUP BY model),
@@ -124,7 +124,7 @@ SELECT l.model, c.current_run, n.run_id AS new_run, """ + sround("rc.mae", 6) +
        """ + sround("n.mae", 6) + """ AS new_mae,
        coalesce(c.current_run IS NULL OR n.mae < rc.mae, false) AS promote
 FROM latest l JOIN runs n ON n.model = l.model AND n.run_order = l.new_order
-LEFT JOIN cur c ON c.model = l.model LEFT JOIN runs rc ON rc.run_id = c.current_run
+LEFT JOIN cur c ON c.model = l.model LEFT JOIN runs rc ON rc.model = c.model AND rc.run_id = c.current_run
 """
 
 
@@ -133,11 +133,11 @@ def q_champion_challenger(spark, sf_dir):
     """Each event type is a "model"; each day one training run whose MAE is
     the mean absolute deviation of ``value`` from 50.  Every run before a
     model's newest is registered (version = run day); the newest run
-    challenges the highest registered version."""
+    challenges the highest registered version.  Run ids repeat across models."""
     ev = table(spark, sf_dir, "events").withColumn("run_order", F.to_date(F.date_trunc("day", "ts")))
     runs = (ev.groupBy(F.col("event_type").alias("model"), "run_order")
               .agg(F.avg(F.abs(F.col("value") - 50.0)).alias("mae"))
-              .withColumn("run_id", F.concat_ws("@", "model", F.col("run_order").cast("string"))))
+              .withColumn("run_id", F.concat(F.lit("run-"), F.col("run_order").cast("string"))))
     newest = runs.groupBy("model").agg(F.max("run_order").alias("_newest"))
     registry = (runs.join(newest, "model").where(F.col("run_order") < F.col("_newest"))
                     .select("model", F.col("run_order").alias("version"), "run_id"))
@@ -163,53 +163,6 @@ def q_next_ids(spark, sf_dir):
     return generate.next_ids(cust, "c_name", n, "Customer#", keep_width=True).select("new_id")
 
 
-def _value_sql(g: generate.ColumnGen, num: str, seed: int) -> str:
-    h = S.hash_sql(num, f"{seed}:{g.name}")
-    if g.kind == "int":
-        lo, hi = g.args
-        return f"CAST({lo} + {h} % {hi - lo + 1} AS INTEGER)"
-    if g.kind == "double":
-        lo, hi, *dec = g.args
-        scale = 10 ** (dec[0] if dec else 2)
-        lo_i, hi_i = round(lo * scale), round(hi * scale)
-        return f"({lo_i} + {h} % {hi_i - lo_i + 1}) / {float(scale)}"
-    if g.kind == "choice":
-        arr = ", ".join("'" + str(v).replace("'", "''") + "'" for v in g.args)
-        return f"([{arr}])[1 + {h} % {len(g.args)}]"
-    if g.kind == "const":
-        return f"CAST({g.args[0]} AS INTEGER)" if g.dtype == "int" else repr(g.args[0])
-    raise ValueError(g.kind)
-
-
-def synth_sql(first_offset: str, count: str, seed: int, width: int = 9) -> str:
-    """DuckDB twin of next_ids + synthesize_rows over customer ids."""
-    cols = ",\n       ".join(f"{_value_sql(g, 'num', seed)} AS {g.name}" for g in generate.BOOKING_COLUMNS)
-    return f"""
-SELECT 'Customer#' || lpad(CAST(num AS VARCHAR), CAST(greatest({width}, length(CAST(num AS VARCHAR))) AS INTEGER), '0') AS Booking_ID,
-       {cols}
-FROM (SELECT mx + {first_offset} + r.range AS num
-      FROM (SELECT max(CAST(regexp_extract(c_name, 'Customer#(\\d+)', 1) AS BIGINT)) AS mx FROM customer
-            WHERE regexp_extract(c_name, 'Customer#(\\d+)', 1) <> '') m,
-           range(1, {count} + 1) r) g
-"""
-
-
-_N_CUSTOMERS = "(SELECT count(*) FROM customer)"
-
-
-def _synth_batch(cust, n, seed):
-    ids = generate.next_ids(cust, "c_name", n, "Customer#", keep_width=True)
-    return generate.synthesize_rows(ids, seed=seed, out_id="Booking_ID")
-
-
-@register("synthesize_rows", sql=synth_sql("0", _N_CUSTOMERS, seed=0))
-def q_synthesize_rows(spark, sf_dir):
-    """One synthetic booking per existing customer row, ids continuing the
-    customer-name sequence; values hashed from (seed, column, id)."""
-    cust = table(spark, sf_dir, "customer")
-    return _synth_batch(cust, cust.count(), seed=0)
-
-
 @register("shift_columns", sql="""
 SELECT l_orderkey, l_partkey, CAST(l_linenumber * 2 AS INTEGER) AS l_linenumber, l_extendedprice * 1.5 AS l_extendedprice
 FROM lineitem
@@ -267,23 +220,15 @@ def q_encode_values(spark, sf_dir):
                                  [SEGMENT_CODES])
 
 
-@register("append_new_rows", sql=synth_sql("0", _N_CUSTOMERS, seed=1) + "\nUNION ALL\n"
-          + synth_sql(_N_CUSTOMERS, _N_CUSTOMERS, seed=2))
+@register("append_new_rows", sql="SELECT * FROM orders")
 def q_append_new_rows(spark, sf_dir):
-    """Simulated ingestion: a first synthetic batch creates the raw booking
-    table, a second batch continues its ids and is appended; a drifted copy
-    of the second batch goes to the ``_skewed`` table."""
+    """Orders arrive in two parts, by date; both are appended to one table
+    (the first creates it)."""
     from tabflow.session import scratch_path
-    from tabflow.sources.tables import append, overwrite
+    from tabflow.sources.tables import append
 
-    root = scratch_path(spark, "bookings")
-    raw, skewed = f"{root}/raw", f"{root}/raw_skewed"
-    cust = table(spark, sf_dir, "customer")
-    n = cust.count()
-    overwrite(_synth_batch(cust, n, seed=1), raw)
-    written = spark.read.parquet(raw)
-    ids = generate.next_ids(written, "Booking_ID", n, "Customer#", keep_width=True)
-    batch2 = generate.synthesize_rows(ids, seed=2, out_id="Booking_ID")
-    append(batch2, raw)
-    append(generate.shift_columns(batch2, {"avg_price_per_room": 1.5, "no_of_week_nights": 2}), skewed)
+    raw = f"{scratch_path(spark, 'orders')}/raw"
+    orders = table(spark, sf_dir, "orders")
+    append(orders.where(F.col("o_orderdate") < S.ts(S.OLD_CUTOFF)), raw)
+    append(orders.where(F.col("o_orderdate") >= S.ts(S.OLD_CUTOFF)), raw)
     return spark.read.parquet(raw)

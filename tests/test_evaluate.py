@@ -72,13 +72,27 @@ def test_run_log_and_promotion_flow(spark):
     runs, reg = f"{root}/runs", f"{root}/versions"
     p = ModelParams()
 
+    ids = []
+
     def step(mae):
-        log_run(spark, runs, "m", {"mse": mae, "mae": mae, "r2": 0.5}, p)
+        ids.append(log_run(spark, runs, "m", {"mse": mae, "mae": mae, "r2": 0.5}, p))
         return evaluate_and_promote(spark, runs, reg, "m").first()
 
     assert step(0.30).promote is True            # first model is always registered
     assert step(0.30).promote is False           # equal MAE keeps the incumbent
     d = step(0.25)
-    assert d.promote is True and d.current_run == "m-run-1" and d.new_run == "m-run-3"
+    assert d.promote is True and d.current_run == ids[0] and d.new_run == ids[2]
     versions = sorted((r.version, r.run_id) for r in spark.read.parquet(reg).collect())
-    assert versions == [(1, "m-run-1"), (2, "m-run-3")]
+    assert versions == [(1, ids[0]), (2, ids[2])]
+    assert len(set(ids)) == 3
+
+
+def test_champion_challenger_with_run_ids_shared_by_models(spark):
+    from tabflow.operators.evaluate import champion_challenger
+
+    runs = spark.createDataFrame([("m", "r1", 1, 0.5), ("m", "r2", 2, 0.4), ("n", "r1", 1, 0.1), ("n", "r2", 2, 0.3)],
+                                 "model string, run_id string, run_order int, mae double")
+    registry = spark.createDataFrame([("m", 1, "r1"), ("n", 1, "r1")], "model string, version int, run_id string")
+    got = {r.model: (r.current_mae, r.new_mae, r.promote) for r in champion_challenger(runs, registry).collect()}
+    assert got == {"m": (0.5, 0.4, True), "n": (0.1, 0.3, False)}
+    assert champion_challenger(runs, registry).count() == 2
