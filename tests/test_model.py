@@ -71,12 +71,18 @@ def test_score_with_pandas_udf(spark):
 def test_registered_model_queries(spark, sf_small):
     import __spark_entry__ as e
 
-    scored = e.queries()["train_and_score"](spark, sf_small)
+    from tabflow.plans import queries_model as q
+
+    assert not {"o_totalprice", "worth"} & set(q.ORDERS_SPEC.feature_names)  # nothing the label is made of
+    _, scored = q.fitted_model(spark, sf_small)
     acc = classification_metrics(scored).first().accuracy
     counts = [r["count"] for r in scored.groupBy("label").count().collect()]
     assert acc > max(counts) / sum(counts)
+    rows_, _, _ = q.frames(spark, sf_small)
+    changed = rows_.withColumn("sum_qty", F.when(F.col("o_orderkey") == rows_.first()["o_orderkey"], -1.0).otherwise(F.col("sum_qty")))
+    assert q.fingerprint(rows_) == q.fingerprint(rows_.repartition(3)) != q.fingerprint(changed)
     served = e.queries()["score_and_serve"](spark, sf_small)
     orders = spark.read.parquet(f"{sf_small}/orders.parquet")
-    assert served.columns == ["prediction", "o_orderkey", "o_totalprice", "o_orderpriority"]
+    assert served.columns == ["o_orderkey", "o_totalprice", "o_orderpriority", "scored"]
     assert served.count() == orders.count()
     assert served.select("o_orderkey").distinct().count() == orders.count()
