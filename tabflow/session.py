@@ -52,10 +52,11 @@ def build_session(master: str | None = None, app_name: str = "tabflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session.  When the setting is absent (a local test
-    session) the context's checkpoint folder is used if one was set, else a
-    folder of our own is registered with ``setCheckpointDir`` – the setting
-    itself cannot change at run time – so later calls agree.
+    Read from the session.  When the setting is absent the context's
+    checkpoint folder is used if one was set.  Else, with a local master
+    only, a folder of our own is registered with ``setCheckpointDir`` – the
+    setting itself cannot change at run time – so later calls agree; on a
+    cluster executors would not share it, so the call fails.
     """
     sc = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
@@ -66,13 +67,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError(f"Set {_CHECKPOINT_KEY} to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tabflow-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A fresh path below the shared checkpoint folder."""
+    """A path below the shared checkpoint folder.  A unique one is fresh and
+    is deleted when the driver's JVM ends (DataFrames read it until then)."""
     leaf = list(parts)
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
-    return os.path.join(checkpoint_root(spark), "tabflow", *leaf)
+    path = os.path.join(checkpoint_root(spark), "tabflow", *leaf)
+    if unique:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(p)  # only an existing path can be marked
+        fs.deleteOnExit(p)
+    return path

@@ -18,8 +18,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self):
-        self.dir = None
+    def __init__(self, master="local[2]"):
+        self.dir, self.master = None, master
 
     def getConf(self):
         return _Conf({})
@@ -32,9 +32,9 @@ class _Context:
 
 
 class _Session:
-    def __init__(self):
+    def __init__(self, master="local[2]"):
         self.conf = _Conf({})
-        self.sparkContext = _Context()
+        self.sparkContext = _Context(master)
 
 
 def test_checkpoint_root_fallback_when_unset():
@@ -42,3 +42,11 @@ def test_checkpoint_root_fallback_when_unset():
     first = checkpoint_root(s)
     assert first.startswith("file:") and "tabflow-ckpt-" in first
     assert checkpoint_root(s) == first  # later calls agree
+
+
+def test_checkpoint_root_is_required_on_a_cluster():
+    import pytest
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(_Session(master))
