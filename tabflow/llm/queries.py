@@ -29,7 +29,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@_query("op2_decontamination")
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_BLANK = r"regexp_extract_all(" + _LOWER.format("text") + r", '[^\x20\x09-\x0D]+')"
+
+#: Components of links (a, b) between nodes, named by their smallest node.
+_COMPONENTS = """
+e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)"""
+
+
+@_query("op2_decontamination", f"""
+WITH w AS (SELECT doc_id, coalesce({_ALNUM}, []) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+i AS (SELECT item, ws, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(ws[k:k + n - 1], ' ') AS g FROM i, unnest(range(1, len(ws) - n + 2)) AS t(k)),
+d AS (SELECT doc_id, n, k, array_to_string(ws[k:k + n - 1], ' ') AS g
+      FROM w, (SELECT DISTINCT n FROM win) AS sizes, unnest(range(1, len(ws) - n + 2)) AS t(k)),
+h AS (SELECT DISTINCT doc_id, n, k, item FROM d JOIN win USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM h) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -46,7 +71,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-@_query("op7_ngram_jaccard_join")
+@_query("op7_ngram_jaccard_join", f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce({_BLANK}, []) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS g
+      FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS t(k) WHERE len(ws) > 0),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * shared >= 75 * (ca.n + cb.n - shared)),
+{_COMPONENTS}
+SELECT doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(least(low, doc_id), doc_id) AS component_id
+FROM w LEFT JOIN c USING (doc_id) LEFT JOIN lowest ON lowest.a = doc_id
+""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -93,7 +128,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.aggregate("found.licenses", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("license_words"))
 
 
-@_query("op4_embedding_near_dedup")
+@_query("op4_embedding_near_dedup", f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS norm FROM v
+      WHERE len(list_filter(x, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q ON p.vec_id < q.vec_id AND len(p.x) = len(q.x)
+          WHERE p.norm > 0 AND q.norm > 0 AND list_dot_product(p.x, q.x) / (p.norm * q.norm) >= 0.9),
+{_COMPONENTS},
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least(low, vec_id), vec_id) AS component_id,
+  coalesce(least(low, vec_id), vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN lowest ON lowest.a = vec_id
+""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
