@@ -118,19 +118,29 @@ def _ball(pdf: pd.DataFrame) -> pd.DataFrame:
                          "centre": [c.tobytes()], "radius": [float(_angle(x, c[None, :]).max())], "n": [int(pdf["size"].sum())]})
 
 
-def _count_within(p: PassParams):
-    """Links of each row of ``own`` blocks among the rows of the other side, weighted by class size."""
+def _count_inside(p: PassParams):
+    """Links of each row within its own block, weighted by class size."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, part in pdf.groupby(["component", "block"], sort=True):
+            x = _unit(list(part["v"]))
+            near = x @ x.T >= p.threshold
+            np.fill_diagonal(near, False)
+            out.append(pd.DataFrame({"id": part["id"].to_numpy(), "links": near @ part["size"].to_numpy()}))
+        return pd.concat(out)
+
+    return run
+
+
+def _count_across(p: PassParams):
+    """Links between the rows of two blocks, weighted by class size."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if len(b):
-            near = _unit(list(a["v"])) @ _unit(list(b["v"])).T >= p.threshold
-            return pd.DataFrame({"id": np.concatenate([a["id"], b["id"]]),
-                                 "links": np.concatenate([near @ b["size"].to_numpy(), near.T @ a["size"].to_numpy()])})
-        x = _unit(list(a["v"]))
-        near = x @ x.T >= p.threshold
-        np.fill_diagonal(near, False)
-        return pd.DataFrame({"id": a["id"].to_numpy(), "links": near @ a["size"].to_numpy()})
+        near = _unit(list(a["v"])) @ _unit(list(b["v"])).T >= p.threshold
+        return pd.DataFrame({"id": np.concatenate([a["id"], b["id"]]),
+                             "links": np.concatenate([near @ b["size"].to_numpy(), near.T @ a["size"].to_numpy()])})
 
     return run
 
@@ -139,11 +149,14 @@ def _links_in_components(members: DataFrame, p: PassParams, tmp: Scratch) -> Dat
     """``id, links`` of ``component, id, v, size``: members at the threshold or above, exactly."""
     total = members.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
     dealt = (members.join(total, "component")
-                    .withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / p.block)).cast("int")).drop("m"))
+                    .withColumn("blocks", F.ceil(F.col("m") / p.block))
+                    .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("m"))
     dealt = tmp.save(dealt, "dealt")
-    inside = (dealt.withColumn("side", F.lit(0)).groupBy("component", "block")
-                   .applyInPandas(_count_within(p), "id long, links long"))
-    balls = tmp.save(dealt.groupBy("component", "block").applyInPandas(
+    packs = max(1, dealt.count() // (4 * p.block))  # whole blocks, some thousand rows together
+    inside = (dealt.groupBy(F.pmod(F.xxhash64("component", "block"), F.lit(packs)).alias("pack"))
+                   .applyInPandas(_count_inside(p), "id long, links long"))
+    # only components of several blocks
+    balls = tmp.save(dealt.where("blocks > 1").groupBy("component", "block").applyInPandas(
         _ball, "component long, block int, centre binary, radius double, n long"), "balls")
     limit = math.acos(p.threshold)
 
@@ -168,7 +181,7 @@ def _links_in_components(members: DataFrame, p: PassParams, tmp: Scratch) -> Dat
     sides = (some.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side"))
                  .union(some.select("component", "i", "j", F.col("j"), F.lit(1))))
     across = (dealt.join(sides, ["component", "block"]).groupBy("component", "i", "j")
-                   .applyInPandas(_count_within(p), "id long, links long"))
+                   .applyInPandas(_count_across(p), "id long, links long"))
     return inside.union(whole).union(across).groupBy("id").agg(F.sum("links").alias("links"))
 
 
