@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.scratch import Scratch
 from tabflow.llm.text import PHI, alnum_words, hash_words, mix, ngram_hashes
+from tabflow.session import checkpoint_root
 
 BITS = 18
 #: Odd multiplier that keeps skip-grams apart from pairs (fixed value).
@@ -37,13 +37,13 @@ class FtrlParams:
     chosen by a hash of their id); ``shard_rows`` and ``max_shards`` set how
     many shards train side by side; ``positive`` weighs rows of label 1."""
 
-    alpha: float = 2.0
+    alpha: float = 4.0
     beta: float = 1.0
-    l1: float = 4.0
-    positive: float = 2.0
-    rounds: int = 5
+    l1: float = 8.0
+    positive: float = 3.0
+    rounds: int = 4
     max_rows: int = 200_000
-    shard_rows: int = 2_000
+    shard_rows: int = 4_000
     max_shards: int = 16
 
 
@@ -88,13 +88,15 @@ def _pass(rows: list[tuple[bytes, int]], z: np.ndarray, n: np.ndarray, p: FtrlPa
 
 
 def _shard_round(z: np.ndarray, n: np.ndarray, p: FtrlParams):
-    """What one round over one shard changes in the sums."""
+    """What one round over the shards of a partition changes in the sums, a row for each shard."""
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["o", "x"], kind="stable")
-        z1, n1 = z.copy(), n.copy()
-        _pass(list(zip(pdf["x"], pdf["y"])), z1, n1, p)
-        return pd.DataFrame({"z": [(z1 - z).astype("<f4").tobytes()], "n": [(n1 - n).astype("<f4").tobytes()]})
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = list(batches)  # a few shards, bounded by the sample
+        for _, pdf in pd.concat(own).groupby("shard", sort=True) if own else ():
+            pdf = pdf.sort_values(["o", "x"], kind="stable")
+            z1, n1 = z.copy(), n.copy()
+            _pass(list(zip(pdf["x"], pdf["y"])), z1, n1, p)
+            yield pd.DataFrame({"z": [(z1 - z).astype("<f4").tobytes()], "n": [(n1 - n).astype("<f4").tobytes()]})
 
     return train
 
@@ -109,28 +111,29 @@ def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = F
     ``key`` only decides the sample, the shard and the order of rows; equal
     rows give equal weights on every run.  No rows give all-zero weights.
     """
-    tmp = Scratch(rows.sparkSession, "ftrl")
+    spark = rows.sparkSession
+    checkpoint_root(spark)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: pack(features(t)))
 
     known = rows.where(F.col(label).isin(0, 1))
-    order = F.xxhash64(F.lit("order"), F.col(key))
-    table = tmp.save(known.select(order.alias("o"), F.col(label).cast("int").alias("y"),
-                                  packed(F.col(text).cast("binary")).alias("x")), "rows")
-    count = table.count()
+    count = known.count()
     shards = max(1, min(params.max_shards, -(-count // params.shard_rows)))
+    order = F.xxhash64(F.lit("order"), F.col(key))
+    # dealt to its shard once; every round reads the checkpoint, whose partitions hold whole shards
+    table = (known.select(F.pmod(order, F.lit(shards)).alias("shard"), order.alias("o"), F.col(label).cast("int").alias("y"),
+                          packed(F.col(text).cast("binary")).alias("x"))
+                  .repartition(shards, "shard").checkpoint())
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     for _ in range(params.rounds if count else 0):
-        moved = (table.withColumn("shard", F.pmod("o", F.lit(shards))).groupBy("shard")
-                      .applyInPandas(_shard_round(z, n, params), "z binary, n binary").collect())
+        moved = table.mapInPandas(_shard_round(z, n, params), "z binary, n binary").collect()
         # at most max_shards rows of a model's size
         moved.sort(key=lambda r: r["z"])
         z = z + sum(np.frombuffer(r["z"], "<f4").astype(float) for r in moved) / len(moved)
         n = n + sum(np.frombuffer(r["n"], "<f4").astype(float) for r in moved) / len(moved)
-    tmp.drop("rows")
     return weights_of(z, n, params).astype(np.float32)
 
 
