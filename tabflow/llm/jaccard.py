@@ -14,11 +14,13 @@ least ``percent`` / 100 of their union.  The join is exact:
   lists, c = 1); sets just below the boundary post both, because they can
   link with sets above it.  The boundary minimises the estimated cost
   of rows posted and lists scanned.
-* Lists are not expanded into pairs.  Every list names its smallest class,
-  and members are compared with that pivot.  Links found join classes
-  into components.  Only lists that then still span several components are
-  compared member by member, and only where sizes and, by the triangle
-  inequality of Jaccard distance, distances to the pivot allow a link.
+* Lists are not expanded into pairs.  Every list names up to four pivots
+  (the ends of two orders of its classes), and members are compared with
+  those; the member nearest to a pivot then takes the pivot's place, a few
+  times.  Links found join classes into components.  Only then, and only in
+  lists that still span several components, members outside the first
+  pivot's component meet those that they share a member of the pair's own
+  prefixes with, as every linking pair does.
 
 Shingles are 64-bit hashes; sketch and bit tables have a fixed size.
 """
@@ -26,13 +28,14 @@ Shingles are 64-bit hashes; sketch and bit tables have a fixed size.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +43,12 @@ from tabflow.llm.components import connected_components
 from tabflow.llm.scratch import Scratch
 from tabflow.llm.text import PHI, blank_words, mix, shingle_set
 
-#: log2 of the counters of the sketch (1 MB) and of the bits of a bit table (1 MB).
-SKETCH_BITS, TABLE_BITS = 18, 23
+#: log2 of the counters of the sketch (8 MB sent to tasks) and of the bits of a bit table (1 MB).
+SKETCH_BITS, TABLE_BITS = 21, 23
+#: Turns the order of class names into another one (fixed value).
+FLIP = 0x5A3C96E1B47D280F
+#: How often pivots are replaced by better ones.
+HUBS = 3
 #: Largest size that is considered for the light side.
 MOST_LIGHT = 64
 
@@ -58,16 +65,16 @@ def _texts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int, np.
 
 
 def _tree_sum(rows: DataFrame, column: str, kind: type, parts: int, combine=np.add) -> np.ndarray | None:
-    """Elementwise combination of one array a row, sixteen to one until few are left."""
+    """Elementwise combination of one compressed array a row, sixteen to one until few are left."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             for v in batch.column(column):
-                x = np.frombuffer(v.as_py(), kind)
+                x = np.frombuffer(zlib.decompress(v.as_py()), kind)
                 total = x.copy() if total is None else combine(total, x, out=total)
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], [column])
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], [column])
 
     rows = rows.select(column)
     while parts > 8:
@@ -75,18 +82,18 @@ def _tree_sum(rows: DataFrame, column: str, kind: type, parts: int, combine=np.a
         rows = rows.repartition(parts).mapInArrow(merge, f"{column} binary")
     out = None
     for r in rows.toLocalIterator():
-        x = np.frombuffer(r[0], kind)
+        x = np.frombuffer(zlib.decompress(r[0]), kind)
         out = x.copy() if out is None else combine(out, x, out=out)
     return out
 
 
 def summarise(docs: DataFrame, k: int) -> DataFrame:
     """One row per document (``doc_id, n, cls``) and one sketch row per task:
-    counters of shingles by their low bits."""
+    compressed counters of shingles by their low bits."""
     mask = np.uint64((1 << SKETCH_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, waiting = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        counts, held, waiting = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
         names = ["doc_id", "n", "cls", "sketch"]
         for batch in batches:
             n, cls = [], []
@@ -96,16 +103,16 @@ def summarise(docs: DataFrame, k: int) -> DataFrame:
                 held.append((s & mask).astype(np.int32))
                 waiting += len(s)
                 if waiting > 1 << 20:
-                    counts += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS)
+                    counts += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS).astype(np.uint32)
                     held, waiting = [], 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(cls, pa.int64()),
                  pa.nulls(len(n), pa.binary())], names)
         if held:
-            counts += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS)
+            counts += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
-             pa.array([counts.astype(np.int64).tobytes()], pa.binary())], names)
+             pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("t")).mapInArrow(
         run, "doc_id long, n int, cls long, sketch binary")
@@ -116,6 +123,18 @@ def prefix_length(n: int, percent: int, c: int) -> int:
     return min(n, n - (percent * n + 99) // 100 + c)
 
 
+def least_met(na: Column, nb: Column, percent: int, boundary: int) -> Column:
+    """Shared prefix members that a linking pair must have at least.
+
+    Shared shingles up to the earlier prefix end are in both prefixes; all
+    others lie behind one set's prefix.  So a pair that needs an overlap of o
+    shares at least o minus the longer rest.  Light pairs meet in subsets,
+    whose number is not compared: one is enough.
+    """
+    need = F.ceil(percent * (na + nb) / (100 + percent)) - F.ceil(percent * F.greatest(na, nb) / 100) + 1
+    return F.when(F.greatest(na, nb) > boundary, F.greatest(need, F.lit(1))).otherwise(1)
+
+
 def choose_boundary(sizes: dict[int, int], sketch: np.ndarray, percent: int) -> int:
     """Largest light size: least estimated cost over all boundaries.
 
@@ -142,29 +161,33 @@ def choose_boundary(sizes: dict[int, int], sketch: np.ndarray, percent: int) ->
 
 
 def postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int, boundary: int, table: np.ndarray | None) -> DataFrame:
-    """``sig, cls, n``: what each class posts; with ``table`` only signatures whose bit is set."""
-    loads = np.minimum(sketch, np.iinfo(np.uint32).max).astype(np.uint32)
+    """``sig, cls, n, pos``: what each class posts and where in its order (of
+    a subset: its last member, less one); with ``table`` only signatures
+    whose bit is set."""
+    loads = sketch.astype(np.uint32)
     mask = np.uint64((1 << SKETCH_BITS) - 1)
 
-    def signatures(s: np.ndarray) -> np.ndarray:
+    def signatures(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(s)
         order = np.lexsort((s, loads[(s & mask).astype(np.int64)]))
-        parts = []
+        parts, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         if 1 < n <= boundary:
             p = s[order[:prefix_length(n, percent, 2)]]
             i, j = np.triu_indices(len(p), 1)
             parts.append(mix(p[i] * np.uint64(PHI) + p[j]))
+            places.append(j - 1)
         if n > boundary or 100 * n >= percent * (boundary + 1):
             parts.append(s[order[:prefix_length(n, percent, 1)]])
-        return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+            places.append(np.arange(len(parts[-1])))
+        return np.concatenate(parts), np.concatenate(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task, at most a scan task's rows
-        sig, cls, n, waiting = [], [], [], 0
-        names = ["sig", "cls", "n"]
+        sig, cls, n, pos, waiting = [], [], [], [], 0
+        names = ["sig", "cls", "n", "pos"]
 
         def flush() -> pa.RecordBatch:
-            arrays = [np.concatenate(sig).view(np.int64), np.concatenate(cls), np.concatenate(n)]
+            arrays = [np.concatenate(sig).view(np.int64), np.concatenate(cls), np.concatenate(n), np.concatenate(pos).astype(np.int32)]
             return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
 
         for _, s in _texts(batches, k):
@@ -174,20 +197,22 @@ def postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int, boundary
             if c in seen:
                 continue
             seen.add(c)
-            own = signatures(s)
+            own, places = signatures(s)
             if table is not None:
-                own = own[_bit(table, own)]
+                some = _bit(table, own)
+                own, places = own[some], places[some]
             sig.append(own)
+            pos.append(places)
             cls.append(np.full(len(own), c, np.int64))
             n.append(np.full(len(own), len(s), np.int32))
             waiting += len(own)
             if waiting > 1 << 17:
                 yield flush()
-                sig, cls, n, waiting = [], [], [], 0
+                sig, cls, n, pos, waiting = [], [], [], [], 0
         if waiting:
             yield flush()
 
-    return docs.select(F.col("text").cast("binary").alias("t")).mapInArrow(run, "sig long, cls long, n int")
+    return docs.select(F.col("text").cast("binary").alias("t")).mapInArrow(run, "sig long, cls long, n int, pos int")
 
 
 def _bit(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -204,7 +229,7 @@ def bit_table(keys: DataFrame, column: str) -> np.ndarray:
         for batch in batches:
             ks = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             bits[(mix(ks) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())], ["bits"])
 
     own = keys.select(column)
     tables = own.mapInArrow(run, "bits binary")
@@ -253,49 +278,76 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, summary: DataFrame, sketch: np.ndarray, tmp: Scratch, k: int = 5, percent: int = 75) -> DataFrame:
     """``node, component`` of classes that link with another class."""
-    sizes = {r["n"]: r["c"] for r in summary.where(F.col("n").between(1, MOST_LIGHT))
+    small = {r["n"]: r["c"] for r in summary.where(F.col("n").between(1, MOST_LIGHT))
              .groupBy("n").agg(F.count_distinct("cls").alias("c")).collect()}  # at most MOST_LIGHT rows
-    boundary = choose_boundary(sizes, sketch, percent)
+    boundary = choose_boundary(small, sketch, percent)
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    linked = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
 
-    # lists with two classes or more, and their pivot
+    # lists with two classes or more
     shared = tmp.save(postings(docs, sketch, k, percent, boundary, None)
-                      .groupBy("sig").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other"))
-                      .where("pivot <> other").select("sig", "pivot"), "shared")
+                      .groupBy("sig").agg(F.min("cls").alias("p0"), F.max("cls").alias("p1"))
+                      .where("p0 <> p1"), "shared")
     table = bit_table(shared, "sig")
     member = tmp.save(postings(docs, sketch, k, percent, boundary, table)
-                      .join(shared, "sig").select("sig", "cls", "n", "pivot").distinct(), "member")
+                      .join(shared, "sig").groupBy("sig", "cls", "n", "p0", "p1").agg(F.min("pos").alias("pos")), "member")
     tmp.drop("shared")
-    named = member.where("cls = pivot").select("sig", F.col("n").alias("np"))
-    stars = tmp.save(member.where("cls <> pivot").join(named, "sig").where(fits(F.col("n"), F.col("np")))
-                           .select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
-    sets = tmp.save(sets_of(docs, k, bit_table(member.groupBy("cls").count(), "cls")).dropDuplicates(["cls"]), "sets")
-    near = tmp.save(compare(stars, sets), "near")
-    comps = connected_components(near.where(linked).select("a", "b"))
-
-    # lists that still span several components
-    placed = (member.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    flipped = F.col("cls").bitwiseXOR(F.lit(FLIP))  # another order of the classes
+    ends = member.groupBy("sig").agg(F.min(flipped).bitwiseXOR(F.lit(FLIP)).alias("p2"), F.max(flipped).bitwiseXOR(F.lit(FLIP)).alias("p3"))
+    pivots = F.array_distinct(F.array("p0", "p1", "p2", "p3"))
+    sizes = summary.select("cls", "n").distinct()
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        """``a, b`` of rows ``a, b, na, nb, met`` that may link."""
+        return pairs.where(fits(F.col("na"), F.col("nb")) & (F.col("met") >= least_met(F.col("na"), F.col("nb"), percent, boundary))).select("a", "b")
+
+    def sets_for(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))
+        return tmp.save(sets_of(docs, k, bit_table(both, "cls")).dropDuplicates(["cls"]), name)
+
+    linked = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
+    share = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+    stars = (member.select("sig", "cls", "n", "p0", "p1").join(ends, "sig")
+                   .select(F.col("cls").alias("a"), F.col("n").alias("na"), F.explode(pivots).alias("b")).where("a <> b")
+                   .groupBy("a", "b", "na").agg(F.count(F.lit(1)).alias("met"))
+                   .join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b"))
+    stars = tmp.save(promising(stars), "stars")
+    sets = sets_for(stars, "sets")
+    near = step = tmp.save(compare(stars, sets), "near0")
+    for r in range(1, HUBS + 1):  # the member nearest to a pivot is nearer to most others than the pivot: a better pivot
+        hub = step.groupBy("b").agg(F.max_by("a", share).alias("hub"))
+        again = step.join(hub, "b").where("a <> hub").select("a", F.col("hub").alias("b")).distinct()
+        tried = near.select("a", "b").union(near.select("b", "a"))
+        step = tmp.save(compare(again.join(tried, ["a", "b"], "left_anti"), sets), f"near{r}")
+        near = near.union(step)
+    tmp.drop("sets")
+    links = near.where(linked).select("a", "b")
+    comps = connected_components(links)
+
+    # lists that still span several components: pairs with a member outside the home of the list, its first pivot's component
+    placed = (member.select("sig", "cls", "n", "pos", (F.col("cls") == F.col("p0")).alias("first")).join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
                     .withColumn("component", F.coalesce("component", "cls")))
     placed = tmp.save(placed, "placed")
-    mixed = (placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .where("lo <> hi").select("sig"))
-    apart = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    known = near.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), apart.alias("d"))
-    rest = tmp.save(placed.join(mixed, "sig").join(known, ["cls", "pivot"], "left")
-                          .withColumn("d", F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("d"))), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    far = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")), F.lit(0.0)) > (100 - percent) / 100 + 1e-9
-    cross = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.cls") < F.col("y.cls"))
-                    & (F.col("x.component") != F.col("y.component"))
-                    & (F.col("x.cls") != F.col("x.pivot")) & (F.col("y.cls") != F.col("y.pivot"))
-                    & fits(F.col("x.n"), F.col("y.n")) & ~far)
-              .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
-    cross = tmp.save(cross, "cross")
-    more = tmp.save(compare(cross, sets).where(linked).select("a", "b"), "more")
-    if more.limit(1).count():
-        comps = connected_components(near.where(linked).select("a", "b").union(more))
-    tmp.drop("member", "placed", "rest", "stars", "cross", "sets")
+    tmp.drop("member")
+    mixed = (placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                       F.min(F.when(F.col("first"), F.col("component"))).alias("home"))
+                   .where("lo <> hi").select("sig", "home"))
+    rest = tmp.save(placed.join(mixed, "sig").select("sig", "cls", "n", "pos", "component", "home"), "rest")
+    tmp.drop("placed")
+    x, y = rest.where("component <> home").alias("x"), rest.alias("y")
+    # the pair's own prefixes: a linking pair has an overlap of o and so meets within the first n - o + 1 of both
+    o = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    cross = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") != F.col("y.component"))
+                   & (F.col("x.pos") <= F.col("x.n") - o) & (F.col("y.pos") <= F.col("y.n") - o)
+                   & ((F.col("y.component") == F.col("x.home")) | (F.col("x.cls") < F.col("y.cls"))))
+    cross = cross.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
+    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    cross = tmp.save(cross.join(tried, ["a", "b"], "left_anti"), "cross")
+    if cross.limit(1).count():
+        more = tmp.save(compare(cross, sets_for(cross, "sets")).where(linked).select("a", "b"), "more")
+        tmp.drop("sets")
+        if more.limit(1).count():
+            comps = connected_components(links.union(more))
+    tmp.drop("rest", "stars", "cross")
     return comps
 
 
@@ -313,9 +365,9 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> Dat
     both = tmp.save(summarise(docs, k), "summary")
     summary = both.where("sketch is null").select("doc_id", "n", "cls")
     tasks = both.where("sketch is not null")
-    sketch = _tree_sum(tasks, "sketch", np.int64, max(1, tasks.rdd.getNumPartitions()))
+    sketch = _tree_sum(tasks, "sketch", np.uint32, max(1, tasks.rdd.getNumPartitions()))
     if sketch is None:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     comps = link_classes(docs, summary, sketch, tmp, k, percent)
     placed = (summary.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
                      .withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "cls"))))
