@@ -37,13 +37,13 @@ class FtrlParams:
     chosen by a hash of their id); ``shard_rows`` and ``max_shards`` set how
     many shards train side by side; ``positive`` weighs rows of label 1."""
 
-    alpha: float = 4.0
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 8.0
-    positive: float = 3.0
-    rounds: int = 4
+    l1: float = 4.0
+    positive: float = 2.0
+    rounds: int = 5
     max_rows: int = 200_000
-    shard_rows: int = 4_000
+    shard_rows: int = 2_000
     max_shards: int = 16
 
 

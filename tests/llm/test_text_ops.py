@@ -136,7 +136,24 @@ def test_toxicity_held_out_accuracy(spark):
     out = QUERIES["op3_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
     right = sum(o.predicted == o.toxic for o in out) / len(out)
     caught = [o.predicted for o in out if o.toxic]
-    assert right > 0.95 and sum(caught) / len(caught) > 0.7
+    assert right > 0.97 and sum(caught) / len(caught) > 0.75
+
+
+def test_toxicity_training_equals_plain_rounds(spark, make_docs):
+    """Dealing rows to shards once changes no weight, and the default strength is five rounds over shards of 2000."""
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice("abcdefghij") * r.randint(1, 3) for _ in range(r.randint(1, 6))) + (" vile" if i % 5 == 0 else ""), "s") for i in range(2500)]
+    df = make_docs(rows).withColumn("y", (F.col("doc_id") % 5 == 0).cast("int"))
+    p = toxicity.FtrlParams(alpha=2.0, beta=1.0, l1=4.0, positive=2.0, rounds=5, shard_rows=2000)
+    order = df.select("text", "y", F.xxhash64(F.lit("order"), "doc_id").alias("o")).collect()
+    shards = [[(toxicity.pack(toxicity.features(x.text.encode())), x.y) for x in sorted(order, key=lambda x: x.o) if x.o % 2 == k] for k in range(2)]
+    z, n = np.zeros((1 << toxicity.BITS) + 1), np.zeros((1 << toxicity.BITS) + 1)
+    for _ in range(p.rounds):
+        own = [(z.copy(), n.copy()) for _ in shards]
+        for rows_, (z1, n1) in zip(shards, own):
+            toxicity._pass(rows_, z1, n1, p)
+        z, n = z + sum(a - z for a, _ in own) / 2, n + sum(b - n for _, b in own) / 2
+    assert np.allclose(toxicity.fit(df, "text", "y", "doc_id"), toxicity.weights_of(z, n, p), atol=1e-3)
 
 
 def test_patience_alignment():
