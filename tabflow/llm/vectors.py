@@ -3,9 +3,11 @@
 Equal vectors are one class.  Each pass orders all classes
 lexicographically by concatenated random hashes (signs of random
 projections) and compares every class with the ``window`` before it in that
-order; verified pairs are united across passes.  The number of passes
-follows from the number of classes, so that a pair exactly at the threshold
-meets with ``recall`` at any size.
+order; verified pairs are united across passes.  A batch has as many passes
+as bring a pair exactly at the threshold together with ``recall`` where
+directions are spread evenly.  In a crowded direction most bits are equal and
+pairs meet more rarely, so batches with fresh projections follow until one
+unites nothing new.
 
 Groups of more near copies than a window would show only part of their
 links, so links are counted exactly afterwards: members of a component are
@@ -45,7 +47,8 @@ class PassParams:
 
     def passes(self, rows: int) -> int:
         """Passes after which a pair at the threshold has met with ``recall``:
-        it meets in a pass if it agrees on the bits that separate windows."""
+        it meets in a pass if it agrees on the bits that separate windows.
+        Holds for directions spread evenly; ``near_duplicates`` repeats such batches."""
         needed = max(0.0, math.log2(max(1, rows) / self.window))
         meet = (1 - math.acos(self.threshold) / math.pi) ** needed
         return 1 if meet >= self.recall else math.ceil(math.log(1 - self.recall) / math.log(1 - meet))
@@ -56,8 +59,8 @@ def _unit(vectors: list[bytes]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _keys(passes: int, p: PassParams):
-    """One row a pass and vector, with its hashes as an integer that sorts lexicographically."""
+def _keys(passes: int, p: PassParams, batch: int = 0):
+    """One row a pass of a batch and vector, with its hashes as an integer that sorts lexicographically."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes: dict[int, np.ndarray] = {}
@@ -67,7 +70,7 @@ def _keys(passes: int, p: PassParams):
                 own = [i for i, v in enumerate(data) if len(v) == dim]
                 x = np.stack([data[i] for i in own])
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([p.seed, dim]).standard_normal((dim, passes * p.bits))
+                    planes[dim] = np.random.default_rng([p.seed, dim, batch] if batch else [p.seed, dim]).standard_normal((dim, passes * p.bits))
                 signs = ((x @ planes[dim]) > 0).reshape(len(own), passes, p.bits)
                 weights = 1 << np.arange(p.bits - 1, -1, -1, dtype=np.int64)
                 keys = signs.astype(np.int64) @ weights
@@ -185,6 +188,46 @@ def _links_in_components(members: DataFrame, p: PassParams, tmp: Scratch) -> Dat
     return inside.union(whole).union(across).groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def _pass_edges(classes: DataFrame, passes: int, batch: int, p: PassParams, tmp: Scratch) -> DataFrame:
+    """``a, b``: what the passes of a batch unite, at most one edge a block's row."""
+    keyed = classes.mapInPandas(_keys(passes, p, batch), "turn int, dim int, key long, id long, v binary")
+    order = ["turn", "dim", "key", "id"]
+    ranged = tmp.save(keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+                           .withColumn("_row", F.monotonically_increasing_id()), "ranged")
+    task = F.shiftright("_row", 33)
+    counts = ranged.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row a task
+    ranked = (ranged.withColumn("task", task).join(F.broadcast(starts), "task")
+                    .withColumn("rank", F.col("start") + F.col("_row").bitwiseAND((1 << 33) - 1)))
+    # a block also holds the window before it
+    own = F.floor(F.col("rank") / p.block)
+    into = F.when(F.col("rank") % p.block >= p.block - p.window, F.array(own, own + 1)).otherwise(F.array(own))
+    edges = (ranked.withColumn("part", F.explode(into)).groupBy("part")
+                   .applyInPandas(_compare_block(p), "a long, b long"))
+    edges = tmp.save(edges.distinct(), f"edges{batch}")
+    tmp.drop("ranged")
+    return edges
+
+
+def _components(classes: DataFrame, p: PassParams, tmp: Scratch) -> DataFrame:
+    """``node, component`` of the classes ``id, v`` that batches of passes unite with others."""
+    rows = classes.count()
+    passes, batch = p.passes(rows), 0
+    comps = connected_components(_pass_edges(classes, passes, batch, p, tmp))
+    while rows > p.window + 1 and comps.limit(1).count():  # fewer rows have all been compared
+        batch += 1
+        edges = _pass_edges(classes, passes, batch, p, tmp)
+        for side in "ab":
+            top = comps.select(F.col("node").alias(side), F.col("component").alias(f"top_{side}"))
+            edges = edges.join(top, side, "left").withColumn(side, F.coalesce(f"top_{side}", side)).drop(f"top_{side}")
+        fresh = tmp.save(edges.where("a <> b").distinct(), f"fresh{batch}")
+        if not fresh.limit(1).count():
+            break
+        comps = connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh.select("a", "b")))
+    return comps
+
+
 def near_duplicates(vectors: DataFrame, params: PassParams = PassParams(), vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
@@ -205,24 +248,7 @@ def near_duplicates(vectors: DataFrame, params: PassParams = PassParams(), vec_i
         F.when(F.col("usable"), F.xxhash64(F.lit(1), "v")).alias("c2"), F.when(F.col("usable"), F.col("v")).alias("v")), "named")
     classes = tmp.save(named.where("usable").groupBy("c1", "c2").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v")), "classes")
-    passes = p.passes(classes.count())
-    keyed = classes.select("id", "v").mapInPandas(_keys(passes, p), "turn int, dim int, key long, id long, v binary")
-    order = ["turn", "dim", "key", "id"]
-    ranged = tmp.save(keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-                           .withColumn("_row", F.monotonically_increasing_id()), "ranged")
-    task = F.shiftright("_row", 33)
-    counts = ranged.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row a task
-    ranked = (ranged.withColumn("task", task).join(F.broadcast(starts), "task")
-                    .withColumn("rank", F.col("start") + F.col("_row").bitwiseAND((1 << 33) - 1)))
-    # a block also holds the window before it
-    own = F.floor(F.col("rank") / p.block)
-    into = F.when(F.col("rank") % p.block >= p.block - p.window, F.array(own, own + 1)).otherwise(F.array(own))
-    edges = (ranked.withColumn("part", F.explode(into)).groupBy("part")
-                   .applyInPandas(_compare_block(p), "a long, b long"))
-    comps = connected_components(tmp.save(edges.distinct(), "edges"))
-    tmp.drop("ranged")
+    comps = _components(classes.select("id", "v"), p, tmp)
     members = comps.withColumnRenamed("node", "id").join(classes.select("id", "v", "size"), "id")
     as_bytes = F.pandas_udf(_pack, "binary")
     links = _links_in_components(members.select("component", "id", as_bytes("v").alias("v"), "size"), p, tmp)

@@ -144,6 +144,23 @@ def test_vectors_against_brute_force(spark, block):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_in_a_crowded_direction(spark):
+    """The production parameters where a third of the rows lie in one cone: planted pairs just above the threshold."""
+    r = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(r.standard_normal((9000, 64)))
+    x[:3000] = unit(x[:3000] + 1.2 * unit(r.standard_normal(64)))
+    at = r.choice(3000, 400, replace=False)
+    side = r.standard_normal((400, 64))
+    side = unit(side - (side * x[at]).sum(axis=1, keepdims=True) * x[at])
+    y = 0.905 * x[at] + np.sqrt(1 - 0.905 ** 2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([x, y]))]
+    out = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    top = {o.vec_id: o.component_id for o in out.collect()}
+    met = sum(top[int(i)] == top[9000 + k] for k, i in enumerate(at)) / len(at)
+    assert met >= vectors.PassParams().recall, met
+
+
 def test_passes_grow_slowly_with_rows():
     p = vectors.PassParams()
     assert p.passes(0) == p.passes(100) == 1 and p.passes(10**5) < p.passes(10**9) < 200
