@@ -47,7 +47,7 @@ STAGES = [
     ("sharding", assign_shards),
 ]
 
-#: A fitted model and word hashes are not expressible in SQL; tests/llm hold the stages against brute force.
+#: A fitted model and word hashes are not expressible in SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 

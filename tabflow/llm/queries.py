@@ -88,7 +88,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    placed = sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 @_query("op10_mixing", r"""
