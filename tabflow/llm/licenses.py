@@ -42,6 +42,22 @@ TEMPLATES = {
                 "documentation files (the \"Software\"), to deal in the Software without restriction",
     "reserved": "All rights reserved.",
 }
+#: Phrases of a template that a match must hold word for word, with nothing between.
+TELLING = {
+    "Apache-2.0": ["apache license version 2 0"], "Apache-2.0-header": ["apache license version 2 0"],
+    "MIT": ["mit license"], "reserved": ["all rights reserved"],
+}
+for _terms in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+    for _v in ("2.0", "3.0", "4.0"):
+        TEMPLATES[f"CC-{_terms}-{_v}"] = f"Licensed under CC {_terms} {_v}."
+        TELLING[f"CC-{_terms}-{_v}"] = [f"cc {_terms} {_v}".lower().replace("-", " ").replace(".", " ")]
+for _name, _kind, _v in (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+                         ("AGPL-3.0", "Affero ", "3")):
+    _full, _version = f"GNU {_kind}General Public License", "version " + _v.replace(".", " ")
+    TEMPLATES[_name] = f"This work is licensed under the {_full}, version {_v}."
+    TEMPLATES[f"{_name}-header"] = (f"This program is free software: you can redistribute it and/or modify it under the terms of the {_full} "
+                                    f"as published by the Free Software Foundation, either version {_v} of the License")
+    TELLING |= {_name: [f"{_full.lower()} {_version}"], f"{_name}-header": [_full.lower(), f"{_version} of the license"]}
 EVERYDAY = frozenset(b"a all and any are as at by can either following for free in is it may not of or this that the to under use "
                      b"with without you work 0 1 2 3 4".split())
 
@@ -95,7 +111,9 @@ class LicenseScanner:
     """Finds templates in texts.  ``coverage``: least share of a template;
     ``stretch``: longest span in template lengths."""
 
-    def __init__(self, templates: dict[str, str], coverage: float = 0.8, stretch: float = 1.5):
+    def __init__(self, templates: dict[str, str], coverage: float = 0.8, stretch: float = 1.5,
+                 telling: dict[str, list[str]] | None = None):
+        self.telling = {name: [p.encode().split() for p in ps] for name, ps in (telling or {}).items()}
         self.coverage, self.stretch = coverage, stretch
         self.templates = {name: alnum_words(t.encode()) for name, t in sorted(templates.items())}
         self.seeds: dict[bytes, list[tuple[str, int]]] = {}
@@ -104,15 +122,22 @@ class LicenseScanner:
                 if w not in EVERYDAY:
                     self.seeds.setdefault(w, []).append((name, at))
 
-    def _best(self, words: list[bytes], low: int, template: list[bytes]) -> tuple[int, int, float] | None:
+    def _told(self, name: str, words: list[bytes], pairs: Pairs) -> bool:
+        """True if the matched words hold every telling phrase with nothing inserted."""
+        at = [p for p, _ in pairs]
+        return all(any(words[a:a + len(t)] == t and at[i:i + len(t)] == list(range(a, a + len(t))) for i, a in enumerate(at))
+                   for t in self.telling.get(name, ()))
+
+    def _best(self, words: list[bytes], low: int, name: str) -> tuple[int, int, float] | None:
         """Densest matched span of a window that begins at word ``low``: first, last, coverage."""
+        template = self.templates[name]
         pairs, most, best = patience_align(words, template), int(self.stretch * len(template)), None
         a = 0
         for b in range(len(pairs)):
             while pairs[b][0] - pairs[a][0] + 1 > most:
                 a += 1
             share = (b - a + 1) / len(template)
-            if share >= self.coverage and (best is None or share > best[2]):
+            if share >= self.coverage and (best is None or share > best[2]) and self._told(name, words, pairs[a:b + 1]):
                 best = (low + pairs[a][0], low + pairs[b][0], share)
         return best
 
@@ -129,7 +154,8 @@ class LicenseScanner:
                     low, high = max(0, p - at - slack), min(len(words), p - at + len(template) + slack)
                     if (name, low, high) not in tried:
                         tried.add((name, low, high))
-                        if best := self._best(words[low:high], low, template):
+                        if best := (self._best(words[low:high], low, name)  # then without slack: no notice beside it is in the way
+                                    or self._best(words[max(0, p - at):p - at + len(template)], max(0, p - at), name)):
                             found[name, best[0], best[1]] = best[2]
                 if len(tried) > 4096:
                     tried = {x for x in tried if x[2] > p}
@@ -167,7 +193,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     first by name.  Templates are a parameter of fixed size and go to every
     task.  Other columns are unchanged.
     """
-    scanner = LicenseScanner(templates or TEMPLATES, coverage, stretch)
+    scanner = LicenseScanner(templates or TEMPLATES, coverage, stretch, None if templates else TELLING)
 
     @F.pandas_udf(FOUND)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

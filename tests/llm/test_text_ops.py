@@ -187,6 +187,17 @@ def test_license_scan(spark, make_docs, corpus):
     assert licenses.scan_licenses(make_docs(rows).limit(0)).count() == 0
 
 
+def test_license_names_need_their_telling_words():
+    names = lambda t: [x[0] for x in licenses.LicenseScanner(licenses.TEMPLATES, telling=licenses.TELLING).scan(t.encode())[1]]
+    for name, text in licenses.TEMPLATES.items():
+        assert names(f"some words {text} and more") == [name]
+    header = licenses.TEMPLATES["GPL-3.0-header"]
+    assert names(header.replace("version 3", "version 2")) == ["GPL-2.0-header"]
+    assert names(header.replace("General", "Affero General")) == ["AGPL-3.0-header"]
+    assert names("Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0.") == ["CC-BY-NC-4.0", "CC-BY-4.0"]
+    assert names(header.replace("General", "Other General")) == [] and names("Licensed under CC BY 9.0.") == []
+
+
 @pytest.fixture(scope="module")
 def model():
     import public_tokenizers
