@@ -2,8 +2,8 @@
 
 Hashes of line keys are range-partitioned together with the document and
 sorted by document and position, so one frequent line spreads over as many
-tasks as its documents need; the first document in that order keeps its
-lines.  The result is a compressed bitmap per document (64-bit words of line
+tasks as its documents need.  Document counts and the keeper of a line (its
+largest id) are then grouped by hash, not streamed from the sorted ranges.  The result is a compressed bitmap per document (64-bit words of line
 flags, only words that lose a line), not text; texts are filtered by it last.
 """
 
@@ -42,7 +42,7 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
                           F.floor(F.col("pos") / 64).cast("int").alias("word"),
                           F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % 64).alias("flag")))
     ordered = tmp.save(keyed.repartitionByRange("k1", "k2", "doc_id").sortWithinPartitions("k1", "k2", F.desc("doc_id"), "word"), "keys")
-    # a document's rows of a key share a range, so ranges count distinct documents
+    # documents and keepers of a key come from grouped counts and maxima, not from the order of the ranges
     own = ordered.groupBy("k1", "k2", "doc_id").agg(F.lit(1).alias("one"))
     keys = own.groupBy("k1", "k2").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
     frequent = tmp.save(keys.where(F.col("n") >= min_docs).select("k1", "k2", "keeper"), "frequent")
