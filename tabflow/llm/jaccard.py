@@ -361,6 +361,11 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> Dat
     text are separate.  A null id is kept and is named by others' ids only.
     Extra columns are ignored.
     """
+    return _groups(docs, k, percent).drop("cls")
+
+
+def _groups(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The columns of ``near_duplicate_groups`` and ``cls``, the class of the row's set."""
     tmp = Scratch(docs.sparkSession, "jaccard")
     both = tmp.save(summarise(docs, k), "summary")
     summary = both.where("sketch is null").select("doc_id", "n", "cls")
@@ -374,15 +379,20 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> Dat
     placed = tmp.save(placed, "documents")
     first = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("first"))
     return (placed.join(first, "component", "left")
-                  .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                  .select("doc_id", "cls", F.col("n").cast("long").alias("n_shingles"),
                           F.coalesce("first", "doc_id").alias("component_id")))
 
 
 def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that of the
-    smallest id.  Rows sharing an id are one document and stay or go
-    together.  Rows without words or without an id stay.  All columns are
+    smallest id.  Rows sharing an id are decided one by one, by their own
+    group.  Rows without words or without an id stay.  All columns are
     unchanged."""
-    groups = near_duplicate_groups(docs, k, percent)
-    drop = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    drop = _groups(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_d"), F.col("cls").alias("_c")).distinct()
+
+    @F.pandas_udf("long")
+    def own_class(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: class_of(shingle_set(blank_words(t), k)))
+
+    own = docs.select(*[docs[c] for c in docs.columns], own_class(docs["text"].cast("binary")).alias("_own"))
+    return own.join(drop, (own["doc_id"] == F.col("_d")) & (F.col("_own") == F.col("_c")), "left_anti").select(*docs.columns)

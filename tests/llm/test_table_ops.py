@@ -108,6 +108,12 @@ def test_keep_one_each(make_docs, corpus):
     assert jaccard.keep_one_each(docs.limit(0)).count() == 0
 
 
+def test_keep_one_each_decides_by_row(make_docs):
+    a, b = "one two three four five six seven", "alpha beta gamma delta epsilon zeta eta"
+    kept = jaccard.keep_one_each(make_docs([(83, a, "s"), (83, b, "s"), (90, a, "s"), (5, b, "s")])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, b), (83, a)]
+
+
 def plain_vectors(rows, threshold=0.9):
     ok = [i for i, (n, v) in enumerate(rows) if n is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     x = {i: np.array(rows[i][1], np.float32).astype(float) for i in ok}
