@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, jaccard, licenses, lines, mixing, sharding, tokens, toxicity, urls, vectors
+from tabflow.llm import decontaminate, jaccard, licenses, lines, mixing, sharding, tokens, toxicity, urls, variants, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -39,6 +39,15 @@ e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
 lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)"""
 
+#: crc32 in SQL: ``crc`` has the table ``t``; ``_CRC32`` takes a text.
+_CRC_TABLE = """
+bits(k, b, v) AS (SELECT 0, b, CAST(b AS BIGINT) FROM range(256) AS t(b)
+  UNION ALL SELECT k + 1, b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8)"""
+_CRC32 = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, length(hex(encode({0}))) // 2), "
+          "lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))), "
+          "lambda a, y: xor(a // 256, t[xor(a % 256, y) + 1])), 4294967295)")
+
 
 @_query("op2_decontamination", f"""
 WITH w AS (SELECT doc_id, coalesce({_ALNUM}, []) AS ws FROM documents),
@@ -200,3 +209,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.struct((F.col("t") + 86_400 * 90).alias("at"), F.lit(True).alias("listed")))
     history = listed.select("entry", F.explode(changes).alias("c")).select("entry", "c.at", "c.listed")
     return urls.judge(captures, history).select("page_id", "host", "fetched", "blocked", "entry", "since")
+
+
+@_query("op12_spelling_variants", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, run, count(*) AS m FROM (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY doc_id, run),
+h AS (SELECT run, m, {_CRC32.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM r, crc),
+d AS (SELECT m, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+w AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+e AS (SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM w, unnest(range(0, length(word))) AS t(i)),
+p AS (SELECT x.word, y.word AS other, y.n AS m FROM e x JOIN e y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM e x JOIN w y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM e x JOIN w y ON x.rest = y.word),
+best AS (SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS k FROM p),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n
+  FROM w LEFT JOIN best ON best.word = w.word AND best.k = 1),
+way(word, up) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.up WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.up AS root, f.n, f.n_near, f.form_n
+FROM f JOIN way ON way.word = f.word JOIN f AS top ON top.word = way.up AND top.form IS NULL
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(variants.runs(F.col("text"))).alias("run"))
+    words = variants.count_words(docs.select(variants.mistyped(F.col("doc_id"), F.col("run"), 97).alias("word")))
+    return variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
