@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, jaccard, licenses, lines, mixing, sharding, tokens, toxicity, urls, variants, vectors
+from tabflow.llm import bpe, conversations, decontaminate, jaccard, licenses, lines, mixing, sharding, tokens, toxicity, urls, variants, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -233,3 +233,63 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(variants.runs(F.col("text"))).alias("run"))
     words = variants.count_words(docs.select(variants.mistyped(F.col("doc_id"), F.col("run"), 97).alias("word")))
     return variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _add(state: str, cost: str, letter: str) -> str:
+    """SQL of an audit state (eight digits of cost, then the audit) with one edit more."""
+    return f"lpad(CAST(least(CAST(substr({state}, 1, 8) AS BIGINT) + {cost}, 99999999) AS VARCHAR), 8, '0') || substr({state}, 9) || '{letter}'"
+
+
+@_query("op11_conversation_repair", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations, crc),
+d AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(0, CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM o WHERE k <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM d),
+f AS (SELECT conv_id, i, turn, role, text, substr(role, 1, 1) AS r, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS r0,
+    CASE WHEN bare = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN bare[-1:] NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM n),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+    count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+    count(*) FILTER (WHERE r0 IS NOT NULL AND r0 || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS m FROM f GROUP BY conv_id),
+-- a state is its cost in eight digits and its audit: nothing yet (e), after system (s), user (u), assistant (a)
+dp(conv_id, i, e, s, u, a) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '00000000', '50000000', '00000005I', '00000010II' FROM s
+  UNION ALL
+  SELECT conv_id, i, e, s, u, least(a, {_add('u', '5', 'I')}) FROM (
+    SELECT conv_id, i, e, s, a, least(u, {_add('e', '5', 'I')}, {_add('s', '5', 'I')}, {_add('a', '5', 'I')}) AS u FROM (
+      SELECT dp.conv_id, f.i, {_add('e', '2', 'D')} AS e, least({_add('s', '2', 'D')}, {_add('e', 'ks', 'K')}) AS s,
+        least({_add('u', '2', 'D')}, {_add('e', 'ku', 'K')}, {_add('s', 'ku', 'K')}, {_add('a', 'ku', 'K')}, {_add('e', 'kr', 'R')}, {_add('s', 'kr', 'R')}, {_add('a', 'kr', 'R')}) AS u,
+        least({_add('a', '2', 'D')}, {_add('u', 'ka', 'K')}, {_add('u', 'kr', 'R')}) AS a
+      FROM dp JOIN (SELECT *, CASE WHEN fault IN ('b', 'd') THEN 50000000 WHEN fault = 't' THEN 5 ELSE 0 END AS kr0,
+          kr0 + 1 AS kr, CASE WHEN r = 's' THEN kr0 ELSE 50000000 END AS ks, CASE WHEN r = 'u' THEN kr0 ELSE 50000000 END AS ku, CASE WHEN r = 'a' THEN kr0 ELSE 50000000 END AS ka FROM f) AS f
+        ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1))),
+best AS (SELECT s.*, least(e, a) AS z, CAST(substr(least(e, a), 1, 8) AS BIGINT) AS cost, substr(least(e, a), 9) AS audit
+  FROM s JOIN dp ON dp.conv_id IS NOT DISTINCT FROM s.conv_id AND dp.i = s.m),
+l AS (SELECT conv_id, j, audit[j] AS letter, j - (length(audit[:j]) - length(replace(audit[:j], 'I', ''))) AS i, length(replace(audit[:j], 'D', '')) AS pos
+  FROM best, unnest(range(1, length(audit) + 1)) AS t(j)),
+t AS (SELECT l.conv_id, l.j, l.pos, CASE WHEN letter = 'K' THEN f.role END AS kept, CASE WHEN letter <> 'I' THEN f.text ELSE '' END AS text
+  FROM l LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i WHERE letter <> 'D'),
+v AS (SELECT *, coalesce(max(CASE WHEN pos = 1 AND kept[1:1] = 's' THEN 1 END) OVER (PARTITION BY conv_id), 0) AS sys FROM t),
+h AS (SELECT conv_id, sha256(string_agg(coalesce(kept, CASE WHEN (pos - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY j)) AS sha FROM v GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = conversations.repair(conversations.damaged(convs), convs)
+    return done.withColumnRenamed("digest", "repaired_sha256")
+
+
+@_query("op13_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
+    return decoded.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
