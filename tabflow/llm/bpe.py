@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 #: Pieces of byte-level BPE (fixed value: part of the vocabulary's definition).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces a task remembers, the longest of them, and the pieces laid out together.
-REMEMBERED, LONGEST, TOGETHER = 400_000, 64, 200_000
+#: Pieces a task remembers, characters of the longest of them, bytes of pieces laid out
+#: together and characters of texts cut into pieces at a time (single ones may be larger).
+REMEMBERED, LONGEST, TOGETHER, AT_ONCE = 400_000, 64, 1 << 20, 1 << 21
 
 
 def byte_symbols() -> dict[str, int]:
@@ -66,7 +67,7 @@ class Bpe:
         self.bytes_of |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.splitter = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.pattern = regex.compile(PIECES)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict(self.added)
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text; added tokens that occur in it are pieces of their own."""
@@ -134,28 +135,32 @@ class Bpe:
         stops = 4 * np.cumsum(alive)[ends - 1] if len(ends) else ends
         return [data[i:j] for i, j in zip([0, *stops[:-1].tolist()], stops.tolist())]
 
-    def learn(self, new: list[str], ids: dict[str, bytes]) -> None:
-        """Puts the ids of ``new`` pieces into ``ids``, laying out a bounded number together."""
-        for k in range(0, len(new), TOGETHER):
-            some = new[k:k + TOGETHER]
-            ids.update(zip(some, self.merge([p.encode() for p in some])))
+    def learn(self, new: set[str]) -> None:
+        """Puts the ids of ``new`` pieces into ``known``, laying out a bounded number together."""
+        some: list[str] = []
+        data: list[bytes] = []
+        size = 0
+        for p in new:
+            some.append(p)
+            data.append(p.encode())
+            size += len(data[-1])
+            if size > TOGETHER:
+                self.known.update(zip(some, self.merge(data)))
+                some, data, size = [], [], 0
+        if some:
+            self.known.update(zip(some, self.merge(data)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian and 32 bits wide; null and empty texts have none."""
         cut = [self.pieces(t) if t else [] for t in texts]
-        ids = dict(self.added)
-        new: dict[str, None] = {}
-        for ps in cut:
-            for p in ps:
-                if p in self.known:
-                    ids[p] = self.known[p]
-                elif p not in ids:
-                    new[p] = None
-        self.learn(list(new), ids)
-        out = [b"".join([ids[p] for p in ps]) for ps in cut]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-        self.known.update((p, ids[p]) for p in new if len(p) <= LONGEST)
+        if len(self.known) > REMEMBERED:
+            self.known = dict(self.added)
+        new = set().union(*cut).difference(self.known)
+        self.learn(new)
+        out = [b"".join(map(self.known.__getitem__, ps)) for ps in cut]
+        for p in new:
+            if len(p) > LONGEST:
+                del self.known[p]
         return out
 
     def decode(self, ids: bytes | None) -> str:
@@ -182,6 +187,20 @@ def load(path: str) -> bytes:
     return zlib.compress(json.dumps({"model": {k: model[k] for k in ("vocab", "merges")}, "added_tokens": spec["added_tokens"]}).encode(), 6)
 
 
+def _in_parts(bpe: Bpe, texts: pd.Series) -> list[bytes]:
+    """Ids of many texts; the pieces held at once are bounded."""
+    out: list[bytes] = []
+    some: list[str | None] = []
+    chars = 0
+    for t in texts:
+        some.append(t)
+        chars += len(t) if t else 0
+        if chars > AT_ONCE:
+            out += bpe.encode(some)
+            some, chars = [], 0
+    return out + bpe.encode(some)
+
+
 def encode(text: Column, vocabulary: bytes) -> Column:
     """Column with a text's ids as little-endian 32-bit integers (binary);
     null and empty texts have none.  Strings of added tokens in a text become
@@ -191,17 +210,7 @@ def encode(text: Column, vocabulary: bytes) -> Column:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = Bpe(vocabulary)
         for texts in batches:
-            out: list[bytes] = []
-            some: list[str | None] = []
-            chars = 0
-            for t in texts.tolist():
-                some.append(t)
-                chars += len(t) if t else 0
-                if chars > 1 << 22:  # the pieces held at once are bounded
-                    out += bpe.encode(some)
-                    some, chars = [], 0
-            out += bpe.encode(some)
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(_in_parts(bpe, texts), dtype=object)
 
     return ids(text.cast("string"))
 
@@ -219,5 +228,19 @@ def decode(ids: Column, vocabulary: bytes) -> Column:
     return text(ids)
 
 
+def round_trip(text: Column, vocabulary: bytes) -> Column:
+    """Column of ``ids`` (see ``encode``) and ``decoded`` (see ``decode``) of
+    those ids, in one pass: one vocabulary and one Python worker a task."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = Bpe(vocabulary)
+        for texts in batches:
+            ids = _in_parts(bpe, texts)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(map(bpe.decode, ids), dtype=object)})
+
+    return both(text.cast("string"))
+
+
 def n_tokens(ids: Column) -> Column:
     return (F.coalesce(F.length(ids), F.lit(0)) / 4).cast("long")

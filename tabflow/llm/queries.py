@@ -289,7 +289,6 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
-    return decoded.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    both = _table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text"), vocabulary).alias("bpe"))
+    return both.select("doc_id", bpe.n_tokens(F.col("bpe.ids")).alias("n_tokens"), F.sha2("bpe.ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("bpe.decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -323,7 +323,7 @@ def test_pieces_forgotten_and_laid_out_in_parts(library, monkeypatch):
     r = random.Random(6)
     texts = [" ".join("".join(r.choice("abcdeé") for _ in range(r.randint(1, 9))) for _ in range(50)) for _ in range(60)]
     monkeypatch.setattr(bpe, "REMEMBERED", 40)
-    monkeypatch.setattr(bpe, "TOGETHER", 7)
+    monkeypatch.setattr(bpe, "TOGETHER", 30)
     got = [x for k in range(0, 60, 10) for x in own.encode(texts[k:k + 10])]
     assert got == [packed(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
@@ -337,6 +337,9 @@ def test_op13_query(spark, corpus, library, tmp_path):
         expected.append((i, len(e), hashlib.sha256(packed(e)).hexdigest(), hashlib.sha256(library.decode(e, skip_special_tokens=False).encode()).hexdigest()))
     got = QUERIES["op13_bpe"](spark, str(tmp_path)).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = spark.createDataFrame(rows, "doc_id long, text string").select("text", bpe.encode(F.col("text"), vocabulary).alias("ids"))
+    assert ids.where(F.coalesce("text", F.lit("")) != bpe.decode(F.col("ids"), vocabulary)).count() == 0
 
 
 def test_bpe_refuses_other_vocabularies():
