@@ -314,12 +314,15 @@ def link_classes(docs: DataFrame, summary: DataFrame, sketch: np.ndarray, tmp: S
     sets = sets_for(stars, "sets")
     near = step = tmp.save(compare(stars, sets), "near0")
     for r in range(1, HUBS + 1):  # the member nearest to a pivot is nearer to most others than the pivot: a better pivot
-        hub = step.groupBy("b").agg(F.max_by("a", share).alias("hub"))
-        again = step.join(hub, "b").where("a <> hub").select("a", F.col("hub").alias("b")).distinct()
+        step = step.withColumn("linked", linked)
+        hub = step.groupBy("b").agg(F.max_by(F.struct("a", "linked"), share).alias("hub"))
+        # members linked to the pivot are in the hub's component already if the hub is
+        again = (step.join(hub, "b").where("a <> hub.a and not (linked and hub.linked)")
+                     .select("a", F.col("hub.a").alias("b")).distinct())
         tried = near.select("a", "b").union(near.select("b", "a"))
         step = tmp.save(compare(again.join(tried, ["a", "b"], "left_anti"), sets), f"near{r}")
         near = near.union(step)
-    tmp.drop("sets")
+    tmp.drop("sets", "stars")
     links = near.where(linked).select("a", "b")
     comps = connected_components(links)
 
@@ -347,7 +350,7 @@ def link_classes(docs: DataFrame, summary: DataFrame, sketch: np.ndarray, tmp: S
         tmp.drop("sets")
         if more.limit(1).count():
             comps = connected_components(links.union(more))
-    tmp.drop("rest", "stars", "cross")
+    tmp.drop("rest", "cross")
     return comps
 
 
@@ -377,7 +380,8 @@ def _groups(docs: DataFrame, k: int, percent: int) -> DataFrame:
     placed = (summary.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
                      .withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "cls"))))
     placed = tmp.save(placed, "documents")
-    first = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("first"))
+    # written, so that the join has two fresh sides and a component of many documents can be split
+    first = tmp.save(placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("first")), "first")
     return (placed.join(first, "component", "left")
                   .select("doc_id", "cls", F.col("n").cast("long").alias("n_shingles"),
                           F.coalesce("first", "doc_id").alias("component_id")))
