@@ -140,7 +140,7 @@ def test_toxicity_held_out_accuracy(spark):
 
 
 def test_toxicity_training_equals_plain_rounds(spark, make_docs):
-    """Dealing rows to shards once changes no weight, and the default strength is five rounds over shards of 2000."""
+    """Dealing rows to shards once and merging their changes in a task changes no weight."""
     r = random.Random(4)
     rows = [(i, " ".join(r.choice("abcdefghij") * r.randint(1, 3) for _ in range(r.randint(1, 6))) + (" vile" if i % 5 == 0 else ""), "s") for i in range(2500)]
     df = make_docs(rows).withColumn("y", (F.col("doc_id") % 5 == 0).cast("int"))
@@ -153,7 +153,11 @@ def test_toxicity_training_equals_plain_rounds(spark, make_docs):
         for rows_, (z1, n1) in zip(shards, own):
             toxicity._pass(rows_, z1, n1, p)
         z, n = z + sum(a - z for a, _ in own) / 2, n + sum(b - n for _, b in own) / 2
-    assert np.allclose(toxicity.fit(df, "text", "y", "doc_id"), toxicity.weights_of(z, n, p), atol=1e-3)
+    assert np.allclose(toxicity.fit(df, "text", "y", "doc_id", p), toxicity.weights_of(z, n, p), atol=1e-3)
+    few = toxicity.fit(df, "text", "y", "doc_id", toxicity.FtrlParams(max_rows=500))
+    assert few.any() and not np.array_equal(few, toxicity.fit(df, "text", "y", "doc_id"))
+    same_id = toxicity.fit(df.withColumn("doc_id", F.lit(1)), "text", "y", "doc_id", toxicity.FtrlParams(max_rows=500))
+    assert same_id.any()
 
 
 def test_patience_alignment():
@@ -182,7 +186,7 @@ def test_license_scan(spark, make_docs, corpus):
     out = {r.doc_id: r for r in licenses.scan_licenses(make_docs(rows + [rows[0]])).collect()}
     names = {i: [x.license for x in r.found.licenses] for i, r in out.items()}
     assert names == {1: ["MIT", "CC-BY-NC-4.0"], 2: ["Apache-2.0-header"], 3: [], 4: [], 5: [], 6: ["MIT"] * 3, 7: ["reserved"]}
-    assert [(x["first"], x["last"]) for x in out[1].found.licenses] == [(2, 6), (38, 43)]
+    assert [(x["first"], x["last"]) for x in out[1].found.licenses] == [(2, 6), (38, 44)]
     assert 0.9 < out[2].found.licenses[0].coverage < 1
     assert licenses.scan_licenses(make_docs(rows).limit(0)).count() == 0
 
