@@ -7,7 +7,7 @@ MLlib pipelines: an Arrow-batched pandas UDF over a struct of the inputs.
 
 from __future__ import annotations
 
-from typing import Callable, Optional, Sequence
+from typing import Callable, Iterator, Optional, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -85,3 +85,40 @@ def score_with_udf(df: DataFrame, predict: Callable, inputs: Sequence[str],
         return pd.Series(predict(batch))
 
     return df.withColumn(out, _udf(F.struct(*[F.col(c) for c in inputs])))
+
+
+def score_with_model(df: DataFrame, payload: bytes, open_model: Callable[[bytes], Callable], inputs: Sequence[str],
+                     outputs: str = "prediction double") -> DataFrame:
+    """``df`` with the columns ``outputs`` (a DDL list) of an arbitrary Python model.
+
+    ``payload`` is the serialised model; it is broadcast once to each executor
+    (not shipped with every task) and ``open_model(payload)`` is called once a
+    task, before its first batch.  The opened model takes a pandas DataFrame of
+    ``inputs`` and returns one value a row, or for several outputs a DataFrame
+    or a sequence of columns.  Batches reach it by Arrow; a task holds one at a
+    time.  An input column named like an output is replaced.  ``open_model``
+    must be importable on the workers, or be a local function, which travels by value.
+    """
+    from pyspark.sql.types import StructType
+
+    missing = [c for c in inputs if c not in df.columns]
+    if missing:
+        raise ValueError(f"Columns not found: {missing}")
+    names = StructType.fromDDL(outputs).names
+    shared = df.sparkSession.sparkContext.broadcast(payload)
+
+    @F.pandas_udf(outputs if len(names) > 1 else StructType.fromDDL(outputs)[0].dataType)
+    def predicted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        model = open_model(shared.value)
+        for batch in batches:
+            out = model(batch)
+            if len(names) == 1:
+                yield pd.Series(out)
+            else:
+                yield out[names] if isinstance(out, pd.DataFrame) else pd.DataFrame(dict(zip(names, out)))
+
+    if len(names) == 1:
+        return df.withColumn(names[0], predicted(F.struct(*[F.col(c) for c in inputs])))
+    kept = [F.col(c) for c in df.columns if c not in names]
+    scored = df.select(*df.columns, predicted(F.struct(*[F.col(c) for c in inputs])).alias("_scored"))
+    return scored.select(*kept, *[F.col(f"_scored.{n}").alias(n) for n in names])

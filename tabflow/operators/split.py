@@ -101,6 +101,29 @@ def new_rows(df: DataFrame, seen: DataFrame, pk: str, seen_pk: Optional[str] = N
     return df.where(F.col(pk).isNotNull()).join(keys, pk, "left_anti")
 
 
+def new_rows_of_batch(df: DataFrame, seen: DataFrame, pk: str, seen_pk: Optional[str] = None) -> DataFrame:
+    """``new_rows`` for an ingest that is small beside what has been seen.
+
+    A Bloom filter of the ingest's keys is tested on the seen keys where they
+    are; only those that may be in the ingest are shuffled to the exact
+    anti-join, which settles false positives.  So the shuffle of the seen side
+    follows the ingest, not the table.  An ingest of more keys than a filter
+    holds (about three million), or with keys of another type than the seen
+    ones, takes the plain way.  Costs one pass over the ingest's keys first.
+    """
+    from tabflow.operators.keyfilter import blocks_for, build_filter, mark_candidates
+
+    require_columns(df, [pk], "primary key")
+    sk = seen_pk or pk
+    if df.schema[pk].dataType == seen.schema[sk].dataType:
+        n = df.agg(F.approx_count_distinct(pk).alias("n")).first()["n"]
+        blocks = blocks_for(n)
+        if blocks is not None:
+            built = build_filter(df, [pk], blocks)
+            seen = mark_candidates(seen.select(sk), [sk], blocks, built).where("_candidate").drop("_candidate")
+    return new_rows(df, seen, pk, sk)
+
+
 def union_by_name(*dfs: DataFrame) -> DataFrame:
     """UNION ALL matching columns by name; column sets must be equal."""
     out = dfs[0]

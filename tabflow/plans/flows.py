@@ -18,7 +18,7 @@ INGEST_COL = "ingest_id"
 
 def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Optional[str],
                       test_size: float = 0.2, seed: int = 42, split_col: str = "split",
-                      ingest_id: Optional[int] = None) -> bool:
+                      ingest_id: Optional[int] = None, small_ingest: bool = False) -> bool:
     """Split only rows whose key is not yet in the split table; append them.
 
     The split table is ONE parquet table laid out as
@@ -38,7 +38,9 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
 
     The diff reads only the key column of earlier ingests and is an ordinary
     anti-join of two scans, so AQE can split a hot incoming key and any
-    session, with whatever settings, extends the same table.
+    session, with whatever settings, extends the same table.  With
+    ``small_ingest`` a filter of the incoming keys keeps the other seen keys
+    out of the shuffle (see ``split.new_rows_of_batch``); the result is the same.
     """
     spark = input_df.sparkSession
     split._check_test_size(test_size)
@@ -49,7 +51,7 @@ def incremental_split(input_df: DataFrame, split_table: str, pk: str, target: Op
         rows = split.drop_missing_target(rows, target)
     if any(i < run for i in done) and has_data_files(spark, split_table):
         seen = spark.read.parquet(split_table).where(F.col(INGEST_COL) < run)
-        rows = split.new_rows(rows, seen.select(pk), pk)
+        rows = (split.new_rows_of_batch if small_ingest else split.new_rows)(rows, seen.select(pk), pk)
     out = f"{split_table.rstrip('/')}/{INGEST_COL}={run}"
     rows.withColumn(split_col, split.split_side(pk, test_size, seed)).write.mode("overwrite").partitionBy(split_col).parquet(out)
     return has_data_files(spark, out)

@@ -86,12 +86,12 @@ MODEL_FORMAT = 4
 
 
 def fitted_model(spark, sf_dir):
-    """Fit once per session and input folder (training queries)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Fit once per session and training data, whatever folder it lies in (training queries)."""
+    _, train, test = frames(spark, sf_dir)
     with _LOCK:
+        key = (spark.sparkContext.applicationId, fingerprint(train), fingerprint(test))
         if key not in _MODELS:
             checkpoint_root(spark)  # tree training checkpoints to the shared folder
-            _, train, test = frames(spark, sf_dir)
             _MODELS[key] = train_and_score(train, test, ORDERS_SPEC, materialize_input=False)
         return _MODELS[key]
 

@@ -89,6 +89,28 @@ def q_incremental_split(spark, sf_dir):
     return (spark.read.parquet(root).select(S.PK, "o_totalprice", "status", "split"))
 
 
+@register("new_rows_of_batch", sql=f"""
+SELECT * FROM ({S.UPDATE_SQL}) u
+WHERE NOT EXISTS (SELECT 1 FROM ({S.OLD_SQL}) s WHERE s.o_orderkey = u.o_orderkey)
+""")
+def q_new_rows_of_batch(spark, sf_dir):
+    """An ingest of late orders, some of them seen, against the first load."""
+    return split.new_rows_of_batch(S.update_batch(spark, sf_dir), S.old_snapshot(spark, sf_dir), S.PK).select(*ORDER_COLS.split(", "))
+
+
+@register("incremental_ingest", sql=f"""
+SELECT o_orderkey, o_totalprice, status, {S.split_sql('o_orderkey')} AS split
+FROM ({S.BOOKINGS_SQL}) b WHERE status IS NOT NULL
+""")
+def q_incremental_ingest(spark, sf_dir):
+    """The split table after a first load and an ingest that overlaps it by a year."""
+    root = scratch_path(spark, "incremental_ingest")
+    rows = S.bookings(spark, sf_dir)
+    incremental_split(rows.where(F.col("o_orderdate") < S.ts(S.OLD_CUTOFF)), root, S.PK, "status")
+    incremental_split(rows.where(F.col("o_orderdate") >= S.ts(S.UPDATE_FROM)), root, S.PK, "status", small_ingest=True)
+    return spark.read.parquet(root).select(S.PK, "o_totalprice", "status", "split")
+
+
 @register("sample_keys", sql=f"""
 SELECT o_orderkey FROM (SELECT DISTINCT o_orderkey FROM orders) k
 ORDER BY {S.hash_sql('o_orderkey', 7)}, o_orderkey LIMIT 20

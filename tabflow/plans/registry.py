@@ -4,6 +4,7 @@ from tabflow.plans import (  # noqa: F401  (imported for registration)
     queries_features,
     queries_model,
     queries_monitor,
+    queries_scoring,
     queries_stream,
     queries_tables,
 )

@@ -152,10 +152,14 @@ def append_batch(df: DataFrame, root: str, pk: str | Sequence[str], batch_id: Op
 def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: Optional[int] = None) -> DataFrame:
     """A keyed table's state: for each key its row of the newest batch (up to ``upto``).
 
-    Newest batches are found on the key columns alone; each row is then kept
-    if it is its key's newest.  With one batch this is a plain scan.  A table
-    of many batches is compacted by writing this state as the first batch of
-    another folder.
+    With one batch this is a plain scan.  With more, the keys of the later
+    batches become Bloom filters, and every row is tested where it is against
+    the batches after its own: rows that miss are their keys' newest; only the
+    others are joined, on the key, with the later batches' keys.  So a small
+    batch on a large one shuffles what it replaces, not the table.  Beyond
+    what filters hold (some million keys times batches) the newest batch of
+    every key is aggregated and joined.  A table of many batches is compacted
+    by writing this state as the first batch of another folder.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     ids = [n for n in batch_ids(spark, root) if upto is None or n <= upto]
@@ -164,11 +168,33 @@ def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: O
     base = root.rstrip("/")
     rows = spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={n}" for n in ids])
     if len(ids) > 1:
-        newest = rows.groupBy(*keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
-        rows = rows.join(newest, [*keys, BATCH_COL], "left_semi")
+        rows = _newest_rows(rows, keys, ids)
     return rows.drop(BATCH_COL)
 
 
+def _newest_rows(rows: DataFrame, keys: list[str], ids: list[int]) -> DataFrame:
+    """Rows of several batches that are their key's newest."""
+    from tabflow.operators.keyfilter import WORDS, blocks_for, build_filter, mark_candidates
+
+    later = rows.where(F.col(BATCH_COL) > ids[0]).select(BATCH_COL, *keys)
+    blocks = blocks_for(later.count(), len(ids) - 1)  # row counts of the files' footers
+    if blocks is None:
+        newest = rows.groupBy(*keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
+        return rows.join(newest, [*keys, BATCH_COL], "left_semi")
+    # the filter of a batch holds the keys of all batches after it
+    own = build_filter(later, keys, blocks, [BATCH_COL])
+    before = F.filter(F.array(*[F.lit(i) for i in ids[:-1]]), lambda i: i < F.col(BATCH_COL))
+    after = (own.withColumn(BATCH_COL, F.explode(before)).groupBy(BATCH_COL, "_block")
+                .agg(*[F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)]))
+    marked = mark_candidates(rows, keys, blocks, after, [BATCH_COL])
+    last = later.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(BATCH_COL).alias("_last"))
+    maybe = marked.where("_candidate")
+    replaced = F.col("_last") > F.col(BATCH_COL)
+    for i, k in enumerate(keys):
+        replaced = replaced & (F.col(k) == F.col(f"_k{i}"))
+    return marked.where("not _candidate").drop("_candidate").unionByName(maybe.join(last, replaced, "left_anti").drop("_candidate"))
+
+
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: cuts the lineage (a lost executor re-reads files instead of
