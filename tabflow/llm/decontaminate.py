@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabflow.llm.columns import fresh, make_room
 from tabflow.llm.scratch import Scratch
 from tabflow.llm.text import ALNUM, alnum_words
 
@@ -176,12 +177,18 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: st
     occurrence), ``spans`` of words and ``items`` (ids as sorted strings).
 
     Null texts and items have no words; items without an id or words never
-    hit; repeated item ids count once.  Extra columns stay untouched.
+    hit; repeated item ids count once.  Extra columns stay untouched; one
+    named ``hits`` becomes ``input_hits``.
     """
+    return _with_hits(make_room(docs, "hits"), items, "hits", text, item_id, item_text, window, max_words)
+
+
+def _with_hits(docs: DataFrame, items: DataFrame, name: str, text: str, item_id: str, item_text: str, window: int, max_words: int) -> DataFrame:
+    """``docs`` with the struct in a column ``name`` that ``docs`` doesn't have."""
     blocks = _blocks(items, item_id, item_text, max_words)
     first = next(blocks)
     content = F.col(text).cast("binary")
-    found = docs.withColumn("hits", _hits_udf(ItemAutomaton(first, window))(content))
+    found = docs.withColumn(name, _hits_udf(ItemAutomaton(first, window))(content))
     rest: list[DataFrame] = []
     tmp = None
     for k, block in enumerate(blocks):
@@ -195,11 +202,12 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: st
     more = rest[0]
     for x in rest[1:]:
         more = more.union(x)
-    merged = more.groupBy("h1", "h2").agg(F.flatten(F.collect_list("more.spans")).alias("s"),
-                                          F.flatten(F.collect_list("more.items")).alias("i"))
-    joined = (found.withColumns({"h1": F.xxhash64(content), "h2": F.xxhash64(F.lit(1), content)})
-                   .join(merged, ["h1", "h2"], "left"))
-    return joined.withColumn("hits", _merge(F.col("hits"), F.col("s"), F.col("i"))).select(*found.columns)
+    h1, h2, spans, ids = fresh(found.columns, "h1", "h2", "spans", "ids")
+    merged = more.groupBy(F.col("h1").alias(h1), F.col("h2").alias(h2)).agg(
+        F.flatten(F.collect_list("more.spans")).alias(spans), F.flatten(F.collect_list("more.items")).alias(ids))
+    joined = (found.withColumns({h1: F.xxhash64(content), h2: F.xxhash64(F.lit(1), content)})
+                   .join(merged, [h1, h2], "left"))
+    return joined.withColumn(name, _merge(F.col(name), F.col(spans), F.col(ids))).select(*[f"`{c}`" for c in found.columns])
 
 
 @F.pandas_udf(HITS)
@@ -241,10 +249,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     than ``max_coverage`` of their words hit are dropped whole.  ``n_chars``,
     where there is one, follows the new text.  Documents without a hit, null
     and empty texts stay as they are, and so do all other columns."""
-    kept = find_hits(docs, items, window=window, max_words=max_words).where(
-        "hits.n_hit = 0 or hits.n_hit <= hits.n_words * " + repr(max_coverage))
-    clean = kept.withColumn("text", F.when(F.col("hits.n_hit") > 0, _cut("text", "hits.spans")).otherwise(F.col("text")))
+    (hits,) = fresh(docs.columns, "hits")
+    kept = _with_hits(docs, items, hits, "text", "item_id", "text", window, max_words).where(
+        f"{hits}.n_hit = 0 or {hits}.n_hit <= {hits}.n_words * " + repr(max_coverage))
+    clean = kept.withColumn("text", F.when(F.col(f"{hits}.n_hit") > 0, _cut("text", f"{hits}.spans")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("hits.n_hit") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        clean = clean.withColumn("n_chars", F.when(F.col(f"{hits}.n_hit") > 0, F.length("text")).otherwise(F.col("n_chars"))
                                  .cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return clean.select(*[f"`{c}`" for c in docs.columns])

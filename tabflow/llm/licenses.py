@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabflow.llm.columns import make_room
 from tabflow.llm.text import alnum_words
 
 # Notices of common licenses and how their texts begin, and everyday words.
@@ -191,8 +192,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     scanned whole; repeated rows give equal results.  Of overlapping spans
     the one with more matched words stays, then the better covered, then the
     first by name.  Templates are a parameter of fixed size and go to every
-    task.  Other columns are unchanged.
+    task.  Other columns are unchanged; one named ``found`` becomes ``input_found``.
     """
+    docs = make_room(docs, "found")
     scanner = LicenseScanner(templates or TEMPLATES, coverage, stretch, None if templates else TELLING)
 
     @F.pandas_udf(FOUND)

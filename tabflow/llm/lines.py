@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.llm.columns import fresh, make_room
 from tabflow.llm.scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,18 +58,20 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
 
     Null and empty texts are one empty line and stay "".  Repeated rows lose
     the same lines; of rows with one id each loses its own.  Other columns
-    are unchanged.
+    are unchanged; one named like an added one has ``input_`` before its name.
     """
-    bitmaps = drop_bitmaps(docs, min_chars, min_docs).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("drops").alias("_drops"))
-    own = docs.select(*[docs[c] for c in docs.columns], F.xxhash64(docs["text"]).alias("_key"))
-    both = own.join(bitmaps, (own["doc_id"] == F.col("_d")) & (F.col("_key") == F.col("_h")), "left")
+    docs = make_room(docs, "n_lines", "n_dropped", "drops", "kept")
+    _d, _h, _drops, _key = fresh([*docs.columns, "n_lines", "n_dropped", "drops", "kept"], "_d", "_h", "_drops", "_key")
+    bitmaps = drop_bitmaps(docs, min_chars, min_docs).select(F.col("doc_id").alias(_d), F.col("h").alias(_h), F.col("drops").alias(_drops))
+    own = docs.select(*[docs[c] for c in docs.columns], F.xxhash64(docs["text"]).alias(_key))
+    both = own.join(bitmaps, (own["doc_id"] == F.col(_d)) & (F.col(_key) == F.col(_h)), "left")
 
     def stays(line: Column, i: Column) -> Column:
-        flags = F.try_element_at(F.col("_drops"), F.floor(i / 64).cast("int"))
+        flags = F.try_element_at(F.col(_drops), F.floor(i / 64).cast("int"))
         return F.coalesce(F.getbit(flags, (i % 64).cast("int")), F.lit(0)) == 0
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    lost = F.aggregate(F.map_values("_drops"), F.lit(0), lambda n, w: n + F.bit_count(w))
-    kept = F.when(F.col("_drops").isNull(), text).otherwise(F.array_join(F.filter(split_lines(F.col("text")), stays), "\n"))
-    return both.select(*docs.columns, F.size(split_lines(F.col("text"))).cast("long").alias("n_lines"),
-                       F.coalesce(lost, F.lit(0)).cast("long").alias("n_dropped"), F.col("_drops").alias("drops"), kept.alias("kept"))
+    lost = F.aggregate(F.map_values(_drops), F.lit(0), lambda n, w: n + F.bit_count(w))
+    kept = F.when(F.col(_drops).isNull(), text).otherwise(F.array_join(F.filter(split_lines(F.col("text")), stays), "\n"))
+    return both.select(*[f"`{c}`" for c in docs.columns], F.size(split_lines(F.col("text"))).cast("long").alias("n_lines"),
+                       F.coalesce(lost, F.lit(0)).cast("long").alias("n_dropped"), F.col(_drops).alias("drops"), kept.alias("kept"))

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.llm.columns import fresh
+
 #: Bytes of a chunk; characters of the first overlap.
 CHUNK, OVERLAP = 1 << 16, 256
 
@@ -117,12 +119,13 @@ def count_tokens(docs: DataFrame, model: str, text: str = "text", chunk: int = C
             yield pd.Series([count_part(sp, t, int(a), int(b)) for t, a, b in zip(parts, firsts, lasts)], dtype="int64")
 
     short = sized.where(F.col("n_bytes") <= chunk).withColumn("n_tokens", whole(F.col(text)))
-    hashed = sized.where(F.col("n_bytes") > chunk).withColumns({"_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), text)})
-    parts = (hashed.select(F.col("_h1").alias("h1"), F.col("_h2").alias("h2"), F.col(text).alias("t"))
+    k1, k2, c1, c2, n = fresh([*sized.columns, "n_tokens"], "h1", "h2", "c1", "c2", "n")
+    hashed = sized.where(F.col("n_bytes") > chunk).withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
+    parts = (hashed.select(F.col(k1).alias("h1"), F.col(k2).alias("h2"), F.col(text).alias("t"))
                    .mapInPandas(cut, "h1 long, h2 long, k long, part string, first long, last long")
                    .repartition("h1", "h2", "k"))  # spreads one text's chunks
     counted = (parts.select("h1", "h2", "k", part_tokens("part", "first", "last").alias("n"))
                     .groupBy("h1", "h2", "k").agg(F.max("n").alias("n"))  # copies of a text count once
-                    .groupBy("h1", "h2").agg(F.sum("n").alias("_n")))
-    long = hashed.join(counted, (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2")))
-    return short.unionByName(long.withColumn("n_tokens", F.col("_n")).select(*short.columns))
+                    .groupBy(F.col("h1").alias(c1), F.col("h2").alias(c2)).agg(F.sum("n").alias(n)))
+    long = hashed.join(counted, (F.col(k1) == F.col(c1)) & (F.col(k2) == F.col(c2)))
+    return short.unionByName(long.withColumn("n_tokens", F.col(n)).select(*[f"`{c}`" for c in short.columns]))

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.llm.columns import make_room
 from tabflow.llm.scratch import Scratch
 from tabflow.llm.text import PHI, alnum_words, hash_words, mix, ngram_hashes
 
@@ -215,7 +216,9 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, params: FtrlParams = FtrlP
 
 
 def classify(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` (1 from ``threshold`` on) added."""
+    """``docs`` with ``score`` and ``predicted`` (1 from ``threshold`` on) added;
+    columns of these names have ``input_`` before them."""
+    docs = make_room(docs, "score", "predicted")
     scored = docs.withColumn("score", score(F.col("text"), weights))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
