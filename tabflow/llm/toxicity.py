@@ -7,10 +7,9 @@ stays exactly zero until its evidence exceeds ``l1``, so a few thousand
 weights remain.  The model has a fixed size (``2 ** BITS`` floats, 1 MB)
 whatever the data, so it is sent to every task.
 
-Training is spread over shards of the labelled rows, each a row of a written
-table.  In each round every shard continues from the shared sums over its own
-rows; the mean of the shards' changes is taken in a task and added to the
-shared sums.  The driver sees one merged row a round, the coordinates that
+Training is spread over shards of the labelled rows.  In each round every
+shard continues from the shared sums over its own rows; the mean of the
+shards' changes is taken in a task and added to the shared sums.  The driver sees one merged row a round, the coordinates that
 changed, and sends the non-zero sums out again as 32-bit floats.
 """
 
@@ -22,12 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.llm.columns import make_room
-from tabflow.llm.scratch import Scratch
 from tabflow.llm.text import PHI, alnum_words, hash_words, mix, ngram_hashes
+from tabflow.session import checkpoint_root
 
 BITS = 18
 #: Odd multiplier that keeps skip-grams apart from pairs (fixed value).
@@ -109,35 +109,55 @@ def _dense(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard_round(sums, p: FtrlParams):
-    """What one round over each shard (a row) changes in the broadcast ``sums``."""
+    """What one round over each shard changes in the broadcast ``sums``; rows
+    come sorted by shard, so a task holds one model and one batch."""
 
-    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = _dense(sums.value)
-        for pdf in batches:
-            for shard, rows in zip(pdf["shard"], pdf["rows"]):
-                z1, n1 = z.copy(), n.copy()
-                _pass([(r["x"], r["y"]) for r in rows], z1, n1, p)
-                yield pd.DataFrame({"shard": [shard], "moved": [_sparse(z1 - z, n1 - n)]})
+        own, z1, n1 = None, z, n
+
+        def moved() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), pa.array([_sparse(z1 - z, n1 - n)], pa.binary())], ["shard", "moved"])
+
+        for batch in batches:
+            for shard, x, y in zip(*[batch.column(c) for c in ("shard", "x", "y")]):
+                if shard.as_py() != own:
+                    if own is not None:
+                        yield moved()
+                    own, z1, n1 = shard.as_py(), z.copy(), n.copy()
+                _pass([(x.as_py(), y.as_py())], z1, n1, p)
+        if own is not None:
+            yield moved()
 
     return train
 
 
-def _mean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The mean of all shards' changes (at most ``max_shards`` rows, each smaller than a model)."""
-    moved = pd.concat([pd.DataFrame({"shard": [], "moved": []}), *batches], ignore_index=True).sort_values("shard")
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    for data in moved["moved"]:
-        dz, dn = _dense(data)
-        z += dz
-        n += dn
-    if len(moved):
-        yield pd.DataFrame({"moved": [_sparse(z / len(moved), n / len(moved))]})
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of all shards' changes, one after another (at most ``max_shards`` rows, each smaller than a model)."""
+    z, n, many = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1), 0
+    for batch in batches:
+        for data in batch.column("moved"):
+            dz, dn = _dense(data.as_py())
+            z += dz
+            n += dn
+            many += 1
+    if many:
+        yield pa.RecordBatch.from_arrays([pa.array([_sparse(z / many, n / many)], pa.binary())], ["moved"])
 
 
 def _sigmoid(s: float) -> float:
     return 1.0 / (1.0 + np.exp(-np.clip(s, -30.0, 30.0)))
 
 
+def _forget(table: DataFrame) -> None:
+    """Deletes the files of a checkpointed table that nothing reads any more."""
+    sc = table.sparkSession.sparkContext
+    file = table._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = FtrlParams()) -> np.ndarray:
     """Weights fitted on ``rows`` (``label`` 0/1; null labels are left out).
 
@@ -145,7 +165,7 @@ def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = F
     rows give equal weights on every run.  No rows give all-zero weights.
     """
     spark = rows.sparkSession
-    tmp = Scratch(spark, "toxicity")
+    checkpoint_root(spark)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
@@ -158,22 +178,22 @@ def fit(rows: DataFrame, text: str, label: str, key: str, params: FtrlParams = F
         count = params.max_rows
     shards = max(1, min(params.max_shards, -(-count // params.shard_rows)))
     order = F.xxhash64(F.lit("order"), F.col(key))
-    # dealt to its shard once, a row a shard; a document's features are at most the model's coordinates
-    one = F.struct(order.alias("o"), packed(F.col(text).cast("binary")).alias("x"), F.col(label).cast("int").alias("y"))
-    table = tmp.save(known.select(F.pmod(order, F.lit(shards)).alias("shard"), one.alias("r"))
-                          .groupBy("shard").agg(F.sort_array(F.collect_list("r")).alias("rows")), "shards")
+    # dealt to its shard once; every round reads the checkpoint, whose partitions hold whole shards
+    table = (known.select(F.pmod(order, F.lit(shards)).alias("shard"), order.alias("o"), F.col(label).cast("int").alias("y"),
+                          packed(F.col(text).cast("binary")).alias("x"))
+                  .repartition(shards, "shard").sortWithinPartitions("shard", "o", "x").checkpoint())
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     for _ in range(params.rounds if count else 0):
         sums = spark.sparkContext.broadcast(_sparse(z, n))
-        moved = (table.mapInPandas(_shard_round(sums, params), "shard long, moved binary")
-                      .repartition(1).mapInPandas(_mean, "moved binary").first())
+        moved = (table.mapInArrow(_shard_round(sums, params), "shard long, moved binary")
+                      .repartition(1).sortWithinPartitions("shard").mapInArrow(_mean, "moved binary").first())
         sums.destroy()
         if moved is None:
             break
         dz, dn = _dense(bytes(moved["moved"]))
         z, n = z + dz, n + dn
-    tmp.drop("shards")
+    _forget(table)
     return weights_of(z, n, params).astype(np.float32)
 
 
