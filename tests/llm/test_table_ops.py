@@ -232,6 +232,33 @@ def test_line_dedup(make_docs, corpus):
     assert max(len(r.drops) for r in out.where("drops is not null").collect()) <= 24  # 64 lines a word
 
 
+def test_line_dedup_cuts_frequent_lines_into_blocks(spark, make_docs, corpus):
+    docs = make_docs(corpus + [(300 + i, "\n" * (i * 70) + "one very frequent line that a great many documents hold", "s") for i in range(60)])
+    whole, cut = (lines.drop_bitmaps(docs, block_rows=n).collect() for n in (1 << 13, 4))
+    assert len(whole) > 80 and sorted(map(str, whole)) == sorted(map(str, cut))
+    drops = {r.doc_id: r.drops for r in cut}
+    assert 359 not in drops and all(sum(w.bit_count() for w in [x % (1 << 64) for x in drops[300 + i]]) == 1 for i in range(59))
+
+
+def test_line_dedup_streams_sorted_ranges(make_docs, corpus, capsys):
+    from tabflow.llm.scratch import Scratch
+
+    plans, save = [], Scratch.save
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(Scratch, "save", lambda self, df, name: (plans.append((name, df)), save(self, df, name))[1])
+        lines.drop_bitmaps(make_docs(corpus))
+    seen = dict(plans)["seen"]
+    seen.explain("simple")
+    plan = capsys.readouterr().out
+    assert "rangepartitioning(k1" in plan and "Exchange hashpartitioning(k1" not in plan and plan.count("Window [") == 2
+
+
+def test_line_dedup_of_very_many_lines(make_docs):
+    text = "\n".join(f"a line of its own with the number {i} and forty characters" for i in range(160_000))
+    out = lines.dedup_lines(make_docs([(i, text, "s") for i in range(5)])).select("doc_id", "n_dropped", F.length("kept").alias("n")).collect()
+    assert {r.doc_id: (r.n_dropped, r.n) for r in out} == {i: (160_000, 0) if i < 4 else (0, len(text)) for i in range(5)}
+
+
 def test_url_filters(spark):
     r = random.Random(8)
     hosts = ["a.b.example.com", "b.example.com", "c.example.org", "localhost"]
