@@ -227,9 +227,23 @@ def test_splicing_needs_a_proof(model):
     data = open(model, "rb").read()
     pairs = tokens.neighbours(data)
     assert " t" in pairs and "e " not in pairs
-    assert tokens.splice_point("aaaa" * 50, 10, 2, frozenset(["aa"])) is None
     text = "ab " * 400
-    parts = list(tokens.chunks(text, 100, 4, pairs))
-    assert "".join(t[a:b] for t, a, b in parts) == text and len(parts) > 5
-    with pytest.raises(ValueError):
-        tokens.count_part(tokens.processor(data), "hello world", 3, 11)
+    cut = list(tokens.slices(text, [(k, 4) for k in range(100, 1200, 100)]))
+    assert len(cut) == 12 and cut[0][:2] == (text[:104], 0) and cut[-1][0] == text[1096:]
+    starts = tokens.np.array([0, 3, 3, 6, 9])
+    assert tokens.stable_starts("ab ab ab ab", 100, starts, 105, 2, frozenset(["ab", " a"])) == []
+    assert tokens.stable_starts("ab ab ab ab", 100, starts, 105, 2, frozenset(["ab"])) == [(103, 1), (106, 3)]
+
+
+def test_overlaps_widen_until_encodings_agree(spark, make_docs, model, monkeypatch):
+    from tabflow.llm.scratch import Scratch
+
+    # texts whose overlaps of 4 hold no stable position: one that widening mends, one without any, one that needs no widening
+    texts = [("a" * 28 + " ") * 60, "a" * 1500, "=-" * 800, "ab " * 500, " " * 1300, "ab " * 200 + "=" * 300 + " ab" * 200]
+    rounds, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: (rounds.append(name), save(self, df, name))[1])
+    out = tokens.count_tokens(make_docs([(i, t, "s") for i, t in enumerate(texts)] + [(9, texts[0], "s")]), model, chunk=200, overlap=4).collect()
+    sp = tokens.processor(open(model, "rb").read())
+    assert {o.doc_id: o.n_tokens for o in out} == {**{i: len(sp.encode(t)) for i, t in enumerate(texts)}, 9: len(sp.encode(texts[0]))}
+    assert len(rounds) >= 3 and len(out) == 7
+
