@@ -138,3 +138,23 @@ def batch_changes(spark, root: str, pk: str, since: int, upto: Optional[int] = N
     old = read_newest(spark, root, pk, since)
     new = read_newest(spark, root, pk, upto)
     return keyed.row_changes(old, new, pk)
+
+
+def sync_newer(spark, root: str, copy_root: str, pk: str, columns: Optional[Sequence[str]] = None) -> int:
+    """Bring a copy of a keyed table up to date; returns how many batches it took over (0: nothing to do).
+
+    The copy is a keyed table whose newest batch has the number of the last
+    source batch it holds: the offset is committed together with the rows, so
+    a sync that fails is simply run again.  Only batches beyond the offset are
+    read, and of a key found in several of them the newest row is written
+    (with ``columns`` only those besides the key).  Read the copy by
+    ``read_newest``.  Source batches must be committed in the order of their numbers.
+    """
+    done = batch_ids(spark, copy_root)
+    since = done[-1] if done else None
+    later = [n for n in batch_ids(spark, root) if since is None or n > since]
+    if not later:
+        return 0
+    rows = read_newest(spark, root, pk, upto=later[-1], since=since)
+    append_batch(rows if columns is None else rows.select(pk, *columns), copy_root, pk, later[-1])
+    return len(later)

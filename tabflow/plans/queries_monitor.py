@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabflow.operators.moments import column_moments, moments_profile, refresh_moments
 from tabflow.operators.monitor import drift_alert, drift_series, profile_metrics, snapshot_profile, window_start
 from tabflow.plans import standins as S
 from tabflow.plans.catalog import exact, exact_avg_sql, register, sround, table
 from tabflow.session import scratch_path
-from tabflow.sources.tables import append_batch, read_newest
+from tabflow.sources.tables import append_batch, materialize, read_newest
 
 # Profiled lineitem columns; l_tax is blanked on returned lines so the
 # profile has NULLs to count.
@@ -122,3 +123,28 @@ def q_refresh_alert(spark, sf_dir):
         append_batch(snapshot_profile(state, _REFRESHES[k], ["o_totalprice"]), f"{root}/profile", ["window", "column_name"], k)
     profile = read_newest(spark, f"{root}/profile", ["window", "column_name"])
     return drift_alert(drift_series(profile, window_col="window"), window_col="window")
+
+
+@register("refresh_from_changes", sql=f"""
+WITH t1 AS (
+  SELECT o_orderkey, o_orderdate, o_totalprice FROM ({S.OLD_SQL}) o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({S.UPDATE_SQL}) u)
+  UNION ALL SELECT o_orderkey, o_orderdate, o_totalprice FROM ({S.UPDATE_SQL}) u
+)
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS window_start, 'o_totalprice' AS column_name, count(*) AS n,
+       count(*) FILTER (WHERE o_totalprice IS NULL) AS nulls, {sround(exact_avg_sql("o_totalprice"), 4)} AS avg,
+       {sround("min(o_totalprice)", 4)} AS min, {sround("max(o_totalprice)", 4)} AS max, {sround("stddev_samp(o_totalprice)", 4)} AS stddev
+FROM t1 GROUP BY 1
+""")
+def q_refresh_from_changes(spark, sf_dir):
+    """A monthly profile brought up to date by one batch of a keyed table: changed rows out, their new ones in."""
+    root = scratch_path(spark, "moments")
+    for k, batch in enumerate((S.old_snapshot(spark, sf_dir), S.update_batch(spark, sf_dir))):
+        append_batch(batch.select(S.PK, "o_orderdate", exact("o_totalprice").alias("o_totalprice")), f"{root}/orders", S.PK, k)
+    month, columns = window_start("o_orderdate", "month"), ["o_totalprice"]
+    old, new = read_newest(spark, f"{root}/orders", S.PK, upto=0), read_newest(spark, f"{root}/orders", S.PK)
+    state = materialize(column_moments(old, month, columns), "moments")
+    after = read_newest(spark, f"{root}/orders", S.PK, since=0)
+    before = old.join(after.select(S.PK), S.PK, "left_semi")
+    keys = ["window_start", "column_name"]
+    profile = moments_profile(refresh_moments(state, before, after, new, month, columns), keys)
+    return profile.select(*keys, "n", "nulls", *[F.round(c, 4).alias(c) for c in ("avg", "min", "max", "stddev")])

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tabflow.plans import standins as S
 from tabflow.plans.catalog import exact, exact_avg_sql, register, sround, table
+from tabflow.plans.flows import sync_newer
 from tabflow.plans.queries_tables import ORDER_COLS
 from tabflow.session import scratch_path
 from tabflow.sources.tables import append_batch, read_newest
-from tabflow.streaming import stream_incremental_split, stream_profile, stream_upsert
+from tabflow.streaming import stream_incremental_split, stream_moments, stream_profile, stream_upsert, streamed_profile
 
 
 @register("stream_incremental_split", sql=f"""
@@ -89,3 +90,44 @@ def q_stream_profile(spark, sf_dir):
 @register("stream_profile_hourly", sql=_profile_sql("hour"))
 def q_stream_profile_hourly(spark, sf_dir):
     return _stream_profile(spark, sf_dir, "1 hour")
+
+
+@register("stream_profile_late", sql=_profile_sql("day"))
+def q_stream_profile_late(spark, sf_dir):
+    """The newer half arrives first, so every row of the older half comes weeks late; none is lost."""
+    root = scratch_path(spark, "stream_moments")
+    incoming, out, ckpt = f"{root}/incoming", f"{root}/table", f"{root}/checkpoint"
+    events = table(spark, sf_dir, "events").withColumn("value", exact("value"))
+    half = S.ts("2024-01-16")
+    for arrival in (events.where(F.col("ts") >= half), events.where(F.col("ts") < half)):
+        arrival.write.mode("append").parquet(incoming)
+        stream_moments(spark, incoming, events.schema, out, ckpt, "ts", ["value"], slices=["event_type"])
+    prof = streamed_profile(spark, out, ["event_type"])
+    return prof.select("window_start", "event_type", "column_name", "n", "nulls",
+                       *[F.round(c, 4).alias(c) for c in ("avg", "min", "max", "stddev")])
+
+
+@register("sync_newer", sql=f"""
+WITH t1 AS (
+  SELECT {ORDER_COLS} FROM ({S.OLD_SQL}) o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({S.UPDATE_SQL}) u)
+  UNION ALL SELECT {ORDER_COLS} FROM ({S.UPDATE_SQL}) u
+), t2 AS (
+  SELECT {ORDER_COLS} FROM t1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({_U2_SQL}) v)
+  UNION ALL SELECT {ORDER_COLS} FROM ({_U2_SQL}) v
+)
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM t2
+""")
+def q_sync_newer(spark, sf_dir):
+    """A serving copy synced three times: the first load, two batches at once, nothing."""
+    root = scratch_path(spark, "sync_newer")
+    orders = table(spark, sf_dir, "orders")
+    u2 = (orders.where(F.col("o_orderdate") >= S.ts(_U2_FROM))
+                .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") + 2.0).otherwise(F.col("o_totalprice"))))
+    taken = []
+    for batches in ((S.old_snapshot(spark, sf_dir),), (S.update_batch(spark, sf_dir), u2), ()):
+        for batch in batches:
+            append_batch(batch, f"{root}/table", S.PK)
+        taken.append(sync_newer(spark, f"{root}/table", f"{root}/copy", S.PK, ["o_orderstatus", "o_totalprice"]))
+    if taken != [1, 2, 0]:
+        raise RuntimeError(f"syncs took over {taken} batches")
+    return read_newest(spark, f"{root}/copy", S.PK)

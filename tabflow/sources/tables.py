@@ -149,8 +149,19 @@ def append_batch(df: DataFrame, root: str, pk: str | Sequence[str], batch_id: Op
     return batch_id
 
 
-def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: Optional[int] = None) -> DataFrame:
-    """A keyed table's state: for each key its row of the newest batch (up to ``upto``).
+def read_batches(spark: SparkSession, root: str, since: Optional[int] = None, upto: Optional[int] = None) -> DataFrame:
+    """All rows of the committed batches after ``since`` up to ``upto``, with their ``batch_id``."""
+    base = root.rstrip("/")
+    ids = [n for n in batch_ids(spark, root) if (since is None or n > since) and (upto is None or n <= upto)]
+    if not ids:
+        raise ValueError(f"No batch under {root}")
+    return spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={n}" for n in ids])
+
+
+def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: Optional[int] = None,
+                since: Optional[int] = None) -> DataFrame:
+    """A keyed table's state: for each key its row of the newest batch (up to
+    ``upto``; with ``since``, the keys of later batches only).
 
     With one batch this is a plain scan.  With more, the keys of the later
     batches become Bloom filters, and every row is tested where it is against
@@ -162,11 +173,8 @@ def read_newest(spark: SparkSession, root: str, pk: str | Sequence[str], upto: O
     by writing this state as the first batch of another folder.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
-    ids = [n for n in batch_ids(spark, root) if upto is None or n <= upto]
-    if not ids:
-        raise ValueError(f"No batch under {root}")
-    base = root.rstrip("/")
-    rows = spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH_COL}={n}" for n in ids])
+    rows = read_batches(spark, root, since, upto)
+    ids = [n for n in batch_ids(spark, root) if (since is None or n > since) and (upto is None or n <= upto)]
     if len(ids) > 1:
         rows = _newest_rows(rows, keys, ids)
     return rows.drop(BATCH_COL)

@@ -1,5 +1,5 @@
 """Structured Streaming forms of the incremental operators."""
 
-from tabflow.streaming.streams import stream_incremental_split, stream_profile, stream_upsert
+from tabflow.streaming.streams import stream_incremental_split, stream_moments, stream_profile, stream_upsert, streamed_profile
 
-__all__ = ["stream_incremental_split", "stream_profile", "stream_upsert"]
+__all__ = ["stream_incremental_split", "stream_moments", "stream_profile", "stream_upsert", "streamed_profile"]

@@ -27,8 +27,9 @@ from pyspark.sql.types import StructType
 
 from tabflow.functions.dates import ntz_as_utc
 from tabflow.operators import keyed, split
+from tabflow.operators.moments import column_moments, merge_moments, moments_profile
 from tabflow.operators.monitor import profile_metrics
-from tabflow.sources.tables import append_batch
+from tabflow.sources.tables import append_batch, materialize, read_batches
 
 
 def _source(spark: SparkSession, path: str, schema: StructType,
@@ -127,6 +128,34 @@ def stream_profile(spark: SparkSession, source: str, schema: StructType, table_r
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in _operators(p))
 
 
+def stream_moments(spark: SparkSession, source: str, schema: StructType, table_root: str, checkpoint: str,
+                   ts_col: str, columns: Sequence[str], window: str = "1 day", slices: Sequence[str] = (),
+                   max_files_per_trigger: Optional[int] = None) -> None:
+    """Windowed profile that takes late rows in: no watermark, no state, nothing dropped.
+
+    Each micro-batch appends the moments of its own rows, one row per window
+    (and slice and column) that it touches, however old the window is; a
+    replayed micro-batch rewrites its own.  :func:`streamed_profile` merges them.
+    """
+    events = _source(spark, source, schema, max_files_per_trigger)
+    if dict(events.dtypes)[ts_col] == "timestamp_ntz":
+        events = events.withColumn(ts_col, ntz_as_utc(ts_col))
+    start = F.to_timestamp_ntz(F.convert_timezone(None, F.lit("UTC"), F.window(ts_col, window)["start"].cast("timestamp_ntz")).cast("string"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        own = batch.withColumn("window_start", start)
+        moments = materialize(column_moments(own, "window_start", list(columns), slices=slices), "moments")  # the key check and the write read it
+        append_batch(moments, table_root, ["window_start", *slices, "column_name"], batch_id + 1)
+
+    _run(events, per_batch, checkpoint)
+
+
+def streamed_profile(spark: SparkSession, table_root: str, slices: Sequence[str] = ()) -> DataFrame:
+    """``(window_start, *slices, column_name, n, nulls, avg, min, max, stddev)`` over all micro-batches so far."""
+    keys = ["window_start", *slices, "column_name"]
+    return moments_profile(merge_moments(read_batches(spark, table_root), keys), keys)
+
+
 def _operators(progress) -> list[dict]:
     import json
 
