@@ -9,7 +9,7 @@ from tabflow.functions.dates import register_sql_functions
 from tabflow.operators import evaluate, features, generate, quality
 from tabflow.operators.keyed import latest_per_key
 from tabflow.plans import standins as S
-from tabflow.plans.catalog import register, sround, table
+from tabflow.plans.catalog import exact_avg_sql, register, sround, table
 
 # The order-priority levels in alphabetical order.
 PRIORITY_LEVELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -232,3 +232,25 @@ def q_append_new_rows(spark, sf_dir):
     append(orders.where(F.col("o_orderdate") < S.ts(S.OLD_CUTOFF)), raw)
     append(orders.where(F.col("o_orderdate") >= S.ts(S.OLD_CUTOFF)), raw)
     return spark.read.parquet(raw)
+
+
+@register("one_pass_preprocess", sql=f"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders),
+m AS (SELECT {exact_avg_sql("price")} AS mean FROM o),
+i AS (SELECT o.*, coalesce(price, mean) AS imputed FROM o, m),
+s AS (SELECT stddev_samp(imputed) AS sd FROM i),
+p AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS ix FROM o GROUP BY 1),
+c AS (SELECT o_custkey AS v, row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS ix FROM o GROUP BY 1)
+SELECT o_orderkey, {sround("imputed", 2)} AS price_imputed, {sround("imputed / sd", 6)} AS price_scaled,
+       p.ix AS o_orderpriority_indexed, c.ix AS o_custkey_indexed
+FROM i, s, p, c WHERE p.v = o_orderpriority AND c.v = o_custkey
+""")
+def q_one_pass_preprocess(spark, sf_dir):
+    """Fit in one scan: a price with gaps, a small category and one with a level per customer."""
+    from tabflow.operators import onepass
+
+    orders = table(spark, sf_dir, "orders").withColumn("price", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")))
+    num, cat = ["price"], ["o_orderpriority", "o_custkey"]
+    out = onepass.transform(orders, onepass.fit(orders, num, cat), num, cat)
+    return out.select("o_orderkey", F.round("price_imputed", 2).alias("price_imputed"), F.round("price_scaled", 6).alias("price_scaled"),
+                      "o_orderpriority_indexed", "o_custkey_indexed")
