@@ -91,7 +91,8 @@ def drift_series(profile: DataFrame, window_col: str = "window_start", value_col
     """
     w = Window.partitionBy(*keys).orderBy(F.col(window_col).desc())
     prev = F.lead(value_col, 1).over(w)
-    pct = F.round(F.try_divide((F.col(value_col) - F.col("prev_avg")) * F.lit(100.0), F.col("prev_avg")), 1)
+    # rounded twice: the last bits of a double must not decide a tie (-6.249999999999996 is -6.25, so -6.3)
+    pct = F.round(F.round(F.try_divide((F.col(value_col) - F.col("prev_avg")) * F.lit(100.0), F.col("prev_avg")), 7), 1)
     change = F.abs(F.col("pct")) if two_sided else F.col("pct")
     return (profile.withColumn("prev_avg", prev)
                    .withColumn("pct", pct)
