@@ -167,6 +167,63 @@ def test_vectors_in_a_crowded_direction(spark):
     assert met >= vectors.PassParams().recall, met
 
 
+def cone(r, n, d):
+    x = r.standard_normal((n, d))
+    x[:n // 3] += 1.2 * r.standard_normal(d)
+    return x
+
+
+@pytest.mark.parametrize("shape", ["even", "cone", "common mean"])
+def test_vectors_recall(spark, shape):
+    """Every linked pair of brute force on three shapes of tables, with near copies at all cosines from 0.88 up."""
+    r = np.random.default_rng(9)
+    x = {"even": lambda: r.standard_normal((6000, 48)), "cone": lambda: cone(r, 6000, 48),
+         "common mean": lambda: r.standard_normal((6000, 48)) + 1.0}[shape]()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    at = r.choice(6000, 600, replace=False)
+    side = r.standard_normal((600, 48))
+    side -= (side * x[at]).sum(axis=1, keepdims=True) * x[at]
+    cos = r.uniform(0.88, 1, 600)[:, None]
+    x = np.vstack([x, cos * x[at] + np.sqrt(1 - cos ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = {o.vec_id: o for o in vectors.near_duplicates(df.repartition(4)).collect()}
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    links, met = int(near.sum()), sum(o.n_links for o in out.values())
+    assert met <= links and met >= 0.97 * links, (met, links)
+    top = union(list(zip(*np.nonzero(np.triu(near)))), range(len(x)))
+    for i, o in out.items():  # no component joins what brute force keeps apart
+        assert top[i] == top[o.component_id]
+
+
+def test_vector_codes_bound_the_cosine():
+    r = np.random.default_rng(2)
+    x = vectors._unit(np.vstack([r.standard_normal((400, 24)), 1e200 * r.standard_normal((4, 24)), 1e-200 * np.eye(24)[:4]]))
+    codes = np.concatenate([vectors._codes(x), vectors._codes(x[::-1])])
+    both = np.vstack([x, x[::-1]])
+    p = vectors.PassParams(threshold=0.3, window=900)
+    i, j, sure = vectors._window_links(codes, 0, p)
+    exact = (both @ both.T >= 0.3)
+    assert exact[i[sure], j[sure]].all()
+    assert {(a, b) for a, b in zip(*np.nonzero(np.tril(exact, -1)))} <= set(zip(i, j))
+
+
+def test_vector_ranges_meet_at_their_ends(spark):
+    """Ranges of fewer rows than a window lose no neighbour."""
+    r = np.random.default_rng(3)
+    centre = r.standard_normal(16)
+    rows = [(i, (centre + 0.05 * r.standard_normal(16)).tolist()) for i in range(700)]
+    p, tmp = vectors.PassParams(window=64), vectors.Scratch(spark, "t_ends")
+    classes = spark.createDataFrame(rows, "id long, v array<double>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = vectors._pass_edges(classes, 1, 0, p, tmp)
+        top = union([(e.a, e.b) for e in edges.collect()], range(700))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(top.values()) == {0}
+
+
 def test_passes_grow_slowly_with_rows():
     p = vectors.PassParams()
     assert p.passes(0) == p.passes(100) == 1 and p.passes(10**5) < p.passes(10**9) < 200
