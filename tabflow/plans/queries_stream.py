@@ -12,14 +12,16 @@ from tabflow.plans.flows import sync_newer
 from tabflow.plans.queries_tables import ORDER_COLS
 from tabflow.session import scratch_path
 from tabflow.sources.tables import append_batch, read_newest
-from tabflow.streaming import stream_incremental_split, stream_moments, stream_profile, stream_upsert, streamed_profile
+from tabflow.streaming import stream_incremental_split, stream_moments, stream_profile, stream_split_by_state, stream_upsert, streamed_profile
 
 
-@register("stream_incremental_split", sql=f"""
+_STREAM_SPLIT_SQL = f"""
 SELECT o_orderkey, o_totalprice, status, {S.split_sql('o_orderkey')} AS split
 FROM ({S.BOOKINGS_SQL}) b WHERE status IS NOT NULL
-""")
-def q_stream_incremental_split(spark, sf_dir):
+"""
+
+
+def _streamed_split(spark, sf_dir, run):
     root = scratch_path(spark, "stream_split")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/table", f"{root}/checkpoint"
     bookings = S.bookings(spark, sf_dir)
@@ -27,10 +29,20 @@ def q_stream_incremental_split(spark, sf_dir):
     for arrival in arrivals + [None]:  # last run: nothing new arrived
         if arrival is not None:
             arrival.write.mode("append").parquet(incoming)
-        stream_incremental_split(spark, incoming, bookings.schema, out, ckpt, S.PK, "status")
+        run(spark, incoming, bookings.schema, out, ckpt, S.PK, "status")
     return spark.read.parquet(out).select(S.PK, "o_totalprice", "status", "split")
 
 
+@register("stream_incremental_split", sql=_STREAM_SPLIT_SQL)
+def q_stream_incremental_split(spark, sf_dir):
+    return _streamed_split(spark, sf_dir, stream_incremental_split)
+
+
+@register("stream_split_by_state", sql=_STREAM_SPLIT_SQL)
+def q_stream_split_by_state(spark, sf_dir):
+    return _streamed_split(spark, sf_dir, stream_split_by_state)
+
+
 _U2_FROM = "2000-01-01"
 _U2_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, "
            "CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 2.0 ELSE o_totalprice END AS o_totalprice, "

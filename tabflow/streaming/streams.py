@@ -9,6 +9,9 @@ instead of appending twice:
 * split: each batch is the batch :func:`tabflow.plans.flows.incremental_split`
   with ``ingest_id = batch_id``: rows go to ``split_table/ingest_id=N/...``
   (overwritten on replay) and the diff reads only ``ingest_id < N``.
+* split by state: seen keys are the state of a streaming deduplication, so a
+  micro-batch costs its own rows and the state it touches, not a read of the
+  table; rows go to ``split_table/ingest_id=batch_id`` alike.
 * upsert / profile: micro-batch N writes batch N+1 of a keyed table
   (:func:`tabflow.sources.tables.append_batch`); readers take each key's
   newest row, so a micro-batch costs what it holds, not the table.
@@ -29,6 +32,7 @@ from tabflow.functions.dates import ntz_as_utc
 from tabflow.operators import keyed, split
 from tabflow.operators.moments import column_moments, merge_moments, moments_profile
 from tabflow.operators.monitor import profile_metrics
+from tabflow.operators.quality import require_columns
 from tabflow.sources.tables import append_batch, materialize, read_batches
 
 
@@ -76,6 +80,48 @@ def stream_incremental_split(spark: SparkSession, source: str, schema: StructTyp
     _run(_source(spark, source, schema, max_files_per_trigger), writer, checkpoint)
 
 
+def stream_split_by_state(spark: SparkSession, source: str, schema: StructType, split_table: str,
+                          checkpoint: str, pk: str, target: Optional[str], test_size: float = 0.2,
+                          seed: int = 42, split_col: str = "split", ts_col: Optional[str] = None,
+                          keep: Optional[str] = None, max_files_per_trigger: Optional[int] = None) -> None:
+    """Run once over newly arrived files: the first row of every key not seen
+    before is split and appended; the split table is never read.
+
+    Seen keys live in Spark's state store, sharded by key beside the
+    checkpoint, one entry a key (set the session's state store provider to
+    RocksDB where they outgrow the heap).  NULL keys and targets are dropped
+    before, so a key whose target was missing is still new when it has one.
+    Of several rows of a new key in one micro-batch one is kept;
+    :func:`stream_incremental_split` keeps all.
+
+    With ``ts_col`` and ``keep`` (``"90 days"``) a key is remembered for that
+    much event time and then dropped from state, which bounds it; rows later
+    than the watermark are dropped too, and a key sent again after that is new.
+
+    A micro-batch that failed is run again from the state before it and
+    rewrites its own ``ingest_id``.
+    """
+    from tabflow.plans.flows import INGEST_COL
+
+    split._check_test_size(test_size)
+    require_columns(spark.createDataFrame([], schema), [pk, *([target] if target else []), *([ts_col] if keep else [])], "split")
+    rows = _source(spark, source, schema, max_files_per_trigger)
+    if keep and dict(rows.dtypes)[ts_col] == "timestamp_ntz":  # watermarks need instants
+        rows = rows.withColumn("_event_time", ntz_as_utc(ts_col))
+    elif keep:
+        rows = rows.withColumn("_event_time", F.col(ts_col))
+    rows = split.assign_split(rows, pk, target, test_size, seed, split_col)
+    if keep:
+        fresh = rows.withWatermark("_event_time", keep).dropDuplicatesWithinWatermark([pk]).drop("_event_time")
+    else:
+        fresh = rows.dropDuplicates([pk])
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy(split_col).parquet(f"{split_table.rstrip('/')}/{INGEST_COL}={batch_id}")
+
+    _run(fresh, per_batch, checkpoint)
+
+
 def upsert_batch_writer(pk: str | Sequence[str], table_root: str, order_by: Optional[Sequence[str]] = None):
     """``foreachBatch`` function: micro-batch N becomes batch N+1 of the keyed
     table (batch 0 is the initial load).  A NULL or repeated key fails it."""

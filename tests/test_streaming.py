@@ -1,10 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tabflow.operators import keyed, split
 from tabflow.operators.monitor import profile_metrics, window_start
 from tabflow.session import scratch_path
 from tabflow.sources.tables import append_batch, batch_ids, read_newest
-from tabflow.streaming import stream_incremental_split, stream_profile, stream_upsert
+from tabflow.streaming import stream_incremental_split, stream_profile, stream_split_by_state, stream_upsert
 from tests.conftest import rows
 
 
@@ -22,6 +23,71 @@ def test_stream_split_equals_batch(spark):
     assert got == rows(split.assign_split(df, "id", "y"), "id", "y", "split")
 
 
+def test_split_by_state_equals_batch(spark):
+    """Overlapping arrivals over restarts, null keys and targets; a key is new until it has a target."""
+    root = scratch_path(spark, "t_state_split")
+    df = spark.range(0, 300).select("id", (F.col("id") % 3).cast("string").alias("y"))
+    untargeted = df.select("id", F.when(F.col("id") >= 250, F.col("y")).alias("y"))
+    keyless = spark.sql("select cast(null as bigint) id, 'a' y")
+    for part in (df.where("id < 200"), df.where("id >= 100 and id < 260").union(keyless), untargeted, df, None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{root}/in")
+        stream_split_by_state(spark, f"{root}/in", df.schema, f"{root}/out", f"{root}/ck", "id", "y")
+    got = rows(spark.read.parquet(f"{root}/out"), "id", "y", "split")
+    assert got == rows(split.assign_split(df, "id", "y"), "id", "y", "split")
+
+
+def test_split_by_state_reads_no_table(spark):
+    """The state decides: with another, empty table old keys are still old."""
+    root = scratch_path(spark, "t_state_only")
+    df = spark.range(0, 100).select("id", F.lit("a").alias("y"))
+    for k, part in enumerate((df.where("id < 60"), df)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream_split_by_state(spark, f"{root}/in", df.schema, f"{root}/out{k}", f"{root}/ck", "id", "y")
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out1").collect()) == list(range(60, 100))
+
+
+def test_split_by_state_replays_a_failed_batch(spark, monkeypatch):
+    from tabflow.streaming import streams
+
+    root = scratch_path(spark, "t_state_replay")
+    df = spark.range(0, 80).select("id", F.lit("a").alias("y"))
+    args = (spark, f"{root}/in", df.schema, f"{root}/out", f"{root}/ck", "id", "y")
+    df.where("id < 30").write.mode("append").parquet(f"{root}/in")
+    stream_split_by_state(*args)
+    df.write.mode("append").parquet(f"{root}/in")
+    run = streams._run
+
+    def failing(stream, fn, *more, **named):
+        def per_batch(batch, batch_id):
+            fn(batch, batch_id)
+            raise RuntimeError("lost after the write, before the commit")
+
+        return run(stream, per_batch, *more, **named)
+
+    monkeypatch.setattr(streams, "_run", failing)
+    with pytest.raises(Exception, match="lost after the write"):
+        stream_split_by_state(*args)
+    monkeypatch.setattr(streams, "_run", run)
+    stream_split_by_state(*args)
+    got = spark.read.parquet(f"{root}/out")
+    assert sorted(r.id for r in got.collect()) == list(range(80))
+    assert {r.ingest_id for r in got.where("id >= 30").select("ingest_id").distinct().collect()} == {1}
+
+
+def test_split_by_state_forgets_after_keep(spark):
+    root = scratch_path(spark, "t_state_keep")
+    day = lambda d: f"2024-01-{d:02d} 00:00:00"
+    arrivals = [[(1, day(1)), (1, day(1)), (2, day(1))], [(1, day(2)), (3, day(9))], [(9, day(20))], [(2, day(21)), (9, day(21))]]
+    for part in arrivals:
+        df = spark.createDataFrame([(i, "a", t) for i, t in part], "id long, y string, at string").withColumn("at", F.to_timestamp_ntz("at"))
+        df.write.mode("append").parquet(f"{root}/in")
+        stream_split_by_state(spark, f"{root}/in", df.schema, f"{root}/out", f"{root}/ck", "id", "y", ts_col="at", keep="5 days")
+    out = spark.read.parquet(f"{root}/out")
+    assert sorted((r.id, r["at"].day) for r in out.collect()) == [(1, 1), (2, 1), (2, 21), (3, 9), (9, 20)]
+    assert set(out.columns) == {"id", "y", "at", "split", "ingest_id"}
+
+
 def test_stream_upsert_equals_batch(spark):
     root = scratch_path(spark, "t_stream_upsert")
     base = spark.range(0, 100).select("id", F.lit("v0").alias("v"))
