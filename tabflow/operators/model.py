@@ -19,8 +19,9 @@ from tabflow.operators.split import union_by_name
 from tabflow.sources.tables import materialize
 
 
-def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None):
-    """Preprocessing stages + ``GBTClassifier`` (binary) as one Pipeline.
+def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None, classifier=None):
+    """Preprocessing stages + ``GBTClassifier`` (binary) as one Pipeline, or
+    another ``pyspark.ml`` classifier of ``features`` and ``label``.
 
     ``max_depth``, ``n_estimators`` -> ``maxIter``, ``learning_rate`` ->
     ``stepSize`` (the original validated the last two but ignored them).
@@ -28,6 +29,8 @@ def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
 
+    if classifier is not None:
+        return Pipeline(stages=preprocessing_stages(spec) + [classifier])
     p = params or spec.params
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=p.max_depth,
                         maxIter=p.n_estimators, stepSize=p.learning_rate, seed=p.seed)
@@ -35,7 +38,7 @@ def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None):
 
 
 def train_and_score(train: DataFrame, test: DataFrame, spec: TableSpec,
-                    params: Optional[ModelParams] = None, materialize_input: bool = True):
+                    params: Optional[ModelParams] = None, materialize_input: bool = True, classifier=None):
     """Fit on ``train`` and transform ``test``: ``(PipelineModel, scored test)``.
 
     The estimators make several passes over the training input (indexers,
@@ -47,7 +50,7 @@ def train_and_score(train: DataFrame, test: DataFrame, spec: TableSpec,
     fit_input = prepare_inputs(train.select(*cols), spec)
     if materialize_input:
         fit_input = materialize(fit_input, "train_input")
-    model = model_pipeline(spec, params).fit(fit_input)
+    model = model_pipeline(spec, params, classifier).fit(fit_input)
     return model, model.transform(prepare_inputs(test, spec))
 
 

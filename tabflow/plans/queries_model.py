@@ -134,16 +134,18 @@ li AS (
 )"""
 
 
-def _preprocess_sql() -> str:
-    """DuckDB twin of the fitted preprocessing pipeline on this training split.
-
-    Label: alphabetical index of the class.  Numeric block: value imputed
-    with the training mean, divided by the training sample stddev of the
-    imputed column.  Categorical blocks: one indicator per training level in
-    StringIndexer order (count desc, value asc); unseen/NULL -> all zeros
-    (the "keep" slot is the one OneHotEncoder drops).
+def feature_ctes(num=None, cat=None) -> tuple[str, list[str]]:
+    """DuckDB twin of the fitted preprocessing pipeline on this training
+    split: CTEs of which ``imp, sd`` has the inputs, and the expressions of
+    the feature vector over them.
+
+    Numeric block: value imputed with the training mean, divided by the
+    training sample stddev of the imputed column.  Categorical blocks: one
+    indicator per training level in StringIndexer order (count desc, value
+    asc); unseen/NULL -> all zeros (the "keep" slot is the one OneHotEncoder
+    drops).
     """
-    num, cat = ORDERS_SPEC.num_names, ORDERS_SPEC.cat_names
+    num, cat = ORDERS_SPEC.num_names if num is None else num, ORDERS_SPEC.cat_names if cat is None else cat
     n_levels = {"o_orderpriority": 5, "c_mktsegment": 5}  # fixed values: level counts of the test data
     means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in num)
     imputed = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS x_{c}" for c in num)
@@ -151,23 +153,27 @@ def _preprocess_sql() -> str:
     levels = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS col, v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS INTEGER) AS i "
         f"FROM (SELECT {c} AS v, count(*) AS n FROM train WHERE {c} IS NOT NULL GROUP BY {c}) g" for c in cat)
-    feats = [sround(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE x_{c} / s_{c} END", 6) for c in num]
+    feats = [f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE x_{c} / s_{c} END" for c in num]
     for c in cat:
         feats += [f"CASE WHEN {c} = (SELECT v FROM levels WHERE col = '{c}' AND i = {i}) THEN 1.0 ELSE 0.0 END"
                   for i in range(n_levels[c])]
-    cols = ",\n       ".join(f"{e} AS f_{k:02d}" for k, e in enumerate(feats))
-    return f"""
-WITH {_POPULATION_SQL}, train AS (SELECT * FROM pop WHERE split = 'train'),
+    return f"""{_POPULATION_SQL}, train AS (SELECT * FROM pop WHERE split = 'train'),
 m AS (SELECT {means} FROM train),
 imp AS (SELECT pop.*, {imputed} FROM pop, m),
 sd AS (SELECT {stds} FROM imp WHERE split = 'train'),
 levels AS (
 {levels}
-)
-SELECT o_orderkey, CASE WHEN value_class = 'high' THEN 0.0 ELSE 1.0 END AS label,
-       {cols}
-FROM imp, sd
-"""
+)""", feats
+
+
+LABEL_SQL = "CASE WHEN value_class = 'high' THEN 0.0 ELSE 1.0 END"  # alphabetical index of the class
+
+
+def _preprocess_sql() -> str:
+    ctes, feats = feature_ctes()
+    width = len(ORDERS_SPEC.num_names)
+    cols = ",\n       ".join(f"{sround(e, 6) if k < width else e} AS f_{k:02d}" for k, e in enumerate(feats))
+    return f"WITH {ctes}\nSELECT o_orderkey, {LABEL_SQL} AS label,\n       {cols}\nFROM imp, sd"
 
 
 @register("preprocess_features", sql=_preprocess_sql())

@@ -2,6 +2,7 @@
 
 from tabflow.plans import (  # noqa: F401  (imported for registration)
     queries_features,
+    queries_fitted,
     queries_model,
     queries_monitor,
     queries_scoring,

@@ -86,3 +86,17 @@ def test_registered_model_queries(spark, sf_small):
     assert served.columns == ["o_orderkey", "o_totalprice", "o_orderpriority", "scored"]
     assert served.count() == orders.count()
     assert served.select("o_orderkey").distinct().count() == orders.count()
+
+
+def test_fitted_queries_see_wrong_predictions(spark, sf_small):
+    """Predictions of the fit that SQL repeats take both values and beat the majority; the run table follows them."""
+    import __spark_entry__ as e
+
+    scored = e.queries()["fit_and_score"](spark, sf_small).collect()
+    labels = [r.label for r in scored]
+    right = sum(r.label == r.prediction for r in scored)
+    assert {r.prediction for r in scored} == {0.0, 1.0}
+    assert right > max(labels.count(0.0), labels.count(1.0))
+    assert all((r.log_odds > 0) == (r.prediction == 1.0) for r in scored if r.log_odds)
+    runs = sorted(e.queries()["fit_evaluate_promote"](spark, sf_small).collect(), key=lambda r: r.run)
+    assert [r.run for r in runs] == [1, 2] and runs[0].promoted and runs[1].promoted == (runs[1].mae < runs[0].mae)
