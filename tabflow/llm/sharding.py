@@ -71,7 +71,7 @@ def shard_of(key: Column, tree: Tree) -> Column:
 def kept_names(columns: Sequence[str]) -> dict[str, str]:
     """Names under which ``place`` keeps input columns: the same, but ``input_``
     goes before a name that it adds or uses inside, as often as needed."""
-    taken = {*ADDED, "_row", "_task"}
+    taken = {*ADDED, "_row", "_task", "_first", "_start"}
     names: dict[str, str] = {}
     for c in sorted(columns, key=lambda c: c.lower() in taken):
         new = c
@@ -82,15 +82,17 @@ def kept_names(columns: Sequence[str]) -> dict[str, str]:
     return {c: names[c] for c in columns}
 
 
-def place(docs: DataFrame, tree: Tree | None = None, more: Sequence[int] = (8,)) -> DataFrame:
+def place(docs: DataFrame, tree: Tree | None = None, more: Sequence[int] = (8,), keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with ``size, text_crc32, law, shard, slot, grown_shard`` added.
 
     Law ``key``: the id and the tree decide, so rows with one id, null
     included, share a shard.  ``grown_shard`` is the shard once the shards
     ``more`` have been added.  Size is the text's UTF-8 bytes plus 1 (null: 1;
     its crc32 is null).  ``slot`` numbers a shard's rows from 0 in input
-    order: rows are numbered within each scan task and shifted by the counts
-    of the tasks before, so no task holds a shard.  All columns of ``docs`` stay;
+    order: rows are sorted by shard within each scan task as they are written,
+    so a row's number there less that of its shard's first, shifted by the
+    counts of the tasks before, is its slot.  No row is shuffled for it and no
+    task holds a shard.  All columns of ``docs`` stay, or those of ``keep``;
     one whose name is among the added ones is renamed (see ``kept_names``).
     """
     tree = tree or even_tree(8)
@@ -99,17 +101,17 @@ def place(docs: DataFrame, tree: Tree | None = None, more: Sequence[int] = (8,))
         wide = grown(wide, s)
     tmp = Scratch(docs.sparkSession, "sharding")
     data, key = F.col("text").cast("binary"), F.col("doc_id").cast("string")
-    names = kept_names(docs.columns)
-    rows = tmp.save(docs.select(
+    names = kept_names(docs.columns if keep is None else keep)
+    rows = docs.select(
         *[F.col(f"`{old}`").alias(new) for old, new in names.items()],
         (F.coalesce(F.length(data), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"),
         F.lit("key").alias("law"), shard_of(key, tree).alias("shard"), shard_of(key, wide).alias("grown_shard"),
-        F.monotonically_increasing_id().alias("_row")), "rows").withColumn("_task", F.shiftright("_row", 33))
-    counts = rows.groupBy("shard", "_task").agg(F.count(F.lit(1)).alias("_n"))
+        F.monotonically_increasing_id().alias("_task")).sortWithinPartitions("shard", "_task")
+    rows = tmp.save(rows.drop("_task").withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = rows.withColumn("_task", F.shiftright("_row", 33))
+    runs = rows.groupBy("shard", "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     ahead = Window.partitionBy("shard").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "_task", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
-    # slots are numbered on the row numbers alone, so no text is sorted
-    own = F.row_number().over(Window.partitionBy("shard", "_task").orderBy("_row")) - 1
-    slots = (rows.select("shard", "_task", "_row").withColumn("_own", own).join(starts, ["shard", "_task"])
-                 .select("_row", (F.col("_start") + F.col("_own")).cast("long").alias("slot")))
-    return rows.join(slots, "_row").select(*[f"`{c}`" for c in names.values()], "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    starts = runs.select("shard", "_task", "_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))  # one row a shard and task
+    slot = (F.col("_row") - F.col("_first") + F.col("_start")).cast("long")
+    return rows.join(starts, ["shard", "_task"]).select(*[f"`{c}`" for c in names.values()], "size", "text_crc32", "law", "shard",
+                                                        slot.alias("slot"), "grown_shard")
