@@ -25,9 +25,10 @@ def host_of(url: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and every domain above it, down to two labels, longest first; empty for null."""
+    """The host and every domain above it, down to two labels, longest first; an IPv4 address alone; empty for null."""
     labels = F.split(host, r"\.")
-    steps = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
+    address = host.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    steps = F.sequence(F.lit(1), F.when(address, 1).otherwise(F.greatest(F.size(labels) - 1, F.lit(1))))
     return F.when(host.isNull(), F.array().cast("array<string>")).otherwise(
         F.transform(steps, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
