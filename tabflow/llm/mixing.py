@@ -7,8 +7,9 @@ source size later.  All copies are ordered by finish time and the order is
 cut where the total budget is used up, so every source has been served in
 proportion to its target.
 
-No task holds a source: running sums are taken in hash ranges of a source
-and shifted by the sums of the ranges before, and the cut is found from a
+No task holds a source or an id: rows alike in id, source and size are one
+row with a count until their running sums are known, these are taken in hash
+ranges of a source and shifted by the sums of the ranges before, and the cut is found from a
 histogram of finish times, of which one bucket is sorted exactly.
 """
 
@@ -23,6 +24,8 @@ from tabflow.llm.scratch import Scratch
 WEIGHTS, PERCENT, COPIES = (5, 2, 1), 150, 2
 #: Rows that one hash range or histogram bucket holds, about.
 RANGE_ROWS = 20_000
+#: Rows with one count that are written out at a time.
+STRETCH = 65_536
 
 
 def words(text: Column) -> Column:
@@ -57,7 +60,8 @@ def targets(sizes: DataFrame) -> DataFrame:
                     .withColumn("left", exact("total") * PERCENT - exact("filled") * 100)
                     .withColumn("level", F.col("left").cast("double") / (100 * F.col("wr")).cast("double"))
                     .withColumn("open", exact("cap") * 100 * exact("wr") >= F.col("left") * F.col("w")))
-    level = F.min(F.when(F.col("open"), F.col("level"))).over(
+    # later open sources would see the caps of earlier ones taken off, so the first open one has the highest level
+    level = F.max(F.when(F.col("open"), F.col("level"))).over(
         everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return (shares.withColumn("common", level)
                   .select("source", "rank", "source_size", "total",
@@ -74,13 +78,13 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     tmp = Scratch(spark, "mixing")
-    rows = tmp.save(docs.select("doc_id", "source", words(F.col("text")).alias("size"),
-                                shuffled(F.col("doc_id")).alias("h")), "rows")
-    count = rows.count()
+    alike = docs.select("doc_id", "source", words(F.col("text")).alias("size")).groupBy("doc_id", "source", "size")
+    rows = tmp.save(alike.agg(F.count(F.lit(1)).alias("same")).withColumn("h", shuffled(F.col("doc_id"))), "rows")
+    count = rows.agg(F.sum("same")).first()[0] or 0
     bits = max(0, min(32, (count // RANGE_ROWS).bit_length()))
     rows = rows.withColumn("range", F.shiftright(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), 32 - bits))
     # one row per source and hash range
-    ranges = tmp.save(rows.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")
+    ranges = tmp.save(rows.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("same")).alias("words")), "ranges")
     goals = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")))
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (ranges.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
@@ -88,9 +92,11 @@ def mix(docs: DataFrame) -> DataFrame:
                     .select(F.col("source").alias("s"), F.col("range").alias("r"), "ahead", "rank", "source_size", "target", "total"))
     within = (Window.partitionBy("source", "range").orderBy("h", "doc_id", "size")
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    queued = (rows.withColumn("sofar", F.sum("size").over(within))
+    queued = (rows.withColumn("sofar", F.sum(F.col("size") * F.col("same")).over(within))
                   .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
-                  .withColumn("cum", F.col("ahead") + F.col("sofar")))
+                  .withColumn("stretch", F.explode(F.sequence(F.lit(0), F.floor((F.col("same") - 1) / STRETCH).cast("long"))))
+                  .withColumn("later", F.explode(F.sequence(F.col("stretch") * STRETCH, F.least(F.col("same"), (F.col("stretch") + 1) * STRETCH) - 1)))
+                  .withColumn("cum", F.col("ahead") + F.col("sofar") - F.col("later") * F.col("size")))
     queued = tmp.save(queued.select("doc_id", "source", "size", "rank", "source_size", "target", "total", "cum"), "queued")
 
     def finish(copy: int) -> Column:
@@ -136,7 +142,7 @@ def take(docs: DataFrame) -> DataFrame:
     Rows are matched to the mix by id, source and size; equal rows are told
     apart by their number, so repeated rows are taken as often as decided.
     """
-    key = ["doc_id", "source", "size"]
+    key, found = ["doc_id", "source", "size"], ["_id", "_source", "_size"]
     decided = mix(docs).groupBy(*key).agg(F.sum("taken").alias("words"), F.count(F.lit(1)).alias("same"))
     decided = decided.where("words > 0").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
@@ -145,9 +151,18 @@ def take(docs: DataFrame) -> DataFrame:
     joined = sized.join(decided, sized["doc_id"].eqNullSafe(F.col("_id")) & sized["source"].eqNullSafe(F.col("_source"))
                         & (F.col("_words") == F.col("_size")))
     single = joined.where("_same = 1").withColumn("_n", F.col("_copies"))
-    number = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text")) - 1
-    many = joined.where("_same > 1").withColumn("_k", number).withColumn(
-        "_n", F.floor(F.col("_copies") / F.col("_same")) + F.when(F.col("_k") < F.col("_copies") % F.col("_same"), 1).otherwise(0)).drop("_k")
-    both = single.unionByName(many)
+    # rows alike are numbered within tasks of sorted ranges, shifted by their count in the tasks before
+    tmp = Scratch(docs.sparkSession, "mixing_alike")
+    order = [*found, "_hash"]
+    alike = tmp.save(joined.where("_same > 1").withColumn("_hash", F.xxhash64("text")).repartitionByRange(*order)
+                           .sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "alike")
+    alike = alike.withColumn("_task", F.shiftright("_row", 33))
+    ahead = Window.partitionBy(*found).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = alike.groupBy(*found, "_task").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n"))
+    starts = starts.select(*[F.col(c).alias(f"{c}2") for c in [*found, "_task"]], (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("first")).alias("_shift"))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in [*found, "_task"]]
+    many = alike.join(starts, same).withColumn("_k", F.col("_row") + F.col("_shift")).withColumn(
+        "_n", F.floor(F.col("_copies") / F.col("_same")) + F.when(F.col("_k") < F.col("_copies") % F.col("_same"), 1).otherwise(0))
+    both = single.select(*docs.columns, "_n").unionByName(many.select(*docs.columns, "_n"))
     return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_n"), F.lit(1)).cast("int")))) \
                .where("_n > 0").select(*docs.columns)

@@ -97,7 +97,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    placed = sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
@@ -113,7 +113,7 @@ f AS (SELECT *, sum(source_size) OVER () AS total,
 o AS (SELECT *, CAST(total * 150 - filled * 100 AS DOUBLE) / CAST(100 * wr AS DOUBLE) AS level,
         cap * 100 * wr >= (total * 150 - filled * 100) * w AS open FROM f),
 g AS (SELECT source, rank, source_size, total,
-        CASE WHEN open THEN w * min(level) FILTER (WHERE open) OVER () ELSE CAST(cap AS DOUBLE) END AS target FROM o),
+        CASE WHEN open THEN w * max(level) FILTER (WHERE open) OVER () ELSE CAST(cap AS DOUBLE) END AS target FROM o),
 q AS (SELECT d.doc_id, d.size, g.*, sum(d.size) OVER (PARTITION BY g.rank ORDER BY h, doc_id, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, row_number() OVER () AS n
       FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
@@ -187,7 +187,7 @@ _YEAR, _START = 366 * 86_400, 1_704_067_200
 WITH h AS (SELECT page_id, {_START} + page_id * 7919 * 61 % {_YEAR} AS fetched,
     nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', ''), '') AS host FROM pages),
 d AS (SELECT DISTINCT host, list_aggregate(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), 'string_agg', '.') AS entry
-  FROM (SELECT DISTINCT host FROM h WHERE host IS NOT NULL), unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS t(i)),
+  FROM (SELECT DISTINCT host FROM h WHERE host IS NOT NULL), unnest(range(1, CASE WHEN regexp_matches(host, '^[0-9]+(\.[0-9]+){{3}}$') THEN 1 ELSE greatest(len(string_split(host, '.')) - 1, 1) END + 1)) AS t(i)),
 e AS (SELECT entry, ('0x' || substr(md5(entry), 1, 7))::BIGINT AS a, ('0x' || substr(md5(entry), 8, 7))::BIGINT AS b
   FROM (SELECT DISTINCT entry FROM d)),
 v AS (SELECT entry, {_START} + b % {_YEAR} AS since, {_START} + b % {_YEAR} + 86400 * (10 + a % 50) AS until FROM e WHERE a % 3 = 0

@@ -242,6 +242,11 @@ def test_sharding(make_docs, corpus):
     want = Counter((i, len((t or "").encode()) + 1, None if t is None else zlib.crc32(t.encode())) for i, t, _ in corpus)
     assert Counter((o.doc_id, o["size"], o.text_crc32) for o in out) == want
     assert sharding.place(make_docs(corpus).limit(0)).count() == 0
+    assert sharding.place(make_docs(corpus), keep=["doc_id"]).columns == ["doc_id", *sharding.ADDED]
+    # slots follow the input, not the ids
+    ordered = sharding.place(make_docs([(i % 3, str(i), "s") for i in range(90)]).coalesce(1)).collect()
+    assert all([int(o.text) for o in sorted(ordered, key=lambda o: o.slot) if o.shard == s] == sorted(int(o.text) for o in ordered if o.shard == s)
+               for s in range(8))
 
 
 def test_tree_confines_movement(spark):
@@ -318,11 +323,11 @@ def test_line_dedup_of_very_many_lines(make_docs):
 
 def test_url_filters(spark):
     r = random.Random(8)
-    hosts = ["a.b.example.com", "b.example.com", "c.example.org", "localhost"]
+    hosts = ["a.b.example.com", "b.example.com", "c.example.org", "localhost", "10.0.3.4"]
     urls_ = [f"https://{h}/x" for h in hosts] + ["HTTP://u:p@B.Example.com.:80/?q", "not a url", None, ""]
     caps = [(i, r.choice(urls_), r.randrange(0, 400 * 86_400)) for i in range(400)] + [(900, urls_[0], None), (900, urls_[0], None)]
     hist = [(e, r.randrange(0, 380 * 86_400), bool(r.getrandbits(1))) for e in ["example.com", "b.example.com", "a.b.example.com", "localhost", "com"] for _ in range(9)]
-    hist += [("example.org", 50, True), ("example.org", 50, False), ("c.example.org", 86_400 * 30, True), (None, 1, True), ("x", None, True), ("y", 1, None)]
+    hist += [("example.org", 50, True), ("example.org", 50, False), ("3.4", 60, True), ("c.example.org", 86_400 * 30, True), (None, 1, True), ("x", None, True), ("y", 1, None)]
     cdf = spark.createDataFrame([(*c, "x", "y") for c in caps], "id long, url string, fetched long, entry string, since string")
     hdf = spark.createDataFrame(hist, "entry string, at long, listed boolean")
 
@@ -343,7 +348,7 @@ def test_url_filters(spark):
         host = m[1].lower().rstrip(".") if m else None
         if host and at is not None:
             labels = host.split(".")
-            for i in range(max(1, len(labels) - 1)):
+            for i in range(1 if host == "10.0.3.4" else max(1, len(labels) - 1)):
                 entry = ".".join(labels[i:])
                 if (s := state(entry, at)) is not None:
                     return host, True, entry, s
@@ -398,6 +403,40 @@ def test_mixing(make_docs, corpus, monkeypatch):
     assert Counter((k.doc_id, size(k.text)) for k in kept.collect()) == Counter({k: v for k, v in times.items() if v})
 
 
+def test_mixing_without_ids(make_docs, monkeypatch):
+    """A third of all rows has no id: alike rows are counted, not gathered, and still queue one by one."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
+    monkeypatch.setattr(mixing, "STRETCH", 7)
+    r = random.Random(12)
+    text = lambda n: " ".join(r.choice("abc") for _ in range(n))
+    rows = [(None, text(r.randrange(0, 4)), r.choice("xy")) for _ in range(300)] + [(i, text(r.randrange(0, 9)), r.choice("xyz")) for i in range(600)]
+    docs = make_docs(rows)
+    out = mixing.mix(docs.repartition(5)).collect()
+    size = lambda t: len(t.split())
+    assert Counter((o.doc_id, o.source, o["size"]) for o in out) == Counter((i, s, size(t)) for i, t, s in rows)
+    # queued in order of hash, id and size, one row after the other
+    want, total = plain_targets(Counter({s: sum(size(t) for _, t, x in rows if x == s) for s in "xyz"})), sum(size(t) for _, t, _ in rows)
+    queue = []
+    for rank, s in enumerate("xyz"):
+        own = sorted((hashlib.md5(b"" if i is None else str(i).encode()).hexdigest(), i or 0, size(t), i) for i, t, x in rows if x == s)
+        whole, cum = sum(o[2] for o in own), 0
+        for h, _, n, i in own:
+            cum += n
+            queue += [((e * whole + cum) / want[s], rank, e, cum, (i, s, n)) for e in range(2) if n]
+    taken, used = Counter(), 0
+    for *_, row in sorted(queue, key=lambda q: q[:4]):
+        used += row[2]
+        if used * 100 > total * mixing.PERCENT:
+            break
+        taken[row] += row[2]
+    got = Counter()
+    for o in out:
+        got[o.doc_id, o.source, o["size"]] += o.taken
+    assert +got == +taken
+    kept = Counter((k.doc_id, k.source, size(k.text)) for k in mixing.take(docs).collect())
+    assert kept == Counter({k: v // k[2] for k, v in taken.items()})
+
+
 def test_mixing_of_nothing(make_docs, corpus):
     docs = make_docs(corpus)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.take(docs.limit(0)).count() == 0
