@@ -144,25 +144,33 @@ def take(docs: DataFrame) -> DataFrame:
     """
     key, found = ["doc_id", "source", "size"], ["_id", "_source", "_size"]
     decided = mix(docs).groupBy(*key).agg(F.sum("taken").alias("words"), F.count(F.lit(1)).alias("same"))
-    decided = decided.where("words > 0").select(
+    tmp = Scratch(docs.sparkSession, "mixing_taken")
+    decided = tmp.save(decided.where("words > 0").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        (F.col("words") / F.col("size")).cast("long").alias("_copies"), F.col("same").alias("_same"))
+        (F.col("words") / F.col("size")).cast("long").alias("_copies"), F.col("same").alias("_same")), "decided")
     sized = docs.select(*[docs[c] for c in docs.columns], words(docs["text"]).alias("_words"))
-    joined = sized.join(decided, sized["doc_id"].eqNullSafe(F.col("_id")) & sized["source"].eqNullSafe(F.col("_source"))
-                        & (F.col("_words") == F.col("_size")))
-    single = joined.where("_same = 1").withColumn("_n", F.col("_copies"))
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return sized.join(some, sized["doc_id"].eqNullSafe(F.col("_id")) & sized["source"].eqNullSafe(F.col("_source"))
+                          & (F.col("_words") == F.col("_size")))
+
+    def copied(rows: DataFrame, times: Column) -> DataFrame:
+        rows = rows.select(*docs.columns, times.alias("_n")).where("_n > 0")
+        return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+
+    single = copied(rows_of(decided.where("_same = 1")), F.col("_copies"))
+    repeated = decided.where("_same > 1")
+    if not repeated.limit(1).count():
+        return single
     # rows alike are numbered within tasks of sorted ranges, shifted by their count in the tasks before
-    tmp = Scratch(docs.sparkSession, "mixing_alike")
     order = [*found, "_hash"]
-    alike = tmp.save(joined.where("_same > 1").withColumn("_hash", F.xxhash64("text")).repartitionByRange(*order)
+    alike = tmp.save(rows_of(repeated).withColumn("_hash", F.xxhash64("text")).repartitionByRange(*order)
                            .sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "alike")
     alike = alike.withColumn("_task", F.shiftright("_row", 33))
     ahead = Window.partitionBy(*found).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = alike.groupBy(*found, "_task").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n"))
     starts = starts.select(*[F.col(c).alias(f"{c}2") for c in [*found, "_task"]], (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("first")).alias("_shift"))
     same = [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in [*found, "_task"]]
-    many = alike.join(starts, same).withColumn("_k", F.col("_row") + F.col("_shift")).withColumn(
-        "_n", F.floor(F.col("_copies") / F.col("_same")) + F.when(F.col("_k") < F.col("_copies") % F.col("_same"), 1).otherwise(0))
-    both = single.select(*docs.columns, "_n").unionByName(many.select(*docs.columns, "_n"))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_n"), F.lit(1)).cast("int")))) \
-               .where("_n > 0").select(*docs.columns)
+    many = alike.join(starts, same).withColumn("_k", F.col("_row") + F.col("_shift"))
+    more = F.when(F.col("_k") < F.col("_copies") % F.col("_same"), 1).otherwise(0)
+    return single.unionByName(copied(many, F.floor(F.col("_copies") / F.col("_same")) + more))
