@@ -27,6 +27,7 @@ Shingles are 64-bit hashes; sketch and bit tables have a fixed size.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import zlib
 from collections.abc import Iterator
@@ -58,10 +59,20 @@ def class_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def _give_back() -> None:
+    """Returns a worker's freed memory to the system: workers are kept for later stages, and what they hold counts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def _texts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int, np.ndarray]]:
     for batch in batches:
         for i, t in enumerate(batch.column("t")):
             yield i, shingle_set(blank_words(t.as_py()), k)
+        del batch
+        _give_back()
 
 
 def _tree_sum(rows: DataFrame, column: str, kind: type, parts: int, combine=np.add) -> np.ndarray | None:
