@@ -34,6 +34,8 @@ HITS = T.StructType([
                                                      T.StructField("last", T.IntegerType())]))),
     T.StructField("items", T.ArrayType(T.StringType())),
 ])
+#: Hits with the UTF-8 text that is left without them (null: nothing to cut).
+CUT = T.StructType([*HITS.fields, T.StructField("rest", T.BinaryType())])
 
 
 class ItemAutomaton:
@@ -146,18 +148,24 @@ class ItemAutomaton:
                     spans.append((first, i))
 
 
-def _hits_udf(automaton: ItemAutomaton):
-    @F.pandas_udf(HITS)
+def _hits_udf(automaton: ItemAutomaton, cut: bool = False):
+    """Hits of each text.  With ``cut`` also what is left of it, and Spark may
+    neither repeat nor move the call: a filter on the hits would else scan the
+    texts again, in a worker of its own."""
+    kind = CUT if cut else HITS
+
+    @F.pandas_udf(kind)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
                 ws = alnum_words(t)
                 spans, items = automaton.scan(ws)
-                rows.append((len(ws), sum(b - a + 1 for a, b in spans), spans, items))
-            yield pd.DataFrame(rows, columns=HITS.names)
+                rest = [cut_spans(t, spans) if spans else None] if cut else []
+                rows.append((len(ws), sum(b - a + 1 for a, b in spans), spans, items, *rest))
+            yield pd.DataFrame(rows, columns=kind.names)
 
-    return hits
+    return hits.asNondeterministic() if cut else hits
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, max_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -183,12 +191,13 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: st
     return _with_hits(make_room(docs, "hits"), items, "hits", text, item_id, item_text, window, max_words)
 
 
-def _with_hits(docs: DataFrame, items: DataFrame, name: str, text: str, item_id: str, item_text: str, window: int, max_words: int) -> DataFrame:
-    """``docs`` with the struct in a column ``name`` that ``docs`` doesn't have."""
+def _with_hits(docs: DataFrame, items: DataFrame, name: str, text: str, item_id: str, item_text: str, window: int, max_words: int,
+               cut: bool = False) -> DataFrame:
+    """``docs`` with the struct in a column ``name`` that ``docs`` doesn't have; with ``cut`` it also has ``rest``."""
     blocks = _blocks(items, item_id, item_text, max_words)
     first = next(blocks)
     content = F.col(text).cast("binary")
-    found = docs.withColumn(name, _hits_udf(ItemAutomaton(first, window))(content))
+    automaton = ItemAutomaton(first, window)
     rest: list[DataFrame] = []
     tmp = None
     for k, block in enumerate(blocks):
@@ -198,7 +207,8 @@ def _with_hits(docs: DataFrame, items: DataFrame, name: str, text: str, item_id:
             _hits_udf(ItemAutomaton(block, window))(F.col("t")).alias("more"))
         rest.append(tmp.save(own.where("size(more.items) > 0").distinct(), f"block{k}"))
     if not rest:
-        return found
+        return docs.withColumn(name, _hits_udf(automaton, cut)(content))
+    found = docs.withColumn(name, _hits_udf(automaton)(content))
     more = rest[0]
     for x in rest[1:]:
         more = more.union(x)
@@ -207,41 +217,47 @@ def _with_hits(docs: DataFrame, items: DataFrame, name: str, text: str, item_id:
         F.flatten(F.collect_list("more.spans")).alias(spans), F.flatten(F.collect_list("more.items")).alias(ids))
     joined = (found.withColumns({h1: F.xxhash64(content), h2: F.xxhash64(F.lit(1), content)})
                    .join(merged, [h1, h2], "left"))
-    return joined.withColumn(name, _merge(F.col(name), F.col(spans), F.col(ids))).select(*[f"`{c}`" for c in found.columns])
-
-
-@F.pandas_udf(HITS)
-def _merge(hits: pd.DataFrame, spans: pd.Series, items: pd.Series) -> pd.DataFrame:
-    """Hits of the first block with those of the others."""
-    rows = []
-    for n, a, i, b, j in zip(hits["n_words"], hits["spans"], hits["items"], spans, items):
-        ends: list[list[int]] = []
-        for x in sorted((int(s["first"]), int(s["last"])) for part in (a, b) if part is not None for s in part):
-            if ends and x[0] <= ends[-1][1] + 1:
-                ends[-1][1] = max(ends[-1][1], x[1])
-            else:
-                ends.append(list(x))
-        ids = sorted({*i, *(j if j is not None else ())})
-        rows.append((n, sum(y - x + 1 for x, y in ends), [tuple(e) for e in ends], ids))
-    return pd.DataFrame(rows, columns=HITS.names)
-
-
-def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the bytes from each span's first to its last word; a line break is left in place."""
-    data = text.encode()
+    merge = _merge_udf(cut)(F.col(name), F.col(spans), F.col(ids), *([content] if cut else []))
+    return joined.withColumn(name, merge).select(*[f"`{c}`" for c in found.columns])
+
+
+def _merge_udf(cut: bool):
+    """Hits of the first block with those of the others; with ``cut`` (of ``texts``) as in ``_hits_udf``."""
+    kind = CUT if cut else HITS
+
+    def merge(hits: pd.DataFrame, spans: pd.Series, items: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for n, a, i, b, j, t in zip(hits["n_words"], hits["spans"], hits["items"], spans, items, texts):
+            ends: list[list[int]] = []
+            for x in sorted((int(s["first"]), int(s["last"])) for part in (a, b) if part is not None for s in part):
+                if ends and x[0] <= ends[-1][1] + 1:
+                    ends[-1][1] = max(ends[-1][1], x[1])
+                else:
+                    ends.append(list(x))
+            ids = sorted({*i, *(j if j is not None else ())})
+            rest = [cut_spans(t, [tuple(e) for e in ends]) if ends else None] if cut else []
+            rows.append((n, sum(y - x + 1 for x, y in ends), [tuple(e) for e in ends], ids, *rest))
+        return pd.DataFrame(rows, columns=kind.names)
+
+    if cut:
+        return F.pandas_udf(merge, kind).asNondeterministic()
+
+    @F.pandas_udf(kind)
+    def merged(hits: pd.DataFrame, spans: pd.Series, items: pd.Series) -> pd.DataFrame:
+        return merge(hits, spans, items, spans)
+
+    return merged
+
+
+def cut_spans(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """UTF-8 text without the bytes from each span's first to its last word; a line break is left in place."""
     where = [m.span() for m in re.finditer(rb"[0-9a-z\x80-\xff]+", data.lower().translate(ALNUM))]
     out, at = [], 0
     for first, last in spans:
         out.append(data[at:where[first][0]].rstrip(b" "))
         at = where[last][1]
     out.append(data[at:])
-    return b"\n".join(out).decode()
-
-
-@F.pandas_udf(T.StringType())
-def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([cut_words(t, [(int(s["first"]), int(s["last"])) for s in own]) if own is not None and len(own) else t
-                      for t, own in zip(texts, spans)], dtype=object)
+    return b"\n".join(out)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5, max_words: int = 200_000) -> DataFrame:
@@ -250,9 +266,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     where there is one, follows the new text.  Documents without a hit, null
     and empty texts stay as they are, and so do all other columns."""
     (hits,) = fresh(docs.columns, "hits")
-    kept = _with_hits(docs, items, hits, "text", "item_id", "text", window, max_words).where(
+    kept = _with_hits(docs, items, hits, "text", "item_id", "text", window, max_words, cut=True).where(
         f"{hits}.n_hit = 0 or {hits}.n_hit <= {hits}.n_words * " + repr(max_coverage))
-    clean = kept.withColumn("text", F.when(F.col(f"{hits}.n_hit") > 0, _cut("text", f"{hits}.spans")).otherwise(F.col("text")))
+    clean = kept.withColumn("text", F.when(F.col(f"{hits}.n_hit") > 0, F.col(f"{hits}.rest").cast("string")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.col(f"{hits}.n_hit") > 0, F.length("text")).otherwise(F.col("n_chars"))
                                  .cast(docs.schema["n_chars"].dataType))

@@ -89,6 +89,17 @@ def test_decontaminate_cuts_and_drops(spark, make_docs, benchmark):
     assert decontaminate.decontaminate(docs, items.limit(0)).count() == 5
 
 
+@pytest.mark.parametrize("max_words", [200_000, 40])  # 40: several blocks
+def test_decontaminate_scans_texts_once(make_docs, corpus, benchmark, max_words):
+    """One Python worker a task finds and cuts; the filter on the hits does not scan the texts again."""
+    docs = make_docs(corpus)
+    clean = decontaminate.decontaminate(docs, benchmark, max_words=max_words)
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == (1 if max_words > 40 else 2)  # several blocks: found, then merged after a join
+    whole = decontaminate.decontaminate(docs, benchmark)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_op2_digest(spark, sf_small):
     from tabflow.llm.queries import QUERIES
 
