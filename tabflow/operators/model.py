@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from tabflow.config import ModelParams, TableSpec
 from tabflow.operators.features import prepare_inputs, preprocessing_stages
 from tabflow.operators.split import union_by_name
-from tabflow.sources.tables import materialize
+from tabflow.sources.tables import materialize_for_fit
+
+#: Rows of a task in a fit: tree training caches them, some 370 bytes each with ten features.
+FIT_ROWS = 1 << 17
 
 
 def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None, classifier=None):
@@ -44,12 +47,12 @@ def train_and_score(train: DataFrame, test: DataFrame, spec: TableSpec,
     The estimators make several passes over the training input (indexers,
     imputer, scaler, tree rounds).  With ``materialize_input`` the prepared
     training columns are written once to the shared folder and every pass
-    scans those files instead of recomputing the input plan.
+    scans those files, ``FIT_ROWS`` a task, instead of recomputing the input plan.
     """
     cols = [c for c in [spec.target, *spec.feature_names] if c in train.columns]
     fit_input = prepare_inputs(train.select(*cols), spec)
     if materialize_input:
-        fit_input = materialize(fit_input, "train_input")
+        _, fit_input = materialize_for_fit(fit_input, "train_input", FIT_ROWS)
     model = model_pipeline(spec, params, classifier).fit(fit_input)
     return model, model.transform(prepare_inputs(test, spec))
 

@@ -25,13 +25,13 @@ from tabflow.config import CatFeature, ModelParams, NumFeature, TableSpec
 from tabflow.functions.dates import years_since
 from tabflow.operators import keyed, split
 from tabflow.operators.features import prepare_inputs, preprocessing_stages
-from tabflow.operators.model import score, train_and_score
+from tabflow.operators.model import FIT_ROWS, score, train_and_score
 from tabflow.operators.monitor import drift_series, profile_metrics, window_start
 from tabflow.plans import standins as S
 from tabflow.plans.catalog import register, sround, table
 from tabflow.plans.flows import write_keyed
 from tabflow.session import checkpoint_root, scratch_path
-from tabflow.sources.tables import materialize, read_newest
+from tabflow.sources.tables import materialize_for_fit, read_newest
 
 AS_OF = dt.date(2025, 1, 1)
 
@@ -65,9 +65,9 @@ def training_rows(spark, sf_dir):
 
 
 def frames(spark, sf_dir):
-    """(population, train, test): one written table that all passes scan."""
-    rows = materialize(training_rows(spark, sf_dir), "population")
-    return rows, rows.where(F.col("split") == split.TRAIN), rows.where(F.col("split") == split.TEST)
+    """(population, train, test): one written table that all passes scan, the training rows in small tasks."""
+    rows, fit_rows = materialize_for_fit(training_rows(spark, sf_dir), "population", FIT_ROWS)
+    return rows, fit_rows.where(F.col("split") == split.TRAIN), rows.where(F.col("split") == split.TEST)
 
 
 def fingerprint(rows) -> str:

@@ -207,11 +207,38 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: cuts the lineage (a lost executor re-reads files instead of
     recomputing joins) and lets iterative consumers scan columns only."""
+    return df.sparkSession.read.parquet(_write_scratch(df, name))
+
+
+def materialize_for_fit(df: DataFrame, name: str, rows_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """``materialize`` with a second scan of the same files for consumers that
+    cache what a task reads, as tree training does: ``(scan, scan a file a task)``.
+
+    Parquet holds a row in far fewer bytes than a cache, so tasks cut by file
+    bytes hold rows without bound; a task of the second scan reads one file,
+    ``rows_per_task`` rows at most.  How files are packed into tasks is a
+    setting of the session, so that scan has a session of its own with the
+    caller's other settings: pass it to a fit, don't return it.
+    """
+    spark = df.sparkSession
+    path = _write_scratch(df, name, rows_per_task)
+    scan = spark.read.parquet(path)
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    # a file counts as a full task, so none shares a task with another
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.unset("spark.sql.files.maxPartitionNum")
+    return scan, own.read.schema(scan.schema).parquet(path)
+
+
+def _write_scratch(df: DataFrame, name: str, rows_per_file: Optional[int] = None) -> str:
     from tabflow.session import scratch_path
 
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file or 0).parquet(path)
+    return path
 
 
 def set_property(spark: SparkSession, table: str, key: str, value: str) -> str:

@@ -40,6 +40,26 @@ def test_deterministic(data, fitted):
     assert rows(scored, "id", "prediction") == rows(again, "id", "prediction")
 
 
+def test_fit_tasks_hold_bounded_rows(spark, data, monkeypatch):
+    """Tree training caches what its tasks read, so no task of a fit reads more than FIT_ROWS, whatever the input's size."""
+    from pyspark.ml.classification import GBTClassifier
+
+    per_task = {}
+
+    class Watched(GBTClassifier):
+        def _fit(self, dataset):
+            per_task[len(per_task)] = dataset.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(model, "FIT_ROWS", 300)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    gbt = Watched(featuresCol="features", labelCol="label", maxDepth=2, maxIter=2, seed=1)
+    _, scored = model.train_and_score(data, data, SPEC, classifier=gbt)
+    assert sum(per_task[0]) == 2000 and max(per_task[0]) <= 300
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert scored.sparkSession._jsparkSession.equals(spark._jsparkSession) and scored.count() == 2000
+
+
 def test_save_load_roundtrip(fitted, spark):
     m, scored, _, test = fitted
     path = scratch_path(spark, "model")
