@@ -19,7 +19,7 @@ from tabflow.operators.split import union_by_name
 from tabflow.sources.tables import materialize_for_fit
 
 #: Rows of a task in a fit: tree training caches them, some 370 bytes each with ten features.
-FIT_ROWS = 1 << 17
+FIT_ROWS = 1 << 18
 
 
 def model_pipeline(spec: TableSpec, params: Optional[ModelParams] = None, classifier=None):

@@ -31,7 +31,7 @@ from tabflow.plans import standins as S
 from tabflow.plans.catalog import register, sround, table
 from tabflow.plans.flows import write_keyed
 from tabflow.session import checkpoint_root, scratch_path
-from tabflow.sources.tables import materialize_for_fit, read_newest
+from tabflow.sources.tables import materialize, materialize_for_fit, read_newest
 
 AS_OF = dt.date(2025, 1, 1)
 
@@ -64,10 +64,16 @@ def training_rows(spark, sf_dir):
     return split.assign_split(rows.drop("order_year", "worth"), S.PK, ORDERS_SPEC.target, 0.2, 42)
 
 
+def scans(spark, sf_dir):
+    """The population as one written table: a scan for results, and one of a
+    file a task for fits and for what is written (even tasks, bounded rows)."""
+    return materialize_for_fit(training_rows(spark, sf_dir), "population", FIT_ROWS)
+
+
 def frames(spark, sf_dir):
     """(population, train, test): one written table that all passes scan, the training rows in small tasks."""
-    rows, fit_rows = materialize_for_fit(training_rows(spark, sf_dir), "population", FIT_ROWS)
-    return rows, fit_rows.where(F.col("split") == split.TRAIN), rows.where(F.col("split") == split.TEST)
+    rows, small = scans(spark, sf_dir)
+    return rows, small.where(F.col("split") == split.TRAIN), rows.where(F.col("split") == split.TEST)
 
 
 def fingerprint(rows) -> str:
@@ -226,9 +232,13 @@ SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS window_start, 'predicti
 """)
 def q_predict_refresh(spark, sf_dir):
     """Score the population, upsert the predictions twice (a refresh and its
-    repetition) into the keyed predictions table, profile them per month."""
-    population, train, _ = frames(spark, sf_dir)
+    repetition) into the keyed predictions table, profile them per month.
+    The population is scored once; the key checks and both upserts read the
+    stored predictions."""
+    _, population = scans(spark, sf_dir)  # what is scored is written
+    train = population.where(F.col("split") == split.TRAIN)
     preds = score(registered_model(spark, train), population, ORDERS_SPEC, served=[S.PK, "o_orderdate", "o_totalprice"])
+    preds = materialize(preds, "scored")
     root = scratch_path(spark, "preds")
     write_keyed(root, preds, S.PK)
     write_keyed(root, preds, S.PK)

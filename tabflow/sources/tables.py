@@ -218,7 +218,7 @@ def materialize_for_fit(df: DataFrame, name: str, rows_per_task: int) -> tuple[D
     bytes hold rows without bound; a task of the second scan reads one file,
     ``rows_per_task`` rows at most.  How files are packed into tasks is a
     setting of the session, so that scan has a session of its own with the
-    caller's other settings: pass it to a fit, don't return it.
+    caller's other settings: fit on it or write from it, don't return it.
     """
     spark = df.sparkSession
     path = _write_scratch(df, name, rows_per_task)

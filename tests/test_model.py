@@ -108,6 +108,25 @@ def test_registered_model_queries(spark, sf_small):
     assert served.select("o_orderkey").distinct().count() == orders.count()
 
 
+def test_refresh_scores_the_population_once(spark, sf_small, monkeypatch):
+    """Both upserts and their key checks read stored predictions; neither runs the model again."""
+    import __spark_entry__ as e
+
+    from tabflow.plans import queries_model as q
+
+    write, written = q.write_keyed, []
+
+    def watched(root, new, pk):
+        written.append((new._jdf.queryExecution().optimizedPlan().toString(), new.count()))
+        return write(root, new, pk)
+
+    monkeypatch.setattr(q, "write_keyed", watched)
+    profile = e.queries()["predict_refresh"](spark, sf_small).collect()
+    n = spark.read.parquet(f"{sf_small}/orders.parquet").count()
+    assert [c for _, c in written] == [n, n] and sum(r.n for r in profile) == n and all(r.within for r in profile)
+    assert not any("UDF(" in plan for plan, _ in written)
+
+
 def test_fitted_queries_see_wrong_predictions(spark, sf_small):
     """Predictions of the fit that SQL repeats take both values and beat the majority; the run table follows them."""
     import __spark_entry__ as e
