@@ -108,6 +108,27 @@ def test_registered_model_queries(spark, sf_small):
     assert served.select("o_orderkey").distinct().count() == orders.count()
 
 
+def test_score_and_serve_fits_on_bounded_tasks(spark, sf_small, monkeypatch):
+    """What score_and_serve fits on is the whole training side in tasks of at most FIT_ROWS; its result is of the caller's session."""
+    import __spark_entry__ as e
+
+    from tabflow.plans import queries_model as q
+
+    registered, per_task = q.registered_model, []
+
+    def watched(session, train):
+        per_task.extend(train.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect())
+        return registered(session, train)
+
+    monkeypatch.setattr(q, "FIT_ROWS", 200, raising=False)
+    monkeypatch.setattr(q, "registered_model", watched)
+    served = e.queries()["score_and_serve"](spark, sf_small)
+    population = q.training_rows(spark, sf_small)
+    assert max(per_task) <= 200 and sum(per_task) == population.where(F.col("split") == split.TRAIN).count() > 200
+    assert served.sparkSession._jsparkSession.equals(spark._jsparkSession)
+    assert served.count() == population.count()
+
+
 def test_refresh_scores_the_population_once(spark, sf_small, monkeypatch):
     """Both upserts and their key checks read stored predictions; neither runs the model again."""
     import __spark_entry__ as e
