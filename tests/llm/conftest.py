@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from tests.conftest import rows  # noqa: F401  (this file, too, is named conftest to tests that import it from there)
+
 DOCS = "doc_id long, text string, source string, n_chars long, size long, n long, hits string, key string, h string, rank int, component int"
 
 
